@@ -46,10 +46,10 @@ def draws_with_replacement(
     if fraction < 0:
         raise ValueError("sample fraction must be >= 0")
     group = list(group)
-    s = sizes.select(*group, F.col(n_col).cast("long").alias("_N")).withColumn("_n", sample_size(fraction, F.col("_N")))
+    s = sizes.select(*group, F.col(n_col).cast("long").alias("_pop")).withColumn("_n", sample_size(fraction, F.col("_pop")))
     chunks = s.select(
         *group,
-        "_N",
+        "_pop",
         "_n",
         F.explode(
             F.when(F.col("_n") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / DRAW_CHUNK)))
@@ -58,13 +58,13 @@ def draws_with_replacement(
     ).repartition(*group, "_c")
     ks = chunks.select(
         *group,
-        "_N",
+        "_pop",
         F.explode(
             F.sequence(F.col("_c") * DRAW_CHUNK, F.least(F.col("_n"), (F.col("_c") + 1) * DRAW_CHUNK) - 1)
         ).alias("k"),
     )
     hashed = _hash60([F.lit(seed), *[F.col(g) for g in group], F.col("k")])
-    return ks.select(*group, "k", (hashed % F.col("_N")).alias("pid"))
+    return ks.select(*group, "k", (hashed % F.col("_pop")).alias("pid"))
 
 
 def sample_with_replacement(
@@ -111,9 +111,9 @@ def sample_without_replacement(
     hist = h.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wg = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     cum = (
-        hist.withColumn("_N", F.sum("_cnt").over(wg))
+        hist.withColumn("_pop", F.sum("_cnt").over(wg))
         .withColumn("_cum", F.sum("_cnt").over(wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_n", sample_size(fraction, F.col("_N")))
+        .withColumn("_n", sample_size(fraction, F.col("_pop")))
         .withColumn("_before", F.col("_cum") - F.col("_cnt"))
         .filter(F.col("_before") < F.col("_n"))
         .select(*group, "_b", "_cnt", "_before", "_n")

@@ -268,3 +268,149 @@ def q_a1(spark, sf):
     from drapekit.operators.aggregates import cloud_stats
 
     return cloud_stats(_drape(spark, sf).drop("k"))
+
+
+# ---------------------------------------------------------------------------------------
+# M1 / M2 / M3 / A5 and the flagship Q2
+
+SQL_SAMPLED = (
+    SQL_DRAPE
+    + ", sizes as (select scene_id, cast(width as bigint) * height as n_total from raster_meta)\n"
+    + sql_draws("sizes", 0.2, 42)
+    + """
+, cloud as (
+  select d.scene_id, d.k, d.pid, e.x, e.y, e.z, i.red, i.green, i.blue
+  from draws d join img i on d.scene_id = i.scene_id and d.pid = i.pid
+  join elev e on d.scene_id = e.scene_id and d.pid = e.pid)
+"""
+)
+
+
+def _sql_u8(c: str, m: str = "m") -> str:
+    return (
+        f"case when {m} <= 1.0 then cast(least(255, greatest(0, floor(cast({c} as double) * 255))) as integer) "
+        f"else cast(cast({c} as bigint) & 255 as integer) end as {c}"
+    )
+
+
+def _sampled(spark, sf):
+    from drapekit.plans.point_cloud import draped_cloud
+
+    rows = fx.raster_rows(spark, sf)
+    cells = fx.dem_cells(spark, sf)
+    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
+    return draped_cloud(meta, rows, cells, fraction=0.2, seed=42)
+
+
+@register(
+    "q2_point_cloud_raw",
+    _cte_query(
+        SQL_SAMPLED,
+        ", cm as (select scene_id, greatest(max(red), max(green), max(blue)) as m from cloud group by scene_id)\n"
+        "select c.scene_id, cast(x as float) as x, cast(y as float) as y, cast(z as float) as z, "
+        + ", ".join(_sql_u8(c) for c in ("red", "green", "blue"))
+        + " from cloud c join cm on c.scene_id = cm.scene_id",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_q2(spark, sf):
+    from drapekit.functions.coords import export_frame
+
+    return export_frame(_sampled(spark, sf))
+
+
+@register(
+    "q2_cloud_stats",
+    _cte_query(
+        SQL_SAMPLED,
+        "select scene_id, count(*) as num_points, min(x) as x_min, max(x) as x_max, min(y) as y_min, max(y) as y_max, "
+        "min(z) as z_min, max(z) as z_max, 'scene_id,k,pid,x,y,z,red,green,blue' as columns from cloud group by scene_id",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_q2_stats(spark, sf):
+    from drapekit.operators.aggregates import cloud_stats
+
+    return cloud_stats(_sampled(spark, sf))
+
+
+@register(
+    "a5_count_points",
+    _cte_query(
+        SQL_SAMPLED,
+        "select a.scene_id, a.n_before, b.n_after from "
+        "(select scene_id, count(*) as n_before from drape group by scene_id) a join "
+        "(select scene_id, count(*) as n_after from cloud group by scene_id) b on a.scene_id = b.scene_id",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_a5(spark, sf):
+    from drapekit.operators.aggregates import count_points
+
+    before = count_points(_drape(spark, sf), name="n_before")
+    after = count_points(_sampled(spark, sf), name="n_after")
+    return before.join(after, "scene_id").select("scene_id", "n_before", "n_after")
+
+
+POINT_COLS = "pid, x, y, z, red, green, blue"
+
+
+@register(
+    "m1_sample_with_replacement",
+    _cte_query(
+        ", sizes as (select count(*) as n_total from points)\n"
+        + sql_draws("sizes", 0.2, 42, group=None),
+        "select d.k, p.pid, p.x, p.y, p.z, p.red, p.green, p.blue from draws d join points p on d.pid = p.pid",
+        "points",
+    ),
+)
+def q_m1(spark, sf):
+    from drapekit.operators.sampling import sample_with_replacement
+
+    return sample_with_replacement(fx.points(spark, sf), 0.2, seed=42).select("k", *POINT_COLS.split(", "))
+
+
+@register(
+    "m1_sample_with_replacement_no_id",
+    _cte_query(
+        ", li as (select row_number() over (order by x, y, z, red, green, blue) - 1 as pid, * from points_li)"
+        ", sizes as (select count(*) as n_total from li)\n" + sql_draws("sizes", 0.2, 42, group=None),
+        "select d.k, p.x, p.y, p.z, p.red, p.green, p.blue from draws d join li p on d.pid = p.pid",
+        "points_li",
+    ),
+)
+def q_m1_li(spark, sf):
+    from drapekit.operators.indexing import dense_index
+    from drapekit.operators.sampling import sample_with_replacement
+
+    cols = ["x", "y", "z", "red", "green", "blue"]
+    li = dense_index(fx.points_li(spark, sf), cols, name="pid")
+    return sample_with_replacement(li, 0.2, seed=42).select("k", *cols)
+
+
+@register(
+    "m2_sample_without_replacement",
+    _cte_query(
+        ", h as (select *, cast(('0x' || substr(md5(concat('42:', cast(pid as varchar))), 1, 15)) as bigint) as hv from points)"
+        ", n as (select cast(round_even(0.2 * count(*), 0) as bigint) as n from points)",
+        f"select {POINT_COLS} from (select *, row_number() over (order by hv, pid) as r from h) where r <= (select n from n)",
+        "points",
+    ),
+)
+def q_m2(spark, sf):
+    from drapekit.operators.sampling import sample_without_replacement
+
+    return sample_without_replacement(fx.points(spark, sf), 0.2, seed=42).select(*POINT_COLS.split(", "))
+
+
+@register("m3_sample_approx")
+def q_m3(spark, sf):
+    from drapekit.operators.sampling import sample_approx
+
+    return sample_approx(fx.points(spark, sf), 0.2, with_replacement=True, seed=42)
