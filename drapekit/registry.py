@@ -414,3 +414,245 @@ def q_m3(spark, sf):
     from drapekit.operators.sampling import sample_approx
 
     return sample_approx(fx.points(spark, sf), 0.2, with_replacement=True, seed=42)
+
+
+# ---------------------------------------------------------------------------------------
+# catalogue: S1 P1 P5 P6 P7 P8 T1 T2 T3 W1 J6 Q1 J1
+
+AS_OF, WINDOW, BOX = "2024-01-30", 14, (-30.0, -30.0, 60.0, 60.0)
+SQL_P5 = (
+    "collection = 'sentinel-2-l2a' and cloud_cover < 20 "
+    "and datetime between TIMESTAMP '2024-01-16 00:00:00' and TIMESTAMP '2024-01-30 23:59:59' "
+    "and min_lon <= 60 and max_lon >= -30 and min_lat <= 60 and max_lat >= -30"
+)
+SQL_ID_KEY = r"regexp_replace(id, '_[^_]*$', '')"
+SQL_CANDIDATES = f"""
+, cands as (
+  select *, {SQL_ID_KEY} as id_key from (
+    select * from stac_items where {SQL_P5} order by datetime desc, id limit 1000)
+  where coalesce(nodata, 100) < 5)
+"""
+
+
+def _items(spark, sf):
+    return fx.stac_items(spark, sf)
+
+
+def _search():
+    return dict(bbox=BOX, as_of=AS_OF, window_days=WINDOW)
+
+
+@register("s1_read_catalog", with_views("select * from stac_items", "stac_items"))
+def q_s1(spark, sf):
+    from drapekit.sources.catalog import parse_items
+
+    return parse_items(fx.stac_item_json(spark, sf))
+
+
+@register("p7_item_datetime", with_views("select id, datetime from stac_items", "stac_items"))
+def q_p7(spark, sf):
+    from drapekit.sources.catalog import ITEM_SCHEMA, item_datetime
+
+    j = fx.stac_item_json(spark, sf).select(F.from_json("value", ITEM_SCHEMA).alias("it"))
+    return j.select(F.col("it.id").alias("id"), item_datetime(F.col("it.properties.datetime")).alias("datetime"))
+
+
+@register("p8_asset_href", with_views("select id, tci_20m_href as href from stac_items", "stac_items"))
+def q_p8(spark, sf):
+    from drapekit.sources.catalog import ITEM_SCHEMA, asset_href
+
+    j = fx.stac_item_json(spark, sf).select(F.from_json("value", ITEM_SCHEMA).alias("it"))
+    return j.select(F.col("it.id").alias("id"), asset_href(F.col("it.assets"), "TCI_20m").alias("href"))
+
+
+@register("p1_strip_last_segment", with_views(f"select id, {SQL_ID_KEY} as id_key from stac_items", "stac_items"))
+def q_p1(spark, sf):
+    from drapekit.functions.text import strip_last_segment
+
+    return _items(spark, sf).select("id", strip_last_segment(F.col("id")).alias("id_key"))
+
+
+@register("p5_catalog_predicate", with_views(f"select * from stac_items where {SQL_P5}", "stac_items"))
+def q_p5(spark, sf):
+    from drapekit.operators.catalog import catalog_predicate
+
+    return catalog_predicate(_items(spark, sf), **_search())
+
+
+@register("p6_nodata_filter", with_views("select * from stac_items where coalesce(nodata, 100) < 5", "stac_items"))
+def q_p6(spark, sf):
+    from drapekit.operators.catalog import nodata_filter
+
+    return nodata_filter(_items(spark, sf))
+
+
+@register("t1_sort_recent", with_views(f"select * from stac_items where {SQL_P5} order by datetime desc, id", "stac_items"))
+def q_t1(spark, sf):
+    from drapekit.operators.catalog import catalog_predicate, sort_recent
+
+    return sort_recent(catalog_predicate(_items(spark, sf), **_search()))
+
+
+@register(
+    "t2_cap_items",
+    with_views(
+        "select * from (select * from stac_items where collection = 'sentinel-2-l2a' and cloud_cover < 20 "
+        "order by datetime desc, id limit 1000) where coalesce(nodata, 100) < 5",
+        "stac_items",
+    ),
+)
+def q_t2(spark, sf):
+    from drapekit.plans.scene_search import scene_candidates
+
+    return scene_candidates(_items(spark, sf), bbox=None, as_of=None, window_days=None)
+
+
+@register(
+    "w1_latest_per_key",
+    with_views(
+        f"select * exclude (r) from (select *, {SQL_ID_KEY} as id_key, row_number() over "
+        f"(partition by {SQL_ID_KEY} order by datetime desc, id) as r from stac_items) where r = 1",
+        "stac_items",
+    ),
+)
+def q_w1(spark, sf):
+    from drapekit.operators.catalog import latest_per_key, with_id_key
+
+    return latest_per_key(with_id_key(_items(spark, sf)))
+
+
+@register(
+    "t3_most_recent",
+    with_views(f"select * from stac_items where {SQL_P5} order by datetime desc, id limit 1", "stac_items"),
+)
+def q_t3(spark, sf):
+    from drapekit.operators.catalog import catalog_predicate, most_recent
+
+    return most_recent(catalog_predicate(_items(spark, sf), **_search()))
+
+
+@register(
+    "j6_lookup_by_id",
+    _cte_query(
+        SQL_CANDIDATES,
+        "select * from cands where id = (select id from cands order by datetime desc, id limit 1) "
+        "order by datetime desc, id limit 1",
+        "stac_items",
+    ),
+)
+def q_j6(spark, sf):
+    from drapekit.operators.catalog import latest_per_key, lookup_by_id, most_recent, with_id_key
+    from drapekit.plans.scene_search import scene_candidates
+
+    cands = with_id_key(scene_candidates(_items(spark, sf), **_search()))
+    return lookup_by_id(cands, most_recent(latest_per_key(cands)))
+
+
+@register(
+    "q1_scene_search",
+    _cte_query(
+        SQL_CANDIDATES,
+        "select id, id_key, datetime, tci_20m_href as href, regexp_extract(tci_20m_href, '^s3://([^/?#]*)', 1) as bucket, "
+        "regexp_extract(tci_20m_href, '^s3://[^/?#]*/*([^?#]*)', 1) as object_key "
+        "from cands order by datetime desc, id limit 1",
+        "stac_items",
+    ),
+)
+def q_q1(spark, sf):
+    from drapekit.plans.scene_search import scene_search
+
+    return scene_search(_items(spark, sf), **_search())
+
+
+# ---------------------------------------------------------------------------------------
+# P2 P3 P4 J1
+
+SQL_BBOX_PARSED = r"""
+, bb_parts as (
+  select req_id, list_transform(string_split(bbox, ','), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')) as parts
+  from bbox_args)
+, bb_vals as (
+  select req_id, len(parts) as n,
+    list_bool_and(list_transform(parts, lambda p: regexp_full_match(p, '(?i)[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)'))) as numeric,
+    try_cast(parts[1] as double) as a, try_cast(parts[2] as double) as b,
+    try_cast(parts[3] as double) as c, try_cast(parts[4] as double) as d
+  from bb_parts)
+, bb_err as (
+  select *, case when not numeric then 'BAD_NUMBER' when n <> 4 then 'BAD_COUNT'
+    when not (a between -180 and 180 and c between -180 and 180) then 'LON_RANGE'
+    when not (b between -90 and 90 and d between -90 and 90) then 'LAT_RANGE'
+    when a >= c then 'LON_ORDER' when b >= d then 'LAT_ORDER' end as error
+  from bb_vals)
+, bb as (
+  select req_id, case when error is null then a end as min_lon, case when error is null then b end as min_lat,
+    case when error is null then c end as max_lon, case when error is null then d end as max_lat, error
+  from bb_err)
+"""
+
+
+@register("p4_parse_bbox", _cte_query(SQL_BBOX_PARSED, "select * from bb", "bbox_args"))
+def q_p4(spark, sf):
+    from drapekit.functions.bbox import parse_bbox_frame
+
+    return parse_bbox_frame(fx.bbox_args(spark, sf))
+
+
+SQL_OBJECT_KEY = (
+    "case when starts_with(ref, 's3://') then regexp_extract(translate(ref, chr(9) || chr(13) || chr(10), ''), "
+    "'^s3://[^/?#]*/*([^?#]*)', 1) else ref end"
+)
+
+
+@register("p2_object_key", with_views(f"select page_id, ref, {SQL_OBJECT_KEY} as object_key from object_refs", "object_refs"))
+def q_p2(spark, sf):
+    from drapekit.functions.text import object_key
+
+    return fx.object_refs(spark, sf).select("page_id", "ref", object_key(F.col("ref")).alias("object_key"))
+
+
+@register(
+    "p3_resolve_object",
+    with_views(
+        f"""select page_id, ref, rb as bucket, k as key, regexp_extract(k, '[^/]*$') as filename,
+  case when rb is null then 'NO_BUCKET' end as error
+from (select page_id, ref, {SQL_OBJECT_KEY} as k,
+  case when starts_with(ref, 's3://') then coalesce(nullif(bucket, ''),
+       nullif(regexp_extract(translate(ref, chr(9) || chr(13) || chr(10), ''), '^s3://([^/?#]*)', 1), ''))
+  else nullif(bucket, '') end as rb
+  from object_refs)""",
+        "object_refs",
+    ),
+)
+def q_p3(spark, sf):
+    from drapekit.functions.text import resolve_object
+
+    r = fx.object_refs(spark, sf)
+    return r.select("page_id", "ref", resolve_object(F.col("ref"), F.col("bucket")).alias("o")).select(
+        "page_id", "ref", "o.bucket", "o.key", "o.filename", "o.error"
+    )
+
+
+@register(
+    "j1_match_scenes",
+    _cte_query(
+        SQL_BBOX_PARSED
+        + """
+, it as (select * from stac_items where collection = 'sentinel-2-l2a' and cloud_cover < 20
+  and datetime between TIMESTAMP '2024-01-16 00:00:00' and TIMESTAMP '2024-01-30 23:59:59' and coalesce(nodata, 100) < 5)
+""",
+        "select req_id, id, datetime from (select r.req_id, i.id, i.datetime, row_number() over "
+        "(partition by r.req_id order by i.datetime desc, i.id) as rn from bb r join it i on "
+        "i.min_lon <= r.max_lon and i.max_lon >= r.min_lon and i.min_lat <= r.max_lat and i.max_lat >= r.min_lat "
+        "where r.error is null) where rn = 1",
+        "bbox_args",
+        "stac_items",
+    ),
+)
+def q_j1(spark, sf):
+    from drapekit.functions.bbox import parse_bbox_frame
+    from drapekit.operators.catalog import catalog_predicate, nodata_filter
+    from drapekit.operators.match import match_scenes
+
+    req = parse_bbox_frame(fx.bbox_args(spark, sf)).filter(F.col("error").isNull()).drop("error")
+    items = nodata_filter(catalog_predicate(_items(spark, sf), bbox=None, as_of=AS_OF, window_days=WINDOW))
+    return match_scenes(req, items).select("req_id", "id", "datetime")
