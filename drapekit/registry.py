@@ -656,3 +656,293 @@ def q_j1(spark, sf):
     req = parse_bbox_frame(fx.bbox_args(spark, sf)).filter(F.col("error").isNull()).drop("error")
     items = nodata_filter(catalog_predicate(_items(spark, sf), bbox=None, as_of=AS_OF, window_days=WINDOW))
     return match_scenes(req, items).select("req_id", "id", "datetime")
+
+
+# ---------------------------------------------------------------------------------------
+# Crop and merge
+
+TARGET_PTS = "x between 200000 and 210000 and y between 700 and 750"
+TARGET_LI = "x between 20000 and 21000 and y between 700 and 750"
+PT = ["pid", "x", "y", "z", "red", "green", "blue"]
+
+
+def _sql_box(src: str, cond: str, name: str) -> str:
+    return f"""
+, {name}_t as (select min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from {src} where {cond})
+, {name} as (select x0 - 2.0 * (x1 - x0) as x_min, x1 + 2.0 * (x1 - x0) as x_max,
+                    y0 - 2.0 * (y1 - y0) as y_min, y1 + 2.0 * (y1 - y0) as y_max from {name}_t)
+"""
+
+
+def _crop_sql(src: str, box: str) -> str:
+    return f"select p.* from {src} p, {box} b where p.x >= b.x_min and p.x <= b.x_max and p.y >= b.y_min and p.y <= b.y_max"
+
+
+def _pid_double(df):
+    """Merged clouds hold NULL ids; a DOUBLE id compares the same way in both engines' pandas
+    frames (a nullable BIGINT does not)."""
+    return df.withColumn("pid", F.col("pid").cast("double"))
+
+
+@register("a2_expanded_bbox", _cte_query(_sql_box("points", TARGET_PTS, "box"), "select * from box", "points"))
+def q_a2(spark, sf):
+    from drapekit.operators.aggregates import expanded_bbox
+
+    return expanded_bbox(fx.points(spark, sf).filter(TARGET_PTS), margin=2.0)
+
+
+@register("p20_bbox_crop", _cte_query(_sql_box("points", TARGET_PTS, "box"), _crop_sql("points", "box"), "points"))
+def q_p20(spark, sf):
+    from drapekit.operators.aggregates import expanded_bbox
+    from drapekit.operators.geometry import bbox_crop
+
+    pts = fx.points(spark, sf)
+    return bbox_crop(pts, expanded_bbox(pts.filter(TARGET_PTS), margin=2.0))
+
+
+@register(
+    "u1_concat_clouds",
+    with_views(
+        "select cast(pid as double) as pid, x, y, z, red, green, blue from points union all "
+        "select null::double as pid, x, y, z, red, green, blue from points_li",
+        "points",
+        "points_li",
+    ),
+)
+def q_u1(spark, sf):
+    from drapekit.operators.geometry import concat_clouds
+
+    return _pid_double(concat_clouds([fx.points(spark, sf), fx.points_li(spark, sf)]).select(*PT))
+
+
+@register(
+    "q4_crop_and_merge",
+    _cte_query(
+        _sql_box("points", TARGET_PTS, "box") + _sql_box("points_li", TARGET_LI, "box_li"),
+        f"select cast(pid as double) as pid, x, y, z, red, green, blue from ({_crop_sql('points', 'box')}) "
+        f"union all select null::double as pid, x, y, z, red, green, blue from ({_crop_sql('points_li', 'box_li')})",
+        "points",
+        "points_li",
+    ),
+)
+def q_q4(spark, sf):
+    from drapekit.operators.aggregates import expanded_bbox
+    from drapekit.operators.geometry import bbox_crop, crop_and_merge
+
+    pts, li = fx.points(spark, sf), fx.points_li(spark, sf)
+    li_cropped = bbox_crop(li, expanded_bbox(li.filter(TARGET_LI), margin=2.0))
+    return _pid_double(crop_and_merge(pts, pts.filter(TARGET_PTS), others=[li_cropped], margin=2.0).select(*PT))
+
+
+# ---------------------------------------------------------------------------------------
+# A3 A4 G1 Q3 P13 P14 P15 P16 P17 P18 P19 P21
+
+SQL_CENTER = """
+, cs as (select avg(x) as cx, avg(y) as cy, avg(z) as cz, greatest(max(x) - avg(x), avg(x) - min(x),
+    max(y) - avg(y), avg(y) - min(y), max(z) - avg(z), avg(z) - min(z)) as scale from points)
+"""
+
+
+@register(
+    "a3_center_scale",
+    _cte_query(SQL_CENTER, "select round(cx, 4) as cx, round(cy, 4) as cy, round(cz, 4) as cz, round(scale, 4) as scale from cs", "points"),
+)
+def q_a3(spark, sf):
+    from drapekit.operators.aggregates import center_scale
+
+    s = center_scale(fx.points(spark, sf))
+    return s.select(*[F.round(c, 4).alias(c) for c in ("cx", "cy", "cz", "scale")])
+
+
+def _sql_norm(src: str, extra_key: str = "") -> str:
+    on = f" on p.{extra_key} = cs.{extra_key}" if extra_key else ""
+    join = f"join cs{on}" if extra_key else ", cs"
+    return (
+        f"select {'p.' + extra_key + ', ' if extra_key else ''}p.pid, "
+        + ", ".join(
+            f"round(coalesce((p.{a} - cs.c{a}) / nullif(cs.scale, 0), 0.0), 7) as {a}" for a in ("x", "y", "z")
+        )
+        + ", "
+        + ", ".join(f"greatest(0.0, least(1.0, p.{c} / 255.0)) as {c}" for c in ("red", "green", "blue"))
+        + f" from {src} p {join}"
+    )
+
+
+def _round_xyz(df, digits=7):
+    return df.select(*[F.round(c, digits).alias(c) if c in ("x", "y", "z") else F.col(c) for c in df.columns])
+
+
+@register("g1_normalize_cloud", _cte_query(SQL_CENTER, _sql_norm("points"), "points"))
+def q_g1(spark, sf):
+    from drapekit.operators.geometry import normalize_cloud
+
+    return _round_xyz(normalize_cloud(fx.points(spark, sf)))
+
+
+@register(
+    "q3_point_cloud_normalized",
+    _cte_query(
+        SQL_SAMPLED
+        + """
+, cs as (select scene_id, avg(x) as cx, avg(y) as cy, avg(z) as cz, greatest(max(x) - avg(x), avg(x) - min(x),
+    max(y) - avg(y), avg(y) - min(y), max(z) - avg(z), avg(z) - min(z)) as scale from cloud group by scene_id)
+""",
+        _sql_norm("cloud", "scene_id"),
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_q3(spark, sf):
+    from drapekit.operators.geometry import normalize_cloud
+
+    return _round_xyz(normalize_cloud(_sampled(spark, sf).drop("k")))
+
+
+@register(
+    "a4_color_range",
+    with_views(
+        "select least(min(red), min(green), min(blue)) as color_min, greatest(max(red), max(green), max(blue)) as color_max from points",
+        "points",
+    ),
+)
+def q_a4(spark, sf):
+    from drapekit.operators.aggregates import color_range
+
+    return color_range(fx.points(spark, sf))
+
+
+@register(
+    "p13_normalize_rgb",
+    with_views("select pid, red / 255.0 as red, green / 255.0 as green, blue / 255.0 as blue from points", "points"),
+)
+def q_p13(spark, sf):
+    from drapekit.functions.colors import normalize_rgb
+
+    p = fx.points(spark, sf)
+    return p.select("pid", *[normalize_rgb(F.col(c)).alias(c) for c in ("red", "green", "blue")])
+
+
+@register(
+    "p14_clip_colors",
+    with_views(
+        "select pid, greatest(0.0, least(1.0, (red * 2 - 100) / 255.0)) as red, greatest(0.0, least(1.0, (green * 2 - 100) / 255.0)) as green, "
+        "greatest(0.0, least(1.0, (blue * 2 - 100) / 255.0)) as blue from points",
+        "points",
+    ),
+)
+def q_p14(spark, sf):
+    from drapekit.functions.colors import clip_color
+
+    p = fx.points(spark, sf)
+    return p.select("pid", *[clip_color(F.col(c) * 2 - 100).alias(c) for c in ("red", "green", "blue")])
+
+
+SQL_EXPORT_POINTS = (
+    "select cast(x as float) as x, cast(y as float) as y, cast(z as float) as z, "
+    + ", ".join(_sql_u8(c) for c in ("red", "green", "blue"))
+    + " from {src}, (select greatest(max(red), max(green), max(blue)) as m from {src})"
+)
+
+
+@register(
+    "p15_quantize_u8",
+    _cte_query(
+        ", unit as (select pid, x, y, z, red / 255.0 as red, green / 255.0 as green, blue / 255.0 as blue from points)",
+        SQL_EXPORT_POINTS.format(src="unit"),
+        "points",
+    ),
+)
+def q_p15(spark, sf):
+    from drapekit.functions.colors import normalize_rgb
+    from drapekit.functions.coords import export_frame
+
+    p = fx.points(spark, sf)
+    unit = p.select("pid", "x", "y", "z", *[normalize_rgb(F.col(c)).alias(c) for c in ("red", "green", "blue")])
+    return export_frame(unit)
+
+
+@register("p16_cast_coords", with_views(SQL_EXPORT_POINTS.format(src="points"), "points"))
+def q_p16(spark, sf):
+    from drapekit.functions.coords import export_frame
+
+    return export_frame(fx.points(spark, sf))
+
+
+@register("p17_resolve_color_columns", with_views(SQL_EXPORT_POINTS.format(src="points"), "points"))
+def q_p17(spark, sf):
+    from drapekit.functions.colors import pack_color
+    from drapekit.functions.coords import export_frame
+
+    p = fx.points(spark, sf)
+    packed = p.select("pid", "x", "y", "z", pack_color(F.col("red"), F.col("green"), F.col("blue")).alias("color"))
+    return export_frame(packed)
+
+
+@register(
+    "p18_resolve_normal_columns",
+    with_views(
+        "select cast(x as float) as x, cast(y as float) as y, cast(z as float) as z, "
+        "cast(red / 255.0 as float) as nx, cast(green / 255.0 as float) as ny, cast(blue / 255.0 as float) as nz from points",
+        "points",
+    ),
+)
+def q_p18(spark, sf):
+    from drapekit.functions.coords import export_frame
+
+    p = fx.points(spark, sf)
+    n = p.select(
+        "x", "y", "z", *[(F.col(c) / 255.0).alias(f"normal_{a}") for c, a in (("red", "x"), ("green", "y"), ("blue", "z"))]
+    )
+    return export_frame(n)
+
+
+@register("p19_require_xyz", with_views("select pid, x, y, z from points", "points"))
+def q_p19(spark, sf):
+    from drapekit.functions.coords import require_xyz
+
+    p = fx.points(spark, sf).select("pid", "x", "y", "z")
+    require_xyz(p, check_empty=False)
+    return p
+
+
+@register("p21_pack_color", with_views("select pid, red, green, blue from points", "points"))
+def q_p21(spark, sf):
+    from drapekit.functions.colors import pack_color, unpack_color
+
+    p = fx.points(spark, sf).select("pid", pack_color(F.col("red"), F.col("green"), F.col("blue")).alias("color"))
+    r, g, b = unpack_color(F.col("color"))
+    return p.select("pid", r.alias("red"), g.alias("green"), b.alias("blue"))
+
+
+# ---------------------------------------------------------------------------------------
+# Grid surface over the sampled cloud
+
+@register(
+    "g3_triangulate_grid",
+    _cte_query(
+        SQL_SAMPLED
+        + """
+, v as (select distinct c.scene_id, c.pid, cast(m.width as bigint) as w, cast(m.height as bigint) as h
+        from cloud c join raster_meta m on c.scene_id = m.scene_id)
+, t as (select distinct scene_id, a, w from (
+          select scene_id, w, h, unnest([pid, pid - 1, pid - w, pid - w - 1]) as a from v)
+        where a >= 0 and a // w < h - 1 and a % w < w - 1)
+, tri as (select scene_id, a, a + 1 as b, a + w as c from t
+          union all select scene_id, a + 1 as a, a + w + 1 as b, a + w as c from t)
+""",
+        "select tri.* from tri where exists (select 1 from v where v.scene_id = tri.scene_id and v.pid = tri.a) "
+        "and exists (select 1 from v where v.scene_id = tri.scene_id and v.pid = tri.b) "
+        "and exists (select 1 from v where v.scene_id = tri.scene_id and v.pid = tri.c)",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_g3(spark, sf):
+    from drapekit.operators.geometry import triangulate_grid
+
+    rows = fx.raster_rows(spark, sf)
+    cells = fx.dem_cells(spark, sf)
+    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
+    return triangulate_grid(_sampled(spark, sf), meta)
