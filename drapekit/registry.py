@@ -946,3 +946,87 @@ def q_g3(spark, sf):
     cells = fx.dem_cells(spark, sf)
     meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
     return triangulate_grid(_sampled(spark, sf), meta)
+
+
+# ---------------------------------------------------------------------------------------
+# PLY export round trip; S2 S3 A6: objects
+
+SQL_EXPORT_CLOUD = (
+    ", cm as (select scene_id, greatest(max(red), max(green), max(blue)) as m from cloud group by scene_id)\n"
+    "select c.scene_id, cast(x as float) as x, cast(y as float) as y, cast(z as float) as z, "
+    + ", ".join(_sql_u8(c) for c in ("red", "green", "blue"))
+    + " from cloud c join cm on c.scene_id = cm.scene_id"
+)
+
+
+def _written_cloud(spark, sf):
+    from drapekit.session import scratch_path
+    from drapekit.sources.ply import write_ply
+
+    path = scratch_path(spark, "ply")
+    write_ply(_sampled(spark, sf), path)
+    return path
+
+
+@register(
+    "s6_write_ply",
+    _cte_query(SQL_SAMPLED, "select scene_id, count(*) as points from cloud group by scene_id", "raster_meta", "dem_cells", "raster_px"),
+)
+def q_s6(spark, sf):
+    from drapekit.sources.ply import read_header, verify_output
+
+    rep = verify_output(spark, _written_cloud(spark, sf))
+    scene = F.regexp_extract("path", r"scene_id=(\d+)", 1).cast("int")
+    return rep.groupBy(scene.alias("scene_id")).agg(F.sum("header_points").cast("long").alias("points"))
+
+
+@register("s7_read_ply", _cte_query(SQL_SAMPLED, SQL_EXPORT_CLOUD, "raster_meta", "dem_cells", "raster_px"))
+def q_s7(spark, sf):
+    from drapekit.sources.ply import read_ply
+
+    return read_ply(spark, _written_cloud(spark, sf)).select("scene_id", "x", "y", "z", "red", "green", "blue")
+
+
+@register(
+    "s8_verify_output",
+    _cte_query(SQL_SAMPLED, "select count(*) as points, true as ok from cloud", "raster_meta", "dem_cells", "raster_px"),
+)
+def q_s8(spark, sf):
+    from drapekit.sources.ply import verify_output, verify_summary
+
+    return verify_summary(verify_output(spark, _written_cloud(spark, sf))).select("points", "ok")
+
+
+def _object_listing(spark, sf):
+    from drapekit.sources.objects import read_objects
+
+    return read_objects(spark, sf, glob="*.parquet").select(
+        "path", F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "length"
+    )
+
+
+@register("s2_read_objects")
+def q_s2(spark, sf):
+    return _object_listing(spark, sf).select("name", "length")
+
+
+def _fetched(spark, sf):
+    from drapekit.session import scratch_path
+    from drapekit.sources.objects import fetch_objects
+
+    manifest = _object_listing(spark, sf).select(
+        F.col("path").alias("ref"), F.col("path").alias("src"), "name", F.lit(None).cast("string").alias("error")
+    )
+    return fetch_objects(manifest, scratch_path(spark, "objects"))
+
+
+@register("s3_fetch_objects")
+def q_s3(spark, sf):
+    return _fetched(spark, sf).select("name", "bytes", "error")
+
+
+@register("a6_batch_report")
+def q_a6(spark, sf):
+    from drapekit.operators.aggregates import batch_report
+
+    return batch_report(_fetched(spark, sf))
