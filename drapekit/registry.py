@@ -1030,3 +1030,67 @@ def q_a6(spark, sf):
     from drapekit.operators.aggregates import batch_report
 
     return batch_report(_fetched(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------
+# Neighbours, normals, surface
+
+SQL_KNN = """
+, nn as (
+  select q.pid, min_by(p.pid, struct_pack(d := (q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y) + (q.z - p.z) * (q.z - p.z),
+                                        i := p.pid), 30) as nbrs
+  from points q, points p group by q.pid)
+"""
+
+
+@register(
+    "g2_knn",
+    _cte_query(
+        SQL_KNN,
+        "select pid, unnest(nbrs) as nbr, cast(unnest(generate_series(1, len(nbrs))) as integer) as rank from nn",
+        "points",
+    ),
+)
+def q_g2_knn(spark, sf):
+    from drapekit.operators.normals import knn
+
+    return knn(fx.points(spark, sf), k=30).select("pid", "nbr", "rank")
+
+
+@register("g2_estimate_normals")
+def q_g2(spark, sf):
+    from drapekit.operators.normals import estimate_normals
+
+    return estimate_normals(fx.points(spark, sf), k=30).select("pid", "nx", "ny", "nz")
+
+
+@register("q5_surface_vertices")
+def q_q5v(spark, sf):
+    from drapekit.operators.geometry import normalize_cloud
+    from drapekit.operators.normals import estimate_normals
+
+    return estimate_normals(normalize_cloud(_drape(spark, sf)), k=30)
+
+
+@register(
+    "q5_surface_faces",
+    _cte_query(
+        SQL_DRAPE
+        + """
+, v as (select d.scene_id, d.pid, cast(m.width as bigint) as w, cast(m.height as bigint) as h
+        from drape d join raster_meta m on d.scene_id = m.scene_id)
+, t as (select scene_id, pid as a, w from v where pid // w < h - 1 and pid % w < w - 1)
+""",
+        "select scene_id, a, a + 1 as b, a + w as c from t union all select scene_id, a + 1 as a, a + w + 1 as b, a + w as c from t",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_q5f(spark, sf):
+    from drapekit.operators.geometry import normalize_cloud, triangulate_grid
+
+    rows = fx.raster_rows(spark, sf)
+    cells = fx.dem_cells(spark, sf)
+    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
+    return triangulate_grid(normalize_cloud(_drape(spark, sf)), meta)
