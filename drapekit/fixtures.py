@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drapekit.operators.indexing import dense_index
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,38 +75,45 @@ def raster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dem_axes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The grid's coordinate vectors ``(scene_id, x)`` and ``(scene_id, y)``: every distinct
+    supplier balance and every distinct part price (a grid ships these separately from its
+    cells, like the coordinate arrays of a gridded dataset)."""
+    xs = table(spark, sf_dir, "supplier").select(F.lit(1).alias("scene_id"), F.col("s_acctbal").alias("x")).distinct()
+    ys = table(spark, sf_dir, "part").select(F.lit(1).alias("scene_id"), F.col("p_retailprice").alias("y")).distinct()
+    return xs, ys
+
+
+# cells of the fixture grid are generated in this many hash buckets of y
+GRID_BUCKETS = 64
+
+
 def dem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elevation grid ``(scene_id, x, y, dem)`` on two irregular axes: every distinct supplier
-    balance (x) with every distinct part price (y).
-
-    The grid is generated from a dense index of the y labels: each x row emits the indices
-    ``0..ny-1`` and an equi-join on the index brings the y label, so no cartesian operator is
-    planned and cell generation spreads over the tasks holding x rows."""
-    xs = table(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("x")).distinct()
-    ys = table(spark, sf_dir, "part").select(F.col("p_retailprice").alias("y")).distinct()
-    ys = dense_index(ys, ["y"], name="j")
-    ny = ys.select(F.count(F.lit(1))).scalar()
-    cells = xs.select("x", F.explode(F.sequence(F.lit(0).cast("long"), ny - 1)).alias("j"))
-    return (
-        cells.join(ys, "j")
-        .select(
-            F.lit(1).alias("scene_id"),
-            "x",
-            "y",
-            (F.col("x") * 0.01 + F.col("y") * 0.1).alias("dem"),
-        )
+    """Elevation grid ``(scene_id, x, y, dem)``: every x label with every y label.
+
+    Generated as a bucketed product: each x row is repeated once per bucket, each y label
+    falls in one hash bucket, and an equi-join on the bucket pairs them, so every (x, y) comes
+    out once, the work spreads over ``GRID_BUCKETS`` keys, and no cartesian operator is
+    planned."""
+    xs, ys = dem_axes(spark, sf_dir)
+    xb = xs.select("x", F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("b"))
+    yb = ys.select("y", F.pmod(F.xxhash64("y"), F.lit(GRID_BUCKETS)).cast("int").alias("b"))
+    return xb.join(yb, "b").select(
+        F.lit(1).alias("scene_id"),
+        "x",
+        "y",
+        (F.col("x") * 0.01 + F.col("y") * 0.1).alias("dem"),
     )
 
 
-def raster_meta(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None, cells: DataFrame | None = None) -> DataFrame:
+def raster_meta(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """One row per scene ``(scene_id, lft, btm, rgt, tp, width, height)``: the image covers the
     grid's extent; width is the sample count of a row, height the number of complete rows
     (all three bands present)."""
     rows = raster_rows(spark, sf_dir) if rows is None else rows
-    cells = dem_cells(spark, sf_dir) if cells is None else cells
-    bounds = cells.groupBy("scene_id").agg(
-        F.min("x").alias("lft"), F.min("y").alias("btm"), F.max("x").alias("rgt"), F.max("y").alias("tp")
-    )
+    xs, ys = dem_axes(spark, sf_dir)
+    bx = xs.groupBy("scene_id").agg(F.min("x").alias("lft"), F.max("x").alias("rgt"))
+    by = ys.groupBy("scene_id").agg(F.min("y").alias("btm"), F.max("y").alias("tp"))
     complete = (
         rows.groupBy("scene_id", "row_idx")
         .agg(F.countDistinct("band").alias("nb"), F.max(F.size("samples")).alias("w"))
@@ -115,7 +121,7 @@ def raster_meta(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None,
         .groupBy("scene_id")
         .agg(F.max("w").cast("int").alias("width"), F.count(F.lit(1)).cast("int").alias("height"))
     )
-    return bounds.join(complete, "scene_id").select("scene_id", "lft", "btm", "rgt", "tp", "width", "height")
+    return bx.join(by, "scene_id").join(complete, "scene_id").select("scene_id", "lft", "btm", "rgt", "tp", "width", "height")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

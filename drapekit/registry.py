@@ -192,9 +192,8 @@ def q_j2(spark, sf):
     from drapekit.operators.nearest import nearest_label
     from drapekit.sources.dem import dem_axes
 
-    cells = fx.dem_cells(spark, sf)
-    xt, yt = target_axes(fx.raster_meta(spark, sf, cells=cells))
-    xl, yl = dem_axes(cells)
+    xt, yt = target_axes(fx.raster_meta(spark, sf))
+    xl, yl = fx.dem_axes(spark, sf)
     xs = nearest_label(xt, xl, value="tx", label="x")
     ys = nearest_label(yt, yl, value="ty", label="y")
     return xs.select(
@@ -214,7 +213,7 @@ def q_j3(spark, sf):
     from drapekit.operators.drape import resample_grid
 
     cells = fx.dem_cells(spark, sf)
-    return resample_grid(fx.raster_meta(spark, sf, cells=cells), cells)
+    return resample_grid(fx.raster_meta(spark, sf), cells, axes=fx.dem_axes(spark, sf))
 
 
 @register(
@@ -231,8 +230,8 @@ def q_j4(spark, sf):
     from drapekit.operators.drape import mesh_grid, snapped_axes
 
     cells = fx.dem_cells(spark, sf)
-    meta = fx.raster_meta(spark, sf, cells=cells)
-    xs, ys = snapped_axes(meta, cells)
+    meta = fx.raster_meta(spark, sf)
+    xs, ys = snapped_axes(meta, cells, axes=fx.dem_axes(spark, sf))
     return mesh_grid(xs, ys, meta)
 
 
@@ -241,8 +240,8 @@ def _drape(spark, sf):
 
     rows = fx.raster_rows(spark, sf)
     cells = fx.dem_cells(spark, sf)
-    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
-    return draped_cloud(meta, rows, cells, fraction=None)
+    meta = fx.raster_meta(spark, sf, rows=rows)
+    return draped_cloud(meta, rows, cells, fraction=None, axes=fx.dem_axes(spark, sf))
 
 
 @register(
@@ -298,8 +297,8 @@ def _sampled(spark, sf):
 
     rows = fx.raster_rows(spark, sf)
     cells = fx.dem_cells(spark, sf)
-    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
-    return draped_cloud(meta, rows, cells, fraction=0.2, seed=42)
+    meta = fx.raster_meta(spark, sf, rows=rows)
+    return draped_cloud(meta, rows, cells, fraction=0.2, seed=42, axes=fx.dem_axes(spark, sf))
 
 
 @register(
@@ -944,7 +943,7 @@ def q_g3(spark, sf):
 
     rows = fx.raster_rows(spark, sf)
     cells = fx.dem_cells(spark, sf)
-    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
+    meta = fx.raster_meta(spark, sf, rows=rows)
     return triangulate_grid(_sampled(spark, sf), meta)
 
 
@@ -1092,5 +1091,5 @@ def q_q5f(spark, sf):
 
     rows = fx.raster_rows(spark, sf)
     cells = fx.dem_cells(spark, sf)
-    meta = fx.raster_meta(spark, sf, rows=rows, cells=cells)
+    meta = fx.raster_meta(spark, sf, rows=rows)
     return triangulate_grid(normalize_cloud(_drape(spark, sf)), meta)
