@@ -44,6 +44,8 @@ CELL_TARGET_PER_K = 2
 # residue queries broadcast per round (checked count); larger residues are joined by shuffle
 RESIDUE_BROADCAST_MAX = 200_000
 MAX_ROUNDS = 64
+# search radius growth per residue round for queries still short of k neighbours
+RADIUS_GROWTH = 4.0
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 
@@ -131,13 +133,30 @@ def _row_topk(d: np.ndarray, kk: int) -> np.ndarray:
     return idx
 
 
-def _cell_topk(k: int, g: list[str]):
+NEIGHBOUR_COLS = ["pid", "nbr", "rank", "d2", "nx", "ny", "nz", "ok", "n_found", "dk2"]
+NORMAL_COLS = ["pid", "nx", "ny", "nz", "ok", "n_found", "dk2"]
+
+
+def _normals_from_neighbours(nb: np.ndarray) -> np.ndarray:
+    """(rows, k, 3) neighbour coordinates -> (rows, 3) unit normals: smallest eigenvector of the
+    population covariance, oriented ``nz >= 0`` (then ``ny``, then ``nx``)."""
+    c = nb - nb.mean(axis=1, keepdims=True)
+    cov = np.einsum("rki,rkj->rij", c, c) / nb.shape[1]
+    _, vecs = np.linalg.eigh(np.nan_to_num(cov))
+    n = vecs[:, :, 0].copy()
+    flip = (n[:, 2] < 0) | ((n[:, 2] == 0) & ((n[:, 1] < 0) | ((n[:, 1] == 0) & (n[:, 0] < 0))))
+    n[flip] *= -1.0
+    return n
+
+
+def _cell_topk(k: int, g: list[str], fused_normals: bool = False):
     """Per cell: exact top-k candidates of each query point among the candidates replicated
-    into that cell, by (d2, nbr); vectorised over the cell's queries."""
+    into that cell, by (d2, nbr); vectorised over the cell's queries.  With
+    ``fused_normals`` one row per query with its normal is returned instead of k rows."""
 
     def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame(columns=[*g, "pid", "nbr", "rank", "d2", "nx", "ny", "nz", "ok", "n_found", "dk2"])
+            return pd.DataFrame(columns=[*g, *(NORMAL_COLS if fused_normals else NEIGHBOUR_COLS)])
         c = c.sort_values("nbr", kind="stable")
         cxyz = c[["nx", "ny", "nz"]].to_numpy()
         qxyz = q[["qx", "qy", "qz"]].to_numpy()
@@ -161,6 +180,23 @@ def _cell_topk(k: int, g: list[str]):
             dk2 = d_sel[:, -1]
             ok = (kk >= k) & (dk2 <= margin * margin)
             rows = len(qb)
+            if fused_normals:
+                nrm = _normals_from_neighbours(cxyz[idx])
+                block = pd.DataFrame(
+                    {
+                        "pid": q["pid"].to_numpy()[a : a + step],
+                        "nx": nrm[:, 0],
+                        "ny": nrm[:, 1],
+                        "nz": nrm[:, 2],
+                        "ok": ok,
+                        "n_found": np.int64(kk),
+                        "dk2": dk2,
+                    }
+                )
+                for col in g:
+                    block.insert(0, col, q[col].iloc[0])
+                out.append(block)
+                continue
             block = pd.DataFrame(
                 {
                     "pid": np.repeat(q["pid"].to_numpy()[a : a + step], kk),
@@ -183,7 +219,7 @@ def _cell_topk(k: int, g: list[str]):
     return run
 
 
-def knn_ring1(pts: DataFrame, g: list[str], k: int) -> DataFrame:
+def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False) -> DataFrame:
     """Top-k candidates from the 27 cells around each point; one row per (pid, rank) with
     ``ok`` telling whether the query is certified exact.
 
@@ -225,10 +261,13 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int) -> DataFrame:
     # replicas landing in cells without any query point are dropped before the co-group
     cand = cand.join(q.select(*keys).distinct(), keys, "left_semi")
     gschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g).schema.fields)
-    schema = (gschema + ", " if gschema else "") + (
-        "pid long, nbr long, rank int, d2 double, nx double, ny double, nz double, ok boolean, n_found long, dk2 double"
+    body = (
+        "pid long, nx double, ny double, nz double, ok boolean, n_found long, dk2 double"
+        if fused_normals
+        else "pid long, nbr long, rank int, d2 double, nx double, ny double, nz double, ok boolean, n_found long, dk2 double"
     )
-    return q.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(_cell_topk(k, g), schema)
+    schema = (gschema + ", " if gschema else "") + body
+    return q.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(_cell_topk(k, g, fused_normals), schema)
 
 
 def _partial_topk(k: int, key_cols: list[str]):
@@ -242,49 +281,34 @@ def _partial_topk(k: int, key_cols: list[str]):
     return run
 
 
-def knn(
-    cloud: DataFrame,
-    k: int = DEFAULT_K,
-    group: Sequence[str] = ("scene_id",),
-    params: DataFrame | None = None,
-) -> DataFrame:
-    """Exact k nearest neighbours (the point itself included) of every point:
-    ``(group..., pid, nbr, rank, d2, nx, ny, nz)`` with ``rank`` 1..k by (distance, nbr id).
-    Clouds with fewer than k points give all their points."""
+def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
+    """Materialise the keyed points once in the shared checkpoint folder; every later pass
+    reads them instead of recomputing the cloud's lineage."""
     spark = cloud.sparkSession
-    g = _groups(cloud, group)
     params = cell_sizes(cloud, g, target=CELL_TARGET_PER_K * k) if params is None else params
     base = scratch_path(spark, "knn")
-    # the keyed points are read by every round: materialise them once in the shared folder
     _keyed(cloud, params, g).write.mode("overwrite").parquet(f"{base}/pts")
-    pts = spark.read.parquet(f"{base}/pts")
-    ring = knn_ring1(pts, g, k)
+    return spark, base, spark.read.parquet(f"{base}/pts")
+
+
+def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: list[str], k: int) -> DataFrame | None:
+    """Exact top-k rows for the queries ring 1 could not certify (``residue`` holds
+    ``group..., pid, n_found, dk2``).  None when there is no residue."""
     out_cols = [*g, "pid", "nbr", "rank", "d2", "nx", "ny", "nz"]
-    done = ring.filter("ok").select(*out_cols)
-    # residue: queries not certified; its radius to search next
-    residue = (
-        ring.filter(~F.col("ok"))
-        .groupBy(*g, "pid")
-        .agg(F.max("n_found").alias("n_found"), F.max("dk2").alias("dk2"))
-    )
-    done_path = f"{base}/done"
-    done.write.mode("overwrite").parquet(done_path)
     res_path = f"{base}/residue0"
     residue.write.mode("overwrite").parquet(res_path)
     residue = spark.read.parquet(res_path)
-
     # radius for the next search: the k-th candidate distance when k were found, otherwise a
     # growing multiple of the cell size
     q0 = residue.join(pts.select(*g, "pid", "x", "y", "z", "s", "diag"), g + ["pid"])
-    q0 = q0.withColumn(
-        "R",
-        F.when(F.col("n_found") >= k, F.sqrt("dk2")).otherwise(F.col("s") * 3.0),
-    )
-    rnd = 0
+    q0 = q0.withColumn("R", F.when(F.col("n_found") >= k, F.sqrt("dk2")).otherwise(F.col("s") * RADIUS_GROWTH))
     current = q0.select(*g, "pid", "x", "y", "z", "s", "diag", "R")
     cur_path = f"{base}/q0"
     current.write.mode("overwrite").parquet(cur_path)
     current = spark.read.parquet(cur_path)
+    done_path = f"{base}/residue_done"
+    found = False
+    rnd = 0
     while True:
         n_left = current.count()
         if n_left == 0:
@@ -318,8 +342,7 @@ def knn(
         side = F.broadcast(qx) if n_left <= RESIDUE_BROADCAST_MAX else qx
         pairs = cand.join(side, g + ["lvl", "kx", "ky", "kz"]).withColumn("d2", _d2("q", "n"))
         pairs = pairs.filter(F.col("d2") <= F.col("R") * F.col("R")).select(*g, "pid", "nbr", "d2", "nx", "ny", "nz", "R", "diag")
-        schema = pairs.schema
-        local = pairs.mapInPandas(_partial_topk(k, [*g, "pid"]), schema)
+        local = pairs.mapInPandas(_partial_topk(k, [*g, "pid"]), pairs.schema)
         w = Window.partitionBy(*g, "pid").orderBy("d2", "nbr")
         top = (
             local.withColumn("rank", F.row_number().over(w))
@@ -332,15 +355,38 @@ def knn(
         top.write.mode("overwrite").parquet(step_path)
         top = spark.read.parquet(step_path)
         top.filter("ok").select(*out_cols).write.mode("append").parquet(done_path)
-        # queries still short of k neighbours double their radius
-        nxt = (
-            current.join(top.filter("ok").select(*g, "pid").distinct(), g + ["pid"], "left_anti")
-            .withColumn("R", F.col("R") * 2.0)
+        found = True
+        # queries still short of k neighbours widen their radius; the grid level follows the
+        # radius, so a wider search costs no more cells per query
+        nxt = current.join(top.filter("ok").select(*g, "pid").distinct(), g + ["pid"], "left_anti").withColumn(
+            "R", F.least(F.col("R") * RADIUS_GROWTH, F.col("diag"))
         )
         cur_path = f"{base}/q{rnd}"
         nxt.write.mode("overwrite").parquet(cur_path)
         current = spark.read.parquet(cur_path)
-    return spark.read.parquet(done_path)
+    return spark.read.parquet(done_path) if found else None
+
+
+def knn(
+    cloud: DataFrame,
+    k: int = DEFAULT_K,
+    group: Sequence[str] = ("scene_id",),
+    params: DataFrame | None = None,
+) -> DataFrame:
+    """Exact k nearest neighbours (the point itself included) of every point:
+    ``(group..., pid, nbr, rank, d2, nx, ny, nz)`` with ``rank`` 1..k by (distance, nbr id).
+    Clouds with fewer than k points give all their points."""
+    g = _groups(cloud, group)
+    spark, base, pts = _prepare(cloud, k, g, params)
+    ring = knn_ring1(pts, g, k)
+    ring_path = f"{base}/ring"
+    ring.write.mode("overwrite").parquet(ring_path)
+    ring = spark.read.parquet(ring_path)
+    out_cols = [*g, "pid", "nbr", "rank", "d2", "nx", "ny", "nz"]
+    done = ring.filter("ok").select(*out_cols)
+    residue = ring.filter(~F.col("ok")).groupBy(*g, "pid").agg(F.max("n_found").alias("n_found"), F.max("dk2").alias("dk2"))
+    rest = _residue_rounds(spark, base, pts, residue, g, k)
+    return done if rest is None else done.unionByName(rest)
 
 
 def _eig_batches(group_cols: list[str]):
@@ -377,11 +423,25 @@ def neighbour_covariance(nbrs: DataFrame, group: Sequence[str] = ("scene_id",))
 
 
 def estimate_normals(cloud: DataFrame, k: int = DEFAULT_K, group: Sequence[str] = ("scene_id",)) -> DataFrame:
-    """The cloud with ``nx, ny, nz`` (float) added."""
+    """The cloud with ``nx, ny, nz`` (float) added.
+
+    Ring 1 solves neighbours, covariance and eigenvector in one numpy pass per cell and emits
+    one row per point; only points it cannot certify take the general kNN path."""
     g = _groups(cloud, group)
-    cov = neighbour_covariance(knn(cloud, k, g), g)
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in cloud.select(*g, "pid").schema.fields])
-    normals = cov.mapInPandas(_eig_batches(g), f"{schema}, nx double, ny double, nz double")
-    return cloud.join(normals, g + ["pid"]).withColumn("nx", F.col("nx").cast("float")).withColumn(
-        "ny", F.col("ny").cast("float")
-    ).withColumn("nz", F.col("nz").cast("float"))
+    spark = cloud.sparkSession
+    base0 = scratch_path(spark, "normals")
+    cloud.write.mode("overwrite").parquet(f"{base0}/cloud")
+    cloud = spark.read.parquet(f"{base0}/cloud")
+    spark, base, pts = _prepare(cloud, k, g, None)
+    ring = knn_ring1(pts, g, k, fused_normals=True)
+    ring_path = f"{base}/ring_normals"
+    ring.write.mode("overwrite").parquet(ring_path)
+    ring = spark.read.parquet(ring_path)
+    normals = ring.filter("ok").select(*g, "pid", "nx", "ny", "nz")
+    rest = _residue_rounds(spark, base, pts, ring.filter(~F.col("ok")).select(*g, "pid", "n_found", "dk2"), g, k)
+    if rest is not None:
+        cov = neighbour_covariance(rest, g)
+        schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g, "pid").schema.fields])
+        normals = normals.unionByName(cov.mapInPandas(_eig_batches(g), f"{schema}, nx double, ny double, nz double"))
+    out = cloud.join(normals, g + ["pid"])
+    return out.select(*cloud.columns, *[F.col(c).cast("float").alias(c) for c in ("nx", "ny", "nz")])
