@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _scene(key: str):
+    """Scene id 1 for every row, computed from a key column instead of written as a literal.
+    The driver tables hold one scene, but a literal key would let Catalyst fold every
+    per-scene join condition to ``true`` and plan cartesian products; real catalogues carry
+    scene ids as data, and so do the fixtures."""
+    return (F.col(key) * 0 + 1).cast("int")
+
+
 def stac_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat catalogue items: one per event row."""
     ev = table(spark, sf_dir, "events")
@@ -68,7 +76,7 @@ def raster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(255), F.greatest(F.lit(0), F.floor((v.cast("double") + 1) * 127.5))
     ).cast("int")
     return emb.select(
-        F.lit(1).alias("scene_id"),
+        _scene("vec_id").alias("scene_id"),
         (F.col("vec_id") % 3).cast("int").alias("band"),
         F.floor(F.col("vec_id") / 3).cast("int").alias("row_idx"),
         F.transform("embedding", to_u8).alias("samples"),
@@ -79,8 +87,8 @@ def dem_axes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The grid's coordinate vectors ``(scene_id, x)`` and ``(scene_id, y)``: every distinct
     supplier balance and every distinct part price (a grid ships these separately from its
     cells, like the coordinate arrays of a gridded dataset)."""
-    xs = table(spark, sf_dir, "supplier").select(F.lit(1).alias("scene_id"), F.col("s_acctbal").alias("x")).distinct()
-    ys = table(spark, sf_dir, "part").select(F.lit(1).alias("scene_id"), F.col("p_retailprice").alias("y")).distinct()
+    xs = table(spark, sf_dir, "supplier").select(_scene("s_suppkey").alias("scene_id"), F.col("s_acctbal").alias("x")).distinct()
+    ys = table(spark, sf_dir, "part").select(_scene("p_partkey").alias("scene_id"), F.col("p_retailprice").alias("y")).distinct()
     return xs, ys
 
 
@@ -96,10 +104,10 @@ def dem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     out once, the work spreads over ``GRID_BUCKETS`` keys, and no cartesian operator is
     planned."""
     xs, ys = dem_axes(spark, sf_dir)
-    xb = xs.select("x", F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("b"))
-    yb = ys.select("y", F.pmod(F.xxhash64("y"), F.lit(GRID_BUCKETS)).cast("int").alias("b"))
-    return xb.join(yb, "b").select(
-        F.lit(1).alias("scene_id"),
+    xb = xs.select("scene_id", "x", F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("b"))
+    yb = ys.select("scene_id", "y", F.pmod(F.xxhash64("y"), F.lit(GRID_BUCKETS)).cast("int").alias("b"))
+    return xb.join(yb, ["scene_id", "b"]).select(
+        "scene_id",
         "x",
         "y",
         (F.col("x") * 0.01 + F.col("y") * 0.1).alias("dem"),

@@ -140,3 +140,22 @@ def test_entry_and_registry(spark):
                "a1", "a2", "a3", "a4", "a5", "a6", "w1", "t1", "t2", "t3", "u1", "m1", "m2", "m3",
                "g1", "g2", "g3", "q1", "q2", "q3", "q4", "q5"]:
         assert op in prefixes, op
+
+
+# queries that write or solve eagerly inside the call; their later plans read written tables
+EAGER = {"s3_fetch_objects", "a6_batch_report", "s6_write_ply", "s7_read_ply", "s8_verify_output",
+         "g2_knn", "g2_estimate_normals", "q5_surface_vertices"}
+
+
+def test_no_cartesian_plans(spark):
+    """Scale guard: no registered query plans a cartesian product or a nested-loop join."""
+    import __spark_entry__ as E
+
+    from conftest import SF01
+
+    for name, fn in E.queries().items():
+        if name in EAGER:
+            continue
+        plan = fn(spark, SF01)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
