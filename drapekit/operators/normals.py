@@ -46,6 +46,12 @@ RESIDUE_BROADCAST_MAX = 200_000
 MAX_ROUNDS = 64
 # search radius growth per residue round for queries still short of k neighbours
 RADIUS_GROWTH = 4.0
+# a base cell holding more than HOT_FACTOR x the target occupancy is split into finer cells;
+# each level halves the cell side (a quarter of the points on a surface)
+HOT_FACTOR = 4
+MAX_LEVEL = 12
+# hot-cell tables up to this many rows are broadcast (checked count), larger ones shuffled
+HOT_BROADCAST_MAX = 1_000_000
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 
@@ -109,6 +115,40 @@ def _keyed(cloud: DataFrame, params: DataFrame, g: list[str]) -> DataFrame:
     )
 
 
+def hot_cells(pts: DataFrame, g: list[str], target: int) -> DataFrame:
+    """``(group..., cx, cy, cz, lvl)`` for base cells holding more than ``HOT_FACTOR * target``
+    points: the level whose cells bring the occupancy back near the target."""
+    occ = pts.groupBy(*g, "cx", "cy", "cz").agg(F.count(F.lit(1)).alias("n"))
+    lvl = F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.col("n") / float(target)) / 2.0)).cast("int")
+    return occ.filter(F.col("n") > HOT_FACTOR * target).select(*g, "cx", "cy", "cz", lvl.alias("lvl"))
+
+
+def with_levels(pts: DataFrame, hot: DataFrame, g: list[str], broadcast_ok: bool) -> DataFrame:
+    """Add ``qlvl`` (the level a point is solved at: its base cell's) and ``lvls`` (every level
+    it must be a candidate at: 0 plus the levels of hot cells among its 27 base neighbours)."""
+    keys = [*g, "cx", "cy", "cz"]
+    own = hot.select(*keys, F.col("lvl").alias("qlvl"))
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dy, dz in _OFFSETS])
+    near = (
+        hot.select(*g, "cx", "cy", "cz", "lvl", F.explode(offs).alias("o"))
+        .select(
+            *g,
+            (F.col("cx") + F.col("o.dx")).alias("cx"),
+            (F.col("cy") + F.col("o.dy")).alias("cy"),
+            (F.col("cz") + F.col("o.dz")).alias("cz"),
+            "lvl",
+        )
+        .groupBy(*keys)
+        .agg(F.collect_set("lvl").alias("near"))
+    )
+    if broadcast_ok:
+        own, near = F.broadcast(own), F.broadcast(near)
+    j = pts.join(own, keys, "left").join(near, keys, "left")
+    return j.withColumn("qlvl", F.coalesce(F.col("qlvl"), F.lit(0))).withColumn(
+        "lvls", F.array_union(F.array(F.lit(0)), F.coalesce(F.col("near"), F.array().cast("array<int>")))
+    ).drop("near")
+
+
 def _d2(a: str, b: str):
     return sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * (F.col(f"{a}{c}") - F.col(f"{b}{c}")) for c in "xyz"), F.lit(0.0))
 
@@ -225,21 +265,29 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
 
     Candidates are replicated into the 27 cells around their own; queries stay in their own
     cell; both sides are co-grouped by cell and each cell is solved in numpy.  Pairs exist
-    only inside one task's memory, a bounded block at a time."""
+    only inside one task's memory, a bounded block at a time.
+
+    With level columns (``qlvl``, ``lvls`` from ``with_levels``) queries in hot base cells are
+    solved on finer cells: a point is a candidate at every level of a hot cell next to it, so
+    a query's fine 3x3x3 block always holds every point inside it."""
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dy, dz in _OFFSETS])
+    leveled = "qlvl" in pts.columns
     # fresh aliases: both sides come from ``pts``, and a shared attribute would make the
     # co-group keys ambiguous
     regroup = [F.col(c).alias(c) for c in g]
-    cand = pts.select(
-        *regroup,
+    lvl_col = F.explode("lvls") if leveled else F.lit(0)
+    rep = pts.select(*regroup, "pid", "x", "y", "z", "s", lvl_col.alias("lvl"))
+    side = F.col("s") / F.pow(F.lit(2.0), F.col("lvl"))
+    cand = rep.select(
+        *g,
+        "lvl",
         F.col("pid").alias("nbr"),
         *[F.col(c).alias(f"n{c}") for c in "xyz"],
-        "cx",
-        "cy",
-        "cz",
+        *[F.floor(F.col(c) / side).alias(f"c{c}") for c in "xyz"],
         F.explode(offsets).alias("o"),
     ).select(
         *g,
+        "lvl",
         "nbr",
         "nx",
         "ny",
@@ -248,16 +296,17 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
         (F.col("cy") + F.col("o.dy")).alias("ky"),
         (F.col("cz") + F.col("o.dz")).alias("kz"),
     )
+    qlvl = F.col("qlvl") if leveled else F.lit(0)
+    qside = F.col("s") / F.pow(F.lit(2.0), qlvl)
     q = pts.select(
         *[F.col(c).alias(c) for c in g],
+        qlvl.alias("lvl"),
         "pid",
         *[F.col(c).alias(f"q{c}") for c in "xyz"],
-        "s",
-        F.col("cx").alias("kx"),
-        F.col("cy").alias("ky"),
-        F.col("cz").alias("kz"),
+        qside.alias("s"),
+        *[F.floor(F.col(c) / qside).alias(f"k{c}") for c in "xyz"],
     )
-    keys = g + ["kx", "ky", "kz"]
+    keys = g + ["lvl", "kx", "ky", "kz"]
     # replicas landing in cells without any query point are dropped before the co-group
     cand = cand.join(q.select(*keys).distinct(), keys, "left_semi")
     gschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g).schema.fields)
@@ -287,7 +336,15 @@ def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     spark = cloud.sparkSession
     params = cell_sizes(cloud, g, target=CELL_TARGET_PER_K * k) if params is None else params
     base = scratch_path(spark, "knn")
-    _keyed(cloud, params, g).write.mode("overwrite").parquet(f"{base}/pts")
+    _keyed(cloud, params, g).write.mode("overwrite").parquet(f"{base}/pts0")
+    pts = spark.read.parquet(f"{base}/pts0")
+    # hot cells: split where the density is far above the target (skewed clouds)
+    hot_cells(pts, g, CELL_TARGET_PER_K * k).write.mode("overwrite").parquet(f"{base}/hot")
+    hot = spark.read.parquet(f"{base}/hot")
+    n_hot = hot.count()
+    if n_hot == 0:
+        return spark, base, pts
+    with_levels(pts, hot, g, broadcast_ok=27 * n_hot <= HOT_BROADCAST_MAX).write.mode("overwrite").parquet(f"{base}/pts")
     return spark, base, spark.read.parquet(f"{base}/pts")
 
 

@@ -225,3 +225,20 @@ def test_knn_and_normals_brute_force(spark):
     have = normals.loc[q, ["nx", "ny", "nz"]].to_numpy(dtype=float)
     assert np.allclose(have, ref, atol=1e-5)
     assert (normals["nz"] >= 0).all()
+
+
+def test_knn_skewed_density_is_exact(spark):
+    """A third of the points in one tiny patch: the hot cell is solved on finer cells."""
+    from drapekit.operators.normals import knn
+
+    rng = np.random.default_rng(9)
+    n = 3000
+    xy = rng.uniform(0, 1000, size=(n, 2))
+    xy[: n // 3] = 500 + rng.normal(scale=0.05, size=(n // 3, 2))
+    pts = np.column_stack([xy, 0.1 * xy[:, 0] + rng.normal(scale=0.01, size=n)])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "pid long, x double, y double, z double")
+    got = knn(df, k=10).toPandas()
+    ids = np.arange(n)
+    for q in list(range(0, n, 37)):
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert np.array_equal(got[got.pid == q].sort_values("rank")["nbr"].to_numpy(), ids[np.lexsort((ids, d))][:10]), q
