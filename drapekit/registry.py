@@ -1093,3 +1093,42 @@ def q_q5f(spark, sf):
     cells = fx.dem_cells(spark, sf)
     meta = fx.raster_meta(spark, sf, rows=rows)
     return triangulate_grid(normalize_cloud(_drape(spark, sf)), meta)
+
+
+# ---------------------------------------------------------------------------------------
+# P9 / P12 on their own (the image-points query above chains both)
+
+@register(
+    "p9_flip_vertical",
+    with_views(
+        "select p.scene_id, cast(m.height - 1 - p.row_idx as integer) as row_idx, p.col_idx, p.red, p.green, p.blue "
+        "from raster_px p join raster_meta m on p.scene_id = m.scene_id",
+        "raster_px",
+        "raster_meta",
+    ),
+)
+def q_p9_flip(spark, sf):
+    from drapekit.functions.grid import flipped_row
+    from drapekit.sources.raster import interleave_bands
+
+    rows = fx.raster_rows(spark, sf)
+    px = interleave_bands(rows).join(fx.raster_meta(spark, sf, rows=rows).select("scene_id", "height"), "scene_id")
+    return px.select("scene_id", flipped_row(F.col("row_idx"), F.col("height")).alias("row_idx"), "col_idx", "red", "green", "blue")
+
+
+@register(
+    "p12_point_id",
+    with_views(
+        "select p.scene_id, cast(p.row_idx as bigint) * m.width + p.col_idx as pid, p.row_idx, p.col_idx "
+        "from raster_px p join raster_meta m on p.scene_id = m.scene_id",
+        "raster_px",
+        "raster_meta",
+    ),
+)
+def q_p12(spark, sf):
+    from drapekit.functions.grid import point_id
+    from drapekit.sources.raster import interleave_bands
+
+    rows = fx.raster_rows(spark, sf)
+    px = interleave_bands(rows).join(fx.raster_meta(spark, sf, rows=rows).select("scene_id", "width"), "scene_id")
+    return px.select("scene_id", point_id(F.col("row_idx"), F.col("col_idx"), F.col("width")), "row_idx", "col_idx")

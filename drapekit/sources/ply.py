@@ -2,8 +2,9 @@
 
 Sink: the vertex text lines are built by Spark (``concat_ws`` of float32 / int casts, JVM
 side), and a Python data source writer receives them as Arrow batches.  Each task writes one
-complete, valid ASCII PLY shard per scene it holds (header with its own vertex count + body),
-so the sink scales with the number of tasks and nothing passes through the driver.
+complete, valid ASCII PLY shard per scene it holds (header with its own vertex count + body;
+the body waits in memory up to ``SPILL_BYTES``, then in a temporary file), so the sink scales
+with the number of tasks and nothing passes through the driver.
 
 Commit protocol: tasks write under ``<path>/_temporary/<uuid>/``; the driver's ``commit``
 moves the shards of successful tasks into place (renames only, no data), ``abort`` removes
@@ -31,6 +32,8 @@ from drapekit.functions.coords import CloudError, export_frame, require_xyz
 from drapekit.sources.fs import arrow_fs
 
 FORMAT_NAME = "drapekit_ply"
+# a shard body is kept in task memory up to this size, then spilled to a temporary file
+SPILL_BYTES = 64 << 20
 
 # fixed values: PLY header keywords and the type names used for each exported column
 HEADER_KEYWORDS = ("ply", "format", "comment", "obj_info", "element", "property", "end_header")
@@ -77,6 +80,7 @@ class _PlyArrowWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.properties = json.loads(options["properties"])
         self.job = options["job"]
+        self.spill_bytes = int(options.get("spill_bytes", SPILL_BYTES))
         self.has_scene = "scene_id" in schema.fieldNames()
 
     def write(self, iterator):
@@ -93,40 +97,55 @@ class _PlyArrowWriter(DataSourceArrowWriter):
 
         def sink(key):
             if key not in bodies:
-                p = f"{tmp}/{task:05d}-{tag}-{key}.body"
-                bodies[key] = [p, fs.open_output_stream(p), 0]
+                # [buffers, buffered bytes, spill stream or None, spill path, count]
+                bodies[key] = [[], 0, None, f"{tmp}/{task:05d}-{tag}-{key}.body", 0]
             return bodies[key]
 
+        def put(key, data, n):
+            e = sink(key)
+            e[4] += n
+            if e[2] is None and e[1] + len(data) <= self.spill_bytes:
+                e[0].append(data)
+                e[1] += len(data)
+                return
+            if e[2] is None:
+                e[2] = fs.open_output_stream(e[3])
+                for b in e[0]:
+                    e[2].write(b)
+                e[0], e[1] = [], 0
+            e[2].write(data)
+
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
             lines = batch.column(batch.schema.get_field_index("line"))
             if self.has_scene:
                 scenes = batch.column(batch.schema.get_field_index("scene_id"))
-                for s in pc.unique(scenes).to_pylist():
-                    part = pc.filter(lines, pc.equal(scenes, s))
-                    entry = sink(s)
-                    entry[1].write(_text_bytes(part))
-                    entry[2] += len(part)
+                for sc in pc.unique(scenes).to_pylist():
+                    part = pc.filter(lines, pc.equal(scenes, sc))
+                    put(sc, _text_bytes(part), len(part))
             else:
-                entry = sink("all")
-                entry[1].write(_text_bytes(lines))
-                entry[2] += len(lines)
+                put("all", _text_bytes(lines), len(lines))
 
         files = []
-        for key, (body_path, out, count) in bodies.items():
-            out.close()
+        for key, (buffers, _, spill, body_path, count) in bodies.items():
             rel = f"scene_id={key}/" if self.has_scene else ""
             name = f"part-{task:05d}-{tag}.ply"
             shard = f"{tmp}/{task:05d}-{tag}-{key}.ply"
-            with fs.open_output_stream(shard) as dst, fs.open_input_stream(body_path) as src:
+            with fs.open_output_stream(shard) as dst:
                 dst.write(header_text(self.properties, count).encode())
-                while True:
-                    chunk = src.read(8 << 20)
-                    if not chunk:
-                        break
-                    dst.write(chunk)
-            fs.delete_file(body_path)
+                if spill is None:
+                    for b in buffers:
+                        dst.write(b)
+                else:
+                    spill.close()
+                    with fs.open_input_stream(body_path) as src:
+                        while True:
+                            chunk = src.read(8 << 20)
+                            if not chunk:
+                                break
+                            dst.write(chunk)
+                    fs.delete_file(body_path)
             files.append((shard, rel + name, count))
         return _Shard(files)
 
@@ -202,7 +221,9 @@ def vertex_lines(vertices: DataFrame) -> DataFrame:
     return vertices.select(*keep, line.alias("line"))
 
 
-def write_ply(df: DataFrame, path: str, check_empty: bool = True) -> list[tuple[str, str]]:
+def write_ply(
+    df: DataFrame, path: str, check_empty: bool = True, spill_bytes: int = SPILL_BYTES
+) -> list[tuple[str, str]]:
     """Write ``df`` (x, y, z + optional colours / normals, any names P17/P18 know) as PLY
     shards under ``path``.  Raises on missing x/y/z or (``check_empty``) an empty cloud.
     Returns the property list written."""
@@ -211,15 +232,15 @@ def write_ply(df: DataFrame, path: str, check_empty: bool = True) -> list[tuple[
     register_ply(spark)
     vertices = export_frame(df)
     props = vertex_properties(vertices)
+    # no repartition by scene: with one scene per job that would put the whole cloud in one
+    # task; every task writes one shard per scene it holds instead
     lines = vertex_lines(vertices)
-    if "scene_id" in lines.columns:
-        # keep each scene's rows in few tasks so each scene gets few shards
-        lines = lines.repartition("scene_id")
     (
         lines.write.format(FORMAT_NAME)
         .mode("overwrite")
         .option("path", path)
         .option("properties", json.dumps(props))
+        .option("spill_bytes", str(spill_bytes))
         .save()
     )
     return props

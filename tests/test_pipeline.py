@@ -71,9 +71,12 @@ def test_ply_round_trip_two_scenes(spark, tmp_path):
     shard = next((tmp_path / "ply" / "scene_id=1").glob("*.ply"))
     n, p = read_header(str(shard))
     assert p == props and n > 0
-    # overwrite replaces the shards instead of adding to them
-    write_ply(cloud, out)
+    # overwrite replaces the shards instead of adding to them; a tiny spill size takes the
+    # temporary-file path
+    write_ply(cloud, out, spill_bytes=1000)
     assert verify_summary(verify_output(spark, out)).collect()[0]["points"] == cloud.count()
+    again = read_ply(spark, out).toPandas()[key].sort_values(key).reset_index(drop=True)
+    assert again.astype("float64").equals(b.astype("float64"))
 
 
 def test_write_ply_rejects_bad_input(spark, tmp_path):
