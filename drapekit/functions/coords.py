@@ -51,7 +51,7 @@ def export_frame(df: DataFrame, keep: tuple[str, ...] = ("scene_id",), group: tu
     ``keep`` (e.g. ``scene_id``) are carried in front for partitioning the sink.
 
     The colour scale test (P15) uses the largest colour value of each group (each exported
-    cloud); it is a small per-group aggregate joined back."""
+    cloud); it is a small per-group aggregate, broadcast after a size check."""
     require_xyz(df, check_empty=False)
     cols = df.columns
     pdf, colors, _ = resolve_color_columns(df)
@@ -71,7 +71,9 @@ def export_frame(df: DataFrame, keep: tuple[str, ...] = ("scene_id",), group: tu
         gcols = [f"_g_{c}" for c in grp]
         cmax = F.greatest(*[F.max(f"_c{i}") for i in range(3)]).alias("_cmax")
         if gcols:
-            mx = base.groupBy(*gcols).agg(cmax)
+            from drapekit.operators.small import bounded_broadcast
+
+            mx = bounded_broadcast(base.groupBy(*gcols).agg(cmax), "colormax")
             pdf = pdf.join(mx, [pdf[pos[c]].eqNullSafe(mx[f"_g_{c}"]) for c in grp]).drop(*gcols)
             cm = F.col("_cmax")
         else:

@@ -63,16 +63,22 @@ def resample_grid(
     cells: DataFrame,
     axes: tuple[DataFrame, DataFrame] | None = None,
     broadcast_axes: bool | None = None,
+    small_meta: DataFrame | None = None,
 ) -> DataFrame:
     """Elevation per image position: ``(scene_id, pid, row_idx, col_idx, x, y, z)``.
 
-    ``broadcast_axes=None`` checks the axis size first (``axes_fit_broadcast``)."""
+    ``broadcast_axes=None`` checks the axis size first (``axes_fit_broadcast``).  The
+    one-row-per-scene header is broadcast after its own size check (``small_meta``)."""
+    from drapekit.operators.small import bounded_broadcast
+
     cells = clean_cells(cells)
+    if small_meta is None:
+        small_meta = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
+    meta = small_meta
     xs, ys = snapped_axes(meta, cells, axes)
     if broadcast_axes is None:
         broadcast_axes = axes_fit_broadcast(meta)
-    widths = meta.select("scene_id", "width")
-    xs = xs.join(widths, "scene_id")
+    xs = xs.join(meta.select("scene_id", "width"), "scene_id")
     if broadcast_axes:
         xs, ys = F.broadcast(xs), F.broadcast(ys)
     elev = cells.join(xs, ["scene_id", "x"]).join(ys, ["scene_id", "y"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from drapekit.functions.colors import _positional, clip_color, resolve_color_columns
 from drapekit.operators.aggregates import center_scale, expanded_bbox
+from drapekit.operators.small import bounded_broadcast
 
 
 def bbox_crop(df: DataFrame, box: DataFrame) -> DataFrame:
@@ -50,15 +51,15 @@ def normalize_cloud(df: DataFrame, group: tuple[str, ...] = ("scene_id",)) -> Da
     """G1: centre each cloud on its centroid and divide by one uniform scale (largest absolute
     deviation over x, y, z), so coordinates land in [-1, 1]; colours become 0..1 (P14).
 
-    The per-cloud statistics are one aggregate row per group joined back by the group key
-    (AQE broadcasts it by its measured size), or a scalar subquery without groups.  A zero
+    The per-cloud statistics are one aggregate row per group, broadcast after a size check
+    (``bounded_broadcast``), or a scalar subquery without groups.  A zero
     scale (one point, or all equal) gives 0.0 coordinates instead of a division by zero."""
     g = [c for c in group if c in df.columns]
     stats = center_scale(df, g)
     pdf, colors, _ = resolve_color_columns(df)
     _, pos = _positional(df)
     if g:
-        keyed = stats.select(*[F.col(c).alias(pos[c]) for c in g], "cx", "cy", "cz", "scale")
+        keyed = bounded_broadcast(stats.select(*[F.col(c).alias(pos[c]) for c in g], "cx", "cy", "cz", "scale"), "center")
         j = pdf.join(keyed, [pos[c] for c in g])
         cx, cy, cz, sc = (F.col(c) for c in ("cx", "cy", "cz", "scale"))
     else:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from drapekit.operators.drape import check_drape_counts, drape, resample_grid
 from drapekit.operators.sampling import draws_with_replacement
+from drapekit.operators.small import bounded_broadcast
 from drapekit.sources.raster import image_points, interleave_bands
 
 
@@ -31,8 +32,10 @@ def draped_cloud(
 ) -> DataFrame:
     """``(scene_id, k, pid, x, y, z, red, green, blue)``; ``k`` is the draw number (``pid``
     again when ``fraction`` is None, i.e. the whole cloud)."""
-    img = image_points(interleave_bands(rows), meta)
-    elev = resample_grid(meta, cells, axes=axes, broadcast_axes=broadcast_axes)
+    small = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
+    img = image_points(interleave_bands(rows), meta, small_meta=small)
+    elev = resample_grid(meta, cells, axes=axes, broadcast_axes=broadcast_axes, small_meta=small)
+    meta = small
     if strict:
         check_drape_counts(img, elev, meta)
     if fraction is None:

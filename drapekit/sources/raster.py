@@ -65,13 +65,15 @@ def interleave_bands_long(long: DataFrame) -> DataFrame:
     )
 
 
-def image_points(px: DataFrame, meta: DataFrame) -> DataFrame:
+def image_points(px: DataFrame, meta: DataFrame, small_meta: DataFrame | None = None) -> DataFrame:
     """Pixels flipped vertically (row 0 = south edge) and keyed by row-major ``pid``.
 
-    ``meta`` has one row per scene; it is joined by ``scene_id`` and is small (AQE broadcasts
-    it by its measured size)."""
-    m = meta.select("scene_id", "width", "height")
-    j = px.join(m, "scene_id")
+    ``meta`` has one row per scene and is joined by ``scene_id`` as a broadcast after a size
+    check (``bounded_broadcast``); pass ``small_meta`` when that was done already."""
+    from drapekit.operators.small import bounded_broadcast
+
+    m = small_meta if small_meta is not None else bounded_broadcast(meta.select("scene_id", "width", "height"), "meta")
+    j = px.join(m.select("scene_id", "width", "height"), "scene_id")
     frow = flipped_row(F.col("row_idx"), F.col("height"))
     return j.select(
         "scene_id",
