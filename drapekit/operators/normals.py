@@ -46,9 +46,10 @@ RESIDUE_BROADCAST_MAX = 200_000
 MAX_ROUNDS = 64
 # search radius growth per residue round for queries still short of k neighbours
 RADIUS_GROWTH = 4.0
-# a base cell holding more than HOT_FACTOR x the target occupancy is split into finer cells;
-# each level halves the cell side (a quarter of the points on a surface)
-HOT_FACTOR = 4
+# a base cell holding more than HOT_FACTOR x the target occupancy is split into finer cells
+# (extreme density skew, not ordinary variation); each level halves the cell side, a quarter
+# of the points on a surface, and the level is chosen so fine cells keep about the target
+HOT_FACTOR = 16
 MAX_LEVEL = 12
 # hot-cell tables up to this many rows are broadcast (checked count), larger ones shuffled
 HOT_BROADCAST_MAX = 1_000_000
@@ -119,7 +120,7 @@ def hot_cells(pts: DataFrame, g: list[str], target: int) -> DataFrame:
     """``(group..., cx, cy, cz, lvl)`` for base cells holding more than ``HOT_FACTOR * target``
     points: the level whose cells bring the occupancy back near the target."""
     occ = pts.groupBy(*g, "cx", "cy", "cz").agg(F.count(F.lit(1)).alias("n"))
-    lvl = F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.col("n") / float(target)) / 2.0)).cast("int")
+    lvl = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(F.col("n") / float(target)) / 2.0)).cast("int")
     return occ.filter(F.col("n") > HOT_FACTOR * target).select(*g, "cx", "cy", "cz", lvl.alias("lvl"))
 
 

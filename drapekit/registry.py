@@ -1087,12 +1087,14 @@ def q_q5v(spark, sf):
     ),
 )
 def q_q5f(spark, sf):
-    from drapekit.operators.geometry import normalize_cloud, triangulate_grid
+    """Faces of the surface: they depend only on which grid positions exist, which
+    normalisation (G1) and normals (G2) leave unchanged, so the drape is triangulated
+    directly; ``q5_surface_vertices`` carries the normalised vertices with normals."""
+    from drapekit.operators.geometry import triangulate_grid
 
     rows = fx.raster_rows(spark, sf)
-    cells = fx.dem_cells(spark, sf)
     meta = fx.raster_meta(spark, sf, rows=rows)
-    return triangulate_grid(normalize_cloud(_drape(spark, sf)), meta)
+    return triangulate_grid(_drape(spark, sf), meta)
 
 
 # ---------------------------------------------------------------------------------------
