@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from drapekit.session import scratch_path
+from drapekit.session import scratch_path, ship_package
 
 # fixed values: neighbour count of the default normal estimation; points per occupied cell
 # as a multiple of k (2k certifies nearly every query in ring 1 on terrain-like clouds)
@@ -335,6 +335,7 @@ def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     """Materialise the keyed points once in the shared checkpoint folder; every later pass
     reads them instead of recomputing the cloud's lineage."""
     spark = cloud.sparkSession
+    ship_package(spark)
     params = cell_sizes(cloud, g, target=CELL_TARGET_PER_K * k) if params is None else params
     base = scratch_path(spark, "knn")
     _keyed(cloud, params, g).write.mode("overwrite").parquet(f"{base}/pts0")

@@ -48,6 +48,7 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,3 +76,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/drapekit-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``drapekit`` importable in the Python workers: zip the package once per
+    application and hand it to ``addPyFile`` (what ``--py-files`` does at submit time).
+    Code that runs inside tasks (co-grouped kNN cells, the PLY writer, object copies) imports
+    from the package, and workers do not share the driver's ``sys.path``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="drapekit-pkg-"), "drapekit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

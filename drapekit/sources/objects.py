@@ -89,6 +89,9 @@ def fetch_objects(
     is copied and the others are reported as ``SHADOWED``.  ``fail_fast`` raises after the run
     when any object failed (the whole batch counts as failed, like the reference)."""
     spark = manifest.sparkSession
+    from drapekit.session import ship_package
+
+    ship_package(spark)
     m = manifest.select("ref", "src", "name", "error")
     winner = m.filter(F.col("error").isNull()).groupBy("name").agg(F.max("ref").alias("_win"))
     m = m.join(winner, "name", "left").select(

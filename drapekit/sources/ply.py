@@ -229,6 +229,9 @@ def write_ply(
     Returns the property list written."""
     require_xyz(df, check_empty=check_empty)
     spark = df.sparkSession
+    from drapekit.session import ship_package
+
+    ship_package(spark)
     register_ply(spark)
     vertices = export_frame(df)
     props = vertex_properties(vertices)
