@@ -13,8 +13,8 @@ into one task, so instead:
    ``monotonically_increasing_id``), joined back through a broadcast of the offsets,
    whose size is bounded by the number of partitions, not by the data.
 
-The ordering columns should make rows unique (or rows that tie should be identical), so a
-recomputed partition assigns the same ids.
+Rows that tie on the ordering columns are split by their scan order, so a group of identical
+rows (a third of a table, say) spreads over several range partitions instead of one.
 """
 
 from __future__ import annotations
@@ -36,7 +36,11 @@ def dense_index(
 ) -> DataFrame:
     """Add ``name`` = dense 0-based position by ``order_by`` inside each ``group_by`` group."""
     groups = [F.col(g) for g in group_by]
-    keys = groups + [F.col(c) if isinstance(c, str) else c for c in order_by]
+    # rows equal on every ordering column would share one range partition (a range bound
+    # cannot split equal keys): a scan-order tie-breaker spreads them.  It is taken before any
+    # shuffle, so a re-run task of the scan assigns the same values.
+    df = df.withColumn("_dk_tie", F.monotonically_increasing_id())
+    keys = groups + [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_dk_tie")]
     if num_partitions is None:
         ranged = df.repartitionByRange(*keys)
     else:
@@ -62,5 +66,5 @@ def dense_index(
     return (
         tagged.join(F.broadcast(offsets), group_names + ["_dk_part"])
         .withColumn(name, (F.col("_dk_off") + F.col("_dk_row") - F.col("_dk_first")).cast("long"))
-        .drop("_dk_part", "_dk_row", "_dk_off", "_dk_first")
+        .drop("_dk_part", "_dk_row", "_dk_off", "_dk_first", "_dk_tie")
     )

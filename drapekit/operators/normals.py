@@ -299,7 +299,8 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
     )
     qlvl = F.col("qlvl") if leveled else F.lit(0)
     qside = F.col("s") / F.pow(F.lit(2.0), qlvl)
-    q = pts.select(
+    qpts = pts.filter(F.col("is_query")) if "is_query" in pts.columns else pts
+    q = qpts.select(
         *[F.col(c).alias(c) for c in g],
         qlvl.alias("lvl"),
         "pid",
@@ -333,7 +334,13 @@ def _partial_topk(k: int, key_cols: list[str]):
 
 def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     """Materialise the keyed points once in the shared checkpoint folder; every later pass
-    reads them instead of recomputing the cloud's lineage."""
+    reads them instead of recomputing the cloud's lineage.
+
+    Returns ``(spark, base, pts, alias)``.  In hot cells coincident points (one exact
+    coordinate) are collapsed: every copy has the same neighbour list (ties at distance 0 go
+    by id), so one representative per location is solved and only the location's k smallest
+    ids stay candidates (a location can never put more than k ids into a top-k).  ``alias``
+    maps the other copies to their representative (None when nothing was collapsed)."""
     spark = cloud.sparkSession
     ship_package(spark)
     params = cell_sizes(cloud, g, target=CELL_TARGET_PER_K * k) if params is None else params
@@ -345,9 +352,37 @@ def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     hot = spark.read.parquet(f"{base}/hot")
     n_hot = hot.count()
     if n_hot == 0:
-        return spark, base, pts
+        return spark, base, pts.withColumn("is_query", F.lit(True)), None
+    small = n_hot <= HOT_BROADCAST_MAX
+    cell_keys = [*g, "cx", "cy", "cz"]
+    hk = F.broadcast(hot.select(*cell_keys)) if small else hot.select(*cell_keys)
+    inhot = pts.join(hk, cell_keys, "left_semi")
+    rest = pts.join(hk, cell_keys, "left_anti").withColumn("is_query", F.lit(True))
+    loc = [*g, "x", "y", "z"]
+    # at most k per location survive; Spark limits each task's rows per location before the
+    # shuffle (partial window group limit), so a location holding a third of the cloud
+    # sends only k rows per task
+    ranked = inhot.withColumn("_rn", F.row_number().over(Window.partitionBy(*loc).orderBy("pid"))).filter(
+        F.col("_rn") <= k
+    )
+    ranked.write.mode("overwrite").parquet(f"{base}/ranked")
+    ranked = spark.read.parquet(f"{base}/ranked")
+    reps = ranked.filter(F.col("_rn") == 1).select(*loc, F.col("pid").alias("rep"))
+    alias = inhot.join(reps, loc).filter(F.col("pid") != F.col("rep")).select(*g, "pid", "rep")
+    alias.write.mode("overwrite").parquet(f"{base}/alias")
+    alias = spark.read.parquet(f"{base}/alias")
+    cand = ranked.withColumn("is_query", F.col("_rn") == 1).drop("_rn")
+    pts = rest.unionByName(cand)
     with_levels(pts, hot, g, broadcast_ok=27 * n_hot <= HOT_BROADCAST_MAX).write.mode("overwrite").parquet(f"{base}/pts")
-    return spark, base, spark.read.parquet(f"{base}/pts")
+    return spark, base, spark.read.parquet(f"{base}/pts"), alias
+
+
+def _copy_to_aliases(result: DataFrame, alias: DataFrame | None, g: list[str]) -> DataFrame:
+    """Rows of each representative repeated for the copies it stands for."""
+    if alias is None:
+        return result
+    copies = alias.join(result.withColumnRenamed("pid", "rep"), [*g, "rep"]).drop("rep")
+    return result.unionByName(copies.select(*result.columns))
 
 
 def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: list[str], k: int) -> DataFrame | None:
@@ -436,7 +471,7 @@ def knn(
     ``(group..., pid, nbr, rank, d2, nx, ny, nz)`` with ``rank`` 1..k by (distance, nbr id).
     Clouds with fewer than k points give all their points."""
     g = _groups(cloud, group)
-    spark, base, pts = _prepare(cloud, k, g, params)
+    spark, base, pts, alias = _prepare(cloud, k, g, params)
     ring = knn_ring1(pts, g, k)
     ring_path = f"{base}/ring"
     ring.write.mode("overwrite").parquet(ring_path)
@@ -445,7 +480,7 @@ def knn(
     done = ring.filter("ok").select(*out_cols)
     residue = ring.filter(~F.col("ok")).groupBy(*g, "pid").agg(F.max("n_found").alias("n_found"), F.max("dk2").alias("dk2"))
     rest = _residue_rounds(spark, base, pts, residue, g, k)
-    return done if rest is None else done.unionByName(rest)
+    return _copy_to_aliases(done if rest is None else done.unionByName(rest), alias, g)
 
 
 def _eig_batches(group_cols: list[str]):
@@ -491,7 +526,7 @@ def estimate_normals(cloud: DataFrame, k: int = DEFAULT_K, group: Sequence[str]
     base0 = scratch_path(spark, "normals")
     cloud.write.mode("overwrite").parquet(f"{base0}/cloud")
     cloud = spark.read.parquet(f"{base0}/cloud")
-    spark, base, pts = _prepare(cloud, k, g, None)
+    spark, base, pts, alias = _prepare(cloud, k, g, None)
     ring = knn_ring1(pts, g, k, fused_normals=True)
     ring_path = f"{base}/ring_normals"
     ring.write.mode("overwrite").parquet(ring_path)
@@ -502,5 +537,5 @@ def estimate_normals(cloud: DataFrame, k: int = DEFAULT_K, group: Sequence[str]
         cov = neighbour_covariance(rest, g)
         schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g, "pid").schema.fields])
         normals = normals.unionByName(cov.mapInPandas(_eig_batches(g), f"{schema}, nx double, ny double, nz double"))
-    out = cloud.join(normals, g + ["pid"])
+    out = cloud.join(_copy_to_aliases(normals, alias, g), g + ["pid"])
     return out.select(*cloud.columns, *[F.col(c).cast("float").alias(c) for c in ("nx", "ny", "nz")])

@@ -242,3 +242,27 @@ def test_knn_skewed_density_is_exact(spark):
     for q in list(range(0, n, 37)):
         d = ((pts - pts[q]) ** 2).sum(axis=1)
         assert np.array_equal(got[got.pid == q].sort_values("rank")["nbr"].to_numpy(), ids[np.lexsort((ids, d))][:10]), q
+
+
+def test_knn_coincident_third_is_exact(spark):
+    """A third of the points share one exact coordinate: the copies are solved once through a
+    representative, and only the k smallest ids of the location stay candidates."""
+    from drapekit.operators.normals import estimate_normals, knn
+
+    rng = np.random.default_rng(13)
+    n = 2400
+    xy = rng.uniform(0, 1000, size=(n, 2))
+    pts = np.column_stack([xy, 0.05 * xy[:, 1] + rng.normal(scale=0.01, size=n)])
+    copies = rng.choice(n, n // 3, replace=False)
+    pts[copies] = [400.0, 600.0, 30.0]
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "pid long, x double, y double, z double")
+    k = 8
+    got = knn(df, k=k).toPandas()
+    assert len(got) == n * k
+    ids = np.arange(n)
+    check = list(copies[:20]) + list(range(0, n, 97))
+    for q in check:
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert np.array_equal(got[got.pid == q].sort_values("rank")["nbr"].to_numpy(), ids[np.lexsort((ids, d))][:k]), q
+    normals = estimate_normals(df, k=k)
+    assert normals.count() == n
