@@ -41,8 +41,12 @@ from drapekit.session import scratch_path, ship_package
 # as a multiple of k (2k certifies nearly every query in ring 1 on terrain-like clouds)
 DEFAULT_K = 30
 CELL_TARGET_PER_K = 2
-# residue queries broadcast per round (checked count); larger residues are joined by shuffle
-RESIDUE_BROADCAST_MAX = 200_000
+# residue search cubes broadcast per round: at most CUBE_CELLS cells per query (the grid level
+# makes the cell side >= R, so the cube [q - R, q + R] spans at most 3 cells per axis), so the
+# exploded side holds at most residue x CUBE_CELLS rows; above RESIDUE_BROADCAST_ROWS it is
+# joined by shuffle
+CUBE_CELLS = 3**3
+RESIDUE_BROADCAST_ROWS = 2_000_000
 MAX_ROUNDS = 64
 # search radius growth per residue round for queries still short of k neighbours
 RADIUS_GROWTH = 4.0
@@ -410,7 +414,7 @@ def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: lis
         rnd += 1
         if rnd > MAX_ROUNDS:
             raise RuntimeError("kNN residue did not converge")
-        # grid level per query: cell side >= R / 2 so the cube spans <= 6 cells per axis
+        # grid level per query: cell side >= R, so the cube spans at most 3 cells per axis
         lvl = F.greatest(F.lit(0), F.ceil(F.log2(F.col("R") / F.col("s")))).cast("int")
         qx = current.withColumn("lvl", lvl).withColumn("sl", F.col("s") * F.pow(F.lit(2.0), F.col("lvl")))
         rng = lambda c: F.sequence(
@@ -433,7 +437,7 @@ def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: lis
                 *[F.floor(F.col(c) / (F.col("s") * float(2**lv))).alias(f"k{c}") for c in "xyz"],
             )
             cand = part if cand is None else cand.unionByName(part)
-        side = F.broadcast(qx) if n_left <= RESIDUE_BROADCAST_MAX else qx
+        side = F.broadcast(qx) if n_left * CUBE_CELLS <= RESIDUE_BROADCAST_ROWS else qx
         pairs = cand.join(side, g + ["lvl", "kx", "ky", "kz"]).withColumn("d2", _d2("q", "n"))
         pairs = pairs.filter(F.col("d2") <= F.col("R") * F.col("R")).select(*g, "pid", "nbr", "d2", "nx", "ny", "nz", "R", "diag")
         local = pairs.mapInPandas(_partial_topk(k, [*g, "pid"]), pairs.schema)
