@@ -197,7 +197,6 @@ def q_p11(spark, sf):
 def q_j2(spark, sf):
     from drapekit.operators.drape import target_axes
     from drapekit.operators.nearest import nearest_label
-    from drapekit.sources.dem import dem_axes
 
     xt, yt = target_axes(fx.raster_meta(spark, sf))
     xl, yl = fx.dem_axes(spark, sf)
@@ -979,7 +978,7 @@ def _written_cloud(spark, sf):
     _cte_query(SQL_SAMPLED, "select scene_id, count(*) as points from cloud group by scene_id", "raster_meta", "dem_cells", "raster_px"),
 )
 def q_s6(spark, sf):
-    from drapekit.sources.ply import read_header, verify_output
+    from drapekit.sources.ply import verify_output
 
     rep = verify_output(spark, _written_cloud(spark, sf))
     scene = F.regexp_extract("path", r"scene_id=(\d+)", 1).cast("int")

@@ -162,3 +162,15 @@ def test_no_cartesian_plans(spark):
         plan = fn(spark, SF01)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_catalogue_window_reaches_the_scan(spark):
+    """The search window is a plain predicate on the item time, so it is pushed into the
+    Parquet scan of the landed items."""
+    import __spark_entry__ as E
+
+    from conftest import SF01
+
+    plan = E.queries()["p5_catalog_predicate"](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
+    assert any("GreaterThanOrEqual(ts" in ln and "LessThanOrEqual(ts" in ln for ln in pushed), pushed
