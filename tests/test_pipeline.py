@@ -171,6 +171,8 @@ def test_catalogue_window_reaches_the_scan(spark):
 
     from conftest import SF01
 
-    plan = E.queries()["p5_catalog_predicate"](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    df = E.queries()["p5_catalog_predicate"](spark, SF01)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
     pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
     assert any("GreaterThanOrEqual(ts" in ln and "LessThanOrEqual(ts" in ln for ln in pushed), pushed
