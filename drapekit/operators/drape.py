@@ -28,21 +28,37 @@ from drapekit.sources.dem import clean_cells, dem_axes
 AXIS_BROADCAST_MAX_ROWS = 4_000_000
 
 
-def target_axes(meta: DataFrame) -> tuple[DataFrame, DataFrame]:
+def target_axes(meta: DataFrame, centers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Requested sample positions: x over the image columns (left..right), y over the image
-    rows (bottom..top, so row 0 is the south edge).  Spread over the outer edges of the
-    bounds, as the reference does."""
-    xt = linspace(meta, "lft", "rgt", "width", "col_idx", "tx")
-    yt = linspace(meta, "btm", "tp", "height", "row_idx", "ty")
+    rows (bottom..top, so row 0 is the south edge).  By default spread over the outer edges
+    of the bounds, as the reference does; ``centers=True`` samples pixel centres instead
+    (half a pixel in from each edge)."""
+    m = meta
+    if centers:
+        hx = (F.col("rgt") - F.col("lft")) / (2.0 * F.col("width"))
+        hy = (F.col("tp") - F.col("btm")) / (2.0 * F.col("height"))
+        m = meta.select(
+            "scene_id",
+            (F.col("lft") + hx).alias("lft"),
+            (F.col("rgt") - hx).alias("rgt"),
+            (F.col("btm") + hy).alias("btm"),
+            (F.col("tp") - hy).alias("tp"),
+            "width",
+            "height",
+        )
+    xt = linspace(m, "lft", "rgt", "width", "col_idx", "tx")
+    yt = linspace(m, "btm", "tp", "height", "row_idx", "ty")
     return xt, yt
 
 
-def snapped_axes(meta: DataFrame, cells: DataFrame, axes: tuple[DataFrame, DataFrame] | None = None):
+def snapped_axes(
+    meta: DataFrame, cells: DataFrame, axes: tuple[DataFrame, DataFrame] | None = None, centers: bool = False
+):
     """``(scene_id, col_idx, x)`` and ``(scene_id, row_idx, y)``: grid labels nearest to the
     target positions.  The snapped labels are the grid's own values, so joining them back to
     the cells is an exact equality."""
     xl, yl = axes if axes is not None else dem_axes(cells)
-    xt, yt = target_axes(meta)
+    xt, yt = target_axes(meta, centers)
     xs = nearest_label(xt, xl, value="tx", label="x")
     ys = nearest_label(yt, yl, value="ty", label="y")
     return xs.select("scene_id", "col_idx", "x"), ys.select("scene_id", "row_idx", "y")
@@ -64,6 +80,7 @@ def resample_grid(
     axes: tuple[DataFrame, DataFrame] | None = None,
     broadcast_axes: bool | None = None,
     small_meta: DataFrame | None = None,
+    centers: bool = False,
 ) -> DataFrame:
     """Elevation per image position: ``(scene_id, pid, row_idx, col_idx, x, y, z)``.
 
@@ -75,7 +92,7 @@ def resample_grid(
     if small_meta is None:
         small_meta = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
     meta = small_meta
-    xs, ys = snapped_axes(meta, cells, axes)
+    xs, ys = snapped_axes(meta, cells, axes, centers)
     if broadcast_axes is None:
         broadcast_axes = axes_fit_broadcast(meta)
     xs = xs.join(meta.select("scene_id", "width"), "scene_id")

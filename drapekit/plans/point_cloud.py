@@ -29,12 +29,14 @@ def draped_cloud(
     axes=None,
     broadcast_axes: bool | None = None,
     strict: bool = False,
+    centers: bool = False,
 ) -> DataFrame:
     """``(scene_id, k, pid, x, y, z, red, green, blue)``; ``k`` is the draw number (``pid``
-    again when ``fraction`` is None, i.e. the whole cloud)."""
+    again when ``fraction`` is None, i.e. the whole cloud).  ``centers=True`` samples the
+    grid at pixel centres instead of spreading over the outer edges."""
     small = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
     img = image_points(interleave_bands(rows), meta, small_meta=small)
-    elev = resample_grid(meta, cells, axes=axes, broadcast_axes=broadcast_axes, small_meta=small)
+    elev = resample_grid(meta, cells, axes=axes, broadcast_axes=broadcast_axes, small_meta=small, centers=centers)
     meta = small
     if strict:
         check_drape_counts(img, elev, meta)

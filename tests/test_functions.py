@@ -194,3 +194,15 @@ def test_nan_never_passes_range_checks(spark):
     got = _col(spark, ["nan,0,1,1"], lambda c: B.parse_bbox(c).getField("error"))
     assert got == [B.LON_RANGE]
     assert math.isnan(float("nan"))
+
+
+def test_target_axes_centers(spark):
+    from drapekit.operators.drape import target_axes
+
+    meta = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 4.0, 5, 2)], "scene_id int, lft double, btm double, rgt double, tp double, width int, height int")
+    edges = [r["tx"] for r in target_axes(meta)[0].orderBy("col_idx").collect()]
+    centers = [r["tx"] for r in target_axes(meta, centers=True)[0].orderBy("col_idx").collect()]
+    assert edges == list(np.linspace(0.0, 10.0, 5))
+    assert centers == list(np.linspace(1.0, 9.0, 5))
+    ys = [r["ty"] for r in target_axes(meta, centers=True)[1].orderBy("row_idx").collect()]
+    assert ys == [1.0, 3.0]
