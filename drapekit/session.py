@@ -56,18 +56,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins.  Only when nothing is set (a local test session) a
-    fresh folder under the system temp dir is created and registered.
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    fresh folder under the system temp dir is created and registered."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
     local = tempfile.mkdtemp(prefix="drapekit-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -88,8 +97,11 @@ def ship_package(spark: SparkSession) -> None:
     from the package, and workers do not share the driver's ``sys.path``."""
     import zipfile
 
-    sc = spark.sparkContext
-    key = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship as a session artifact
+        sc, key = None, f"connect-{id(spark)}"
     if key in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
@@ -100,5 +112,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(key)
