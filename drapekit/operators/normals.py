@@ -6,10 +6,10 @@ kNN plan
 1. **Cell size per cloud** from occupied-cell counts at nine scales in one pass: the smallest
    scale holding about ``2k`` points per occupied cell.  Small aggregates, no driver round
    trip.
-2. **Ring 1**: every point is *replicated* into its 27 neighbouring cells as a candidate, and
-   each query point is joined to the candidates keyed by its own cell.  All candidates of a
-   query land in the same task, so pairs are never shuffled: the top-k window
-   (``PARTITION BY cell, pid ORDER BY d2, nbr``) is satisfied by the join's hash partitioning.
+2. **Ring 1**: cells are grouped in blocks of ``BLOCK`` cells per axis; every point goes to
+   its block and to a neighbouring block when it lies in that block's one-cell halo, so all
+   candidates of a query land in the query's block.  Blocks are co-grouped and each query
+   cell is solved in numpy against its 27-cell neighbourhood; pairs are never Spark rows.
 3. **Certification**: a query is exact when it found k candidates and its k-th distance is
    within its margin to the outside of the 3x3x3 block (any point outside is farther).
 4. **Residue rounds** for the rest (sparse regions, outliers): each uncertified query searches
@@ -59,6 +59,9 @@ MAX_LEVEL = 12
 HOT_BROADCAST_MAX = 1_000_000
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
+# cells per block axis for the ring-1 co-group: a point is copied to a neighbouring block only
+# when it sits in that block's one-cell halo
+BLOCK = 4
 
 
 def _groups(df: DataFrame, group: Sequence[str]) -> list[str]:
@@ -264,18 +267,42 @@ def _cell_topk(k: int, g: list[str], fused_normals: bool = False):
     return run
 
 
+def _block_topk(k: int, g: list[str], fused_normals: bool):
+    """Per block of cells: solve each query cell against the candidates of its 27
+    neighbouring cells (selected by a mask over the block's candidates and halo)."""
+    cell = _cell_topk(k, g, fused_normals)
+
+    def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        cols = [*g, *(NORMAL_COLS if fused_normals else NEIGHBOUR_COLS)]
+        if q.empty or c.empty:
+            return pd.DataFrame(columns=cols)
+        qc = q[["kx", "ky", "kz"]].to_numpy()
+        cc = c[["cx", "cy", "cz"]].to_numpy()
+        out = []
+        for key in np.unique(qc, axis=0):
+            qsel = (qc == key).all(axis=1)
+            csel = (np.abs(cc - key) <= 1).all(axis=1)
+            if csel.any():
+                out.append(cell(q[qsel], c[csel]))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=cols)
+
+    return run
+
+
 def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False) -> DataFrame:
     """Top-k candidates from the 27 cells around each point; one row per (pid, rank) with
     ``ok`` telling whether the query is certified exact.
 
-    Candidates are replicated into the 27 cells around their own; queries stay in their own
-    cell; both sides are co-grouped by cell and each cell is solved in numpy.  Pairs exist
-    only inside one task's memory, a bounded block at a time.
+    Cells are grouped in blocks of ``BLOCK`` cells per axis.  A point goes to its own block,
+    and also to a neighbouring block when it lies in that block's one-cell halo (an edge
+    cell), so it is copied about (1 + 2/BLOCK) times per axis instead of into all 27
+    neighbouring cells.  Queries and candidates are co-grouped by block and each query cell
+    is solved in numpy against its 27-cell neighbourhood.  Pairs exist only inside one task's
+    memory, a bounded block at a time.
 
     With level columns (``qlvl``, ``lvls`` from ``with_levels``) queries in hot base cells are
     solved on finer cells: a point is a candidate at every level of a hot cell next to it, so
     a query's fine 3x3x3 block always holds every point inside it."""
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dy, dz in _OFFSETS])
     leveled = "qlvl" in pts.columns
     # fresh aliases: both sides come from ``pts``, and a shared attribute would make the
     # co-group keys ambiguous
@@ -283,23 +310,32 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
     lvl_col = F.explode("lvls") if leveled else F.lit(0)
     rep = pts.select(*regroup, "pid", "x", "y", "z", "s", lvl_col.alias("lvl"))
     side = F.col("s") / F.pow(F.lit(2.0), F.col("lvl"))
-    cand = rep.select(
-        *g,
-        "lvl",
-        F.col("pid").alias("nbr"),
-        *[F.col(c).alias(f"n{c}") for c in "xyz"],
-        *[F.floor(F.col(c) / side).alias(f"c{c}") for c in "xyz"],
-        F.explode(offsets).alias("o"),
-    ).select(
-        *g,
-        "lvl",
-        "nbr",
-        "nx",
-        "ny",
-        "nz",
-        (F.col("cx") + F.col("o.dx")).alias("kx"),
-        (F.col("cy") + F.col("o.dy")).alias("ky"),
-        (F.col("cz") + F.col("o.dz")).alias("kz"),
+    rep = rep.select(*g, "lvl", "pid", "x", "y", "z", *[F.floor(F.col(c) / side).alias(f"c{c}") for c in "xyz"])
+
+    def blocks(c: str):
+        """The block holding cell ``c`` plus the neighbouring block whose halo it is in."""
+        own = F.floor(F.col(c) / BLOCK)
+        pos = F.col(c) - own * BLOCK
+        return F.array_distinct(
+            F.array(own, F.when(pos == 0, own - 1).otherwise(own), F.when(pos == BLOCK - 1, own + 1).otherwise(own))
+        )
+
+    cand = (
+        rep.withColumn("bx", F.explode(blocks("cx")))
+        .withColumn("by", F.explode(blocks("cy")))
+        .withColumn("bz", F.explode(blocks("cz")))
+        .select(
+            *g,
+            "lvl",
+            "bx",
+            "by",
+            "bz",
+            F.col("pid").alias("nbr"),
+            *[F.col(c).alias(f"n{c}") for c in "xyz"],
+            "cx",
+            "cy",
+            "cz",
+        )
     )
     qlvl = F.col("qlvl") if leveled else F.lit(0)
     qside = F.col("s") / F.pow(F.lit(2.0), qlvl)
@@ -311,9 +347,10 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
         *[F.col(c).alias(f"q{c}") for c in "xyz"],
         qside.alias("s"),
         *[F.floor(F.col(c) / qside).alias(f"k{c}") for c in "xyz"],
-    )
-    keys = g + ["lvl", "kx", "ky", "kz"]
-    # replicas landing in cells without any query point are dropped before the co-group
+    ).select(*g, "lvl", "pid", "qx", "qy", "qz", "s", "kx", "ky", "kz",
+             *[F.floor(F.col(f"k{c}") / BLOCK).alias(f"b{c}") for c in "xyz"])
+    keys = g + ["lvl", "bx", "by", "bz"]
+    # halo copies landing in blocks without any query point are dropped before the co-group
     cand = cand.join(q.select(*keys).distinct(), keys, "left_semi")
     gschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g).schema.fields)
     body = (
@@ -322,7 +359,22 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
         else "pid long, nbr long, rank int, d2 double, nx double, ny double, nz double, ok boolean, n_found long, dk2 double"
     )
     schema = (gschema + ", " if gschema else "") + body
-    return q.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(_cell_topk(k, g, fused_normals), schema)
+    # the per-block solve is CPU work on few bytes: size-based partition coalescing would
+    # leave most cores idle, so both sides are hash-partitioned by block to the cluster's
+    # parallelism (an explicit count is not coalesced, and the co-group needs no other shuffle)
+    n = _solver_partitions(pts.sparkSession)
+    q, cand = q.repartition(n, *keys), cand.repartition(n, *keys)
+    return q.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(_block_topk(k, g, fused_normals), schema)
+
+
+def _solver_partitions(spark) -> int:
+    """Partitions for the Python solving stages: twice the cores, at least the shuffle
+    partitions."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        cores = 8
+    return max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 def _partial_topk(k: int, key_cols: list[str]):
