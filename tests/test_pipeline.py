@@ -176,3 +176,26 @@ def test_catalogue_window_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().explainString(mode)
     pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
     assert any("GreaterThanOrEqual(ts" in ln and "LessThanOrEqual(ts" in ln for ln in pushed), pushed
+
+
+def test_read_dem_bounds_reach_the_scan(spark, tmp_path):
+    from drapekit.sources.dem import read_dem
+
+    path = str(tmp_path / "dem")
+    fx.dem_cells(spark, SF001).write.parquet(path)
+    cells = read_dem(spark, path, bounds=(0.0, 900.0, 5000.0, 950.0))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = cells._jdf.queryExecution().explainString(mode)
+    pushed = " ".join(ln for ln in plan.splitlines() if "PushedFilters" in ln)
+    for f in ("GreaterThanOrEqual(x", "LessThanOrEqual(x", "GreaterThanOrEqual(y", "LessThanOrEqual(y"):
+        assert f in pushed, pushed
+    r = cells.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()[0]
+    assert r[0] >= 0.0 and r[1] <= 5000.0 and r[2] >= 900.0 and r[3] <= 950.0
+
+
+def test_observed_count_rides_along(spark, tmp_path):
+    from drapekit.operators.aggregates import observed_count
+
+    df, obs = observed_count(fx.points(spark, SF001), "n_points")
+    df.write.parquet(str(tmp_path / "pts"))
+    assert obs.get["n_points"] == 1500
