@@ -197,94 +197,89 @@ def _normals_from_neighbours(nb: np.ndarray) -> np.ndarray:
     return n
 
 
-def _cell_topk(k: int, g: list[str], fused_normals: bool = False):
-    """Per cell: exact top-k candidates of each query point among the candidates replicated
-    into that cell, by (d2, nbr); vectorised over the cell's queries.  With
-    ``fused_normals`` one row per query with its normal is returned instead of k rows."""
-
-    def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame(columns=[*g, *(NORMAL_COLS if fused_normals else NEIGHBOUR_COLS)])
-        c = c.sort_values("nbr", kind="stable")
-        cxyz = c[["nx", "ny", "nz"]].to_numpy()
-        qxyz = q[["qx", "qy", "qz"]].to_numpy()
-        kk = min(k, len(c))
-        out = []
-        step = max(1, 4_000_000 // max(1, len(c)))  # bound the distance block held in memory
-        s = q["s"].to_numpy()
-        kcell = q[["kx", "ky", "kz"]].to_numpy().astype(np.float64)
-        for a in range(0, len(q), step):
-            qb = qxyz[a : a + step]
-            d = np.zeros((len(qb), len(c)))
-            for j in range(3):
-                diff = qb[:, j : j + 1] - cxyz[None, :, j]
-                d += diff * diff
-            idx = _row_topk(d, kk)
-            d_sel = np.take_along_axis(d, idx, axis=1)
-            sb, kb = s[a : a + step, None], kcell[a : a + step]
-            lo = qb - (kb - 1) * sb
-            hi = (kb + 2) * sb - qb
-            margin = np.minimum(lo, hi).min(axis=1) * (1.0 - 1e-9)
-            dk2 = d_sel[:, -1]
-            ok = (kk >= k) & (dk2 <= margin * margin)
-            rows = len(qb)
-            if fused_normals:
-                nrm = _normals_from_neighbours(cxyz[idx])
-                block = pd.DataFrame(
-                    {
-                        "pid": q["pid"].to_numpy()[a : a + step],
-                        "nx": nrm[:, 0],
-                        "ny": nrm[:, 1],
-                        "nz": nrm[:, 2],
-                        "ok": ok,
-                        "n_found": np.int64(kk),
-                        "dk2": dk2,
-                    }
-                )
-                for col in g:
-                    block.insert(0, col, q[col].iloc[0])
-                out.append(block)
-                continue
-            block = pd.DataFrame(
-                {
-                    "pid": np.repeat(q["pid"].to_numpy()[a : a + step], kk),
-                    "nbr": c["nbr"].to_numpy()[idx].ravel(),
-                    "rank": np.tile(np.arange(1, kk + 1, dtype=np.int32), rows),
-                    "d2": d_sel.ravel(),
-                    "nx": cxyz[idx, 0].ravel(),
-                    "ny": cxyz[idx, 1].ravel(),
-                    "nz": cxyz[idx, 2].ravel(),
-                    "ok": np.repeat(ok, kk),
-                    "n_found": np.int64(kk),
-                    "dk2": np.repeat(dk2, kk),
-                }
-            )
-            for col in g:
-                block.insert(0, col, q[col].iloc[0])
-            out.append(block)
-        return pd.concat(out, ignore_index=True)
-
-    return run
+def _solve_cell(k, qpid, qxyz, s, kcell, cn, cxyz, fused_normals):
+    """Exact top-k of each query (rows of ``qxyz``) among candidates (rows of ``cxyz``, ids
+    ``cn`` ascending, so column order is the id tie-break).  Returns a dict of columns: one
+    row per query with its normal when ``fused_normals``, else k rows per query."""
+    kk = min(k, len(cn))
+    out: dict = {}
+    step = max(1, 4_000_000 // max(1, len(cn)))  # bound the distance block held in memory
+    for a in range(0, len(qpid), step):
+        qb = qxyz[a : a + step]
+        d = np.zeros((len(qb), len(cn)))
+        for j in range(3):
+            diff = qb[:, j : j + 1] - cxyz[None, :, j]
+            d += diff * diff
+        idx = _row_topk(d, kk)
+        d_sel = np.take_along_axis(d, idx, axis=1)
+        sb, kb = s[a : a + step, None], kcell[a : a + step]
+        lo = qb - (kb - 1) * sb
+        hi = (kb + 2) * sb - qb
+        margin = np.minimum(lo, hi).min(axis=1) * (1.0 - 1e-9)
+        dk2 = d_sel[:, -1]
+        ok = (kk >= k) & (dk2 <= margin * margin)
+        rows = len(qb)
+        if fused_normals:
+            nrm = _normals_from_neighbours(cxyz[idx])
+            cols = {
+                "pid": qpid[a : a + step],
+                "nx": nrm[:, 0],
+                "ny": nrm[:, 1],
+                "nz": nrm[:, 2],
+                "ok": ok,
+                "n_found": np.full(rows, kk, dtype=np.int64),
+                "dk2": dk2,
+            }
+        else:
+            cols = {
+                "pid": np.repeat(qpid[a : a + step], kk),
+                "nbr": cn[idx].ravel(),
+                "rank": np.tile(np.arange(1, kk + 1, dtype=np.int32), rows),
+                "d2": d_sel.ravel(),
+                "nx": cxyz[idx, 0].ravel(),
+                "ny": cxyz[idx, 1].ravel(),
+                "nz": cxyz[idx, 2].ravel(),
+                "ok": np.repeat(ok, kk),
+                "n_found": np.full(rows * kk, kk, dtype=np.int64),
+                "dk2": np.repeat(dk2, kk),
+            }
+        for name, v in cols.items():
+            out.setdefault(name, []).append(v)
+    return out
 
 
 def _block_topk(k: int, g: list[str], fused_normals: bool):
     """Per block of cells: solve each query cell against the candidates of its 27
-    neighbouring cells (selected by a mask over the block's candidates and halo)."""
-    cell = _cell_topk(k, g, fused_normals)
+    neighbouring cells (a mask over the block's candidates and halo).  Candidates are sorted
+    by id once per block; masks keep that order, which is the distance tie-break."""
+    names = NORMAL_COLS if fused_normals else NEIGHBOUR_COLS
 
     def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        cols = [*g, *(NORMAL_COLS if fused_normals else NEIGHBOUR_COLS)]
         if q.empty or c.empty:
-            return pd.DataFrame(columns=cols)
-        qc = q[["kx", "ky", "kz"]].to_numpy()
+            return pd.DataFrame(columns=[*g, *names])
+        c = c.sort_values("nbr", kind="stable")
+        cn = c["nbr"].to_numpy()
+        cxyz = c[["nx", "ny", "nz"]].to_numpy()
         cc = c[["cx", "cy", "cz"]].to_numpy()
-        out = []
-        for key in np.unique(qc, axis=0):
-            qsel = (qc == key).all(axis=1)
+        qpid = q["pid"].to_numpy()
+        qxyz = q[["qx", "qy", "qz"]].to_numpy()
+        qs = q["s"].to_numpy()
+        qk = q[["kx", "ky", "kz"]].to_numpy()
+        parts: dict = {}
+        for key in np.unique(qk, axis=0):
+            qsel = (qk == key).all(axis=1)
             csel = (np.abs(cc - key) <= 1).all(axis=1)
-            if csel.any():
-                out.append(cell(q[qsel], c[csel]))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=cols)
+            if not csel.any():
+                continue
+            got = _solve_cell(k, qpid[qsel], qxyz[qsel], qs[qsel], qk[qsel].astype(np.float64), cn[csel], cxyz[csel], fused_normals)
+            for name, vs in got.items():
+                parts.setdefault(name, []).extend(vs)
+        if not parts:
+            return pd.DataFrame(columns=[*g, *names])
+        frame = pd.DataFrame({name: np.concatenate(parts[name]) for name in names})
+        for col in reversed(g):
+            frame.insert(0, col, q[col].iloc[0])
+        return frame
 
     return run
 
