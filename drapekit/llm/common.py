@@ -77,3 +77,70 @@ def texts(column: pa.Array) -> list[bytes]:
     whole = data.tobytes()
     at = offsets.tolist()
     return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
+_U = np.uint64
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spreads the bits of 64-bit values; one to one."""
+    x = x ^ (x >> _U(31))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(29)
+    return x
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** (0..n-1) modulo 2 ** 64, kept for the next chunk."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 2 * CHUNK_BYTES), base, _U)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if len(known) <= 4 * CHUNK_BYTES:
+            _POWERS[base] = known
+    return known[:n]
+
+
+class Names:
+    """64-bit names of substrings: equal substrings have equal names.  A polynomial hash from
+    prefix sums, shifted back to position zero."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self.sums = np.zeros(n + 1, _U)
+        values = data.astype(_U)
+        values += _U(1)
+        values *= _powers(_BASE, n + 1)[:n]
+        np.cumsum(values, out=self.sums[1:])
+        self.back = _powers(pow(_BASE, -1, 1 << 64), n + 1)
+
+    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * self.back[start]
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(self.raw(start, end))
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of each run of True; no run crosses from one text to the next."""
+    n = len(inside)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    head = np.zeros(n + 1, bool)
+    head[offsets] = True
+    before = np.concatenate([[False], inside[:-1]])
+    start = np.flatnonzero(inside & (~before | head[:n]))
+    after = np.concatenate([inside[1:], [False]])
+    end = np.flatnonzero(inside & (~after | head[1:])) + 1
+    return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def space_mask() -> np.ndarray:
+    """Which byte values are white space to the word patterns: 0x20 and 0x09-0x0D."""
+    mask = np.zeros(256, bool)
+    mask[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+    return mask

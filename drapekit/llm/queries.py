@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from drapekit.llm.common import table
+from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
 
@@ -20,6 +21,10 @@ def _query(fn):
     return fn
 
 
+# DuckDB: words are runs of other characters than 0x20 and 0x09-0x0D
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
 @_query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=200)
@@ -28,3 +33,30 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@_query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_policy(ledger(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op10_quality_rules"] = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, {_WORDS} as w from documents),
+words as (select r, unnest(w) as word, generate_subscripts(w, 1) as i from d),
+win as (select r, i, word, lead(word) over (partition by r order by i) as b, lead(word, 2) over (partition by r order by i) as c from words),
+rep as (select r, i from (select r, i, count(*) over (partition by r, word, b, c) as n from win where c is not null) where n > 1),
+cover as (select r, count(distinct i + k) as n from rep, (select unnest([0, 1, 2]) as k) group by r),
+lines as (select r, unnest(string_split(text, chr(10))) as line from d),
+dup as (select r, count(*) as n_lines, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by r),
+m as (
+  select d.doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(cover.n, 0) as n_repeat_words,
+    coalesce(dup.n_lines, 0) as n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as n_alpha_words
+  from d left join dup using (r) left join cover using (r)),
+f as (
+  select *, ((case when n_words < 50 then 1 else 0 end) + (case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end)
+    + (case when 100 * n_symbols > 10 * word_chars then 4 else 0 end) + (case when 100 * n_alpha_words < 70 * n_words then 8 else 0 end)
+    + (case when 100 * n_dup_lines > 40 * n_lines then 16 else 0 end)
+    + (case when word_chars < 2 * n_words or word_chars > 15 * n_words then 32 else 0 end))::bigint as fail_bits
+  from m)
+select *, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept from f"""
