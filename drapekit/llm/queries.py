@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from drapekit.llm.bpe import round_trip
 from drapekit.llm.common import table
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
@@ -60,3 +62,8 @@ f as (
     + (case when word_chars < 2 * n_words or word_chars > 15 * n_words then 32 else 0 end))::bigint as fail_bits
   from m)
 select *, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept from f"""
+
+
+@_query
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
