@@ -13,6 +13,7 @@ from drapekit.llm.common import table
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
+from drapekit.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +68,8 @@ select *, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept from f"""
 @_query
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
