@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from drapekit.llm.bpe import round_trip
 from drapekit.llm.common import table
+from drapekit.llm.decontaminate import leaks
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
@@ -73,3 +74,8 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
