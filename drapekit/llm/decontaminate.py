@@ -118,16 +118,23 @@ def bands(codes: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.ndarr
     longest = max(map(len, index.items))
     wide = len(codes) + 2 * longest + 4
     key = (np.repeat(text, n) * len(index.items) + item) * wide + (diagonal + longest) // width + 1
-    key, shared = np.unique(key, return_counts=True)
-    both = shared.copy()
-    follows = np.flatnonzero(key[1:] == key[:-1] + 1)
-    both[follows] += shared[follows + 1]
-    pair = key // wide
-    enough = both >= index.bound[pair % len(index.items)]
-    # a band is also reached from its left neighbour if that one holds no q-gram: same candidates
-    pair, band = pair[enough], key[enough] % wide - 1
+    half, shared = np.unique(key, return_counts=True)
+    follows = np.flatnonzero(half[1:] == half[:-1] + 1)
+    shared[follows] += shared[follows + 1]  # uses the old count of the right neighbour only
+    half = half[shared >= index.bound[half // wide % len(index.items)]]
+    if not len(half):
+        return none
+    # a q-gram of the item counts once, however often the text repeats it
+    seen = []
+    for k in range(2):
+        to = np.minimum(np.searchsorted(half, key - k), len(half) - 1)
+        own = half[to] == key - k
+        seen.append(to[own] * longest + index.place[hit[own]])
+    shared = np.bincount(np.unique(np.concatenate(seen)) // longest, minlength=len(half))
+    enough = shared >= index.bound[half // wide % len(index.items)]
+    pair, band = half[enough] // wide, half[enough] % wide - 1
     item = pair % len(index.items)
-    return pair // len(index.items), item, band * (index.edits[item] + 1) - longest, both[enough]
+    return pair // len(index.items), item, band * (index.edits[item] + 1) - longest, shared[enough]
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
