@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from drapekit.llm.bpe import round_trip
 from drapekit.llm.common import table
 from drapekit.llm.decontaminate import leaks
+from drapekit.llm.licenses import license_scan
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
@@ -79,3 +80,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("detections")
