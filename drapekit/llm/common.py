@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from drapekit.session import scratch_path, ship_package
 
 # Bytes of text that a Python task works on at a time; bounds its memory, not its input.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,3 +144,12 @@ def space_mask() -> np.ndarray:
     mask = np.zeros(256, bool)
     mask[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
     return mask
+
+
+def word_bytes() -> np.ndarray:
+    """Byte -> lower-case byte of a word (letters, digits, bytes beyond ASCII), else 0x20."""
+    table = np.full(256, 0x20, np.uint8)
+    for k in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 256)]:
+        table[k] = k
+    table[0x41:0x5B] = np.arange(0x61, 0x7B)
+    return table

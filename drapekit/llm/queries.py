@@ -12,6 +12,7 @@ from drapekit.llm.bpe import round_trip
 from drapekit.llm.common import table
 from drapekit.llm.decontaminate import leaks
 from drapekit.llm.licenses import license_scan
+from drapekit.llm.lm_scoring import lm_scores
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
@@ -85,3 +86,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@_query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: what assistants say in ``conversations``; background: all ``documents``."""
+    target = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    return lm_scores(table(spark, sf_dir, "documents"), target)
