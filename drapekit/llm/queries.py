@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from drapekit.llm.bpe import round_trip
 from drapekit.llm.common import table
@@ -16,7 +17,9 @@ from drapekit.llm.lm_scoring import lm_scores
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
+from drapekit.llm.token_counts import Rollup
 from drapekit.llm.toxicity import toxicity
+from drapekit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +96,31 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: what assistants say in ``conversations``; background: all ``documents``."""
     target = table(spark, sf_dir, "conversations").where("role = 'assistant'")
     return lm_scores(table(spark, sf_dir, "documents"), target)
+
+
+@_query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts all documents, deletes a tenth, revises another tenth (its language is added to
+    the text), replays the deletes, and reports the totals."""
+    docs = table(spark, sf_dir, "documents")
+    rollup = Rollup(spark, scratch_path(spark, "op9-rollup"))
+    none = F.lit(None).cast("string")
+    batches = {
+        "insert": docs.select("source", "lang", none.alias("old_text"), F.col("text").alias("new_text")),
+        "delete": docs.where("doc_id % 10 = 3").select("source", "lang", F.col("text").alias("old_text"), none.alias("new_text")),
+        "revise": docs.where("doc_id % 10 = 7").select("source", "lang", F.col("text").alias("old_text"), F.concat("text", F.lit(" "), "lang").alias("new_text")),
+    }
+    for name in ("insert", "delete", "revise", "delete"):
+        rollup.commit(name, batches[name])
+    return rollup.totals()
+
+
+ORACLE["op9_token_counts"] = rf"""
+with state as (
+  select source, lang, case when doc_id % 10 = 7 then text || ' ' || lang else text end as text
+  from documents where doc_id % 10 <> 3 and text is not null)
+select source, lang, version, count(*) as n_docs, sum(n)::bigint as n_tokens from (
+  select source, lang, 'words-1' as version, len({_WORDS}) as n from state
+  union all
+  select source, lang, 'pieces-2', len(regexp_extract_all(text, '[0-9A-Za-z]+|[^\x00-\x7F]+|[!-/:-@\[-`{{-~]')) from state)
+group by all"""
