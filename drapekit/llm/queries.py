@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drapekit.llm.bpe import round_trip
+from drapekit.llm.chat_format import format_chats
 from drapekit.llm.common import table
 from drapekit.llm.decontaminate import leaks
 from drapekit.llm.licenses import license_scan
@@ -124,3 +125,65 @@ select source, lang, version, count(*) as n_docs, sum(n)::bigint as n_tokens fro
   union all
   select source, lang, 'pieces-2', len(regexp_extract_all(text, '[0-9A-Za-z]+|[^\x00-\x7F]+|[!-/:-@\[-`{{-~]')) from state)
 group by all"""
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Tool traffic in the operator's wire format, made of the conversations' own texts: an
+    assistant's turn calls a tool on its text, a user's turn after the first answers the call
+    of the turn before.  Some calls are wrong on purpose, by the length of the text."""
+    size = F.length("text")
+    name = F.expr("case when length(text) % 13 = 0 then 'translate' else element_at(array('search', 'count_words', 'fetch_turn'), cast(length(text) % 3 + 1 as int)) end")
+    late = F.when((F.col("turn") >= 2) & (size % 2 == 0), F.concat(F.lit("call_"), F.col("turn") - 2))
+    search = F.when(size % 7 == 0, F.to_json(F.struct(size.cast("string").alias("limit"), F.col("text").alias("query")))).otherwise(F.to_json(F.struct(size.alias("limit"), F.col("text").alias("query"))))
+    count = F.when(size % 11 == 0, F.to_json(F.struct(F.lit("word").alias("unit")))).otherwise(F.to_json(F.struct("text")))
+    fetch = F.when(size % 5 == 0, F.to_json(F.struct(F.lit(True).alias("depth"), "turn"))).otherwise(F.to_json(F.struct("turn")))
+    arguments = F.parse_json(F.when(size % 3 == 0, search).when(size % 3 == 1, count).otherwise(fetch))
+    call = F.struct(late.alias("after"), arguments.alias("arguments"), F.concat(F.lit("call_"), "turn").alias("id"), name.alias("name"))
+    answer = F.struct(F.col("text").alias("content"), F.concat(F.lit("call_"), F.col("turn") - 1).alias("tool_call_id"))
+    is_call, is_answer = F.col("role") == "assistant", (F.col("role") == "user") & (F.col("turn") > 0)
+    text = F.when(is_call, F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(is_answer, F.to_json(answer)).otherwise(F.col("text"))
+    return conversations.select("conv_id", "turn", F.when(is_answer, "tool").otherwise(F.col("role")).alias("role"), text.alias("text"))
+
+
+@_query
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and depths that do not apply are -1 here."""
+    out = format_chats(tool_messages(table(spark, sf_dir, "conversations")))
+    return out.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("turn", "result_turn", "depth")}).fillna("", ["call_id", "errors"])
+
+
+ORACLE["op5_chat_formatting"] = """
+with recursive c as (
+  select conv_id, turn, role, text, length(text) as n from conversations),
+call as (
+  select conv_id, turn, 'call_' || turn as call_id, case when turn >= 2 and n % 2 = 0 then 'call_' || (turn - 2) end as after,
+    case when n % 13 = 0 then 'translate' when n % 3 = 0 then 'search' when n % 3 = 1 then 'count_words' else 'fetch_turn' end as name,
+    case when n % 3 = 0 and n % 7 = 0 then json_object('limit', n::varchar, 'query', text) when n % 3 = 0 then json_object('limit', n, 'query', text)
+      when n % 3 = 1 and n % 11 = 0 then json_object('unit', 'word') when n % 3 = 1 then json_object('text', text)
+      when n % 5 = 0 then json_object('depth', true, 'turn', turn) else json_object('turn', turn) end as arguments,
+    case when n % 13 = 0 then 'unknown_tool' when n % 3 = 0 and n % 7 = 0 then 'type:limit' when n % 3 = 1 and n % 11 = 0 then 'missing:text'
+      when n % 3 = 2 and n % 5 = 0 then 'unknown:depth' else '' end as errors
+  from c where role = 'assistant'),
+result as (select conv_id, turn as result_turn, 'call_' || (turn - 1) as call_id, text as content from c where role = 'user' and turn > 0),
+deep as (
+  select a.conv_id, a.call_id, 0::bigint as depth from call a left join call b on a.conv_id = b.conv_id and a.after = b.call_id where b.call_id is null
+  union all
+  select a.conv_id, a.call_id, d.depth + 1 from call a join deep d on a.conv_id = d.conv_id and a.after = d.call_id),
+linked as (
+  select coalesce(a.conv_id, r.conv_id) as conv_id, a.call_id is not null as own, a.turn, r.result_turn, coalesce(a.call_id, r.call_id) as call_id, d.depth,
+    case when a.call_id is null then 'orphan' when r.call_id is null then 'pending' else 'linked' end as status,
+    a.errors, a.after, a.arguments, a.name, r.content, r.call_id is not null as answered
+  from call a full join result r on a.conv_id = r.conv_id and a.call_id = r.call_id left join deep d on d.conv_id = a.conv_id and d.call_id = a.call_id),
+field as (
+  select *, list_filter([
+    case when after is not null then '"after":' || to_json(after) end, case when own then '"arguments":' || arguments end,
+    case when content is not null then '"content":' || to_json(content) end, '"conversation":' || conv_id, case when own then '"depth":' || depth end,
+    case when errors <> '' then '"errors":' || to_json([errors]) end, '"id":' || to_json(call_id), case when own then '"name":' || to_json(name) end,
+    case when answered then '"result_turn":' || result_turn end, '"status":' || to_json(status), case when own then '"turn":' || turn end], lambda x: x is not null) as fields
+  from linked)
+select conv_id, case when own then 'call' else 'result' end as kind, coalesce(turn, -1) as turn, coalesce(result_turn, -1) as result_turn, call_id,
+  coalesce(depth, -1) as depth, status, coalesce(errors, '') as errors, own::bigint as n_calls, answered::bigint as n_results, '{' || array_to_string(fields, ',') || '}' as json
+from field
+union all
+select conv_id, 'message', turn, -1, '', -1, 'message', '', 0, 0, json_object('content', text, 'conversation', conv_id, 'role', role, 'turn', turn)::varchar
+from c where role = 'system' or role = 'user' and turn <= 0"""
