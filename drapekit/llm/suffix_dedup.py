@@ -12,8 +12,8 @@ corpus.  In suffix-array terms: two corpus suffixes share their first ``length``
   what follows the trigger).  Only equality of the first ``length`` bytes is asked, so both
   halves are ordered by their 64-bit name (a polynomial hash) in place of the lexicographic
   rank: equal neighbours in that order are the repeats, and no text is compared pairwise.
-* **Merging the two.** Suffixes that share a trigger form a run of neighbouring starts.  One
-  row per run goes through Spark: first the name of the ``core`` (what every suffix of the
+* **Merging the two.** Suffixes that share a trigger form a run of neighbouring starts.  Runs
+  are combined map-side, and one row per different run goes through Spark: first the name of the ``core`` (what every suffix of the
   run holds after its trigger), then, for cores found twice, the name of the whole run.  A
   run found twice is repeated throughout.  Only runs whose core repeats while the run does
   not (the edges of repeats) are opened suffix by suffix, grouped by core, beside one member
@@ -35,46 +35,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from drapekit.llm.common import CHUNK_BYTES, row_key, slices, utf8, written
+from drapekit.llm.common import CHUNK_BYTES, Names, mix, row_key, slices, utf8, written
 
 GRAM = 16  # bytes under the rolling hash
 CORE = 64  # bytes after a trigger that name its run's core
 GROUP = 8192  # runs of one core that a group opens; more are dealt to further groups
 POS_BITS = 27  # of a piece; pieces are far shorter
 
-_U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_ROLL = 0x100000001B3
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> _U(31))
-    x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(29)
-    return x
+MARK_BITS = 24  # of a mark, for the number of further starts
+MORE = (1 << MARK_BITS) - 1
 
+RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+RESULT_TYPES = [T.StructField(c, T.StringType() if c == "kept_sha256" else T.LongType()) for c in RESULT]
 
-class _Names:
-    """Names of substrings: a polynomial hash from prefix sums, shifted to position zero."""
-
-    def __init__(self, data: np.ndarray):
-        n = len(data)
-        powers = np.full(n + 1, _BASE, _U)
-        powers[0] = 1
-        np.cumprod(powers, out=powers)
-        self.sums = np.zeros(n + 1, _U)
-        np.cumsum((data.astype(_U) + _U(1)) * powers[:n], out=self.sums[1:])
-        back = np.full(n + 1, _INVERSE, _U)
-        back[0] = 1
-        self.back = np.cumprod(back, out=back)
-
-    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * self.back[start]
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix(self.raw(start, end))
+_U = np.uint64
+_ROLL = 0x100000001B3
 
 
 def _triggers(data: np.ndarray, span: int) -> np.ndarray:
@@ -87,7 +64,7 @@ def _triggers(data: np.ndarray, span: int) -> np.ndarray:
         power = power * power % (1 << 64)
         width *= 2
     low = _U((1 << POS_BITS) - 1)
-    key = (_mix(h) & ~low) | (low - np.arange(len(h), dtype=_U))
+    key = (mix(h) & ~low) | (low - np.arange(len(h), dtype=_U))
     width = 1
     while width * 2 <= span:
         key = np.minimum(key[:-width], key[width:])
@@ -129,38 +106,62 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tupl
             yield k, at - int(offsets[k]), data[at:end], np.array([0, end - at])
 
 
-def _anchor_rows(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(core, run name, key, meta) of each run; meta packs first start, trigger and last."""
+def _run_rows(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(core, run name, key, mark) of each run, in order; a mark packs the first start and the
+    number of further starts."""
     keys = np.asarray(batch.column("key"))
     data, offsets = utf8(batch.column("text"))
     for k, shift, piece, cuts in _pieces(data, offsets, length):
         first, last, trigger = _runs(piece, cuts, length)
         if not len(first):
             continue
-        names = _Names(piece)
+        names = Names(piece)
         core = names.of(trigger, trigger + CORE)
         shape = (trigger - first) * 256 + (last - first)
-        whole = _mix(names.raw(first, last + length) + shape.astype(_U) * _U(_BASE | 1))
+        whole = mix(names.raw(first, last + length) + shape.astype(_U) * _U(0x9E3779B97F4A7C15))
         text = np.searchsorted(cuts, first, side="right") - 1
-        meta = ((first - cuts[text] + shift) << 16) | shape
-        yield core.view(np.int64), whole.view(np.int64), keys[k + text], meta
+        yield core, whole, keys[k + text], ((first - cuts[text] + shift) << MARK_BITS) | (last - first)
 
 
 def _cores(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            for core, *_ in _anchor_rows(batch, length):
-                value, n = np.unique(core, return_counts=True)
+            for core, *_ in _run_rows(batch, length):
+                value, n = np.unique(core.view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(n)], ["core", "n"])
 
     return run
 
 
-def _anchors(length: int):
+def _joined(key: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of one text that follow each other become one."""
+    start, more = mark >> MARK_BITS, mark & MORE
+    head = np.ones(len(mark), bool)
+    head[1:] = (key[1:] != key[:-1]) | (start[1:] != (start + more)[:-1] + 1)
+    at = np.flatnonzero(head)
+    tail = np.append(at[1:], len(mark)) - 1
+    return key[at], (start[at] << MARK_BITS) | (start + more)[tail] - start[at]
+
+
+def _combined(length: int):
+    """Runs combined map-side: one row for each different run of a chunk, with its count, and
+    the marks of those that the chunk holds more than once (n = 0; their core matches none)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            for row in _anchor_rows(batch, length):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["core", "run", "key", "meta"])
+            for core, whole, key, mark in _run_rows(batch, length):
+                _, at, back, n = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+                own = n[back] > 1
+                known_key, known = _joined(key[own], mark[own]) if own.any() else (key[:0], mark[:0])
+                none = np.zeros(len(known), np.int64)
+                columns = [
+                    np.concatenate([core[at].view(np.int64), mix(known_key.astype(_U)).view(np.int64)]),
+                    np.concatenate([whole[at].view(np.int64), none]),
+                    np.concatenate([key[at], known_key]),
+                    np.concatenate([mark[at], known]),
+                    np.concatenate([n, none]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["core", "run", "key", "mark", "n"])
 
     return run
 
@@ -179,19 +180,16 @@ def _covered(n: int, first: np.ndarray, last: np.ndarray, length: int) -> np.nda
     return np.cumsum(mark)[:n] > 0
 
 
-def _result(text: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[int, int, int, str]:
+def _result(text: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[int, int, int, bytes]:
+    """Bytes, removed bytes, removed stretches, what is left."""
     if not len(first):
-        return len(text), 0, 0, hashlib.sha256(text.tobytes()).hexdigest()
+        return len(text), 0, 0, text.tobytes()
     gone = _covered(len(text), first, last, length)
-    spans = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-    return len(text), int(gone.sum()), spans, hashlib.sha256(text[~gone].tobytes()).hexdigest()
+    cuts = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
+    return len(text), int(gone.sum()), cuts, text[~gone].tobytes()
 
 
-_RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_OUT = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-
-
-def _settle(length: int, keep_open: bool):
+def _settle(length: int, keep_open: bool, with_text: bool):
     """Result of each text from its repeated runs.  With ``keep_open``, a text that still has
     open runs passes through with its text instead."""
 
@@ -200,21 +198,27 @@ def _settle(length: int, keep_open: bool):
             data, offsets = utf8(batch.column("text"))
             at, flat = _lists(batch.column("runs"))
             flat = np.asarray(flat, dtype=np.int64)
-            first = flat >> 16
-            last = first + (flat & 255)
+            first = flat >> MARK_BITS
+            last = first + (flat & MORE)
             wait = np.diff(_lists(batch.column("open"))[0]) > 0 if keep_open else np.zeros(batch.num_rows, bool)
-            rows = [
-                (None,) * 4 if wait[k] else _result(data[offsets[k] : offsets[k + 1]], first[at[k] : at[k + 1]], last[at[k] : at[k + 1]], length)
-                for k in range(batch.num_rows)
-            ]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            done = [pa.array(x, t) for x, t in zip(zip(*rows), kinds)]
+            found = []
+            for k in range(batch.num_rows):
+                own = data[offsets[k] : offsets[k + 1]]
+                if wait[k]:
+                    found.append((None, None, None, None, own.tobytes().decode()))
+                    continue
+                *numbers, left = _result(own, first[at[k] : at[k + 1]], last[at[k] : at[k + 1]], length)
+                # a cut inside a character leaves bytes that are no text
+                found.append((*numbers, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            done = [pa.array(x, t) for x, t in zip(zip(*found), kinds)]
+            columns = [batch.column("rest"), *done]
+            names = ["rest", *RESULT, "text"]
             if keep_open:
-                mask = pa.array(wait)
-                own = [pc.if_else(mask, batch.column(c), pa.scalar(None, batch.column(c).type)) for c in ("text", "runs", "open")]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *own, *done], ["id", "key", "text", "runs", "open", *_OUT[1:]])
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *done], _OUT)
+                kept = pa.array(np.arange(batch.num_rows), mask=~wait)  # null where settled
+                columns += [batch.column("key"), *[batch.column(c).take(kept) for c in ("runs", "open")]]
+                names += ["key", "runs", "open"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -228,30 +232,32 @@ def _contexts(length: int):
             at, flat = _lists(batch.column("open"))
             if not at[-1]:
                 continue
-            row = np.repeat(np.arange(batch.num_rows), np.diff(at))
-            meta = np.asarray(flat.field("meta"), dtype=np.int64)
-            start = offsets[row] + (meta >> 16)
-            size = (meta & 255) + length
-            cuts = np.concatenate([[0], np.cumsum(size)])
-            gathered = data[np.arange(cuts[-1]) - np.repeat(cuts[:-1] - start, size)]
-            ctx = pa.Array.from_buffers(pa.binary(), len(meta), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(gathered)])
-            key = pa.array(np.asarray(batch.column("key"))[row])
-            yield pa.RecordBatch.from_arrays([flat.field("core"), flat.field("groups"), key, flat.field("meta"), ctx], ["core", "groups", "key", "meta", "ctx"])
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            for k in range(0, len(rows), 4096):
+                row, part = rows[k : k + 4096], flat.slice(k, 4096)
+                mark = np.asarray(part.field("mark"), dtype=np.int64)
+                start = offsets[row] + (mark >> MARK_BITS)
+                size = (mark & MORE) + length
+                cuts = np.concatenate([[0], np.cumsum(size)])
+                gathered = data[np.arange(cuts[-1]) - np.repeat(cuts[:-1] - start, size)]
+                ctx = pa.Array.from_buffers(pa.binary(), len(mark), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(gathered)])
+                key = pa.array(np.asarray(batch.column("key"))[row])
+                yield pa.RecordBatch.from_arrays([part.field("core"), part.field("groups"), key, part.field("mark"), ctx], ["core", "groups", "key", "mark", "ctx"])
 
     return run
 
 
 def _open_runs(length: int):
     """Per group (a core, or a share of a hot core's runs): runs of repeated starts as
-    (key, meta), and for shares of a hot core the starts that are still single, by name."""
+    (key, mark), and for shares of a hot core the starts that are still single, by name."""
 
-    def opened(core, groups, key, meta, ctx) -> pa.RecordBatch:
+    def opened(groups, key, mark, ctx) -> pa.RecordBatch:
         data, cuts = ctx
-        count = (meta & 255) + 1
-        row = np.repeat(np.arange(len(meta)), count)
+        count = (mark & MORE) + 1
+        row = np.repeat(np.arange(len(mark)), count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         start = cuts[row] + step
-        names = _Names(data)
+        names = Names(data)
         # the suffix's two halves: up to its trigger, and from there on
         name = names.of(start, start + length)
         order = np.argsort(name, kind="stable")
@@ -260,7 +266,7 @@ def _open_runs(length: int):
         again = np.zeros(len(name), bool)
         again[order[1:]] |= same
         again[order[:-1]] |= same
-        place = (meta[row] >> 16) + step
+        place = (mark[row] >> MARK_BITS) + step
         # neighbouring repeated starts of one run become one row
         begins = again & ~(np.concatenate([[False], again[:-1]]) & (step > 0))
         head = np.flatnonzero(begins)
@@ -276,9 +282,9 @@ def _open_runs(length: int):
             kind,
             np.concatenate([np.zeros(len(head), np.int64), name[lone].view(np.int64), name[proxy].view(np.int64)]),
             np.concatenate([key[row[head]], key[row[lone]], none]),
-            np.concatenate([(place[head] << 16) | (size - 1), place[lone] << 16, none]),
+            np.concatenate([(place[head] << MARK_BITS) | (size - 1), place[lone] << MARK_BITS, none]),
         ]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["kind", "name", "key", "meta"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["kind", "name", "key", "mark"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -286,19 +292,19 @@ def _open_runs(length: int):
 
         def flush(parts):
             t = pa.Table.from_batches(parts).combine_chunks()
-            col = {c: np.asarray(t[c]) for c in ("core", "groups", "key", "meta")}
+            col = {c: np.asarray(t[c]) for c in ("groups", "key", "mark")}
             ctx = t["ctx"].combine_chunks()
             ctx = ctx.chunk(0) if isinstance(ctx, pa.ChunkedArray) else ctx
             return opened(*col.values(), utf8(ctx))
 
         for batch in batches:  # sorted by group: cut where a group ends
-            mark = np.asarray(batch.column("mark"))
-            ends = np.flatnonzero(mark[1:] != mark[:-1]) + 1
-            if held and len(mark) and held[-1].column("mark")[-1].as_py() != mark[0] and size > CHUNK_BYTES:
+            group = np.asarray(batch.column("group"))
+            ends = np.flatnonzero(group[1:] != group[:-1]) + 1
+            if held and len(group) and held[-1].column("group")[-1].as_py() != group[0] and size > CHUNK_BYTES:
                 yield flush(held)
                 held, size = [], 0
             at = 0
-            for end in [*ends.tolist(), len(mark)]:
+            for end in [*ends.tolist(), len(group)]:
                 part = batch.slice(at, end - at)
                 if held and at and size > CHUNK_BYTES:
                     yield flush(held)
@@ -314,50 +320,59 @@ def _open_runs(length: int):
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256, as long as
-    ``length`` is between 2 * CORE and CORE + 255 (a run's starts fit 8 bits)."""
-    settled = settle_runs(docs, id_col, text_col, length)
-    return settled.withColumnRenamed("id", id_col)
+    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256.  ``length``
+    is between 2 * CORE and CORE + 255 (a run's starts fit 8 bits)."""
+    return _settled(docs, [id_col], id_col, text_col, length, False).select(F.col("rest.c0").alias(id_col), *RESULT)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+    """The rows of ``docs``, all columns, with the repeated bytes removed from their texts; of a
+    character that a cut splits, nothing is left."""
+    others = [c for c in docs.columns if c != text_col]
+    found = _settled(docs, others, id_col, text_col, length, True)
+    own = {c: F.col(f"rest.c{k}") for k, c in enumerate(others)} | {text_col: F.col("text")}
+    return found.select(*[own[c].alias(c) for c in docs.columns])
 
 
-def repeated_starts(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
-    """(texts, marks): the keyed texts, and per key its repeated runs and its open runs."""
+def _marks(keyed: DataFrame, length: int) -> DataFrame:
+    """Per key of (key, text) its repeated runs and its open runs."""
     if not 2 * CORE <= length <= CORE + 255:
         raise ValueError(f"length must be between {2 * CORE} and {CORE + 255}")
-    keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), row_key(id_col, text_col).alias("key"))
     source = keyed.select("key", "text")
-    cores = source.mapInArrow(_cores(length), "core long, n long").groupBy("core").agg(F.sum("n").alias("n")).where("n > 1").select("core")
-    runs = source.mapInArrow(_anchors(length), "core long, run long, key long, meta long").join(cores, "core")
+    cores = source.mapInArrow(_cores(length), "core long, n long").groupBy("core").agg(F.sum("n").alias("c")).where("c > 1").select("core", F.lit(True).alias("again"))
+    runs = source.mapInArrow(_combined(length), "core long, run long, key long, mark long, n long").join(cores, "core", "left").where("again or n = 0").drop("again")
     runs = written(runs, "op1-runs")
+    found_here = runs.where("n = 0").select("key", "mark")
+    runs = runs.where("n > 0")
     # one member stands for a run's copies: it is the partner that open suffixes may have there
-    found = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("core", "key", "meta")])
+    found = runs.groupBy("run").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("core", "key", "mark")])
     found = written(found, "op1-found")
-    single, member = found.where("n = 1").select("core", "key", "meta"), found.where("n > 1")
-    member_open = member.select("core", "key", "meta").join(single.select("core").distinct(), "core", "left_semi")
+    single, member = found.where("n = 1").select("core", "key", "mark"), found.where("n > 1")
+    member_open = member.select("core", "key", "mark").join(single.select("core").distinct(), "core", "left_semi")
     opened = single.unionByName(member_open)
     hot = opened.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > GROUP)
     hot = hot.select("core", F.ceil(F.col("c") / GROUP).cast("long").alias("groups"))
-    opened = opened.join(hot, "core", "left").select("key", F.struct("core", "meta", F.coalesce("groups", F.lit(1)).alias("groups")).alias("o"), F.lit(None).cast("long").alias("r"))
-    whole = runs.select("run", "key", "meta").join(member.select("run"), "run")
-    whole = whole.select("key", F.lit(None).cast(opened.schema["o"].dataType).alias("o"), F.col("meta").alias("r"))
-    marks = whole.unionByName(opened).groupBy("key").agg(F.collect_set("r").alias("runs"), F.collect_set("o").alias("open"))
-    return keyed, marks
-
-
-def settle_runs(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    keyed, marks = repeated_starts(docs, id_col, text_col, length)
-    id_type = keyed.schema["id"].dataType.simpleString()
-    open_type = marks.schema["open"].dataType.simpleString()
-    first = keyed.join(marks, "key", "left").select("id", "key", "text", "runs", "open")
-    first = written(first.mapInArrow(_settle(length, True), f"id {id_type}, key long, text string, runs array<long>, open {open_type}, {_RESULT}"), "op1-first")
-    pending = first.where("open is not null").select("id", "key", "text", "runs", "open")
-    ctx = pending.select("key", "text", "open").mapInArrow(_contexts(length), "core long, groups long, key long, meta long, ctx binary")
-    ctx = ctx.withColumn("mark", F.xxhash64("core", F.pmod(F.xxhash64("key", "meta"), F.col("groups"))))
-    ctx = ctx.repartition("mark").sortWithinPartitions("mark")
-    found = written(ctx.mapInArrow(_open_runs(length), "kind long, name long, key long, meta long"), "op1-open")
+    opened = opened.join(hot, "core", "left").select("key", F.struct("core", "mark", F.coalesce("groups", F.lit(1)).alias("groups")).alias("o"), F.lit(None).cast("long").alias("r"))
+    whole = runs.where("n = 1").select("run", "key", "mark").join(member.select("run"), "run").select("key", "mark").unionByName(found_here)
+    whole = whole.select("key", F.lit(None).cast(opened.schema["o"].dataType).alias("o"), F.col("mark").alias("r"))
+    return whole.unionByName(opened).groupBy("key").agg(F.collect_set("r").alias("runs"), F.collect_set("o").alias("open"))
+
+
+def _settled(docs: DataFrame, others: list[str], id_col: str, text_col: str, length: int, with_text: bool) -> DataFrame:
+    """(rest, the RESULT, text): ``rest`` holds the columns ``others`` as c0, c1, ..."""
+    rest = F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(others)])
+    keyed = docs.select(rest.alias("rest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), row_key(id_col, text_col).alias("key"))
+    marks = _marks(keyed, length)
+    done = T.StructType([keyed.schema["rest"], *RESULT_TYPES, T.StructField("text", T.StringType())])
+    waiting = T.StructType([*done, T.StructField("key", T.LongType()), *[T.StructField(c, marks.schema[c].dataType) for c in ("runs", "open")]])
+    first = written(keyed.join(marks, "key", "left").mapInArrow(_settle(length, True, with_text), waiting), "op1-first")
+    pending = first.where("open is not null")
+    ctx = pending.select("key", "text", "open").mapInArrow(_contexts(length), "core long, groups long, key long, mark long, ctx binary")
+    ctx = ctx.withColumn("group", F.xxhash64("core", F.pmod(F.xxhash64("key", "mark"), F.col("groups"))))
+    ctx = ctx.repartition("group").sortWithinPartitions("group")
+    found = written(ctx.mapInArrow(_open_runs(length), "kind long, name long, key long, mark long"), "op1-open")
     late = found.where("kind > 0").groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    late = found.where("kind = 1").join(late, "name").select("key", "meta")
-    more = found.where("kind = 0").select("key", "meta").unionByName(late).groupBy("key").agg(F.collect_set("meta").alias("more"))
-    rest = pending.join(more, "key", "left").select("id", "text", F.concat("runs", F.coalesce("more", F.array().cast("array<long>"))).alias("runs"))
-    rest = rest.mapInArrow(_settle(length, False), f"id {id_type}, {_RESULT}")
-    return first.where("open is null").select(*_OUT).unionByName(rest)
+    late = found.where("kind = 1").join(late, "name").select("key", "mark")
+    more = found.where("kind = 0").select("key", "mark").unionByName(late).groupBy("key").agg(F.collect_set("mark").alias("more"))
+    last = pending.join(more, "key", "left").select("rest", "text", F.concat("runs", F.coalesce("more", F.array().cast("array<long>"))).alias("runs"))
+    return first.where("open is null").select(*done.names).unionByName(last.mapInArrow(_settle(length, False, with_text), done))

@@ -72,3 +72,19 @@ def test_repeated_rows_null_ids_and_empty(spark):
     n = len(t)
     assert got == sorted([(False, 1, n, n), (False, 1, n, n), (False, 1, len(rows[2][1]), 0), (True, 0, n, n), (True, 0, 0, 0)])
     assert op.suffix_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_without_repeats_keeps_the_columns(spark):
+    texts = corpus()
+    df = frame(spark, texts)
+    out = op.without_repeats(df)
+    assert out.columns == df.columns
+    want = {}
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + 200] for b in raw for i in range(len(b) - 199))
+    for k, b in enumerate(raw):
+        gone = {i + j for i in range(len(b) - 199) if seen[b[i : i + 200]] > 1 for j in range(200)}
+        want[k] = bytes(x for i, x in enumerate(b) if i not in gone).decode("utf-8", "ignore")
+    rows = out.collect()
+    assert {r.doc_id: r.text for r in rows} == want
+    assert all((r.lang, r.key, r.id) == ("en", "key", 7) for r in rows)
