@@ -180,26 +180,22 @@ def ready(spec: str) -> Bpe:
     return _READY[key]
 
 
-def _round_trip(spec):
+def _round_trip(spec, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ready(spec.value)
         for batch in slices(batches, "text"):
-            rows = []
+            n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in texts(batch.column("text")):
                 ids = bpe.encode(text.decode("utf-8", "replace"))
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()))
-            n, ids_sha, text_sha = zip(*rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return run
-
-
-def _encode(spec):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ready(spec.value)
-        for batch in slices(batches, "text", 200_000):
-            ids = [np.frombuffer(bpe.encode(t.decode("utf-8", "replace")), np.uint32).astype(np.int32) for t in texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
+                n.append(len(ids) // 4)
+                ids_sha.append(hashlib.sha256(ids).hexdigest())
+                text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                all_ids.append(ids)
+            columns = [batch.column("id"), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
+            if with_ids:
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(all_ids), np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
 
     return run
 
@@ -219,13 +215,6 @@ def _shared(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids (array of int) of every row."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(_encode(_shared(docs, path)), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
-
-
 def decode_ids(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id and text of every row of ids."""
     source = rows.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
@@ -233,10 +222,10 @@ def decode_ids(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
     return source.mapInArrow(_decode(_shared(rows, path)), f"id {id_type}, text string").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes and decodes every row without keeping ids or texts: id, n_tokens, ids_sha256,
-    decoded_sha256."""
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encodes every row and decodes its ids again: id, n_tokens, ids_sha256, decoded_sha256,
+    with ``with_ids`` also ids (array of int)."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(_round_trip(_shared(docs, path)), f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return found.withColumnRenamed("id", id_col)
+    kind = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return source.mapInArrow(_round_trip(_shared(docs, path), with_ids), kind).withColumnRenamed("id", id_col)

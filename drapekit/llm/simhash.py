@@ -31,8 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from drapekit.llm.common import slices, texts, written
+from drapekit.llm.common import row_key, slices, texts, written
 from drapekit.llm.components import components
 
 BITS = 64
@@ -166,14 +167,32 @@ def hex16(col: str) -> Column:
     return F.lower(F.lpad(F.hex(col), 16, "0"))
 
 
+def _groups(firsts: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, label): the smallest fingerprint that each distinct one reaches."""
+    labels = components(near_pairs(firsts.select("fp"), max_bits))
+    return firsts.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
     prints = written(source.mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "op3-prints")
     firsts = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "op3-firsts")
-    labels = components(near_pairs(firsts.select("fp"), max_bits))
-    groups = firsts.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    groups = _groups(firsts, max_bits)
     least = groups.groupBy("label").agg(F.min("first").alias("component_id"))
     found = groups.join(least, "label").select("fp", "component_id")
     return prints.join(found, "fp").select(F.col("id").alias(id_col), hex16("fp").alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of ``docs``, all columns, of each near-duplicate group: that with the smallest id
+    (a null id only if there is no other); of rows that repeat id and text, any."""
+    key = next(f"key{k}" for k in range(len(docs.columns) + 1) if f"key{k}" not in docs.columns)
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    source = keyed.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key")).alias("id"), F.col(text_col).alias("text"))
+    kind = T.StructType([T.StructField("id", source.schema["id"].dataType), T.StructField("fp", T.LongType())])
+    prints = source.mapInArrow(_fingerprints(shingle), kind)
+    firsts = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "op3-firsts")
+    kept = _groups(firsts, max_bits).groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.key").alias(key))
+    return keyed.dropDuplicates([key]).join(kept, key, "left_semi").drop(key)

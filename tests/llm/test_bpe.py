@@ -66,7 +66,7 @@ def test_words_shared_cache_and_bound(own, library, monkeypatch):
 
 def test_ids_and_texts(spark, library):
     df = frame(spark, TEXTS)
-    ids = op.encode_texts(df, PATH)
+    ids = op.round_trip(df, PATH, with_ids=True)
     assert {r.doc_id: r.ids for r in ids.collect()} == {k: library.encode(t or "", add_special_tokens=False).ids for k, t in enumerate(TEXTS)}
     assert {r.doc_id: r.text for r in op.decode_ids(ids, PATH).collect()} == {k: t or "" for k, t in enumerate(TEXTS)}
 
