@@ -10,7 +10,6 @@ Sub-packages:
 * ``functions`` - column expressions (ids, URLs, bbox strings, colours, grid positions)
 * ``operators`` - joins, aggregates, windows, sampling, geometry
 * ``plans``     - the composed user-level jobs (scene search, point cloud, crop/merge, surface)
-* ``streaming`` - incremental scene search over catalogue items as they land
 """
 
 from drapekit.session import build_session, checkpoint_dir

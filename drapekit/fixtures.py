@@ -17,12 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _scene(key: str):
-    """Scene id 1 for every row, computed from a key column instead of written as a literal.
-    The driver tables hold one scene, but a literal key would let Catalyst fold every
-    per-scene join condition to ``true`` and plan cartesian products; real catalogues carry
-    scene ids as data, and so do the fixtures."""
-    return (F.col(key) * 0 + 1).cast("int")
+#: fixed value: scenes that the orders are dealt to
+SCENES = 24
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their scene ``s``, their place ``i`` in it and its size ``n``."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(k.alias("k"), (k % SCENES).cast("int").alias("s"), F.floor(k / SCENES).alias("i"), "o_totalprice", "o_custkey")
+    return o.join(o.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "s")
 
 
 def stac_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,67 +72,55 @@ def stac_item_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image storage rows ``(scene_id, band, row_idx, samples ARRAY<INT>)``: each embedding is one
-    band of one image row; float samples in [-1, 1] become uint8 values."""
-    emb = table(spark, sf_dir, "embeddings")
-    to_u8 = lambda v: F.least(
-        F.lit(255), F.greatest(F.lit(0), F.floor((v.cast("double") + 1) * 127.5))
-    ).cast("int")
-    return emb.select(
-        _scene("vec_id").alias("scene_id"),
-        (F.col("vec_id") % 3).cast("int").alias("band"),
-        F.floor(F.col("vec_id") / 3).cast("int").alias("row_idx"),
-        F.transform("embedding", to_u8).alias("samples"),
+    """Image storage rows ``(scene_id, band, row_idx, samples ARRAY<INT>)``: each order is one band
+    of one image row of its scene; scene s is 10 + s pixels wide.  A last image row without
+    all three bands is left out."""
+    o = _orders(spark, sf_dir).where("i < 3 * floor(n / 3)")
+    value = lambda j: ((F.col("k") * 31 + F.col("o_custkey") * 7 + j * 17) % 256).cast("int")
+    return o.select(
+        F.col("s").alias("scene_id"),
+        (F.col("i") % 3).cast("int").alias("band"),
+        F.floor(F.col("i") / 3).cast("int").alias("row_idx"),
+        F.transform(F.sequence(F.lit(0), F.col("s") + 9), value).alias("samples"),
     )
 
 
-def dem_axes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The grid's coordinate vectors ``(scene_id, x)`` and ``(scene_id, y)``: every distinct
-    supplier balance and every distinct part price (a grid ships these separately from its
-    cells, like the coordinate arrays of a gridded dataset)."""
-    xs = table(spark, sf_dir, "supplier").select(_scene("s_suppkey").alias("scene_id"), F.col("s_acctbal").alias("x")).distinct()
-    ys = table(spark, sf_dir, "part").select(_scene("p_partkey").alias("scene_id"), F.col("p_retailprice").alias("y")).distinct()
-    return xs, ys
-
+def dem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevation grid ``(scene_id, x, y, dem)``: one cell per order; scene s has 8 + s cells to a
+    row.  A last row that is not full is left out."""
+    wide = F.col("s") + 8
+    o = _orders(spark, sf_dir).where(F.col("i") < wide * F.floor(F.col("n") / wide))
+    return o.select(
+        F.col("s").alias("scene_id"),
+        (F.col("s") * 1000 + (F.col("i") % wide) * 10).cast("double").alias("x"),
+        (F.col("s") * 100 + F.floor(F.col("i") / wide) * 5).cast("double").alias("y"),
+        (F.col("o_totalprice") * 0.01).alias("dem"),
+    )
 
-# cells of the fixture grid are generated in this many hash buckets of y
-GRID_BUCKETS = 64
 
+def dem_axes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The grid's coordinate vectors ``(scene_id, x)`` and ``(scene_id, y)``."""
+    from drapekit.sources.dem import dem_axes as axes_of
 
-def dem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elevation grid ``(scene_id, x, y, dem)``: every x label with every y label.
-
-    Generated as a bucketed product: each x row is repeated once per bucket, each y label
-    falls in one hash bucket, and an equi-join on the bucket pairs them, so every (x, y) comes
-    out once, the work spreads over ``GRID_BUCKETS`` keys, and no cartesian operator is
-    planned."""
-    xs, ys = dem_axes(spark, sf_dir)
-    xb = xs.select("scene_id", "x", F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1))).alias("b"))
-    yb = ys.select("scene_id", "y", F.pmod(F.xxhash64("y"), F.lit(GRID_BUCKETS)).cast("int").alias("b"))
-    return xb.join(yb, ["scene_id", "b"]).select(
-        "scene_id",
-        "x",
-        "y",
-        (F.col("x") * 0.01 + F.col("y") * 0.1).alias("dem"),
-    )
+    return axes_of(dem_cells(spark, sf_dir))
 
 
 def raster_meta(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """One row per scene ``(scene_id, lft, btm, rgt, tp, width, height)``: the image covers the
-    grid's extent; width is the sample count of a row, height the number of complete rows
-    (all three bands present)."""
+    grid's extent."""
     rows = raster_rows(spark, sf_dir) if rows is None else rows
-    xs, ys = dem_axes(spark, sf_dir)
-    bx = xs.groupBy("scene_id").agg(F.min("x").alias("lft"), F.max("x").alias("rgt"))
-    by = ys.groupBy("scene_id").agg(F.min("y").alias("btm"), F.max("y").alias("tp"))
-    complete = (
-        rows.groupBy("scene_id", "row_idx")
-        .agg(F.countDistinct("band").alias("nb"), F.max(F.size("samples")).alias("w"))
-        .filter(F.col("nb") == 3)
-        .groupBy("scene_id")
-        .agg(F.max("w").cast("int").alias("width"), F.count(F.lit(1)).cast("int").alias("height"))
-    )
-    return bx.join(by, "scene_id").join(complete, "scene_id").select("scene_id", "lft", "btm", "rgt", "tp", "width", "height")
+    extent = dem_cells(spark, sf_dir).groupBy("scene_id").agg(F.min("x").alias("lft"), F.max("x").alias("rgt"), F.min("y").alias("btm"), F.max("y").alias("tp"))
+    size = rows.groupBy("scene_id").agg(F.max(F.size("samples")).cast("int").alias("width"), (F.max("row_idx") + 1).cast("int").alias("height"))
+    return extent.join(size, "scene_id").select("scene_id", "lft", "btm", "rgt", "tp", "width", "height")
+
+
+def landed(df: DataFrame, name: str) -> str:
+    """The folder of ``df`` written as Parquet: what the source readers get."""
+    from drapekit.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,14 @@ select concat('S2_', cast(user_id as varchar), '_', event_type, '_', cast(event_
   cast((user_id*37) % 340 - 160 as double) as max_lon, cast((user_id*13) % 160 - 70 as double) as max_lat,
   concat('s3://eodata/', event_type, '/', cast(event_id as varchar), '_TCI_20m.jp2') as tci_20m_href
 from events""",
+    "scene_orders": """
+select o_orderkey as k, cast(o_orderkey % 24 as integer) as s, o_orderkey // 24 as i, o_totalprice, o_custkey,
+  count(*) over (partition by o_orderkey % 24) as n
+from orders""",
     "raster_rows": """
-select 1 as scene_id, cast(vec_id % 3 as integer) as band, cast(floor(vec_id / 3) as integer) as row_idx,
-  list_transform(embedding, lambda v: cast(least(255, greatest(0, floor((cast(v as double) + 1) * 127.5))) as integer)) as samples
-from embeddings""",
+select s as scene_id, cast(i % 3 as integer) as band, cast(i // 3 as integer) as row_idx,
+  list_transform(range(10 + s), lambda j: cast((k * 31 + o_custkey * 7 + j * 17) % 256 as integer)) as samples
+from scene_orders where i < 3 * (n // 3)""",
     "raster_long": """
 select scene_id, band, row_idx, cast(j - 1 as integer) as col_idx, samples[j] as val
 from (select *, unnest(range(1, len(samples) + 1)) as j from raster_rows)""",
@@ -29,14 +33,14 @@ select scene_id, row_idx, col_idx,
   max(case when band = 2 then val end) as blue
 from raster_long group by scene_id, row_idx, col_idx having count(distinct band) = 3""",
     "dem_cells": """
-select 1 as scene_id, x, y, x * 0.01 + y * 0.1 as dem
-from (select distinct s_acctbal as x from supplier) a cross join (select distinct p_retailprice as y from part) b""",
+select s as scene_id, cast(s * 1000 + (i % (s + 8)) * 10 as double) as x, cast(s * 100 + (i // (s + 8)) * 5 as double) as y,
+  o_totalprice * 0.01 as dem
+from scene_orders where i < (s + 8) * (n // (s + 8))""",
     "raster_meta": """
 select b.scene_id, b.lft, b.btm, b.rgt, b.tp, c.width, c.height
 from (select scene_id, min(x) as lft, min(y) as btm, max(x) as rgt, max(y) as tp from dem_cells group by scene_id) b
-join (select scene_id, cast(max(w) as integer) as width, cast(count(*) as integer) as height
-      from (select scene_id, row_idx, count(distinct band) as nb, max(len(samples)) as w from raster_rows group by scene_id, row_idx)
-      where nb = 3 group by scene_id) c on b.scene_id = c.scene_id""",
+join (select scene_id, cast(max(len(samples)) as integer) as width, cast(max(row_idx) + 1 as integer) as height
+      from raster_rows group by scene_id) c on b.scene_id = c.scene_id""",
     "points": """
 select o_orderkey as pid, o_totalprice as x, cast(o_custkey as double) as y, o_totalprice * 0.001 + o_custkey as z,
   cast(o_orderkey % 256 as integer) as red, cast((o_orderkey * 7) % 256 as integer) as green,
@@ -64,6 +68,8 @@ from customer""",
 
 # view -> views it reads
 DEPENDS: dict[str, tuple[str, ...]] = {
+    "raster_rows": ("scene_orders",),
+    "dem_cells": ("scene_orders",),
     "raster_long": ("raster_rows",),
     "raster_px": ("raster_long",),
     "raster_meta": ("dem_cells", "raster_rows"),

@@ -63,8 +63,8 @@ def resolve_color_columns(df: DataFrame) -> tuple[DataFrame, list[Column] | None
     """Choose the colour source by exact (case-sensitive) column names.
 
     Returns ``(positional_df, [r, g, b] expressions or None, description)``.  A schema-level
-    choice; only the last fallback (a list column whose first row must have 3 values) runs a
-    one-row job."""
+    choice; only the last fallback (a list column that must have 3 values in every row) looks
+    at the data, at all of it."""
     pdf, pos = _positional(df)
     cols = df.columns
     for trio in COLOR_SETS:
@@ -74,7 +74,7 @@ def resolve_color_columns(df: DataFrame) -> tuple[DataFrame, list[Column] | None
         return pdf, unpack_color(F.col(pos[TUPLE_COLUMN])), TUPLE_COLUMN
     for name in OTHER_TUPLE_COLUMNS:
         if name in cols and isinstance(df.schema[cols.index(name)].dataType, T.ArrayType):
-            first = pdf.select(F.size(F.col(pos[name])).alias("n")).limit(1).collect()
-            if first and first[0]["n"] == 3:
+            sizes = pdf.agg(F.min(F.size(F.col(pos[name]))).alias("a"), F.max(F.size(F.col(pos[name]))).alias("b")).first()
+            if sizes["a"] == sizes["b"] == 3:
                 return pdf, unpack_color(F.col(pos[name])), name
     return pdf, None, None

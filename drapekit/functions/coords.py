@@ -71,9 +71,9 @@ def export_frame(df: DataFrame, keep: tuple[str, ...] = ("scene_id",), group: tu
         gcols = [f"_g_{c}" for c in grp]
         cmax = F.greatest(*[F.max(f"_c{i}") for i in range(3)]).alias("_cmax")
         if gcols:
-            from drapekit.operators.small import bounded_broadcast
+            from drapekit.operators.small import settled
 
-            mx = bounded_broadcast(base.groupBy(*gcols).agg(cmax), "colormax")
+            mx = settled(base.groupBy(*gcols).agg(cmax), "colormax")
             pdf = pdf.join(mx, [pdf[pos[c]].eqNullSafe(mx[f"_g_{c}"]) for c in grp]).drop(*gcols)
             cm = F.col("_cmax")
         else:

@@ -91,13 +91,17 @@ def cap_items(items: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
 
 
 def latest_per_key(items: DataFrame, key: str = "id_key") -> DataFrame:
-    """The newest row per key (ties: smallest id).
-
-    A ``min_by`` aggregate rather than a window: partial aggregation per task means a key that
-    holds a third of all rows is still reduced map-side before the shuffle."""
-    cols = [c for c in items.columns if c != key]
-    best = items.groupBy(key).agg(F.min_by(F.struct(*cols), recency_key()).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in cols]).select(*items.columns)
+    """The newest row per key (ties: smallest id; of rows that repeat the id, any).
+
+    An aggregate rather than a window: only (recency, id) is aggregated, map-side first, so a
+    key that holds a third of all rows is reduced before the shuffle.  The rows of the winners
+    are then fetched by id."""
+    best = items.groupBy(key).agg(F.min(recency_key()).alias("_k"))
+    best = best.select(F.col(key).alias("_key"), F.col("_k.id").alias("_id"))
+    hit = items.join(best, F.col(key).eqNullSafe(F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    cols = [c for c in items.columns if c not in (key, "id")]
+    rows = hit.groupBy(key, "id").agg(F.min_by(F.struct(*cols), recency_key()).alias("_best"))
+    return rows.select(key, "id", *[F.col(f"_best.{c}").alias(c) for c in cols]).select(*items.columns)
 
 
 def most_recent(items: DataFrame) -> DataFrame:

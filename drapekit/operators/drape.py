@@ -6,9 +6,9 @@ Plan shape (per scene, W x H image):
 * each is snapped to the grid's labels by ``nearest_label`` (separable: W + H look-ups,
   never W x H),
 * the elevation of every pixel comes from joining the grid cells to the two snapped axes
-  on their labels.  Both axes are small (W + H rows per scene) and broadcast after a size
-  check, so the cell table is streamed once, with no shuffle, and cells off the snapped
-  labels are dropped in the scan stage.  A label used by several image columns (an image
+  on their labels.  Both axes are small (W + H rows per scene) and written first: their range
+  goes to the scan of the cells, and where they fit the session's broadcast threshold the
+  cell table is streamed once, with no shuffle.  A label used by several image columns (an image
   finer than the grid) fans out to each of them, which is the mesh grid without a
   cartesian product,
 * pixels and elevations meet in one equi-join on ``(scene_id, pid)``.
@@ -16,18 +16,14 @@ Plan shape (per scene, W x H image):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drapekit.functions.grid import linspace, point_id
 from drapekit.operators.nearest import nearest_label
+from drapekit.operators.small import settled
 from drapekit.sources.dem import clean_cells, dem_axes
 
-# Axis tables above this many rows (summed over scenes) are joined by shuffle instead of
-# broadcast.  4M rows of (int, int, double) stay well under the default broadcast limit.
-AXIS_BROADCAST_MAX_ROWS = 4_000_000
-
-
 def target_axes(meta: DataFrame, centers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Requested sample positions: x over the image columns (left..right), y over the image
     rows (bottom..top, so row 0 is the south edge).  By default spread over the outer edges
@@ -64,41 +60,26 @@ def snapped_axes(
     return xs.select("scene_id", "col_idx", "x"), ys.select("scene_id", "row_idx", "y")
 
 
-def axes_fit_broadcast(meta: DataFrame, max_rows: int = AXIS_BROADCAST_MAX_ROWS) -> bool:
-    """Size check for broadcasting the axes: total W + H over all scenes, read from the
-    one-row-per-scene header table."""
-    row = meta.agg(
-        F.coalesce(F.sum(F.col("width").cast("long")), F.lit(0)).alias("w"),
-        F.coalesce(F.sum(F.col("height").cast("long")), F.lit(0)).alias("h"),
-    ).first()
-    return (row["w"] + row["h"]) <= max_rows
-
-
 def resample_grid(
     meta: DataFrame,
     cells: DataFrame,
     axes: tuple[DataFrame, DataFrame] | None = None,
-    broadcast_axes: bool | None = None,
     small_meta: DataFrame | None = None,
     centers: bool = False,
 ) -> DataFrame:
     """Elevation per image position: ``(scene_id, pid, row_idx, col_idx, x, y, z)``.
 
-    ``broadcast_axes=None`` checks the axis size first (``axes_fit_broadcast``).  The
-    one-row-per-scene header is broadcast after its own size check (``small_meta``)."""
-    from drapekit.operators.small import bounded_broadcast
-
-    cells = clean_cells(cells)
-    if small_meta is None:
-        small_meta = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
-    meta = small_meta
-    xs, ys = snapped_axes(meta, cells, axes, centers)
-    if broadcast_axes is None:
-        broadcast_axes = axes_fit_broadcast(meta)
-    xs = xs.join(meta.select("scene_id", "width"), "scene_id")
-    if broadcast_axes:
-        xs, ys = F.broadcast(xs), F.broadcast(ys)
-    elev = cells.join(xs, ["scene_id", "x"]).join(ys, ["scene_id", "y"])
+    The snapped axes (W + H rows per scene) are settled first, so the planner knows their
+    size and their range: the range is pushed into the scan of the cells, and the axes are
+    broadcast where they are small enough for the session's threshold."""
+    small_meta = settled(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta") if small_meta is None else small_meta
+    xs, ys = (settled(a, "axis") for a in snapped_axes(small_meta, clean_cells(cells), axes, centers))
+    for a, c in ((xs, "x"), (ys, "y")):
+        low, high = a.agg(F.min(c), F.max(c)).first()
+        if low is not None:
+            cells = cells.where(F.col(c).between(low, high))
+    xs = xs.join(small_meta.select("scene_id", "width"), "scene_id")
+    elev = clean_cells(cells).join(xs, ["scene_id", "x"]).join(ys, ["scene_id", "y"])
     return elev.select(
         "scene_id",
         point_id(F.col("row_idx"), F.col("col_idx"), F.col("width")),
@@ -142,29 +123,24 @@ def mesh_grid(xs: DataFrame, ys: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-def drape(image_pts: DataFrame, elevation: DataFrame) -> DataFrame:
-    """Zip colours and elevations by position (J5): inner equi-join on ``(scene_id, pid)``.
+def drape(image_pts: DataFrame, elevation: DataFrame, missing: str = "raise") -> DataFrame:
+    """Zip colours and elevations by position (J5): equi-join on ``(scene_id, pid)``.
 
-    Both inputs are image-sized; Spark shuffles each once on the key (or not at all when
-    both are stored bucketed by it)."""
-    e = elevation.select("scene_id", "pid", "x", "y", "z")
-    return image_pts.join(e, ["scene_id", "pid"]).select(
-        "scene_id", "pid", "x", "y", "z", "red", "green", "blue"
-    )
+    A position that one side lacks fails the job (the reference fails on unequal lengths).
+    With ``missing="null"`` it is kept, with NULL coordinates or colours; nothing is dropped.
+    Both inputs are image-sized; Spark shuffles each once on the key (or not at all when both
+    are stored bucketed by it)."""
+    if missing not in ("raise", "null"):
+        raise ValueError("missing is 'raise' or 'null'")
+    i = image_pts.select("scene_id", "pid", F.struct("red", "green", "blue").alias("_i"))
+    e = elevation.select("scene_id", "pid", F.struct("x", "y", "z").alias("_e"))
+    both = i.join(e, ["scene_id", "pid"], "full_outer")
+    if missing == "raise":
+        both = both.select("scene_id", "pid", *[present(c, what) for c, what in (("_i", "pixel"), ("_e", "elevation"))])
+    return both.select("scene_id", "pid", "_e.x", "_e.y", "_e.z", "_i.red", "_i.green", "_i.blue")
 
 
-def check_drape_counts(image_pts: DataFrame, elevation: DataFrame, meta: DataFrame) -> None:
-    """Strict mode: both sides must hold exactly ``width * height`` points per scene (the
-    reference fails on unequal lengths).  One aggregate job."""
-    a = image_pts.groupBy("scene_id").agg(F.count(F.lit(1)).alias("n_img"))
-    b = elevation.groupBy("scene_id").agg(F.count(F.lit(1)).alias("n_dem"))
-    m = meta.select("scene_id", (F.col("width").cast("long") * F.col("height")).alias("n"))
-    bad = (
-        m.join(a, "scene_id", "left")
-        .join(b, "scene_id", "left")
-        .filter((F.coalesce("n_img", F.lit(0)) != F.col("n")) | (F.coalesce("n_dem", F.lit(0)) != F.col("n")))
-        .limit(5)
-        .collect()
-    )
-    if bad:
-        raise ValueError(f"drape size mismatch (scene, n, image, elevation): {[tuple(r) for r in bad]}")
+def present(struct: str, what: str) -> Column:
+    """The struct column, or a job failure that names the position where it is absent."""
+    where = F.concat(F.lit(f"drape: no {what} at scene "), F.coalesce(F.col("scene_id").cast("string"), F.lit("null")), F.lit(", pid "), F.coalesce(F.col("pid").cast("string"), F.lit("null")))
+    return F.coalesce(F.col(struct), F.raise_error(where)).alias(struct)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from drapekit.functions.colors import _positional, clip_color, resolve_color_columns
 from drapekit.operators.aggregates import center_scale, expanded_bbox
-from drapekit.operators.small import bounded_broadcast
+from drapekit.operators.small import settled
 
 
 def bbox_crop(df: DataFrame, box: DataFrame) -> DataFrame:
@@ -51,16 +51,16 @@ def normalize_cloud(df: DataFrame, group: tuple[str, ...] = ("scene_id",)) -> Da
     """G1: centre each cloud on its centroid and divide by one uniform scale (largest absolute
     deviation over x, y, z), so coordinates land in [-1, 1]; colours become 0..1 (P14).
 
-    The per-cloud statistics are one aggregate row per group, broadcast after a size check
-    (``bounded_broadcast``), or a scalar subquery without groups.  A zero
+    The per-cloud statistics are one aggregate row per group, settled first, or a scalar
+    subquery without groups.  A zero
     scale (one point, or all equal) gives 0.0 coordinates instead of a division by zero."""
     g = [c for c in group if c in df.columns]
     stats = center_scale(df, g)
     pdf, colors, _ = resolve_color_columns(df)
     _, pos = _positional(df)
     if g:
-        keyed = bounded_broadcast(stats.select(*[F.col(c).alias(pos[c]) for c in g], "cx", "cy", "cz", "scale"), "center")
-        j = pdf.join(keyed, [pos[c] for c in g])
+        keyed = settled(stats.select(*[F.col(c).alias(f"_g_{c}") for c in g], "cx", "cy", "cz", "scale"), "center")
+        j = pdf.join(keyed, [F.col(pos[c]).eqNullSafe(F.col(f"_g_{c}")) for c in g])
         cx, cy, cz, sc = (F.col(c) for c in ("cx", "cy", "cz", "scale"))
     else:
         j = pdf
@@ -77,44 +77,40 @@ def normalize_cloud(df: DataFrame, group: tuple[str, ...] = ("scene_id",)) -> Da
     return j.select(*out)
 
 
-def triangulate_grid(cloud: DataFrame, meta: DataFrame) -> DataFrame:
+def triangulate_grid(cloud: DataFrame, meta: DataFrame, block: int = 1) -> DataFrame:
     """G3 (re-aimed surface): two triangles per grid square, ``(p, p+1, p+W)`` and
     ``(p+1, p+W+1, p+W)`` for every grid square, kept when all three corners exist.
 
-    Each present vertex announces the triangles it is a corner of (at most 6); a triangle is
-    kept when all three corner bits are set.  One shuffle keyed by triangle, partially
+    With ``block`` > 1 the grid is that many pixels coarser: of the points in a block of
+    ``block`` x ``block`` pixels the one with the smallest ``pid`` is the vertex.  A sample of
+    a share f of the points leaves few full squares at pixel size; with a block of about
+    2 / sqrt(f) nearly every block holds a point, so the surface stays whole.  Corners are the
+    vertices' pids.
+
+    Each present vertex announces the triangles it is a corner of (at most 6), with its pid; a
+    triangle is kept when all three corners are set.  One shuffle keyed by triangle, partially
     aggregated per task, groups of at most 3 distinct corners: no skew, no pair generation."""
-    m = meta.select("scene_id", F.col("width").cast("long").alias("w"), F.col("height").cast("long").alias("h"))
+    block = int(block)
+    w = F.col("width").cast("long")
+    m = meta.select("scene_id", w.alias("w0"), F.ceil(w / block).alias("w"), F.ceil(F.col("height").cast("long") / block).alias("h"))
     v = cloud.select("scene_id", "pid").join(m, "scene_id")
-    v = v.select("scene_id", "w", "h", F.floor(F.col("pid") / F.col("w")).alias("r"), (F.col("pid") % F.col("w")).alias("c"))
+    v = v.groupBy("scene_id", "w", "h", F.floor(F.floor(F.col("pid") / F.col("w0")) / block).alias("r"), F.floor(F.col("pid") % F.col("w0") / block).alias("c")).agg(F.min("pid").alias("pid"))
     # anchor = the square's corner with the lowest pid (row ar, col ac).  Triangle kind 0 is
-    # (a, a+1, a+W), kind 1 is (a+1, a+W+1, a+W).  Each corner role of a triangle has its own
-    # bit; a vertex present twice (a sample with repeats) sets the same bit twice.
-    role = lambda dr, dc, kind, bit: F.struct(
-        F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(kind).alias("kind"), F.lit(bit).alias("bit")
+    # (a, a+1, a+W), kind 1 is (a+1, a+W+1, a+W).  A vertex present twice (a sample with
+    # repeats) was one block already.
+    role = lambda dr, dc, kind, corner: F.struct(
+        F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(kind).alias("kind"), F.lit(corner).alias("corner")
     )
     roles = F.array(
-        role(0, 0, 0, 1), role(0, 1, 0, 2), role(1, 0, 0, 4),
-        role(0, 1, 1, 1), role(1, 1, 1, 2), role(1, 0, 1, 4),
-    )
-    t = v.select("scene_id", "w", "h", "r", "c", F.explode(roles).alias("role"))
-    t = t.select(
-        "scene_id",
-        "w",
-        "h",
-        (F.col("r") - F.col("role.dr")).alias("ar"),
-        (F.col("c") - F.col("role.dc")).alias("ac"),
-        F.col("role.kind").alias("kind"),
-        F.col("role.bit").alias("bit"),
-    ).filter((F.col("ar") >= 0) & (F.col("ac") >= 0) & (F.col("ar") < F.col("h") - 1) & (F.col("ac") < F.col("w") - 1))
-    tri = t.groupBy("scene_id", "w", "ar", "ac", "kind").agg(F.bit_or("bit").alias("mask")).filter(F.col("mask") == 7)
-    a = F.col("ar") * F.col("w") + F.col("ac")
-    return tri.select(
-        "scene_id",
-        F.when(F.col("kind") == 0, a).otherwise(a + 1).alias("a"),
-        F.when(F.col("kind") == 0, a + 1).otherwise(a + F.col("w") + 1).alias("b"),
-        (a + F.col("w")).alias("c"),
-    )
+        role(0, 0, 0, "a"), role(0, 1, 0, "b"), role(1, 0, 0, "c"),
+        role(0, 1, 1, "a"), role(1, 1, 1, "b"), role(1, 0, 1, "c"),
+    )
+    t = v.select("scene_id", "w", "h", "r", "c", "pid", F.explode(roles).alias("role"))
+    t = t.select("scene_id", "w", "h", "pid", (F.col("r") - F.col("role.dr")).alias("ar"), (F.col("c") - F.col("role.dc")).alias("ac"), "role.kind", "role.corner")
+    t = t.filter((F.col("ar") >= 0) & (F.col("ac") >= 0) & (F.col("ar") < F.col("h") - 1) & (F.col("ac") < F.col("w") - 1))
+    corners = [F.max(F.when(F.col("corner") == x, F.col("pid"))).alias(x) for x in "abc"]
+    tri = t.groupBy("scene_id", "ar", "ac", "kind").agg(*corners)
+    return tri.where("a is not null and b is not null and c is not null").select("scene_id", "a", "b", "c")
 
 
 def require_faces(faces: DataFrame) -> DataFrame:

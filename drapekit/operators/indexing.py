@@ -6,12 +6,16 @@ index of an axis label.  ``row_number()`` over an unpartitioned window would pul
 into one task, so instead:
 
 1. range-partition and sort by the ordering columns (partition ``p`` holds only rows that
-   sort before partition ``p+1``),
-2. count rows per (partition, group) - one small aggregate, at most partitions x groups rows,
+   sort before partition ``p+1``), number the rows inside each partition, and write the rows
+   with partition and row number to the shared folder,
+2. count rows per (partition, group) of the written rows - one small aggregate, at most
+   partitions x groups rows,
 3. turn the counts into offsets with a window over that small table,
-4. id = offset + position inside the partition (the low 33 bits of
-   ``monotonically_increasing_id``), joined back through a broadcast of the offsets,
-   whose size is bounded by the number of partitions, not by the data.
+4. id = offset + position inside the partition.
+
+Range bounds are sampled and partitions coalesced per plan, so two plans over the same input
+need not agree on them.  That is why partition and row number are written once and both the
+counts and the ids read the same files.
 
 Rows that tie on the ordering columns are split by their scan order, so a group of identical
 rows (a third of a table, say) spreads over several range partitions instead of one.
@@ -24,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from drapekit.session import scratch_path
+
 _ROW_BITS = (1 << 33) - 1
 
 
@@ -50,21 +56,17 @@ def dense_index(
         .withColumn("_dk_part", F.spark_partition_id())
         .withColumn("_dk_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     )
+    path = scratch_path(df.sparkSession, "index")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     group_names = list(group_by)
-    counts = tagged.groupBy(*group_names, "_dk_part").agg(
-        F.count(F.lit(1)).alias("_dk_n"), F.min("_dk_row").alias("_dk_first")
-    )
-    w = (
-        Window.partitionBy(*group_names).orderBy("_dk_part")
-        if group_names
-        else Window.orderBy("_dk_part")
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(
-        "_dk_off", F.coalesce(F.sum("_dk_n").over(w), F.lit(0)).cast("long")
-    ).drop("_dk_n")
-    # offsets has one row per (partition, group): a size bound set by the partition count
-    return (
-        tagged.join(F.broadcast(offsets), group_names + ["_dk_part"])
-        .withColumn(name, (F.col("_dk_off") + F.col("_dk_row") - F.col("_dk_first")).cast("long"))
-        .drop("_dk_part", "_dk_row", "_dk_off", "_dk_first", "_dk_tie")
-    )
+    counts = tagged.groupBy(*group_names, "_dk_part").agg(F.count(F.lit(1)).alias("_dk_n"), F.min("_dk_row").alias("_dk_first"))
+    w = Window.partitionBy(*group_names) if group_names else Window.partitionBy(F.lit(0))
+    w = w.orderBy("_dk_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_dk_off", F.coalesce(F.sum("_dk_n").over(w), F.lit(0)).cast("long")).drop("_dk_n")
+    offsets = offsets.select(*[F.col(c).alias(f"_dk_{c}") if c in group_names else F.col(c) for c in offsets.columns])
+    # one row per (partition, group), joined null-safe: null groups count as a group
+    same = [F.col(g).eqNullSafe(F.col(f"_dk_{g}")) for g in group_names]
+    joined = tagged.alias("t").join(offsets.withColumnRenamed("_dk_part", "_dk_at"), [F.col("_dk_part") == F.col("_dk_at"), *same])
+    out = (F.col("_dk_off") + F.col("_dk_row") - F.col("_dk_first")).cast("long")
+    return joined.select(*[F.col(c) for c in df.columns if c != "_dk_tie"], out.alias(name))

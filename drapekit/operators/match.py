@@ -1,13 +1,16 @@
 """Request x item footprint matching (J1): for many search boxes at once, the newest item
 whose footprint intersects each box.
 
-Boxes on both sides are bucketed into lon/lat grid cells (``explode`` of the covered cells),
-joined on the cell, and the exact overlap test runs on the candidates.  A pair sharing
-several cells is kept only in the cell holding the lower-left corner of the overlap, so no
-distinct is needed.  The newest item per request is a ``min_by`` aggregate, which Spark
-partially aggregates right after the join in the same stage, so candidate pairs are never
-shuffled; only one row per request and task is.  Hot cells are split by AQE's skew-join
-handling.
+* Only the newest item of a footprint can win, so items are first reduced to (footprint, newest),
+  map-side before the shuffle.  Catalogues repeat their tiles, so this removes most items and
+  keeps a crowded place from holding more than its distinct footprints.
+* A box with ``min_lon > max_lon`` crosses the antimeridian; it is split into two boxes.
+* Boxes on both sides are bucketed into lon/lat cells sized by the data (the mean box), joined on
+  the cell, and the exact overlap test runs in the join.  A pair sharing several cells is
+  kept only in the cell holding the lower-left corner of the overlap, so no distinct is
+  needed.
+* Per request only (recency, id) is aggregated, map-side; the winners' rows are fetched by id at
+  the end.  Hot cells are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -16,16 +19,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drapekit.operators.catalog import recency_key
+from drapekit.operators.small import settled
 
-# fixed values: default bucketing cell (degrees)
-CELL_DEG = 10.0
+BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
+# fixed values: bounds of a cell side in degrees
+CELL_RANGE = (0.01, 60.0)
 
 
 def _cell(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("long")
 
 
-def bbox_cells(df: DataFrame, size: float = CELL_DEG, prefix: str = "") -> DataFrame:
+def bbox_cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
     """One row per grid cell a box covers, as ``(cx, cy)``.  The count per box is bounded by the
     world area over the cell area."""
     c = lambda n: F.col(prefix + n)
@@ -34,21 +39,35 @@ def bbox_cells(df: DataFrame, size: float = CELL_DEG, prefix: str = "") -> DataF
     )
 
 
-def match_scenes(requests: DataFrame, items: DataFrame, size: float = CELL_DEG) -> DataFrame:
+def split_antimeridian(df: DataFrame) -> DataFrame:
+    """Boxes whose west edge lies east of their east edge become two."""
+    side = lambda a, b: F.struct(a.alias("min_lon"), b.alias("max_lon"))
+    west, east = F.col("min_lon"), F.col("max_lon")
+    parts = F.when(west > east, F.array(side(west, F.lit(180.0)), side(F.lit(-180.0), east))).otherwise(F.array(side(west, east)))
+    others = [c for c in df.columns if c not in ("min_lon", "max_lon")]
+    return df.select(*others, F.explode(parts).alias("_lon")).select(*others, "_lon.*")
+
+
+def cell_size(*boxes: DataFrame) -> float:
+    """A cell side about twice the mean box side, so a box covers a few cells on either side of
+    the join."""
+    sides = [F.avg(F.col("max_lon") - F.col("min_lon")), F.avg(F.col("max_lat") - F.col("min_lat"))]
+    found = [v for b in boxes for v in b.agg(*sides).first() if v is not None]
+    low, high = CELL_RANGE
+    return min(max(2 * sum(found) / max(1, len(found)), low), high)
+
+
+def match_scenes(requests: DataFrame, items: DataFrame, size: float | None = None) -> DataFrame:
     """``(req_id, <item columns>)``: the newest intersecting item per request; requests
     without a match are absent.  ``requests`` has ``req_id, min_lon, min_lat, max_lon,
-    max_lat`` (valid boxes only); ``items`` the flat catalogue columns."""
-    r = bbox_cells(
-        requests.select(
-            "req_id",
-            *[F.col(n).alias(f"q_{n}") for n in ("min_lon", "min_lat", "max_lon", "max_lat")],
-        ),
-        size,
-        prefix="q_",
-    )
-    icols = items.columns
-    i = bbox_cells(items, size)
-    pairs = r.join(i, ["cx", "cy"])
+    max_lat`` (valid boxes only); ``items`` the flat catalogue columns.  ``size`` fixes the
+    cell side in degrees."""
+    r = split_antimeridian(requests.select("req_id", *BOX))
+    newest = items.groupBy(*BOX).agg(F.min(recency_key()).alias("_k"))
+    i = settled(split_antimeridian(newest), "footprints")
+    size = cell_size(r, i) if size is None else size
+    r = bbox_cells(r.select("req_id", *[F.col(n).alias(f"q_{n}") for n in BOX]), size, prefix="q_")
+    pairs = r.join(bbox_cells(i, size), ["cx", "cy"])
     overlap = (
         (F.col("min_lon") <= F.col("q_max_lon"))
         & (F.col("max_lon") >= F.col("q_min_lon"))
@@ -58,9 +77,12 @@ def match_scenes(requests: DataFrame, items: DataFrame, size: float = CELL_DEG)
     home = (F.col("cx") == _cell(F.greatest("min_lon", "q_min_lon"), size)) & (
         F.col("cy") == _cell(F.greatest("min_lat", "q_min_lat"), size)
     )
-    best = (
-        pairs.filter(overlap & home)
-        .groupBy("req_id")
-        .agg(F.min_by(F.struct(*icols), recency_key()).alias("_it"))
-    )
-    return best.select("req_id", *[F.col(f"_it.{c}").alias(c) for c in icols])
+    best = pairs.filter(overlap & home).groupBy("req_id").agg(F.min("_k").alias("_k"))
+    best = best.select("req_id", F.col("_k.id").alias("_id"), F.col("_k.t").alias("_t"))
+    # the winners' rows; of rows that repeat id and time, one
+    wanted = best.select(F.col("_id").alias("id"), "_t").distinct()
+    cols = [c for c in items.columns if c != "id"]
+    keyed = items.withColumn("_t", recency_key()["t"])
+    rows = keyed.join(wanted, ["id", "_t"], "left_semi").groupBy("id", "_t").agg(F.first(F.struct(*cols)).alias("_it"))
+    out = best.join(rows, (F.col("_id") == F.col("id")) & (best["_t"] == rows["_t"]))
+    return out.select("req_id", *[F.col("id") if c == "id" else F.col(f"_it.{c}").alias(c) for c in items.columns])

@@ -6,8 +6,8 @@ no tolerance.  The rule looks only at values, so it is the same for ascending an
 axes.
 
 General form: labels and targets are unioned per (scene); ``last(label)`` over everything up
-to the current value gives the label below, ``first(label)`` over everything from the
-current value gives the label above.  The window partitions by scene, so each window holds
+to the current value gives the label below, and the same over the keys in descending order
+gives the label above; both frames only grow, so the work is linear.  The window partitions by scene, so each window holds
 one axis (labels + targets, bounded by the axis length), never the points.  A distance
 predicate like ``abs(a - b) <= d`` would be planned as a nested-loop join and is avoided.
 
@@ -59,9 +59,10 @@ def nearest_label(
         F.lit(None).cast(t.schema["_nl_row"].dataType).alias("_nl_row"),
     )
     both = t.unionByName(lab)
-    w = Window.partitionBy(*keys).orderBy("_nl_v")
-    lo = F.last("_nl_label", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    hi = F.first("_nl_label", ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    w = Window.partitionBy(*keys)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    lo = F.last("_nl_label", ignorenulls=True).over(w.orderBy(F.asc("_nl_v")).rangeBetween(*so_far))
+    hi = F.last("_nl_label", ignorenulls=True).over(w.orderBy(F.desc("_nl_v")).rangeBetween(*so_far))
     marked = both.select(*keys, "_nl_v", "_nl_row", lo.alias("_nl_lo"), hi.alias("_nl_hi")).filter(
         F.col("_nl_row").isNotNull()
     )

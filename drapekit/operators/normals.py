@@ -15,7 +15,7 @@ kNN plan
 4. **Residue rounds** for the rest (sparse regions, outliers): each uncertified query searches
    a ball of radius R (its k-th candidate distance, or a growing radius when it had fewer than
    k) on a coarser grid level so the cube stays within a few cells per axis.  The residue is
-   small and broadcast after a count check; candidates are streamed, pairs are reduced to a
+   small (AQE broadcasts it where it fits); candidates are streamed, pairs are reduced to a
    per-task top-k (``mapInPandas``) before one shuffle by query, so no query collects an
    unbounded candidate list in one task.  Rounds repeat until every query is certified; the
    finished part is written to the checkpoint folder between rounds to cut lineage.
@@ -35,28 +35,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from drapekit.operators.indexing import dense_index
 from drapekit.session import scratch_path, ship_package
 
 # fixed values: neighbour count of the default normal estimation; points per occupied cell
 # as a multiple of k (2k certifies nearly every query in ring 1 on terrain-like clouds)
 DEFAULT_K = 30
 CELL_TARGET_PER_K = 2
-# residue search cubes broadcast per round: at most CUBE_CELLS cells per query (the grid level
-# makes the cell side >= R, so the cube [q - R, q + R] spans at most 3 cells per axis), so the
-# exploded side holds at most residue x CUBE_CELLS rows; above RESIDUE_BROADCAST_ROWS it is
-# joined by shuffle
-CUBE_CELLS = 3**3
-RESIDUE_BROADCAST_ROWS = 2_000_000
-MAX_ROUNDS = 64
 # search radius growth per residue round for queries still short of k neighbours
 RADIUS_GROWTH = 4.0
 # a base cell holding more than HOT_FACTOR x the target occupancy is split into finer cells
-# (extreme density skew, not ordinary variation); each level halves the cell side, a quarter
-# of the points on a surface, and the level is chosen so fine cells keep about the target
+# (extreme density skew, not ordinary variation); each level halves the cell side, until no
+# fine cell holds more than that
 HOT_FACTOR = 16
-MAX_LEVEL = 12
-# hot-cell tables up to this many rows are broadcast (checked count), larger ones shuffled
-HOT_BROADCAST_MAX = 1_000_000
+# points of a solving task
+SOLVER_ROWS = 20_000
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 # cells per block axis for the ring-1 co-group: a point is copied to a neighbouring block only
@@ -124,33 +117,54 @@ def _keyed(cloud: DataFrame, params: DataFrame, g: list[str]) -> DataFrame:
 
 
 def hot_cells(pts: DataFrame, g: list[str], target: int) -> DataFrame:
-    """``(group..., cx, cy, cz, lvl)`` for base cells holding more than ``HOT_FACTOR * target``
-    points: the level whose cells bring the occupancy back near the target."""
+    """``(group..., cx, cy, cz)`` of base cells holding more than ``HOT_FACTOR * target``
+    points."""
     occ = pts.groupBy(*g, "cx", "cy", "cz").agg(F.count(F.lit(1)).alias("n"))
-    lvl = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(F.col("n") / float(target)) / 2.0)).cast("int")
-    return occ.filter(F.col("n") > HOT_FACTOR * target).select(*g, "cx", "cy", "cz", lvl.alias("lvl"))
+    return occ.filter(F.col("n") > HOT_FACTOR * target).select(*g, "cx", "cy", "cz")
 
 
-def with_levels(pts: DataFrame, hot: DataFrame, g: list[str], broadcast_ok: bool) -> DataFrame:
+def cell_levels(inhot: DataFrame, g: list[str], target: int, base: str) -> DataFrame:
+    """``(group..., cx, cy, cz, lvl)`` of hot base cells: the first level at which none of the
+    cell's fine cells holds more than ``HOT_FACTOR * target`` of the points ``inhot``, as far
+    as doubles tell places apart.
+
+    Two levels are tried per round, on the cells that are still too full.  How deep it goes
+    depends on how tight the points lie, not on a set ceiling."""
+    spark = inhot.sparkSession
+    keys = [*g, "cx", "cy", "cz"]
+    left, lvl, parts = inhot.select(*keys, "x", "y", "z", "s"), 0, []
+    while True:
+        tried = []
+        for step in (lvl + 1, lvl + 2):
+            side = F.col("s") / F.lit(2.0**step)
+            fine = left.groupBy(*keys, *[F.floor(F.col(c) / side).alias(f"f{c}") for c in "xyz"]).agg(F.count(F.lit(1)).alias("n"))
+            finest = F.lit(step >= 40)  # about the last bits of a double
+            tried.append(fine.groupBy(*keys).agg(F.max("n").alias("most")).select(*keys, F.lit(step).alias("lvl"), ((F.col("most") <= HOT_FACTOR * target) | finest).alias("fits")))
+        both = tried[0].unionByName(tried[1]).groupBy(*keys).agg(F.min(F.when(F.col("fits"), F.col("lvl"))).alias("lvl"))
+        path = f"{base}/levels{lvl}"
+        both.write.parquet(path)
+        both = spark.read.parquet(path)
+        parts.append(both.where("lvl is not null"))
+        todo = both.where("lvl is null").select(*keys)
+        if todo.isEmpty():
+            break
+        left = left.join(todo, keys, "left_semi")
+        lvl += 2
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def with_levels(pts: DataFrame, hot: DataFrame, g: list[str]) -> DataFrame:
     """Add ``qlvl`` (the level a point is solved at: its base cell's) and ``lvls`` (every level
     it must be a candidate at: 0 plus the levels of hot cells among its 27 base neighbours)."""
     keys = [*g, "cx", "cy", "cz"]
     own = hot.select(*keys, F.col("lvl").alias("qlvl"))
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dy, dz in _OFFSETS])
-    near = (
-        hot.select(*g, "cx", "cy", "cz", "lvl", F.explode(offs).alias("o"))
-        .select(
-            *g,
-            (F.col("cx") + F.col("o.dx")).alias("cx"),
-            (F.col("cy") + F.col("o.dy")).alias("cy"),
-            (F.col("cz") + F.col("o.dz")).alias("cz"),
-            "lvl",
-        )
-        .groupBy(*keys)
-        .agg(F.collect_set("lvl").alias("near"))
-    )
-    if broadcast_ok:
-        own, near = F.broadcast(own), F.broadcast(near)
+    near = hot.select(*g, "cx", "cy", "cz", "lvl", F.explode(offs).alias("o"))
+    near = near.select(*g, *[(F.col(f"c{c}") + F.col(f"o.d{c}")).alias(f"c{c}") for c in "xyz"], "lvl")
+    near = near.groupBy(*keys).agg(F.collect_set("lvl").alias("near"))
     j = pts.join(own, keys, "left").join(near, keys, "left")
     return j.withColumn("qlvl", F.coalesce(F.col("qlvl"), F.lit(0))).withColumn(
         "lvls", F.array_union(F.array(F.lit(0)), F.coalesce(F.col("near"), F.array().cast("array<int>")))
@@ -355,21 +369,18 @@ def knn_ring1(pts: DataFrame, g: list[str], k: int, fused_normals: bool = False)
     )
     schema = (gschema + ", " if gschema else "") + body
     # the per-block solve is CPU work on few bytes: size-based partition coalescing would
-    # leave most cores idle, so both sides are hash-partitioned by block to the cluster's
-    # parallelism (an explicit count is not coalesced, and the co-group needs no other shuffle)
-    n = _solver_partitions(pts.sparkSession)
+    # leave most cores idle, so both sides are hash-partitioned by block to as many tasks as
+    # the points need (an explicit count is not coalesced, and the co-group needs no other
+    # shuffle)
+    n = _solver_partitions(pts)
     q, cand = q.repartition(n, *keys), cand.repartition(n, *keys)
     return q.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(_block_topk(k, g, fused_normals), schema)
 
 
-def _solver_partitions(spark) -> int:
-    """Partitions for the Python solving stages: twice the cores, at least the shuffle
-    partitions."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        cores = 8
-    return max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+def _solver_partitions(pts: DataFrame) -> int:
+    """Partitions for the Python solving stages: one per ``SOLVER_ROWS`` points, at least two per
+    core."""
+    return max(2 * pts.sparkSession.sparkContext.defaultParallelism, -(-pts.count() // SOLVER_ROWS))
 
 
 def _partial_topk(k: int, key_cols: list[str]):
@@ -399,16 +410,14 @@ def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     _keyed(cloud, params, g).write.mode("overwrite").parquet(f"{base}/pts0")
     pts = spark.read.parquet(f"{base}/pts0")
     # hot cells: split where the density is far above the target (skewed clouds)
-    hot_cells(pts, g, CELL_TARGET_PER_K * k).write.mode("overwrite").parquet(f"{base}/hot")
+    target = CELL_TARGET_PER_K * k
+    hot_cells(pts, g, target).write.mode("overwrite").parquet(f"{base}/hot")
     hot = spark.read.parquet(f"{base}/hot")
-    n_hot = hot.count()
-    if n_hot == 0:
+    if hot.isEmpty():
         return spark, base, pts.withColumn("is_query", F.lit(True)), None
-    small = n_hot <= HOT_BROADCAST_MAX
     cell_keys = [*g, "cx", "cy", "cz"]
-    hk = F.broadcast(hot.select(*cell_keys)) if small else hot.select(*cell_keys)
-    inhot = pts.join(hk, cell_keys, "left_semi")
-    rest = pts.join(hk, cell_keys, "left_anti").withColumn("is_query", F.lit(True))
+    inhot = pts.join(hot, cell_keys, "left_semi")
+    rest = pts.join(hot, cell_keys, "left_anti").withColumn("is_query", F.lit(True))
     loc = [*g, "x", "y", "z"]
     # at most k per location survive; Spark limits each task's rows per location before the
     # shuffle (partial window group limit), so a location holding a third of the cloud
@@ -423,8 +432,8 @@ def _prepare(cloud: DataFrame, k: int, g: list[str], params: DataFrame | None):
     alias.write.mode("overwrite").parquet(f"{base}/alias")
     alias = spark.read.parquet(f"{base}/alias")
     cand = ranked.withColumn("is_query", F.col("_rn") == 1).drop("_rn")
-    pts = rest.unionByName(cand)
-    with_levels(pts, hot, g, broadcast_ok=27 * n_hot <= HOT_BROADCAST_MAX).write.mode("overwrite").parquet(f"{base}/pts")
+    levels = cell_levels(cand, g, target, base)
+    with_levels(rest.unionByName(cand), levels, g).write.mode("overwrite").parquet(f"{base}/pts")
     return spark, base, spark.read.parquet(f"{base}/pts"), alias
 
 
@@ -458,9 +467,7 @@ def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: lis
         n_left = current.count()
         if n_left == 0:
             break
-        rnd += 1
-        if rnd > MAX_ROUNDS:
-            raise RuntimeError("kNN residue did not converge")
+        rnd += 1  # ends: the radius grows until it covers the cloud's diagonal
         # grid level per query: cell side >= R, so the cube spans at most 3 cells per axis
         lvl = F.greatest(F.lit(0), F.ceil(F.log2(F.col("R") / F.col("s")))).cast("int")
         qx = current.withColumn("lvl", lvl).withColumn("sl", F.col("s") * F.pow(F.lit(2.0), F.col("lvl")))
@@ -484,8 +491,7 @@ def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: lis
                 *[F.floor(F.col(c) / (F.col("s") * float(2**lv))).alias(f"k{c}") for c in "xyz"],
             )
             cand = part if cand is None else cand.unionByName(part)
-        side = F.broadcast(qx) if n_left * CUBE_CELLS <= RESIDUE_BROADCAST_ROWS else qx
-        pairs = cand.join(side, g + ["lvl", "kx", "ky", "kz"]).withColumn("d2", _d2("q", "n"))
+        pairs = cand.join(qx, g + ["lvl", "kx", "ky", "kz"]).withColumn("d2", _d2("q", "n"))
         pairs = pairs.filter(F.col("d2") <= F.col("R") * F.col("R")).select(*g, "pid", "nbr", "d2", "nx", "ny", "nz", "R", "diag")
         local = pairs.mapInPandas(_partial_topk(k, [*g, "pid"]), pairs.schema)
         w = Window.partitionBy(*g, "pid").orderBy("d2", "nbr")
@@ -570,14 +576,20 @@ def neighbour_covariance(nbrs: DataFrame, group: Sequence[str] = ("scene_id",))
 def estimate_normals(cloud: DataFrame, k: int = DEFAULT_K, group: Sequence[str] = ("scene_id",)) -> DataFrame:
     """The cloud with ``nx, ny, nz`` (float) added.
 
-    Ring 1 solves neighbours, covariance and eigenvector in one numpy pass per cell and emits
-    one row per point; only points it cannot certify take the general kNN path."""
+    Rows are told apart by a dense id of their own, in the order of ``pid``, x, y, z: a sample
+    with replacement repeats its ``pid``s, and each repeat is a point like any other.  Ring 1
+    solves neighbours, covariance and eigenvector in one numpy pass per cell and emits one row
+    per point; only points it cannot certify take the general kNN path."""
     g = _groups(cloud, group)
-    spark = cloud.sparkSession
-    base0 = scratch_path(spark, "normals")
-    cloud.write.mode("overwrite").parquet(f"{base0}/cloud")
-    cloud = spark.read.parquet(f"{base0}/cloud")
-    spark, base, pts, alias = _prepare(cloud, k, g, None)
+    order = [c for c in ("pid", "x", "y", "z") if c in cloud.columns]
+    cloud = dense_index(cloud, [*g, *order], name="_row")
+    if g:  # one key per cloud that is never null, so clouds without a scene are solved too
+        key = F.concat_ws(":", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in g])
+        points = cloud.select(key.alias("_cloud"), F.col("_row").alias("pid"), "x", "y", "z")
+        g = ["_cloud"]
+    else:
+        points = cloud.select(F.col("_row").alias("pid"), "x", "y", "z")
+    spark, base, pts, alias = _prepare(points, k, g, None)
     ring = knn_ring1(pts, g, k, fused_normals=True)
     ring_path = f"{base}/ring_normals"
     ring.write.mode("overwrite").parquet(ring_path)
@@ -588,5 +600,5 @@ def estimate_normals(cloud: DataFrame, k: int = DEFAULT_K, group: Sequence[str]
         cov = neighbour_covariance(rest, g)
         schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in pts.select(*g, "pid").schema.fields])
         normals = normals.unionByName(cov.mapInPandas(_eig_batches(g), f"{schema}, nx double, ny double, nz double"))
-    out = cloud.join(_copy_to_aliases(normals, alias, g), g + ["pid"])
-    return out.select(*cloud.columns, *[F.col(c).cast("float").alias(c) for c in ("nx", "ny", "nz")])
+    normals = _copy_to_aliases(normals, alias, g).select(F.col("pid").alias("_row"), *[F.col(c).cast("float").alias(c) for c in ("nx", "ny", "nz")])
+    return cloud.join(normals, "_row").drop("_row")

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from drapekit.operators.small import settled
+
 # draws generated per task row; a group with n draws is split into ceil(n / DRAW_CHUNK) rows
 # that are spread over tasks before being exploded
 DRAW_CHUNK = 1 << 17
@@ -100,8 +102,9 @@ def sample_without_replacement(
     smallest ``(md5("seed:g:id"), id)``.
 
     No global sort: a histogram over the top ``HIST_BITS`` bits of the hash (one partial
-    aggregate) finds the bucket holding rank n; lower buckets are kept whole and only the
-    boundary bucket (about N / 2^HIST_BITS rows) is ranked with a window."""
+    aggregate) gives one row per group: the bucket that holds rank n and how many rows it
+    still owes.  Lower buckets are a plain filter against that row; only the boundary bucket
+    (about N / 2^HIST_BITS rows) is ranked."""
     if fraction < 0 or fraction > 1:
         raise ValueError("sample fraction without replacement must be within [0, 1]")
     group = [g for g in group if g in df.columns]
@@ -110,21 +113,19 @@ def sample_without_replacement(
     )
     hist = h.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wg = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    cum = (
-        hist.withColumn("_pop", F.sum("_cnt").over(wg))
-        .withColumn("_cum", F.sum("_cnt").over(wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_n", sample_size(fraction, F.col("_pop")))
-        .withColumn("_before", F.col("_cum") - F.col("_cnt"))
-        .filter(F.col("_before") < F.col("_n"))
-        .select(*group, "_b", "_cnt", "_before", "_n")
-    )
-    # cum holds one row per non-empty bucket kept: at most 2^HIST_BITS rows per group
-    kept = h.join(cum, group + ["_b"])
-    whole = kept.filter(F.col("_before") + F.col("_cnt") <= F.col("_n"))
-    edge = kept.filter(F.col("_before") + F.col("_cnt") > F.col("_n"))
-    wb = Window.partitionBy(*group, "_b").orderBy("_h", id_col)
-    edge = edge.withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= F.col("_n") - F.col("_before")).drop("_r")
-    return whole.unionByName(edge).drop("_h", "_b", "_cnt", "_before", "_n")
+    # at most 2^HIST_BITS rows per group meet in the window, whatever the size of the cloud
+    hist = hist.withColumn("_n", sample_size(fraction, F.sum("_cnt").over(wg)))
+    hist = hist.withColumn("_cum", F.sum("_cnt").over(wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+    edge = hist.where((F.col("_cum") >= F.col("_n")) & (F.col("_cum") - F.col("_cnt") < F.col("_n")))
+    edge = settled(edge.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_b").alias("_edge"), (F.col("_n") - F.col("_cum") + F.col("_cnt")).alias("_owed")), "sample-edge")
+    if group:
+        h = h.join(edge, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    else:
+        row = edge.first()  # one row, or none for an empty sample
+        h = h.withColumn("_edge", F.lit(row["_edge"] if row else -1)).withColumn("_owed", F.lit(row["_owed"] if row else 0))
+    whole = h.where(F.col("_b") < F.col("_edge")).select(*df.columns)
+    last = h.where(F.col("_b") == F.col("_edge")).withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_b").orderBy("_h", id_col)))
+    return whole.unionByName(last.where(F.col("_r") <= F.col("_owed")).select(*df.columns))
 
 
 def sample_approx(df: DataFrame, fraction: float, with_replacement: bool = True, seed: int = 42) -> DataFrame:

@@ -1,29 +1,20 @@
-"""Broadcast of per-scene tables behind a checked size.
+"""Per-scene tables, settled before they meet the points.
 
-Header rows, per-cloud statistics and colour ranges have one row per scene.  Joining them to
-the points by ``scene_id`` with a shuffle would hash every point of a scene to one partition,
-and a job usually holds one scene, so they must be broadcast.  The bound is checked, not
-assumed: the small table is written once to the shared checkpoint folder, counted, and
-broadcast only when it has at most ``MAX_BROADCAST_ROWS`` rows; the join then reads the written
-table instead of recomputing it.
+Header rows, per-cloud statistics and colour ranges have one row per scene.  They are written
+once to the shared folder and read back, so the planner knows their size in bytes: it
+broadcasts them below the session's ``spark.sql.autoBroadcastJoinThreshold`` and joins them by
+shuffle above it, where AQE splits scenes that hold many points.  No row count decides.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from drapekit.session import scratch_path
 
-# fixed value: per-scene tables up to this many rows are broadcast
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-def bounded_broadcast(df: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` materialised and hinted for broadcast when it has at most ``max_rows`` rows;
-    otherwise the materialised frame without a hint (joined by shuffle)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    small = spark.read.parquet(path)
-    return F.broadcast(small) if small.count() <= max_rows else small
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

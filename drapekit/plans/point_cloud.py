@@ -14,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drapekit.operators.drape import check_drape_counts, drape, resample_grid
+from drapekit.operators.drape import drape, present, resample_grid
 from drapekit.operators.sampling import draws_with_replacement
-from drapekit.operators.small import bounded_broadcast
+from drapekit.operators.small import settled
 from drapekit.sources.raster import image_points, interleave_bands
 
 
@@ -27,28 +27,26 @@ def draped_cloud(
     fraction: float | None = 0.2,
     seed: int = 42,
     axes=None,
-    broadcast_axes: bool | None = None,
-    strict: bool = False,
+    missing: str = "raise",
     centers: bool = False,
 ) -> DataFrame:
     """``(scene_id, k, pid, x, y, z, red, green, blue)``; ``k`` is the draw number (``pid``
     again when ``fraction`` is None, i.e. the whole cloud).  ``centers=True`` samples the
-    grid at pixel centres instead of spreading over the outer edges."""
-    small = bounded_broadcast(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
-    img = image_points(interleave_bands(rows), meta, small_meta=small)
-    elev = resample_grid(meta, cells, axes=axes, broadcast_axes=broadcast_axes, small_meta=small, centers=centers)
-    meta = small
-    if strict:
-        check_drape_counts(img, elev, meta)
+    grid at pixel centres instead of spreading over the outer edges.
+
+    A position without a pixel or without an elevation fails the job; ``missing="null"``
+    keeps it with NULLs."""
+    small = settled(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta")
+    img = image_points(interleave_bands(rows, missing), meta, small_meta=small)
+    elev = resample_grid(meta, cells, axes=axes, small_meta=small, centers=centers)
+    names = ["scene_id", "k", "pid", "x", "y", "z", "red", "green", "blue"]
     if fraction is None:
-        return drape(img, elev).withColumn("k", F.col("pid")).select(
-            "scene_id", "k", "pid", "x", "y", "z", "red", "green", "blue"
-        )
-    sizes = meta.select("scene_id", (F.col("width").cast("long") * F.col("height")).alias("n_total"))
-    draws = draws_with_replacement(sizes, fraction, seed, group=("scene_id",))
-    e = elev.select("scene_id", "pid", "x", "y", "z")
-    return (
-        draws.join(img, ["scene_id", "pid"])
-        .join(e, ["scene_id", "pid"])
-        .select("scene_id", "k", "pid", "x", "y", "z", "red", "green", "blue")
-    )
+        return drape(img, elev, missing).withColumn("k", F.col("pid")).select(*names)
+    sizes = small.select("scene_id", (F.col("width").cast("long") * F.col("height")).alias("n_total"))
+    cloud = draws_with_replacement(sizes, fraction, seed, group=("scene_id",))
+    for side, c, what in ((img, ("red", "green", "blue"), "pixel"), (elev, ("x", "y", "z"), "elevation")):
+        own = f"_{what}"
+        cloud = cloud.join(side.select("scene_id", "pid", F.struct(*c).alias(own)), ["scene_id", "pid"], "left")
+        if missing == "raise":
+            cloud = cloud.withColumn(own, present(own, what))
+    return cloud.select("scene_id", "k", "pid", "_elevation.*", "_pixel.*").select(*names)

@@ -55,8 +55,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is set (a local test session) a
-    fresh folder under the system temp dir is created and registered."""
+    The cluster's setting always wins.  Only a local session (one machine, as in tests) may go
+    without: it gets a fresh folder under the system temp dir.  Any other session raises,
+    because its executors would each write to a disk of their own."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
@@ -71,20 +72,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
+    if sc is None or not (sc.master or "").startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="drapekit-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir() or local
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for intermediate tables and outputs."""
+    """A fresh sub-folder of the checkpoint folder for intermediate tables and outputs.  It goes
+    when the driver's JVM ends (or earlier, with ``drop_scratch``): results are lazy frames
+    that read it until then."""
     import uuid
 
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/drapekit-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/drapekit-{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # the file system only remembers folders that exist
+    files.deleteOnExit(folder)
+    # the folder itself is made again by whoever writes to it
+    files.delete(folder, True)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders made so far.  Frames that still read them become invalid."""
+    while _SCRATCH:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _SHIPPED: set = set()

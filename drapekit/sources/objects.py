@@ -12,6 +12,8 @@ later steps look at the result several times.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +34,17 @@ def read_objects(spark: SparkSession, path: str, glob: str | None = None, recurs
     return reader.load(path)
 
 
-def object_manifest(refs: DataFrame, ref: str = "ref", bucket: str = "bucket", default_bucket: str | None = None) -> DataFrame:
-    """References -> ``(ref, src, name, error)`` with ``src = s3://bucket/key``."""
+def object_manifest(refs: DataFrame, ref: str = "ref", bucket: str = "bucket", default_bucket: str | None = None, roots: dict[str, str] | None = None) -> DataFrame:
+    """References -> ``(ref, src, name, error)`` with ``src = s3://bucket/key`` (P3).  ``roots``
+    maps buckets to other places (a mirror, a mounted folder)."""
     b = F.col(bucket) if bucket in refs.columns else F.lit(None).cast("string")
     r = refs.select(F.col(ref).alias("ref"), resolve_object(F.col(ref), b, default_bucket).alias("o"))
+    root = F.concat(F.lit("s3://"), F.col("o.bucket"))
+    for name, place in (roots or {}).items():
+        root = F.when(F.col("o.bucket") == name, F.lit(place.rstrip("/"))).otherwise(root)
     return r.select(
         "ref",
-        F.when(F.col("o.error").isNull(), F.concat(F.lit("s3://"), F.col("o.bucket"), F.lit("/"), F.col("o.key"))).alias("src"),
+        F.when(F.col("o.error").isNull(), F.concat(root, F.lit("/"), F.col("o.key"))).alias("src"),
         F.col("o.filename").alias("name"),
         F.col("o.error").alias("error"),
     )
@@ -57,16 +63,19 @@ def _copy_batches(out_dir: str):
                     paths.append(None), sizes.append(None), errors.append(err)
                     continue
                 target = f"{dst_root}/{name}"
+                # a failed or speculative attempt leaves at most a file of its own
+                part = f"{dst_root}/.{uuid.uuid4().hex}.part"
                 try:
                     sfs, spath = fs_of(src)
                     n = 0
-                    with sfs.open_input_stream(spath) as fin, dst_fs.open_output_stream(target) as fout:
+                    with sfs.open_input_stream(spath) as fin, dst_fs.open_output_stream(part) as fout:
                         while True:
                             chunk = fin.read(8 << 20)
                             if not chunk:
                                 break
                             fout.write(chunk)
                             n += len(chunk)
+                    dst_fs.move(part, target)
                     paths.append(target), sizes.append(n), errors.append(None)
                 except Exception as e:  # noqa: BLE001 - reported per object
                     paths.append(None), sizes.append(None), errors.append(f"{type(e).__name__}: {e}"[:500])

@@ -1,20 +1,23 @@
 """PLY point files: sink (S6), reader (S7) and output check.
 
 Sink: the vertex text lines are built by Spark (``concat_ws`` of float32 / int casts, JVM
-side), and a Python data source writer receives them as Arrow batches.  Each task writes one
-complete, valid ASCII PLY shard per scene it holds (header with its own vertex count + body;
-the body waits in memory up to ``SPILL_BYTES``, then in a temporary file), so the sink scales
-with the number of tasks and nothing passes through the driver.
+side) and sorted by scene within each task.  A Python data source writer receives them as
+Arrow batches and writes one complete, valid ASCII PLY shard per scene and task (header with
+its own vertex count + body).  It holds one scene at a time: the body waits in memory up to
+``SPILL_BYTES``, then in a temporary file.  Nothing passes through the driver.
 
 Commit protocol: tasks write under ``<path>/_temporary/<uuid>/``; the driver's ``commit``
 moves the shards of successful tasks into place (renames only, no data), ``abort`` removes
 the temporary folder.  A lost executor's task is simply re-run into a fresh temporary name.
 
 Layout: ``<path>/scene_id=<id>/part-<task>-<uuid>.ply`` when the frame has ``scene_id``, else
-``<path>/part-<task>-<uuid>.ply``.
+``<path>/part-<task>-<uuid>.ply``.  Scene ids are percent-encoded in paths; a NULL scene has
+the folder ``scene_id=__HIVE_DEFAULT_PARTITION__``.  The header names the id's type.
 
-Reader: the property list comes from one header (all shards of a write share it); bodies are
-read with ``spark.read.text`` over all shards in parallel, header lines dropped by pattern.
+Reader: headers are read in tasks, a few kilobytes each.  Files that hold elements other than
+vertices are refused: in a text scan their lines cannot be told from vertices.  Bodies are read
+with ``spark.read.text`` over all shards in parallel, header lines dropped by pattern, each
+shard typed by its own header.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from drapekit.functions.coords import CloudError, export_frame, require_xyz
+from drapekit.operators.small import settled
 from drapekit.sources.fs import arrow_fs
 
 FORMAT_NAME = "drapekit_ply"
@@ -37,6 +41,8 @@ SPILL_BYTES = 64 << 20
 
 # fixed values: PLY header keywords and the type names used for each exported column
 HEADER_KEYWORDS = ("ply", "format", "comment", "obj_info", "element", "property", "end_header")
+NULL_SCENE = "__HIVE_DEFAULT_PARTITION__"
+SCENE_COMMENT = "scene_id type"
 PLY_TYPES = {"float": "float", "int": "uchar", "double": "double"}
 SPARK_TYPES = {"float": "float", "uchar": "int", "char": "int", "short": "int", "ushort": "int", "int": "int",
                "uint": "long", "double": "double", "float32": "float", "float64": "double", "uint8": "int"}
@@ -46,13 +52,22 @@ def _fs(path: str):
     return arrow_fs(path)
 
 
-def header_text(properties: list[tuple[str, str]], count: int) -> str:
-    lines = ["ply", "format ascii 1.0", f"element vertex {count}"]
+def header_text(properties: list[tuple[str, str]], count: int, scene_type: str | None = None) -> str:
+    lines = ["ply", "format ascii 1.0"]
+    if scene_type:
+        lines.append(f"comment {SCENE_COMMENT} {scene_type}")
+    lines.append(f"element vertex {count}")
     lines += [f"property {t} {n}" for n, t in properties]
     lines.append("end_header")
     return "\n".join(lines) + "\n"
 
 
+def scene_folder(scene: str | None) -> str:
+    from urllib.parse import quote
+
+    return NULL_SCENE if scene is None else quote(scene, safe="")
+
+
 def _text_bytes(arr):
     """The concatenated text of an Arrow string array, sliced from its data buffer without
     building Python strings (each line already ends in a newline)."""
@@ -74,6 +89,41 @@ class _Shard(WriterCommitMessage):
     files: list  # [(tmp_path, final_rel_path, count)]
 
 
+class _Body:
+    """The vertex lines of one scene in one task: in memory, beyond ``limit`` in a file."""
+
+    def __init__(self, fs, path: str, limit: int):
+        self.fs, self.path, self.limit = fs, path, limit
+        self.buffers: list = []
+        self.held = self.count = 0
+        self.stream = None
+
+    def put(self, data, n: int) -> None:
+        self.count += n
+        if self.stream is None and self.held + len(data) <= self.limit:
+            self.buffers.append(data)
+            self.held += len(data)
+            return
+        if self.stream is None:
+            self.stream = self.fs.open_output_stream(self.path)
+            for b in self.buffers:
+                self.stream.write(b)
+            self.buffers = []
+        self.stream.write(data)
+
+    def close(self, shard: str, header: str) -> None:
+        with self.fs.open_output_stream(shard) as dst:
+            dst.write(header.encode())
+            for b in self.buffers:
+                dst.write(b)
+            if self.stream is not None:
+                self.stream.close()
+                with self.fs.open_input_stream(self.path) as src:
+                    while chunk := src.read(8 << 20):
+                        dst.write(chunk)
+                self.fs.delete_file(self.path)
+
+
 class _PlyArrowWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, schema, overwrite: bool):
         self.overwrite = overwrite
@@ -81,9 +131,11 @@ class _PlyArrowWriter(DataSourceArrowWriter):
         self.properties = json.loads(options["properties"])
         self.job = options["job"]
         self.spill_bytes = int(options.get("spill_bytes", SPILL_BYTES))
-        self.has_scene = "scene_id" in schema.fieldNames()
+        self.scene_type = options.get("scene_type") or None
 
     def write(self, iterator):
+        import numpy as np
+        import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
@@ -93,60 +145,39 @@ class _PlyArrowWriter(DataSourceArrowWriter):
         tmp = f"{root}/_temporary/{self.job}"
         fs.create_dir(tmp, recursive=True)
         tag = uuid.uuid4().hex[:12]
-        bodies: dict = {}
-
-        def sink(key):
-            if key not in bodies:
-                # [buffers, buffered bytes, spill stream or None, spill path, count]
-                bodies[key] = [[], 0, None, f"{tmp}/{task:05d}-{tag}-{key}.body", 0]
-            return bodies[key]
-
-        def put(key, data, n):
-            e = sink(key)
-            e[4] += n
-            if e[2] is None and e[1] + len(data) <= self.spill_bytes:
-                e[0].append(data)
-                e[1] += len(data)
-                return
-            if e[2] is None:
-                e[2] = fs.open_output_stream(e[3])
-                for b in e[0]:
-                    e[2].write(b)
-                e[0], e[1] = [], 0
-            e[2].write(data)
+        files: list = []
+        body, folder = None, None
+
+        def close():
+            shard = f"{tmp}/{task:05d}-{tag}-{len(files)}.ply"
+            body.close(shard, header_text(self.properties, body.count, self.scene_type))
+            files.append((shard, f"{folder}part-{task:05d}-{tag}.ply", body.count))
 
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
             lines = batch.column(batch.schema.get_field_index("line"))
-            if self.has_scene:
-                scenes = batch.column(batch.schema.get_field_index("scene_id"))
-                for sc in pc.unique(scenes).to_pylist():
-                    part = pc.filter(lines, pc.equal(scenes, sc))
-                    put(sc, _text_bytes(part), len(part))
+            # rows come sorted by scene, nulls first: cut where the scene changes
+            if self.scene_type:
+                scenes = batch.column(batch.schema.get_field_index("scene"))
+                known = scenes.is_valid().to_numpy(zero_copy_only=False)
+                codes = pc.dictionary_encode(scenes)
+                number = np.where(known, codes.indices.fill_null(0).to_numpy(zero_copy_only=False), -1)
+                cuts = np.concatenate([[0], np.flatnonzero(number[1:] != number[:-1]) + 1, [batch.num_rows]])
+                parts = [(f"scene_id={scene_folder(scenes[int(a)].as_py())}/", int(a), int(b)) for a, b in zip(cuts, cuts[1:])]
             else:
-                put("all", _text_bytes(lines), len(lines))
-
-        files = []
-        for key, (buffers, _, spill, body_path, count) in bodies.items():
-            rel = f"scene_id={key}/" if self.has_scene else ""
-            name = f"part-{task:05d}-{tag}.ply"
-            shard = f"{tmp}/{task:05d}-{tag}-{key}.ply"
-            with fs.open_output_stream(shard) as dst:
-                dst.write(header_text(self.properties, count).encode())
-                if spill is None:
-                    for b in buffers:
-                        dst.write(b)
-                else:
-                    spill.close()
-                    with fs.open_input_stream(body_path) as src:
-                        while True:
-                            chunk = src.read(8 << 20)
-                            if not chunk:
-                                break
-                            dst.write(chunk)
-                    fs.delete_file(body_path)
-            files.append((shard, rel + name, count))
+                parts = [("", 0, batch.num_rows)]
+            for own, a, b in parts:
+                if body is None or own != folder:
+                    if body is not None:
+                        close()
+                    body, folder = _Body(fs, f"{tmp}/{task:05d}-{tag}-{len(files)}.body", self.spill_bytes), own
+                part = lines.slice(a, b - a)
+                # a kept buffer would hold its whole batch: keep only the part's bytes
+                put = _text_bytes(part)
+                body.put(put if b - a == batch.num_rows else pa.py_buffer(bytes(put)), b - a)
+        if body is not None:
+            close()
         return _Shard(files)
 
     def commit(self, messages):
@@ -185,8 +216,9 @@ class _PlyArrowWriter(DataSourceArrowWriter):
 
 
 class PlyDataSource(DataSource):
-    """``df.write.format("drapekit_ply").option("properties", json).save(path)`` with columns
-    ``line`` (vertex text ending in a newline) and optionally ``scene_id``."""
+    """``df.write.format("drapekit_ply").option("properties", json).save(path)`` with the column
+    ``line`` (vertex text ending in a newline) and, with the option ``scene_type``, ``scene``
+    (the id as text), sorted by scene within each task."""
 
     @classmethod
     def name(cls):
@@ -213,40 +245,50 @@ def vertex_properties(vertices: DataFrame) -> list[tuple[str, str]]:
 
 
 def vertex_lines(vertices: DataFrame) -> DataFrame:
-    """``(scene_id?, line)``: the text of each vertex.  float32 values are written as the
-    shortest text that reads back to the same float32."""
+    """``(scene?, line)``: the text of each vertex, sorted by scene within each task.  float32
+    values are written as the shortest text that reads back to the same float32; a NULL value
+    is written as ``nan``."""
     cols = [c for c in vertices.columns if c != "scene_id"]
-    line = F.concat(F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]), F.lit("\n"))
-    keep = ["scene_id"] if "scene_id" in vertices.columns else []
-    return vertices.select(*keep, line.alias("line"))
+    line = F.concat(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cols]), F.lit("\n"))
+    if "scene_id" not in vertices.columns:
+        return vertices.select(line.alias("line"))
+    return vertices.select(F.col("scene_id").cast("string").alias("scene"), line.alias("line")).sortWithinPartitions("scene")
 
 
-def write_ply(
-    df: DataFrame, path: str, check_empty: bool = True, spill_bytes: int = SPILL_BYTES
-) -> list[tuple[str, str]]:
+@dataclass(frozen=True)
+class PlyOutput:
+    """What ``write_ply`` wrote: the properties, and the points that went into the writer."""
+
+    path: str
+    properties: list
+    points: int
+
+
+def write_ply(df: DataFrame, path: str, check_empty: bool = True, spill_bytes: int = SPILL_BYTES) -> PlyOutput:
     """Write ``df`` (x, y, z + optional colours / normals, any names P17/P18 know) as PLY
     shards under ``path``.  Raises on missing x/y/z or (``check_empty``) an empty cloud.
-    Returns the property list written."""
-    require_xyz(df, check_empty=check_empty)
+
+    ``points`` of the result is counted in front of the writer, so S8 can tell whether the
+    writer lost any."""
+    require_xyz(df, check_empty=False)
     spark = df.sparkSession
+    from drapekit.operators.aggregates import observed_count
     from drapekit.session import ship_package
 
     ship_package(spark)
     register_ply(spark)
     vertices = export_frame(df)
     props = vertex_properties(vertices)
+    scene = vertices.schema["scene_id"].dataType.simpleString() if "scene_id" in vertices.columns else ""
+    counted, seen = observed_count(vertices, "points")
     # no repartition by scene: with one scene per job that would put the whole cloud in one
     # task; every task writes one shard per scene it holds instead
-    lines = vertex_lines(vertices)
-    (
-        lines.write.format(FORMAT_NAME)
-        .mode("overwrite")
-        .option("path", path)
-        .option("properties", json.dumps(props))
-        .option("spill_bytes", str(spill_bytes))
-        .save()
-    )
-    return props
+    writer = vertex_lines(counted).write.format(FORMAT_NAME).mode("overwrite")
+    writer.option("path", path).option("properties", json.dumps(props)).option("scene_type", scene).option("spill_bytes", str(spill_bytes)).save()
+    points = seen.get["points"]
+    if check_empty and not points:
+        raise CloudError("no point cloud data")
+    return PlyOutput(path, props, points)
 
 
 # --------------------------------------------------------------------------------------
@@ -261,19 +303,10 @@ def _shard_paths(path: str) -> list[str]:
     return sorted(i.path for i in infos if i.is_file and i.path.endswith(".ply") and "/_temporary/" not in i.path)
 
 
-def read_header(path: str) -> tuple[int, list[tuple[str, str]]]:
-    """Vertex count and property list of one PLY file (reads only the header)."""
-    fs, p = _fs(path)
-    count, props = 0, []
-    with fs.open_input_stream(p) as f:
-        head = b""
-        while b"end_header" not in head:
-            chunk = f.read(4096)
-            if not chunk:
-                break
-            head += chunk
-    text = head.split(b"end_header")[0].decode("ascii", "replace")
-    lines = [ln.strip() for ln in text.splitlines()]
+def parse_header(path: str, text: str) -> tuple[int, list[tuple[str, str]], str | None, list[str]]:
+    """(vertex count, properties, type of the scene id, other elements with rows)."""
+    count, props, scene, others = 0, [], None, []
+    lines = [ln.strip() for ln in text.split("end_header")[0].splitlines()]
     if not lines or lines[0] != "ply":
         raise CloudError(f"not a PLY file: {path}")
     if not any(ln.startswith("format ascii") for ln in lines):
@@ -285,11 +318,51 @@ def read_header(path: str) -> tuple[int, list[tuple[str, str]]]:
             in_vertex = parts[1] == "vertex"
             if in_vertex:
                 count = int(parts[2])
+            elif int(parts[2]):
+                others.append(parts[1])
         elif parts[:1] == ["property"] and in_vertex:
             if parts[1] == "list":
                 raise CloudError("list properties in the vertex element are not supported")
             props.append((parts[2], parts[1]))
-    return count, props
+        elif ln.startswith(f"comment {SCENE_COMMENT} "):
+            scene = ln[len(f"comment {SCENE_COMMENT} ") :]
+    return count, props, scene, others
+
+
+def _head(path: str) -> str:
+    fs, p = _fs(path)
+    with fs.open_input_stream(p) as f:
+        head = b""
+        while b"end_header" not in head:
+            chunk = f.read(4096)
+            if not chunk:
+                break
+            head += chunk
+    return head.decode("ascii", "replace")
+
+
+def read_header(path: str) -> tuple[int, list[tuple[str, str]]]:
+    """Vertex count and property list of one PLY file (reads only the header)."""
+    return parse_header(path, _head(path))[:2]
+
+
+def _headers(batches):
+    import pandas as pd
+
+    from urllib.parse import unquote
+
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:  # Spark names files by URI
+            _, props, scene, others = parse_header(path, _head(unquote(path)))
+            rows.append((path, json.dumps(props), scene, ",".join(others)))
+        yield pd.DataFrame(rows, columns=["path", "properties", "scene", "others"])
+
+
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of all PLY files under ``path`` (or of one file), with their file."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ply")
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
 
 
 def _body_filter():
@@ -297,31 +370,41 @@ def _body_filter():
 
 
 def read_ply(spark: SparkSession, path: str) -> DataFrame:
-    """The vertices of every shard under ``path`` (or one file), typed by the header.
-    ``scene_id=`` folders become a column."""
-    shards = [path] if path.endswith(".ply") else _shard_paths(path)
-    if not shards:
+    """The vertices of every shard under ``path`` (or one file), each typed by its own header.
+    ``scene_id=`` folders become a column of the type that was written; columns that some
+    shards lack are NULL there."""
+    from drapekit.session import ship_package
+
+    ship_package(spark)
+    text = _text(spark, path)
+    heads = text.where(F.col("value").startswith("end_header")).select("path").distinct()
+    heads = settled(heads.mapInPandas(_headers, "path string, properties string, scene string, others string"), "ply-headers")
+    kinds = heads.groupBy("properties", "scene", "others").agg(F.min("path").alias("example")).collect()
+    if not kinds:
         raise CloudError(f"no PLY files under {path}")
-    _, props = read_header(shards[0])
-    text = spark.read.option("pathGlobFilter", "*.ply").text(path) if not path.endswith(".ply") else spark.read.text(path)
-    body = text.filter(_body_filter())
-    toks = F.split(F.trim("value"), " +")
-    extra = [c for c in body.columns if c != "value"]
-    return body.select(
-        *extra,
-        *[toks.getItem(i).cast(SPARK_TYPES.get(t, "double")).alias(n) for i, (n, t) in enumerate(props)],
-    )
+    for k in kinds:
+        if k.others:
+            raise CloudError(f"{k.example} holds other elements than vertices: {k.others}")
+    folder = F.regexp_extract("path", r"/scene_id=([^/]*)/[^/]*$", 1)
+    scene = F.when(folder != NULL_SCENE, F.url_decode(F.url_decode(folder)))
+    out = None
+    for k in kinds:
+        body = text.where(_body_filter())
+        if len(kinds) > 1:
+            same = F.col("properties").eqNullSafe(F.lit(k.properties)) & F.col("scene").eqNullSafe(F.lit(k.scene))
+            body = body.join(heads.where(same).select("path"), "path", "left_semi")
+        toks = F.split(F.trim("value"), " +")
+        own = [scene.cast(k.scene).alias("scene_id")] if k.scene else []
+        part = body.select(*own, *[toks.getItem(i).cast(SPARK_TYPES.get(t, "double")).alias(n) for i, (n, t) in enumerate(json.loads(k.properties))])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def verify_output(spark: SparkSession, path: str) -> DataFrame:
     """One row per shard ``(path, bytes, points, header_points, ok)``: the vertex count
     in each header against the body lines actually present.  One distributed pass."""
-    text = spark.read.option("pathGlobFilter", "*.ply").text(path) if not path.endswith(".ply") else spark.read.text(path)
-    t = text.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("bytes"),
-        F.regexp_extract("value", r"^element vertex (\d+)$", 1).alias("hdr"),
-        _body_filter().alias("is_body"),
+    t = _text(spark, path).select(
+        "path", "bytes", F.regexp_extract("value", r"^element vertex (\d+)$", 1).alias("hdr"), _body_filter().alias("is_body")
     )
     per = t.groupBy("path", "bytes").agg(
         F.count_if("is_body").alias("points"),
@@ -330,11 +413,13 @@ def verify_output(spark: SparkSession, path: str) -> DataFrame:
     return per.withColumn("ok", F.coalesce(F.col("points") == F.col("header_points"), F.lit(False)))
 
 
-def verify_summary(report: DataFrame) -> DataFrame:
-    """Whole-output check: ``(files, bytes, points, ok)``."""
+def verify_summary(report: DataFrame, expected: int | None = None) -> DataFrame:
+    """Whole-output check: ``(files, bytes, points, ok)``.  With ``expected`` (``points`` of
+    ``write_ply``) the output must also hold that many points."""
+    same = F.lit(True) if expected is None else F.coalesce(F.sum("points"), F.lit(0)) == F.lit(expected)
     return report.agg(
         F.count(F.lit(1)).alias("files"),
-        F.sum("bytes").cast("long").alias("bytes"),
-        F.sum("points").cast("long").alias("points"),
-        F.bool_and("ok").alias("ok"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("bytes"),
+        F.coalesce(F.sum("points"), F.lit(0)).cast("long").alias("points"),
+        (F.coalesce(F.bool_and("ok"), F.lit(True)) & same).alias("ok"),
     )

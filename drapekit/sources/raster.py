@@ -25,24 +25,23 @@ def read_raster_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def interleave_bands(rows: DataFrame) -> DataFrame:
+def interleave_bands(rows: DataFrame, missing: str = "raise") -> DataFrame:
     """(bands, H, W) -> (H, W, bands): one pixel row per (scene, image row, column).
 
-    Rows that miss a band are not emitted (a pixel needs all three values)."""
+    An image row that lacks a band, or whose bands differ in length, fails the job; with
+    ``missing="null"`` its pixels are emitted with NULL in the channels it lacks."""
+    if missing not in ("raise", "null"):
+        raise ValueError("missing is 'raise' or 'null'")
     grouped = rows.groupBy("scene_id", "row_idx").agg(
-        *[
-            F.first(F.when(F.col("band") == k, F.col("samples")), ignorenulls=True).alias(name)
-            for k, name in enumerate(BANDS)
-        ]
-    )
-    complete = grouped.filter(
-        F.col("red").isNotNull() & F.col("green").isNotNull() & F.col("blue").isNotNull()
-    )
-    exploded = complete.select(
-        "scene_id",
-        "row_idx",
-        F.posexplode(F.arrays_zip(*BANDS)).alias("col_idx", "px"),
+        *[F.first(F.when(F.col("band") == k, F.col("samples")), ignorenulls=True).alias(name) for k, name in enumerate(BANDS)]
     )
+    zipped = F.arrays_zip(*[F.coalesce(name, F.array().cast(rows.schema["samples"].dataType)).alias(name) for name in BANDS])
+    if missing == "raise":
+        sizes = [F.size(name) for name in BANDS]  # null for a missing band
+        whole = F.coalesce((sizes[0] == sizes[1]) & (sizes[1] == sizes[2]) & (sizes[0] >= 0), F.lit(False))
+        where = F.concat(F.lit("image row without all bands in one length: scene "), F.coalesce(F.col("scene_id").cast("string"), F.lit("null")), F.lit(", row "), F.coalesce(F.col("row_idx").cast("string"), F.lit("null")))
+        zipped = F.when(whole, zipped).otherwise(F.raise_error(where).cast(grouped.select(zipped.alias("z")).schema["z"].dataType))
+    exploded = grouped.select("scene_id", "row_idx", F.posexplode(zipped).alias("col_idx", "px"))
     return exploded.select(
         "scene_id",
         "row_idx",
@@ -52,16 +51,14 @@ def interleave_bands(rows: DataFrame) -> DataFrame:
 
 
 def interleave_bands_long(long: DataFrame) -> DataFrame:
-    """Same result from one value per (scene, band, row, col): a pivot by band.  Shuffles every
-    pixel; use ``interleave_bands`` when rows are available."""
+    """Same result from one value per (scene, band, row, col): a pivot by band, with NULL in
+    channels that a pixel lacks.  Shuffles every pixel; use ``interleave_bands`` when rows are
+    available."""
     return (
         long.groupBy("scene_id", "row_idx", "col_idx")
         .agg(
             *[F.max(F.when(F.col("band") == k, F.col("val"))).alias(name) for k, name in enumerate(BANDS)],
-            F.countDistinct("band").alias("_nb"),
         )
-        .filter(F.col("_nb") == 3)
-        .drop("_nb")
     )
 
 
@@ -69,10 +66,10 @@ def image_points(px: DataFrame, meta: DataFrame, small_meta: DataFrame | None =
     """Pixels flipped vertically (row 0 = south edge) and keyed by row-major ``pid``.
 
     ``meta`` has one row per scene and is joined by ``scene_id`` as a broadcast after a size
-    check (``bounded_broadcast``); pass ``small_meta`` when that was done already."""
-    from drapekit.operators.small import bounded_broadcast
+    check (``settled``); pass ``small_meta`` when that was done already."""
+    from drapekit.operators.small import settled
 
-    m = small_meta if small_meta is not None else bounded_broadcast(meta.select("scene_id", "width", "height"), "meta")
+    m = small_meta if small_meta is not None else settled(meta.select("scene_id", "width", "height"), "meta")
     j = px.join(m.select("scene_id", "width", "height"), "scene_id")
     frow = flipped_row(F.col("row_idx"), F.col("height"))
     return j.select(

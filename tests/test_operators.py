@@ -88,6 +88,52 @@ def test_dense_index_groups(spark):
         assert list(part["i"]) == list(range(len(part)))
 
 
+@pytest.mark.parametrize("parts", [1, 7, 64])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_dense_index_keeps_every_row(spark, parts, adaptive):
+    """Payload columns, ties and coalescing must not make counts and ids disagree."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        df = spark.range(0, 30000).select((F.col("id") * 7919 % 1000).alias("v"), F.col("id").alias("payload"), F.lit("x" * 20).alias("text"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+        for count in (None, parts):
+            out = dense_index(df, ["v"], name="i", num_partitions=count).toPandas()
+            assert sorted(out["i"]) == list(range(30000)) and sorted(out["payload"]) == list(range(30000))
+            assert out.sort_values("i")["v"].is_monotonic_increasing
+        out = dense_index(df, ["v"], name="i", group_by=["g"]).toPandas()
+        assert len(out) == 30000
+        for _, part in out.groupby("g", dropna=False):
+            assert sorted(part["i"]) == list(range(len(part)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_nearest_label_is_linear(spark):
+    """200k labels and 200k targets of one axis."""
+    import time
+
+    labels = spark.range(200_000).select(F.lit(1).alias("scene_id"), (F.col("id") * 10.0).alias("x"))
+    targets = spark.range(200_000).select(F.lit(1).alias("scene_id"), "id", (F.col("id") * 10.0 + 4.0).alias("v"))
+    t0 = time.time()
+    assert nearest_label(targets, labels, value="v", label="x").where("x = id * 10").count() == 200_000
+    assert time.time() - t0 < 20
+
+
+def test_match_scenes_across_the_antimeridian(spark):
+    items = [("a", 170.0, -10.0, -170.0, 10.0, 1), ("b", -5.0, 0.0, 5.0, 5.0, 2), ("c", 175.0, 0.0, 179.0, 5.0, 0), ("c2", 175.0, 0.0, 179.0, 5.0, 3)]
+    it = spark.createDataFrame(items, "id string, min_lon double, min_lat double, max_lon double, max_lat double, d int")
+    it = it.select("*", F.timestamp_seconds(F.col("d") * 3600).cast("timestamp_ntz").alias("datetime")).drop("d")
+    reqs = [(1, 178.0, 6.0, 179.0, 7.0), (2, -179.0, 0.0, -178.0, 1.0), (3, 176.0, 1.0, -175.0, 2.0), (4, -1.0, 1.0, 1.0, 2.0), (5, 20.0, 20.0, 21.0, 21.0)]
+    rq = spark.createDataFrame(reqs, "req_id long, min_lon double, min_lat double, max_lon double, max_lat double")
+    for size in (None, 3.0, 40.0):
+        out = match_scenes(rq, it, size=size)
+        assert out.columns == ["req_id", *it.columns]
+        assert {r["req_id"]: r["id"] for r in out.collect()} == {1: "a", 2: "a", 3: "c2", 4: "b"}
+
+
 def test_cloud_stats_and_empty(spark):
     df = spark.createDataFrame([(1, 0.0, 1.0, 2.0), (1, 3.0, -1.0, 5.0)], "scene_id int, x double, y double, z double")
     r = cloud_stats(df).collect()[0]
@@ -266,3 +312,51 @@ def test_knn_coincident_third_is_exact(spark):
         assert np.array_equal(got[got.pid == q].sort_values("rank")["nbr"].to_numpy(), ids[np.lexsort((ids, d))][:k]), q
     normals = estimate_normals(df, k=k)
     assert normals.count() == n
+
+
+def test_normals_of_a_sample_with_repeats(spark):
+    """Repeated ids, a null scene and null-free rows: as many rows as went in."""
+    from drapekit.operators.normals import estimate_normals
+
+    rng = np.random.default_rng(3)
+    n = 400
+    xy = rng.uniform(0, 100, size=(n, 2))
+    rows = [(s, int(p), float(xy[p, 0]), float(xy[p, 1]), 0.5 * float(xy[p, 0])) for s in (1, None) for p in rng.integers(0, n, 750)]
+    df = spark.createDataFrame(rows, "scene_id int, pid long, x double, y double, z double")
+    out = estimate_normals(df, k=30).toPandas()
+    assert len(out) == len(rows)
+    want = np.array([-0.5, 0.0, 1.0]) / np.sqrt(1.25)
+    assert np.allclose(out[["nx", "ny", "nz"]].to_numpy(float), want, atol=1e-4)
+
+
+def test_tight_patch_is_split_until_no_cell_is_hot(spark, tmp_path):
+    """A third of the points in a patch of 0.001 x 0.001: no fine cell keeps more than the bound."""
+    from drapekit.operators import normals as nm
+
+    rng = np.random.default_rng(4)
+    n, k = 30_000, 10
+    xy = rng.uniform(0, 1000, size=(n, 2))
+    xy[: n // 3] = 500 + rng.uniform(0, 0.001, size=(n // 3, 2))
+    pts = np.column_stack([xy, 0.1 * xy[:, 0]])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "pid long, x double, y double, z double")
+    _, _, prepared, _ = nm._prepare(df, k, [], None)
+    side = F.col("s") / F.pow(F.lit(2.0), F.col("qlvl"))
+    fullest = prepared.groupBy("qlvl", *[F.floor(F.col(c) / side).alias(f"f{c}") for c in "xyz"]).count().agg(F.max("count")).first()[0]
+    assert fullest <= nm.HOT_FACTOR * nm.CELL_TARGET_PER_K * k
+    got = nm.knn(df, k=k).toPandas()
+    ids = np.arange(n)
+    for q in [0, 5, 77, n // 3 - 1, n // 3, n - 1]:
+        d = ((pts - pts[q]) ** 2).sum(axis=1)
+        assert np.array_equal(got[got.pid == q].sort_values("rank")["nbr"].to_numpy(), ids[np.lexsort((ids, d))][:k]), q
+
+
+def test_surface_of_a_sample_stays_whole(spark):
+    w, h = 60, 45
+    meta = spark.createDataFrame([(1, w, h)], "scene_id int, width int, height int")
+    cloud = spark.range(w * h).where(F.pmod(F.xxhash64("id"), F.lit(5)) == 0).select(F.lit(1).alias("scene_id"), F.col("id").alias("pid"))
+    faces = triangulate_grid(cloud, meta, block=5)
+    assert faces.count() >= 0.95 * 2 * (w // 5 - 1) * (h // 5 - 1)
+    # at pixel size, under a hundredth of the triangles are left
+    assert triangulate_grid(cloud, meta).count() < 0.01 * 2 * (w - 1) * (h - 1)
+    drawn = {r["pid"] for r in cloud.collect()}
+    assert all({r["a"], r["b"], r["c"]} <= drawn for r in faces.collect())
