@@ -151,7 +151,10 @@ def _found(joined: Column, keywords: list[str], by_keyword: Column) -> Column:
 
     def of_rule(rule: Column) -> Column:
         between, match = _places(joined, rule["pattern"])
-        begin = F.transform(F.sequence(F.lit(1), F.size(match)), lambda k: F.aggregate(F.slice(between, 1, k), F.lit(0), lambda a, x: a + _words_in(x)) + F.aggregate(F.slice(match, 1, k - 1), F.lit(0), lambda a, x: a + _words_in(x)))
+        # a match starts after the words between and within the matches before it
+        steps = F.transform(F.arrays_zip(F.slice(between, 1, F.size(match)).alias("b"), match.alias("m")), lambda x: F.struct(_words_in(x["b"]).alias("b"), _words_in(x["m"]).alias("m")))
+        none = F.struct(F.lit(0).alias("words"), F.array().cast("array<int>").alias("starts"))
+        begin = F.aggregate(steps, none, lambda a, x: F.struct((a["words"] + x["b"] + x["m"]).alias("words"), F.concat(a["starts"], F.array(a["words"] + x["b"])).alias("starts")))["starts"]
         spans = F.transform(F.arrays_zip(begin.alias("b"), F.transform(match, lambda m: _words_in(m)).alias("n")), lambda s: F.struct(s["b"].alias("start"), (-s["b"] - s["n"]).alias("end"), (-rule["priority"]).alias("rank"), rule["at"].alias("at"), rule["label"].alias("label"), rule["weight"].alias("weight")))
         return F.when(F.size(match) > 0, spans)
 
