@@ -40,6 +40,28 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=200)
 
 
+# every 200-byte string as hex text, cut from pieces of 264 bytes
+ORACLE["op1_suffix_dedup"] = """
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+cut as (select r, unnest(range(0, len(h) // 2, 64)) as c from d),
+part as (select r, c, substr(h, 2 * c + 1, 2 * 264) as p from cut join d using (r)),
+starts as (select r, c + k as i, md5(substr(p, 2 * k + 1, 400)) as name from (select *, unnest(range(0, least(64, len(p) // 2 - 199))) as k from part)),
+again as (select r, i from (select r, i, count(*) over (partition by name) as n from starts) where n > 1),
+span as (
+  select r, min(i) as a, max(i) + 200 as b from (
+    select r, i, sum(new) over (partition by r order by i) as g from (
+      select r, i, case when i - lag(i) over (partition by r order by i) <= 200 then 0 else 1 end as new from again))
+  group by r, g),
+gone as (
+  select r, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last, string_agg(piece, '' order by a) as before from (
+    select s.r, a, b, substr(h, 2 * before + 1, 2 * (a - before)) as piece from (
+      select *, lag(b, 1, 0) over (partition by r order by a) as before from span) s join d on s.r = d.r)
+  group by r)
+select doc_id, len(h) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join gone using (r)"""
+
+
 @_query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -96,7 +118,42 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: what assistants say in ``conversations``; background: all ``documents``."""
     target = table(spark, sf_dir, "conversations").where("role = 'assistant'")
-    return lm_scores(table(spark, sf_dir, "documents"), target)
+    out = lm_scores(table(spark, sf_dir, "documents"), target)
+    return out.withColumns({c: F.round(c, 9) for c in ("target_loss", "background_loss", "score")})
+
+
+# '' is the unknown word, '^' the start of a text
+ORACLE["op2_lm_scoring"] = r"""
+with text as (
+  select row_number() over () as r, true as own, doc_id, text from documents
+  union all select row_number() over (), false, null, text from conversations where role = 'assistant'),
+split as (select r, own, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as ws from text),
+tok as (select r, own, unnest(ws) as w, generate_subscripts(ws, 1) as i from split),
+uni as (select w, count(*) filter (not own) as t, count(*) filter (own) as b from tok group by w),
+total as (select coalesce(sum(t), 0)::double as t, coalesce(sum(b), 0)::double as b from uni),
+vocab as (select w, uni.t, uni.b from uni, total where (uni.t > 0 and uni.t >= total.t / 262144) or (uni.b > 0 and uni.b >= total.b / 262144)),
+word as (
+  select w, ln((t + 1) / (nt + v + 1)) as t, ln((b + 1) / (nb + v + 1)) as b
+  from (select w, t, b from vocab union all select '', (select t from total) - sum(t), (select b from total) - sum(b) from vocab),
+    (select count(*) as v from vocab), (select t as nt, b as nb from total)),
+seq as (select r, own, i, coalesce(v.w, '') as w from tok left join vocab v on tok.w = v.w),
+step as (select r, own, w, lag(w, 1, '^') over (partition by own, r order by i) as u from seq),
+pair as (select u, w, count(*) filter (not own) as t, count(*) filter (own) as b from step group by u, w),
+head as (select u, sum(t) as t, sum(b) as b from pair group by u),
+kept as (
+  select u, w, greatest(p.t - 0.75, 0) as t, greatest(p.b - 0.75, 0) as b from pair p, (select sum(t) as nt, sum(b) as nb from pair)
+  where (p.t > 0 and p.t >= nt / 1048576) or (p.b > 0 and p.b >= nb / 1048576)),
+rest as (
+  select u, case when head.t > 0 then 1 - coalesce(k.t, 0) / head.t else 1 end as t, case when head.b > 0 then 1 - coalesce(k.b, 0) / head.b else 1 end as b
+  from head left join (select u, sum(t) as t, sum(b) as b from kept group by u) k using (u)),
+loss as (
+  select r, count(*) as n,
+    -avg(case when k.u is null then ln(rest.t) + word.t else ln(k.t / greatest(head.t, 1) + rest.t * exp(word.t)) end) as t,
+    -avg(case when k.u is null then ln(rest.b) + word.b else ln(k.b / greatest(head.b, 1) + rest.b * exp(word.b)) end) as b
+  from step s join word using (w) join head using (u) join rest using (u) left join kept k on k.u = s.u and k.w = s.w
+  where own group by r)
+select doc_id, coalesce(n, 0) as n_words, round(coalesce(t, 0), 9) as target_loss, round(coalesce(b, 0), 9) as background_loss, round(coalesce(t - b, 0), 9) as score
+from split left join loss using (r) where own"""
 
 
 @_query
