@@ -37,6 +37,14 @@ def lower_ascii(col: Column | str) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def word_count(col: Column | str, between: str) -> Column:
+    """How many runs of other characters the text has, where ``between`` is the character class
+    of what separates them (0x20 included).  Much cheaper than collecting the matches."""
+    joined = F.trim(F.regexp_replace(col, f"[{between}]+", " "))
+    gaps = F.length(joined) - F.length(F.replace(joined, F.lit(" "), F.lit("")))
+    return F.when(F.length(joined) > 0, gaps + 1).otherwise(0)
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """A key for a row made of its id and its text, so rows that repeat an id stay apart and
     rows that repeat both share one key (and one result)."""

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drapekit.llm.common import lower_ascii
+from drapekit.llm.common import lower_ascii, word_count
 
 #: fixed values: phrase -> label
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -190,11 +190,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     by_keyword = F.create_map(*[x for k in keywords for x in (F.lit(k), F.array(*[literal(i, r) for i, r in enumerate(table) if r.keyword == k]))])
     other = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    either = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # words before lower-casing
+    either = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # between words before lower-casing
     # no keyword, no rule and no base phrase: such texts are only counted
     gate = "(?i)(?<![a-z0-9])(?:" + "|".join(keywords) + ")(?![a-z0-9])"
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    source = source.withColumn("n_words", F.regexp_count("text", F.lit(either)).cast("long"))
+    source = source.withColumn("n_words", word_count("text", either).cast("long"))
     words = F.trim(F.regexp_replace(lower_ascii("text"), other, " "))
     joined = F.when(F.col("text").rlike(gate), F.concat(F.lit(" "), words, F.lit(" ")))
     source = source.select("id", "n_words", joined.alias("joined"))
