@@ -21,14 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back: later steps read the
     shared files and neither recompute it nor depend on the executors that made it."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -75,3 +75,10 @@ def test_null_ids_repeated_rows_and_empty(spark):
     df = spark.createDataFrame([(None, "a b", "", "", 1, "", 1), (1, "a", "", "", 1, "", 1), (1, "a", "", "", 1, "", 1)], SCHEMA)
     assert sorted((r.doc_id or 0, r.n_tokens) for r in op.round_trip(df, PATH).collect()) == [(0, 2), (1, 1), (1, 1)]
     assert op.round_trip(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+def test_very_long_text(own, library):
+    text = prose(3, 80_000, 20_000) + "a" * 20_000
+    ids = own.encode(text)
+    assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert own.decode(ids).decode() == text

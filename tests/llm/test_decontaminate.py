@@ -93,3 +93,10 @@ def test_null_ids_repeats_and_empty(spark):
     none, no_items = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], ITEMS)
     assert op.leaks(none, bench).count() == 0 and op.leaks(df, no_items).count() == 0
     assert op.without_leaks(df, no_items).count() == 3 and op.without_leaks(df, bench).count() == 0
+
+
+def test_very_long_text(spark):
+    item = prose(5, 30)
+    text = prose(1, 40_000) + " " + item.replace("w1", "w2", 1) + " " + prose(2, 40_000)
+    (hit,) = op.leaks(frame(spark, [text, "x"]), spark.createDataFrame([(7, item, 1)], ITEMS)).collect()
+    assert (hit.doc_id, hit.item_id) == (0, 7) and hit.distance <= 1 and hit.start == len(prose(1, 40_000)) + 1

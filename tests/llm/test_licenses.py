@@ -75,3 +75,9 @@ def test_null_ids_repeats_empty_and_plan(spark):
     assert op.license_scan(spark.createDataFrame([], SCHEMA)).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_very_long_text(spark):
+    text = "the MIT License and " * 3000 + prose(1, 30_000)
+    (r,) = op.license_scan(frame(spark, [text])).collect()
+    assert (r.n_words, r.n_base, r.first_word, r.last_word) == (42_000, 3000, 1, 11_997) and len(r.detections) == 3000

@@ -68,3 +68,9 @@ def test_null_ids_repeats_and_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert sorted((r.doc_id or 0, r.n_words) for r in op.lm_scores(df, none).collect()) == [(0, 2), (1, 1), (1, 1)]
     assert op.lm_scores(none, df).count() == 0
+
+
+def test_very_long_text_counts_like_its_parts(spark):
+    parts = [prose(k, 2000) for k in range(30)]
+    (long,) = op.lm_scores(frame(spark, [" ".join(parts)]), frame(spark, parts)).collect()
+    assert long.n_words == 60_000 and abs(long.target_loss - long.background_loss) < 0.01

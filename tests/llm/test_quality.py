@@ -46,3 +46,9 @@ def test_null_ids_repeated_rows_and_empty(spark):
     df = spark.createDataFrame([(None, "a", None, None, None, None, None), (1, "a", "", "", 1, "", 1), (1, "a", "", "", 1, "", 1)], SCHEMA)
     assert sorted(r.doc_id or 0 for r in op.ledger(df).collect()) == [0, 1, 1]
     assert op.apply_policy(op.ledger(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_very_long_text(spark):
+    texts = [prose(1, 60_000, 5000), "x", prose(2, 40_000, 30) + "\nline" * 500]
+    got = {r.doc_id: tuple(r[m] for m in op.MEASURES) for r in op.ledger(frame(spark, texts)).collect()}
+    assert got == {k: slow(t) for k, t in enumerate(texts)}

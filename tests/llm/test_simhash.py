@@ -94,3 +94,8 @@ def test_null_ids_repeated_rows_and_empty(spark):
     rows = op.simhash_groups(df).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (-1, 4), (4, 4), (4, 4)]
     assert op.simhash_groups(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_very_long_text():
+    text = prose(5, 70_000, 50_000)
+    assert op.fingerprint(text.encode()) == slow_print(text)

@@ -66,3 +66,9 @@ def test_what_cancels_out_is_gone(spark):
     t = prose(1, 5)
     df = spark.createDataFrame([("a", "en", None, t, 1), ("a", "en", t, None, 1)], CHANGE)
     assert op.deltas(df).count() == 0 and op.deltas(spark.createDataFrame([], CHANGE)).count() == 0
+
+
+def test_very_long_text(spark):
+    t = prose(1, 100_000) + " é!" * 1000
+    rows = {r.version: r.n_tokens for r in op.deltas(spark.createDataFrame([("a", "en", None, t, 1)], CHANGE)).collect()}
+    assert rows == {v: tokens(v, t) for v in op.VERSIONS}
