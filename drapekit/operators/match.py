@@ -2,14 +2,15 @@
 whose footprint intersects each box.
 
 * Only the newest item of a footprint can win, so items are first reduced to (footprint, newest),
-  map-side before the shuffle.  Catalogues repeat their tiles, so this removes most items and
-  keeps a crowded place from holding more than its distinct footprints.
+  map-side before the shuffle, and requests to their distinct boxes.  Catalogues repeat their
+  tiles, and requests their places, so this removes most rows and keeps a crowded place from
+  holding more than its distinct boxes.
 * A box with ``min_lon > max_lon`` crosses the antimeridian; it is split into two boxes.
 * Boxes on both sides are bucketed into lon/lat cells sized by the data (the mean box), joined on
   the cell, and the exact overlap test runs in the join.  A pair sharing several cells is
   kept only in the cell holding the lower-left corner of the overlap, so no distinct is
   needed.
-* Per request only (recency, id) is aggregated, map-side; the winners' rows are fetched by id at
+* Per box only (recency, id) is aggregated, map-side; the winners' rows are fetched by id at
   the end.  Hot cells are split by AQE's skew-join handling.
 """
 
@@ -62,11 +63,13 @@ def match_scenes(requests: DataFrame, items: DataFrame, size: float | None = Non
     without a match are absent.  ``requests`` has ``req_id, min_lon, min_lat, max_lon,
     max_lat`` (valid boxes only); ``items`` the flat catalogue columns.  ``size`` fixes the
     cell side in degrees."""
-    r = split_antimeridian(requests.select("req_id", *BOX))
+    asked = settled(requests.select("req_id", *BOX), "requests")
     newest = items.groupBy(*BOX).agg(F.min(recency_key()).alias("_k"))
     i = settled(split_antimeridian(newest), "footprints")
+    whole = [F.col(n).alias(f"b_{n}") for n in BOX]  # the box as asked, before it is split
+    r = split_antimeridian(asked.select(*BOX).distinct().select(*BOX, *whole))
     size = cell_size(r, i) if size is None else size
-    r = bbox_cells(r.select("req_id", *[F.col(n).alias(f"q_{n}") for n in BOX]), size, prefix="q_")
+    r = bbox_cells(r.select(*[f"b_{n}" for n in BOX], *[F.col(n).alias(f"q_{n}") for n in BOX]), size, prefix="q_")
     pairs = r.join(bbox_cells(i, size), ["cx", "cy"])
     overlap = (
         (F.col("min_lon") <= F.col("q_max_lon"))
@@ -77,12 +80,12 @@ def match_scenes(requests: DataFrame, items: DataFrame, size: float | None = Non
     home = (F.col("cx") == _cell(F.greatest("min_lon", "q_min_lon"), size)) & (
         F.col("cy") == _cell(F.greatest("min_lat", "q_min_lat"), size)
     )
-    best = pairs.filter(overlap & home).groupBy("req_id").agg(F.min("_k").alias("_k"))
-    best = best.select("req_id", F.col("_k.id").alias("_id"), F.col("_k.t").alias("_t"))
+    best = pairs.filter(overlap & home).groupBy(*[f"b_{n}" for n in BOX]).agg(F.min("_k").alias("_k"))
+    best = settled(best.select(*[F.col(f"b_{n}").alias(n) for n in BOX], F.col("_k.id").alias("_id"), F.col("_k.t").alias("_t")), "best")
     # the winners' rows; of rows that repeat id and time, one
     wanted = best.select(F.col("_id").alias("id"), "_t").distinct()
     cols = [c for c in items.columns if c != "id"]
     keyed = items.withColumn("_t", recency_key()["t"])
     rows = keyed.join(wanted, ["id", "_t"], "left_semi").groupBy("id", "_t").agg(F.first(F.struct(*cols)).alias("_it"))
-    out = best.join(rows, (F.col("_id") == F.col("id")) & (best["_t"] == rows["_t"]))
+    out = asked.join(best, [*BOX]).select("req_id", "_id", F.col("_t").alias("_at")).join(rows, (F.col("_id") == F.col("id")) & (F.col("_at") == F.col("_t")))
     return out.select("req_id", *[F.col("id") if c == "id" else F.col(f"_it.{c}").alias(c) for c in items.columns])
