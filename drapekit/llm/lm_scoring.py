@@ -4,14 +4,16 @@ Two bigram models, one of a target text collection and one of a background colle
 vocabulary and one smoothing.  Each document is scored by its loss per word under either model;
 the difference (target minus background) is low for documents that look like the target.
 
-* **Counts** cover every word of both collections: words are counted by name map-side and merged
-  by Spark, then pairs of numbered words likewise.
-* **Size.** The vocabulary holds the words that make up at least 2 ** -18 of a collection, and
-  explicit pairs at least 2 ** -20 of one.  No more than 2 ** 18 words and 2 ** 20 pairs can do so per
-  collection, so the models have a proven bound at any corpus size and can be handed to the
-  tasks.  Rarer words share the unknown word, rarer pairs use the lower order.
+* **Counts** cover every word and every pair of both collections, and all of them are the model:
+  pairs are counted by name map-side and merged by Spark; words and histories are sums of pairs.
+* **Size.** The model is a table as large as the collections make it.  Pairs that make up at
+  least 2 ** -20 of both collections together, no more than 2 ** 20, are handed to the tasks, which
+  add them up in place.  A document's other pairs are counted and joined with the model.  No
+  pair of the join is frequent, so none weighs on one task.
 * **Smoothing.** Interpolated absolute discounting: what the pairs of a history give up goes to the
-  lower order, which adds one to every count of the shared vocabulary.
+  lower order, which adds one to every count of the shared vocabulary and one for unknown words.
+* ``WORD_SHARE`` and ``PAIR_SHARE`` are 0.  Above it, words that make up less of either collection
+  share the unknown word, and pairs that do use the lower order.
 
 Words are runs of letters, digits and bytes beyond ASCII, lower-cased.  A text without words
 (null, empty) has no losses: n_words 0, all three values 0.  Null ids and repeated rows: kept and
@@ -22,20 +24,26 @@ uniform over the vocabulary.  Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drapekit.llm.common import Names, slices, spans, utf8, word_bytes, written
+from drapekit.llm.common import Names, mix, slices, spans, utf8, word_bytes, written
 
-WORD_SHARE = 2.0**-18
-PAIR_SHARE = 2.0**-20
+WORD_SHARE = 0.0
+PAIR_SHARE = 0.0
 DISCOUNT = 0.75
+#: exact shortcuts: pairs added up in place, words whose sums are broadcast
+FREQUENT_PAIR = 2.0**-20
+FREQUENT_WORD = 2.0**-18
 
 _U = np.uint64
+_ODD = _U(0x9E3779B97F4A7C15)
+# names that no word has: the start of a text, the unknown word
+START, UNKNOWN = 0, 1
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,120 +53,97 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return Names(data).of(start, end), text
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        value, n = np.unique(words_of(*utf8(batch.column("text")))[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["name", "n"])
+def steps_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name before, name, text, name of the pair) of every word."""
+    name, text = words_of(data, offsets)
+    before = np.full(len(name), START, _U)
+    before[1:] = np.where(text[1:] == text[:-1], name[:-1], _U(START))
+    return before, name, text, mix(before * _ODD + name)
 
 
-def numbered(vocab: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(number, number before, text, is first) of every word: 0 is the unknown word, 1.. the
-    vocabulary, V + 1 the start of a text."""
-    name, text = words_of(data, offsets)
-    number = np.zeros(len(name), np.int64)
-    if len(vocab):
-        at = np.minimum(np.searchsorted(vocab, name), len(vocab) - 1)
-        number = np.where(vocab[at] == name, at + 1, 0)
-    first = np.ones(len(name), bool)
-    first[1:] = text[1:] != text[:-1]
-    before = np.full(len(name), len(vocab) + 1, np.int64)
-    before[1:] = np.where(first[1:], before[1:], number[:-1])
-    return number, before, text, first
-
-
-def _pair_counts(vocab):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 700_000):
-            number, before, _, _ = numbered(vocab.value, *utf8(batch.column("text")))
-            code, n = np.unique(before * (len(vocab.value) + 2) + number, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text", 700_000):
+        before, name, _, pair = steps_of(*utf8(batch.column("text")))
+        _, at, n = np.unique(pair, return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(before[at].view(np.int64)), pa.array(name[at].view(np.int64)), pa.array(n)], ["u", "w", "n"])
 
-    return run
+
+def _merged(target: DataFrame, background: DataFrame) -> DataFrame:
+    """Counts of both collections side by side: t and b by pair."""
+    none = F.lit(0).cast("long")
+    both = target.select("u", "w", F.col("n").alias("t"), none.alias("b")).unionByName(background.select("u", "w", none.alias("t"), F.col("n").alias("b")))
+    return both.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
 
-@dataclass
-class Pair:
-    """The two models: log probabilities of words, log weights of histories, and log
-    probabilities of explicit pairs, each as (target, background)."""
-
-    vocab: np.ndarray
-    word: np.ndarray  # (2, V + 1)
-    weight: np.ndarray  # (2, V + 2)
-    code: np.ndarray  # sorted: history * (V + 2) + word
-    pair: np.ndarray  # (2, pairs)
-
-    def losses(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(words, mean loss under either model) per text."""
-        n = len(offsets) - 1
-        number, before, text, first = numbered(self.vocab, data, offsets)
-        count, out = np.zeros(n, np.int64), np.zeros((2, n))
-        if not len(number):
-            return count, out
-        code = before * (len(self.vocab) + 2) + number
-        known = np.zeros(len(code), bool)
-        if len(self.code):
-            at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
-            known = self.code[at] == code
-        head = np.flatnonzero(first)
-        own, size = text[head], np.diff(np.append(head, len(text)))
-        count[own] = size
-        for k in range(2):
-            value = self.weight[k][before] + self.word[k][number]
-            if known.any():
-                value[known] = self.pair[k][at[known]]
-            out[k, own] = -np.add.reduceat(value, head) / size
-        return count, out
-
-
-def _merged(target: DataFrame, background: DataFrame, key: str) -> DataFrame:
-    """Counts of both collections side by side: t and b by key."""
-    both = target.select(key, F.col("n").alias("t"), F.lit(0).cast("long").alias("b")).unionByName(background.select(key, F.lit(0).cast("long").alias("t"), F.col("n").alias("b")))
-    return both.groupBy(key).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-
-
-def _shares(counts: DataFrame, share: float) -> tuple[DataFrame, float, float]:
-    """The rows that make up a share of either collection, and both totals."""
-    t, b = counts.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
-    return counts.where(((F.col("t") > 0) & (F.col("t") >= share * t)) | ((F.col("b") > 0) & (F.col("b") >= share * b))), float(t), float(b)
-
-
-def learn(target: DataFrame, background: DataFrame, target_text_col: str = "text", text_col: str = "text") -> Pair:
-    """Both models, from every row of both collections."""
-    spark = background.sparkSession
+def _holds(share: float, t: float, b: float) -> Column:
+    """Whether a count makes up a share of either collection."""
+    return ((F.col("t") > 0) & (F.col("t") >= share * t)) | ((F.col("b") > 0) & (F.col("b") >= share * b))
+
+
+def _known(pairs: DataFrame, t: float, b: float) -> DataFrame:
+    """Pairs with the words that WORD_SHARE leaves out replaced, beside their own (u0, w0)."""
+    kept = pairs.groupBy("w").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).where(_holds(WORD_SHARE, t, b)).select("w")
+    out = pairs.withColumnsRenamed({"u": "u0", "w": "w0"})
+    out = out.join(kept.withColumnRenamed("w", "w1"), F.col("w0") == F.col("w1"), "left").join(kept.withColumnRenamed("w", "u1"), F.col("u0") == F.col("u1"), "left")
+    unknown = F.lit(UNKNOWN).cast("long")
+    return out.select("u0", "w0", F.when(F.col("u0") == START, F.col("u0")).otherwise(F.coalesce("u1", unknown)).alias("u"), F.coalesce("w1", unknown).alias("w"), "t", "b")
+
+
+def learn(target: DataFrame, background: DataFrame, target_text_col: str = "text", text_col: str = "text") -> DataFrame:
+    """Both models, from every row of both collections: each pair (u, w) that occurs, its share
+    of both collections together and its loss under either model (tl, bl)."""
     sides = [target.select(F.col(target_text_col).alias("text")), background.select(F.col(text_col).alias("text"))]
-    words = written(_merged(*[s.mapInArrow(_word_counts, "name long, n long") for s in sides], "name"), "op2-words")
-    kept, *totals = _shares(words, WORD_SHARE)
-    rows = kept.toPandas()
-    name = rows["name"].to_numpy(np.int64).view(_U)
-    order = np.argsort(name)
-    vocab = name[order]
-    v = len(vocab) + 2
-    shared = spark.sparkContext.broadcast(vocab)
-    pairs = written(_merged(*[s.mapInArrow(_pair_counts(shared), "code long, n long") for s in sides], "code"), "op2-pairs")
-    heads = pairs.groupBy(F.expr(f"cast(code div {v} as int)").alias("k")).agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toPandas()
-    explicit = _shares(pairs, PAIR_SHARE)[0].toPandas().sort_values("code")
-    code = explicit["code"].to_numpy(np.int64)
-    word, weight, pair = np.zeros((2, v - 1)), np.zeros((2, v)), np.zeros((2, len(code)))
-    for k, (own, total) in enumerate(zip("tb", totals)):
-        n = np.zeros(v - 1)
-        n[1:] = rows[own].to_numpy(float)[order]
-        n[0] = total - n.sum()
-        word[k] = np.log((n + 1) / (total + v - 1))
-        after = np.zeros(v)
-        after[heads["k"].to_numpy()] = heads[own].to_numpy(float)
-        seen = np.maximum(explicit[own].to_numpy(float) - DISCOUNT, 0)
-        taken = np.bincount(code // v, weights=seen, minlength=v)
-        left = np.where(after > 0, 1 - taken / np.maximum(after, 1), 1.0)
-        weight[k] = np.log(left)
-        pair[k] = np.log(seen / np.maximum(after[code // v], 1) + left[code // v] * np.exp(word[k][code % v]))
-    return Pair(vocab, word, weight, code, pair)
-
-
-def _scores(model):
+    own = written(_merged(*[s.mapInArrow(_pair_counts, "u long, w long, n long") for s in sides]), "op2-pairs")
+    t, b = (float(x) for x in own.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first())
+    pairs = own
+    if WORD_SHARE:
+        own = _known(own, t, b)
+        pairs = own.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    explicit = _holds(PAIR_SHARE, t, b)
+    pairs = pairs.select("u", "w", (F.col("t") + F.col("b")).alias("n"), "t", "b", *[F.when(explicit, F.greatest(F.col(k) - DISCOUNT, F.lit(0.0))).otherwise(0.0).alias(f"{k}_seen") for k in "tb"])
+    words = written(pairs.groupBy("w").agg(F.sum("n").alias("w_n"), F.sum("t").alias("t_n"), F.sum("b").alias("b_n")), "op2-words")
+    size = words.where(F.col("w") != UNKNOWN).count()
+    words = words.select("w", "w_n", *[((F.col(f"{k}_n") + 1) / (total + size + 1)).alias(f"{k}_low") for k, total in zip("tb", (t, b))])
+    heads = pairs.groupBy("u").agg(F.sum("n").alias("u_n"), *[F.sum(k).alias(f"{k}_after") for k in "tb"], *[F.sum(f"{k}_seen").alias(f"{k}_taken") for k in "tb"])
+    left = [F.when(F.col(f"{k}_after") > 0, 1 - F.col(f"{k}_taken") / F.col(f"{k}_after")).otherwise(1.0).alias(f"{k}_left") for k in "tb"]
+    heads = written(heads.select("u", "u_n", *[F.greatest(F.col(f"{k}_after"), F.lit(1)).alias(f"{k}_after") for k in "tb"], *left), "op2-heads")
+    # frequent words come with the task, pairs that hold another are joined
+    often = FREQUENT_WORD * (t + b)
+    near = pairs.join(F.broadcast(heads.where(F.col("u_n") >= often)), "u", "left").join(F.broadcast(words.where(F.col("w_n") >= often)), "w", "left")
+    met = F.col("u_n").isNotNull() & F.col("w_n").isNotNull()
+    far = near.where(~met).select(pairs.columns).join(heads, "u").join(words, "w")
+    loss = [(-F.log(F.col(f"{k}_seen") / F.col(f"{k}_after") + F.col(f"{k}_left") * F.col(f"{k}_low"))).alias(f"{k}l") for k in "tb"]
+    share = (F.col("n") / (t + b)).alias("share")
+    model = near.where(met).select("u", "w", share, *loss).unionByName(far.select("u", "w", share, *loss))
+    if WORD_SHARE:
+        model = own.select("u0", "w0", "u", "w").join(model, ["u", "w"]).drop("u", "w").withColumnsRenamed({"u0": "u", "w0": "w"})
+    return written(model, "op2-model")
+
+
+def _scores(frequent):
+    """A row per text with what its frequent pairs add up to, and one per other pair of a text.
+    The text's row has a pair that no text has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            n, loss = model.value.losses(*utf8(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(loss[0]), pa.array(loss[1])], ["id", "n_words", "target_loss", "background_loss"])
+        pair, u, w, loss = frequent.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in slices(batches, "text", 700_000):
+            n = batch.num_rows
+            before, name, text, own = steps_of(*utf8(batch.column("text")))
+            known, at = np.zeros(len(own), bool), np.zeros(len(own), np.int64)
+            if len(pair):
+                at = np.minimum(np.searchsorted(pair, own), len(pair) - 1)
+                known = (pair[at] == own) & (u[at] == before) & (w[at] == name)
+            sums = [np.bincount(text[known], weights=x[at[known]], minlength=n).astype(float) for x in loss]  # of nothing, it counts
+            count = np.bincount(text, minlength=n)
+            rest = np.flatnonzero(~known)
+            _, one, times = np.unique(mix(own[rest] * _ODD + text[rest].astype(_U)), return_index=True, return_counts=True)
+            one = rest[one]
+            rows = np.arange(row, row + n)
+            row += n
+            doc = pa.StructArray.from_arrays([batch.column("id"), pa.array(count), pa.array(sums[0]), pa.array(sums[1])], ["id", "n_words", "t", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(rows), pa.array(np.full(n, START)), pa.array(np.zeros(n, np.int64)), doc], ["row", "u", "w", "n", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[text[one]]), pa.array(before[one].view(np.int64)), pa.array(name[one].view(np.int64)), pa.array(times), pa.nulls(len(one), doc.type)], ["row", "u", "w", "n", "doc"])
 
     return run
 
@@ -166,8 +151,17 @@ def _scores(model):
 def lm_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_text_col: str = "text") -> DataFrame:
     """id, n_words, target_loss, background_loss (nats per word), score (their difference) of
     every row of ``docs``, which are the background as well."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(target, docs, target_text_col, text_col))
+    model = learn(target, docs, target_text_col, text_col)
+    rows = model.where(F.col("share") >= FREQUENT_PAIR).drop("share").toPandas()
+    u, w = (rows[c].to_numpy(np.int64).view(_U) for c in "uw")
+    pair = mix(u * _ODD + w)
+    order = np.argsort(pair)
+    frequent = docs.sparkSession.sparkContext.broadcast((pair[order], u[order], w[order], [rows[c].to_numpy(float)[order] for c in ("tl", "bl")]))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(_scores(model), f"id {id_type}, n_words long, target_loss double, background_loss double")
-    return found.withColumn("score", F.col("target_loss") - F.col("background_loss")).withColumnRenamed("id", id_col)
+    found = source.mapInArrow(_scores(frequent), f"row long, u long, w long, n long, doc struct<id:{id_type},n_words:long,t:double,b:double>")
+    rare = model.where(F.col("share") < FREQUENT_PAIR).drop("share")
+    each = found.join(rare, ["u", "w"], "left").select("row", "doc.id", "doc.n_words", *[(F.coalesce(f"doc.{k}", F.lit(0.0)) + F.coalesce(F.col("n") * F.col(f"{k}l"), F.lit(0.0))).alias(k) for k in "tb"])
+    out = each.groupBy("row").agg(F.first("id", ignorenulls=True).alias(id_col), F.sum("n_words").alias("n_words"), F.sum("t").alias("t"), F.sum("b").alias("b"))
+    mean = {k: F.when(F.col("n_words") > 0, F.col(k) / F.col("n_words")).otherwise(0.0) for k in "tb"}
+    return out.select(id_col, "n_words", mean["t"].alias("target_loss"), mean["b"].alias("background_loss")).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -74,3 +74,37 @@ def test_very_long_text_counts_like_its_parts(spark):
     parts = [prose(k, 2000) for k in range(30)]
     (long,) = op.lm_scores(frame(spark, [" ".join(parts)]), frame(spark, parts)).collect()
     assert long.n_words == 60_000 and abs(long.target_loss - long.background_loss) < 0.01
+
+
+def whole(docs, target, asked):
+    """Losses of some texts by all counts of both collections."""
+    sides = [[["<s>", *words(t)] for t in s] for s in (target, docs)]
+    pairs = [Counter(p for t in s for p in zip(t, t[1:])) for s in sides]
+    vocab = len({w for c in pairs for _, w in c})
+    out = []
+    for text in (["<s>", *words(t)] for t in asked):
+        loss = []
+        for c in pairs:
+            total, value = sum(c.values()), 0.0
+            for u, w in zip(text, text[1:]):
+                after = sum(n for p, n in c.items() if p[0] == u)
+                left = 1 - sum(n - 0.75 for p, n in c.items() if p[0] == u) / after if after else 1
+                low = (sum(n for p, n in c.items() if p[1] == w) + 1) / (total + vocab + 1)
+                value -= math.log(max(c[u, w] - 0.75, 0) / max(after, 1) + left * low)
+            loss.append(value / max(len(text) - 1, 1))
+        out.append((len(text) - 1, *loss))
+    return out
+
+
+@pytest.mark.parametrize("frequent", [2.0**-20, 1e-4, 2.0])
+def test_rare_words_and_pairs_are_in_the_model(spark, monkeypatch, frequent):
+    """Over 2 ** 18 words, where a share of 2 ** -18 would leave out words that occur once."""
+    monkeypatch.setattr(op, "FREQUENT_PAIR", frequent, raising=False)
+    monkeypatch.setattr(op, "FREQUENT_WORD", 4 * frequent, raising=False)
+    docs = ["alpha beta", "gamma beta", None, "w1 w2 w3 alpha"] + [prose(k, 9_000, 60) for k in range(30)]
+    target = ["alpha beta alpha"]
+    rows = {r.doc_id: r for r in op.lm_scores(frame(spark, docs), frame(spark, target)).collect()}
+    for k, (n, t, b) in enumerate(whole(docs, target, docs[:4])):
+        assert rows[k].n_words == n
+        assert (rows[k].target_loss, rows[k].background_loss) == pytest.approx((t, b), abs=1e-9)
+    assert rows[0].score < rows[1].score
