@@ -4,28 +4,32 @@ Messages (conversation, turn, role, text) hold tool calls as JSON: an assistant'
 ``{"tool_calls": [{"id", "name", "arguments", "after"}]}``, where ``after`` names the call whose
 result this one uses, and a tool's ``{"tool_call_id", "content"}``.
 
-* **Linking.** Calls and results are hash-joined on (conversation, identifier).  Of repeated
-  identifiers the earliest call and the earliest result link; counts tell how many there were.
+* **Linking.** The calls and the results of an identifier are numbered by turn and joined on
+  (conversation, identifier, number); what has no partner is a row of its own.  Counts tell how
+  many there were.  Without ``every`` only the earliest call and the earliest result are rows.
 * **Order.** A call's depth is the number of calls it builds on, found by pointer doubling, so a
   chain of n calls takes log2(n) joins.  (conversation, depth, turn) is a topological order.
-  Calls on a cycle have no depth.
+  Calls on a cycle have no depth.  Of repeated identifiers ``after`` names the latest call before
+  this one, else the first.
 * **Validation.** Arguments are parsed once and checked against the tool's schema: required
   parameters, types, unknown parameters.
 * **Canonical JSON.** Keys sorted, no white space, absent fields left out: one line per call, per
   result without a call, and per plain message.
 
 One row never holds more than a call and its result, so a conversation of any length is dealt
-out over tasks by identifier.  All of it is built-in column functions and joins.
+out over tasks by identifier; numbering sorts the rows of one identifier in one task.  All of it is
+built-in column functions, windows and joins.
 
-Messages whose text is no such JSON are plain messages, as are those with a null role; a null
-text is left out of the JSON.  Calls or results without identifier are not linked: each is a row
+Messages whose text is no such JSON are plain messages, as are those with a null role or an empty
+list of calls; a null text is left out of the JSON.  What an assistant says beside its calls
+(``content``) is a plain message too.  Calls or results without identifier are not linked: each is a row
 with status "no_id".  Null conversations form one conversation.  Empty table: empty result.
 Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drapekit.llm.common import written
@@ -37,20 +41,21 @@ TOOLS: dict[str, dict[str, tuple[str, bool]]] = {
     "search": {"limit": ("BIGINT", False), "query": ("STRING", True)},
 }
 
-_CALLS = "tool_calls array<struct<id:string,name:string,arguments:string,after:string>>"
+_CALLS = "tool_calls array<struct<id:string,name:string,arguments:string,after:string>>, content string"
 _RESULT = "tool_call_id string, content string"
 
 
 def extract(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(calls, results, plain messages)."""
     m = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    calls = F.when(F.col("role") == "assistant", F.from_json("text", _CALLS)["tool_calls"])
+    said = F.when(F.col("role") == "assistant", F.from_json("text", _CALLS))
+    calls = F.when(F.size(said["tool_calls"]) > 0, said["tool_calls"])
     found = F.when(F.col("role") == "tool", F.from_json("text", _RESULT))
-    m = m.withColumn("calls", calls).withColumn("result", F.when(found["tool_call_id"].isNotNull() | found["content"].isNotNull(), found))
+    m = m.withColumn("calls", calls).withColumn("beside", F.when(calls.isNotNull(), said["content"])).withColumn("result", F.when(found["tool_call_id"].isNotNull() | found["content"].isNotNull(), found))
     own = m.where("calls is not null").select("conv", "turn", F.posexplode("calls").alias("at", "c"))
     own = own.select("conv", "turn", "at", F.col("c.id").alias("id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.after").alias("after"))
     answers = m.where("result is not null").select("conv", "turn", F.col("result.tool_call_id").alias("id"), F.col("result.content").alias("content"))
-    plain = m.where("calls is null and result is null").select("conv", "turn", "role", "text")
+    plain = m.where("calls is null and result is null or beside is not null").select("conv", "turn", "role", F.coalesce("beside", "text").alias("text"))
     return own, answers, plain
 
 
@@ -99,24 +104,53 @@ def depths(calls: DataFrame) -> DataFrame:
 def _first(rows: DataFrame, fields: list[str], count: str) -> DataFrame:
     """The earliest row per (conv, id), and how many there are."""
     out = rows.groupBy("conv", "id").agg(F.min(F.struct(*fields)).alias("r"), F.count(F.lit(1)).alias(count))
-    return out.select("conv", "id", "r.*", count)
+    return out.select("conv", "id", "r.*", count, F.lit(1).alias("number"))
 
 
-def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", tools: dict[str, dict[str, tuple[str, bool]]] = TOOLS) -> DataFrame:
-    """One row per call, unlinked result and plain message: conversation, kind, turn,
+def _numbered(rows: DataFrame, fields: list[str], count: str) -> DataFrame:
+    """Every row, numbered per (conv, id) from the earliest, and how many there are."""
+    key = Window.partitionBy("conv", "id")
+    return rows.select("conv", "id", *fields, F.count(F.lit(1)).over(key).alias(count), F.row_number().over(key.orderBy(*fields)).alias("number"))
+
+
+def _key(name: str, number: str) -> Column:
+    """A name of its own for each call of an identifier."""
+    return F.concat(F.col(name), F.lit("#"), F.col(number))
+
+
+def _builds_on(calls: DataFrame) -> DataFrame:
+    """(conv, id, after) of numbered calls, named by ``_key``."""
+    none = F.lit(None)
+    places = calls.select("conv", F.col("id").alias("k"), "turn", "at", "number", none.cast("string").alias("id"), none.cast("int").alias("own"))
+    asks = calls.where("after is not null").select("conv", F.col("after").alias("k"), "turn", "at", none.cast("int").alias("number"), "id", F.col("number").alias("own"))
+    key = Window.partitionBy("conv", "k")
+    before = key.orderBy("turn", "at", F.col("number").isNotNull(), "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up = F.coalesce(F.last("number", ignorenulls=True).over(before), F.min("number").over(key))
+    found = places.unionByName(asks).withColumn("up", up).where("own is not null")
+    found = found.select("conv", _key("id", "own").alias("id"), _key("k", "up").alias("after"))
+    return found.unionByName(calls.where("after is null").select("conv", _key("id", "number").alias("id"), none.cast("string").alias("after")))
+
+
+def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", tools: dict[str, dict[str, tuple[str, bool]]] = TOOLS, every: bool = False) -> DataFrame:
+    """One row per call (``every``: all calls and results of repeated identifiers), unlinked result and plain message: conversation, kind, turn,
     result_turn, call_id, depth, status, errors (comma-joined), n_calls, n_results, json.
 
     status: linked; early (the result comes before the call); pending (no result); orphan (a
-    result without call); no_id; message."""
+    result without call); extra (a result beyond the calls of its identifier); no_id; message."""
     calls, results, plain = extract(messages, conv_col, turn_col, role_col, text_col)
-    single = written(_first(calls.where("id is not null"), ["turn", "at", "name", "arguments", "after"], "n_calls").drop("at"), "op5-calls")
-    answers = _first(results.where("id is not null"), ["turn", "content"], "n_results").withColumnRenamed("turn", "result_turn")
-    a, r, d = single.alias("a"), answers.alias("r"), depths(single).alias("d")
-
-    def same(x: str, y: str) -> Column:
-        return F.col(f"{x}.conv").eqNullSafe(F.col(f"{y}.conv")) & (F.col(f"{x}.id") == F.col(f"{y}.id"))
-
-    linked = a.join(r, same("a", "r"), "full_outer").join(d, same("a", "d"), "left")
+    pick = _numbered if every else _first
+    single = written(pick(calls.where("id is not null"), ["turn", "at", "name", "arguments", "after"], "n_calls"), "op5-calls")
+    answers = pick(results.where("id is not null"), ["turn", "content"], "n_results").withColumnRenamed("turn", "result_turn")
+    nodes = _builds_on(single) if every else single.select("conv", _key("id", "number").alias("id"), F.concat("after", F.lit("#1")).alias("after"))
+    a, r, d = single.withColumn("key", _key("id", "number")).alias("a"), answers.alias("r"), depths(nodes).alias("d")
+
+    def same(x: str, y: str, *names: tuple[str, str]) -> Column:
+        out = F.col(f"{x}.conv").eqNullSafe(F.col(f"{y}.conv"))
+        for p, q in names:
+            out = out & (F.col(f"{x}.{p}") == F.col(f"{y}.{q}"))
+        return out
+
+    linked = a.join(r, same("a", "r", ("id", "id"), ("number", "number")), "full_outer").join(d, same("a", "d", ("key", "id")), "left")
     linked = linked.select(
         F.when(F.col("a.id").isNotNull(), F.col("a.conv")).otherwise(F.col("r.conv")).alias("conv"),
         F.coalesce("a.id", "r.id").alias("id"),
@@ -126,6 +160,10 @@ def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
         F.coalesce("n_results", F.lit(0)).alias("n_results"),
         F.when(F.col("a.id").isNull(), "orphan").when(F.col("r.id").isNull(), "pending").when(F.col("result_turn") <= F.col("turn"), "early").otherwise("linked").alias("status"),
     )
+    if every:
+        key = Window.partitionBy("conv", "id")
+        linked = linked.withColumns({c: F.max(c).over(key) for c in ("n_calls", "n_results")})
+        linked = linked.withColumn("status", F.when((F.col("kind") == "result") & (F.col("n_calls") > 0), "extra").otherwise(F.col("status")))
     loose = calls.where("id is null").select("conv", "turn", "name", "arguments", "after", F.lit("call").alias("kind"), F.lit(1).alias("n_calls"), F.lit("no_id").alias("status"))
     loose = loose.unionByName(results.where("id is null").select("conv", F.col("turn").alias("result_turn"), "content", F.lit("result").alias("kind"), F.lit(1).alias("n_results"), F.lit("no_id").alias("status")), allowMissingColumns=True)
     linked = linked.unionByName(loose, allowMissingColumns=True)

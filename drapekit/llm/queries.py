@@ -205,7 +205,7 @@ def tool_messages(conversations: DataFrame) -> DataFrame:
 @_query
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns and depths that do not apply are -1 here."""
-    out = format_chats(tool_messages(table(spark, sf_dir, "conversations")))
+    out = format_chats(tool_messages(table(spark, sf_dir, "conversations")), every=True)
     return out.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("turn", "result_turn", "depth")}).fillna("", ["call_id", "errors"])
 
 

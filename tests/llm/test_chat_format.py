@@ -78,3 +78,34 @@ def test_plan_is_native(spark):
     out = op.format_chats(frame(spark, [(1, 0, "user", "x")]))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Cartesian"))
+
+
+def test_every_call_and_result_is_in_the_output(spark):
+    said = json.loads(calls(("z", "search", {"query": "beside"}, None))) | {"content": "I will look"}
+    rows = [
+        (1, 1, "assistant", calls(("b", "search", {"query": "one"}, None))),
+        (1, 2, "tool", result("b", "found")),
+        (1, 3, "tool", result("b", "later")),
+        (1, 5, "assistant", calls(("b", "search", {"query": "again"}, "b"), ("c", "search", {"query": "on"}, "b"))),
+        (1, 6, "tool", result("b", "last")),
+        (None, 0, "tool", result("n", "too soon")),
+        (None, 1, "assistant", calls(("n", "search", {"query": "q"}, None))),
+        (None, 2, "tool", result("n", "valid")),
+        (2, 0, "assistant", json.dumps(said)),
+        (2, 1, "assistant", json.dumps({"content": "no calls", "tool_calls": []})),
+    ]
+    out = op.format_chats(frame(spark, rows), every=True)
+    got = {(r.conv_id, r.kind, r.call_id, r.turn, r.result_turn): (r.status, r.depth, r.n_calls, r.n_results, json.loads(r.json).get("content")) for r in out.collect()}
+    assert got == {
+        (1, "call", "b", 1, 2): ("linked", 0, 2, 3, "found"),
+        (1, "call", "b", 5, 3): ("early", 1, 2, 3, "later"),
+        (1, "result", "b", None, 6): ("extra", None, 2, 3, "last"),
+        (1, "call", "c", 5, None): ("pending", 2, 1, 0, None),
+        (None, "call", "n", 1, 0): ("early", 0, 1, 2, "too soon"),
+        (None, "result", "n", None, 2): ("extra", None, 1, 2, "valid"),
+        (2, "call", "z", 0, None): ("pending", 0, 1, 0, None),
+        (2, "message", None, 0, None): ("message", None, 0, 0, "I will look"),
+        (2, "message", None, 1, None): ("message", None, 0, 0, json.dumps({"content": "no calls", "tool_calls": []})),
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Cartesian"))
