@@ -112,7 +112,8 @@ SENTENCES: list[Rule] = [
     Rule("reserved", "all rights reserved", "proprietary", 1, 0.4),
     Rule("proprietary", "(proprietary and confidential|confidential and proprietary)", "proprietary", 3, 0.9),
     Rule("prohibited", "unauthorized (copying|use|distribution)( [^ ]+){0,6} is strictly prohibited", "proprietary", 3, 0.9),
-    Rule("license", "see (the )?(file )?(license|license txt|license md|copying)( file)?", "reference", 1, 0.3),
+    Rule("license", "see (the )?(file )?(license|license txt|license md)( file)?", "reference", 1, 0.3),
+    Rule("copying", "see (the )?(file )?(copying)( file)?", "reference", 1, 0.3),
     Rule("copyright", "copyright( c)? (19|20)[0-9]{2}", "copyright", 0, 0.2),
 ]
 

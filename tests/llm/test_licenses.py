@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+from dataclasses import replace
+from unittest.mock import ANY
 
 from drapekit.llm import licenses as op
 from tests.llm.helpers import SCHEMA, frame, prose
@@ -81,3 +83,14 @@ def test_very_long_text(spark):
     text = "the MIT License and " * 3000 + prose(1, 30_000)
     (r,) = op.license_scan(frame(spark, [text])).collect()
     assert (r.n_words, r.n_base, r.first_word, r.last_word) == (42_000, 3000, 1, 11_997) and len(r.detections) == 3000
+
+
+def test_keywords_hide_no_match(spark, monkeypatch):
+    """Every rule on every text, with no gate before it."""
+    texts = ["see the file COPYING", "See COPYING file; all is well", "see license copying, see copying", "the file copying", *TEXTS]
+    rows = op.license_scan(frame(spark, texts)).collect()
+    rules = [replace(r, keyword=ANY) for r in op.rules()]
+    monkeypatch.setattr(op, "rules", lambda: rules)
+    got = {r.doc_id: (*tuple(r)[1:-1], sorted(tuple(d) for d in r.detections or [])) for r in rows}
+    assert got == {k: slow(t) for k, t in enumerate(texts)}
+    assert [rows[k].labels for k in range(4)] == ["reference", "reference", "reference", ""] and rows[0].score == 0.3
