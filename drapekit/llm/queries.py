@@ -15,6 +15,7 @@ from drapekit.llm.common import table
 from drapekit.llm.decontaminate import leaks
 from drapekit.llm.licenses import license_scan
 from drapekit.llm.lm_scoring import lm_scores
+from drapekit.llm.order_minhash import edited_likeness
 from drapekit.llm.quality import apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
@@ -244,3 +245,8 @@ from field
 union all
 select conv_id, 'message', turn, -1, '', -1, 'message', '', 0, 0, json_object('content', text, 'conversation', conv_id, 'role', role, 'turn', turn)::varchar
 from c where role = 'system' or role = 'user' and turn <= 0"""
+
+
+@_query
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(table(spark, sf_dir, "documents"))
