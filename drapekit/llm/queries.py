@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drapekit.llm.align import alignment
 from drapekit.llm.bpe import round_trip
 from drapekit.llm.chat_format import format_chats
 from drapekit.llm.common import table
@@ -247,6 +248,12 @@ select conv_id, 'message', turn, -1, '', -1, 'message', '', 0, 0, json_object('c
 from c where role = 'system' or role = 'user' and turn <= 0"""
 
 
+@_query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 @_query
 def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
