@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from drapekit.llm.align import alignment
 from drapekit.llm.bpe import round_trip
 from drapekit.llm.chat_format import format_chats
+from drapekit.llm.collocations import collocations
 from drapekit.llm.common import table
 from drapekit.llm.decontaminate import leaks
 from drapekit.llm.licenses import license_scan
@@ -248,6 +249,31 @@ select conv_id, 'message', turn, -1, '', -1, 'message', '', 0, 0, json_object('c
 from c where role = 'system' or role = 'user' and turn <= 0"""
 
 
+@_query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrase_collocations"] = r"""
+with d as (select row_number() over () as d, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+piece as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d)),
+place as (select lang, w, unnest(range(1, len(w) + 1)) as i from piece),
+gram as (select lang, k, list_slice(w, i, i + k - 1) as g from place, (values (1), (2), (3)) s(k) where i + k - 1 <= len(w)),
+f as (select lang, k, g, count(*) as f from gram group by all),
+total as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+cand as (select lang, k, g, f as a from f where k > 1 and f >= 10),
+cut as (select c.*, h.k as first_words, h.f as l, t.f as r, ((c.a::hugeint * c.a * 1000000) // (h.f::hugeint * t.f))::bigint as score
+    from cand c join f h on h.lang = c.lang and h.k < c.k and h.g = list_slice(c.g, 1, h.k)
+    join f t on t.lang = c.lang and t.k = c.k - h.k and t.g = list_slice(c.g, h.k + 1, c.k)),
+low as (select lang, k, g, a, l, r, score from cut qualify row_number() over (partition by lang, g order by score, first_words) = 1),
+inside as (select lang, g, max(a) as around from (select lang, unnest([list_slice(g, 1, 2), list_slice(g, 2, 3)]) as g, a from cand where k = 3) group by all),
+kept as (select low.*, array_to_string(low.g, ' ') as phrase from low left join inside using (lang, g) where around is null or 100 * around < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
+
+
 @_query
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
