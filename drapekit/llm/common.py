@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,8 @@ def texts(column: pa.Array) -> list[bytes]:
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, np.ndarray] = {}
+# Polynomials modulo 2 ** 64 take some texts of 1,024 bytes and more for equal, whatever the base.
+_LONG = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -111,10 +114,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 class Names:
     """64-bit names of substrings: equal substrings have equal names.  A polynomial hash from
-    prefix sums, shifted back to position zero."""
+    prefix sums, shifted back to position zero; XXH3 for substrings over 512 bytes."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        self.data = data
         self.sums = np.zeros(n + 1, _U)
         values = data.astype(_U)
         values += _U(1)
@@ -126,7 +130,10 @@ class Names:
         return (self.sums[end] - self.sums[start]) * self.back[start]
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix(self.raw(start, end))
+        out = mix(self.raw(start, end))
+        for k in np.flatnonzero(end - start > _LONG).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(self.data[start[k] : end[k]].tobytes())
+        return out
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,6 +3,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+
 from drapekit.llm import quality as op
 from tests.llm.helpers import SCHEMA, frame, prose
 
@@ -52,3 +54,15 @@ def test_very_long_text(spark):
     texts = [prose(1, 60_000, 5000), "x", prose(2, 40_000, 30) + "\nline" * 500]
     got = {r.doc_id: tuple(r[m] for m in op.MEASURES) for r in op.ledger(frame(spark, texts)).collect()}
     assert got == {k: slow(t) for k, t in enumerate(texts)}
+
+
+def test_lines_that_a_polynomial_takes_for_equal():
+    """A Thue-Morse line and its complement: 1,024 characters on, equal modulo 2 ** 64 in any base."""
+    line = "a"
+    while len(line) < 4096:
+        line += line.translate(str.maketrans("ab", "ba"))
+    other = line.translate(str.maketrans("ab", "ba"))
+    for size in (1024, 2048, 4096):
+        text = f"{line[:size]}\n{other[:size]}\n{line[:size]}".encode()
+        found = dict(zip(op.MEASURES, (x.tolist() for x in op.measure(np.frombuffer(text, np.uint8), np.array([0, len(text)])))))
+        assert found["n_dup_lines"] == [1]
