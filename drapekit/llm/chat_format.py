@@ -14,7 +14,8 @@ result this one uses, and a tool's ``{"tool_call_id", "content"}``.
 * **Validation.** Arguments are parsed once and checked against the tool's schema: required
   parameters, types, unknown parameters.
 * **Canonical JSON.** Keys sorted, no white space, absent fields left out: one line per call, per
-  result without a call, and per plain message.
+  result without a call, and per plain message.  Arguments that are no JSON object, or repeat a key,
+  stand as they came in ``raw_arguments``.  A number without fraction (1.0) is an integer.
 
 One row never holds more than a call and its result, so a conversation of any length is dealt
 out over tasks by identifier; numbering sorts the rows of one identifier in one task.  All of it is
@@ -67,7 +68,8 @@ def errors(tools: dict[str, dict[str, tuple[str, bool]]] = TOOLS) -> Column:
         for p, (kind, required) in parameters.items():
             held = F.array_contains("keys", p)
             value = F.schema_of_variant(F.variant_get("args", f"$.{p}", "variant"))
-            checks.append(F.when(held & (value != kind), F.lit(f"type:{p}")))
+            whole = value.rlike(r"^DECIMAL\(\d+,0\)$") if kind == "BIGINT" else F.lit(False)
+            checks.append(F.when(held & (value != kind) & ~whole, F.lit(f"type:{p}")))
             if required:
                 checks.append(F.when(~held, F.lit(f"missing:{p}")))
         known = F.array(*[F.lit(p) for p in parameters])
@@ -169,7 +171,7 @@ def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     linked = linked.unionByName(loose, allowMissingColumns=True)
     linked = linked.withColumn("args", F.try_parse_json("arguments")).withColumn("keys", F.when(F.schema_of_variant("args").startswith("OBJECT"), F.map_keys(F.from_json("arguments", "map<string,string>"))))
     linked = linked.withColumn("errors", F.when(F.col("kind") == "call", errors(tools)))
-    call = F.struct("after", F.col("args").alias("arguments"), F.col("content"), F.col("conv").alias("conversation"), "depth", F.when(F.size("errors") > 0, F.col("errors")).alias("errors"), "id", "name", "result_turn", "status", "turn")
+    call = F.struct("after", F.col("args").alias("arguments"), F.col("content"), F.col("conv").alias("conversation"), "depth", F.when(F.size("errors") > 0, F.col("errors")).alias("errors"), "id", "name", F.when(F.col("keys").isNull(), F.col("arguments")).alias("raw_arguments"), "result_turn", "status", "turn")
     linked = linked.withColumn("json", F.to_json(call))
     message = F.to_json(F.struct(F.col("text").alias("content"), F.col("conv").alias("conversation"), "role", "turn"))
     plain = plain.select("conv", F.lit("message").alias("kind"), "turn", F.lit("message").alias("status"), message.alias("json"))

@@ -109,3 +109,12 @@ def test_every_call_and_result_is_in_the_output(spark):
     }
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Cartesian"))
+
+
+def test_malformed_arguments_stay_and_whole_numbers_are_integers(spark):
+    rows = [(1, k, "assistant", json.dumps({"tool_calls": [{"id": f"i{k}", "name": "search", "arguments": a}]})) for k, a in enumerate(['{"bad json KEEPME', '{"query":"x","query":"y"}', '{"limit":1.0,"query":"x"}', '{"limit":1.5,"query":"x"}', "[1]"])]
+    out = op.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), every=True).orderBy("turn").collect()
+    got = [json.loads(r.json) for r in out]
+    assert [g.get("raw_arguments") for g in got] == ['{"bad json KEEPME', '{"query":"x","query":"y"}', None, None, "[1]"]
+    assert [r.errors for r in out] == ["arguments", "arguments", "", "type:limit", "arguments"]
+    assert got[2]["arguments"] == {"limit": 1, "query": "x"}
