@@ -10,15 +10,16 @@ under the ordinary one, per word, over the whole text, over its most toxic stret
 most toxic words; a logistic fit on labelled documents that were kept out of the counts turns
 that evidence into a score.
 
-Learning uses a bounded sample of the labelled rows (``max_docs``, chosen by a hash of the id)
-and models of bounded size (MAX_UNITS, MAX_PAIRS), so what is handed to the tasks is
-bounded.  Scoring reads every whole text once and needs no shuffle.  Neither id, language,
+Learning uses a bounded sample of the labelled rows (at most ``max_docs`` of them and ``max_bytes``
+of text, in the order of a hash of the id).  Every word, stem and pair that the sample shows is in
+the model, so what is handed to the tasks is bounded by the sample.  Scoring reads every whole text once and needs no shuffle.  Neither id, language,
 source nor label is an input of a score.
 
 Null text: empty; an empty text scores the fit at zero evidence.  Null ids: kept, never
 learned from, held out is null for them.  Repeated rows: kept.  An id with several labels counts as toxic if
 any of them is 1.  No labels or only one class: the score is the share of toxic labels, 0
-without any.  Empty table: empty result.  Other columns are ignored.
+without any.  If only the calibrating documents lack a class, the score is the unfitted comparison
+of the two likelihoods.  Empty table: empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,15 +29,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drapekit.llm.common import Names, mix, slices, spans, utf8, word_bytes, written
 
 MAX_DOCS = 20_000  # labelled documents that are learned from
-MAX_UNITS = 200_000  # words and stems, most frequent first
-MAX_PAIRS = 400_000  # bigrams with an estimate of their own, most frequent first
-MIN_DOCS = 5  # documents that show a word or stem of the vocabulary
+MAX_BYTES = 100_000_000  # bytes of their texts
 DISCOUNT = 4.0  # what a class's count gives up to the shared lower order
 FOLDS = 4  # one of them calibrates, the others are counted
 STEMS = (4, 5, 6)  # bytes of a word's stems
@@ -221,7 +220,7 @@ def learnable(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 4 != 2
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = MAX_DOCS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
     spark = docs.sparkSession
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("id is not null and toxic is not null")
     marks = marks.where(learnable(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -229,7 +228,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # an id that repeats without bound adds one of its texts
     sample = source.join(F.broadcast(marks), "id").groupBy("id", "toxic").agg(F.max("text").alias("text"))
-    sample = written(sample.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(FOLDS))), "op6-sample")
+    # a running sum over at most max_docs rows
+    upto = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(F.xxhash64("id"), "id"))
+    sample = written(sample.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(FOLDS))).withColumn("upto", upto), "op6-sample")
+    sample = sample.where(F.col("upto") <= max_bytes).drop("upto")
     counted = sample.where("fold <> 0")
     classes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = classes.get(1, 0) / max(1, sum(classes.values()))
@@ -237,8 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(classes) < 2:
         return Model(none.astype(_U), np.zeros(1), np.zeros(2), none.astype(np.int64), none, None, share)
     units = counted.select("text").mapInArrow(_unit_counts, "name long, parent long, level int, docs long")
-    units = units.groupBy("name", "parent", "level").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS)
-    units = units.orderBy(F.desc("docs"), "level", "name").limit(MAX_UNITS).toPandas()
+    units = units.groupBy("name", "parent", "level").agg(F.sum("docs").alias("docs")).select("name", "parent", "level").toPandas()
     name = units["name"].to_numpy(np.int64).view(_U)
     order = np.argsort(name)
     vocab = name[order]
@@ -250,7 +251,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     heads = pairs.groupBy(F.expr(f"cast(code div {v} as int)").alias("k"))
     heads = heads.agg(*[f for c in "to" for f in (F.sum(c).alias(c), F.sum(F.least(F.col(c), F.lit(DISCOUNT))).alias(f"{c}_free"))]).toPandas()
     tails = pairs.groupBy((F.col("code") % v).cast("int").alias("k")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count(F.lit(1)).alias("types")).toPandas()
-    kept = pairs.where(F.greatest("t", "o") > DISCOUNT).orderBy(F.desc(F.col("t") + F.col("o")), "code").limit(MAX_PAIRS).toPandas().sort_values("code")
+    # others give all their counts to the lower order
+    kept = pairs.where(F.greatest("t", "o") > DISCOUNT).toPandas().sort_values("code")
     t, o, types = _by_number(tails, v - 1, "t", "o", "types")
     low = _lower_order(np.concatenate([[0], parent]), np.concatenate([[0], level]), [t, o], types)
     code = kept["code"].to_numpy(np.int64)
@@ -267,6 +269,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = judged["toxic"].to_numpy(float)
     if len(set(y)) == 2:
         model.fit = _fit(np.array(judged["e"].tolist()), y)
+    else:  # the evidence per word, and the odds of the labels
+        model.fit = np.array([np.log(share / (1 - share)), 1.0, 0, 0, 0, 0])
     return model
 
 

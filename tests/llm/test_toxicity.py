@@ -86,3 +86,26 @@ def test_very_long_text(spark):
     docs.append((9000, " ".join(d[1] for d in docs if d[0] % 8), "en", "s", 1, "k", 1))
     rows = {r.doc_id: r for r in op.toxicity(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()}
     assert len(rows) == 401 and 0 <= rows[9000].score <= 1
+
+
+def test_calibration_without_a_class_compares_likelihoods(spark):
+    """All toxic documents in the folds that are counted: toxic words still score higher."""
+    docs, labels = corpus(600)
+    df = spark.createDataFrame(docs, SCHEMA)
+    fold = {r.doc_id: r.f for r in df.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {op.FOLDS}) as f").collect()}
+    labels = [r for r in labels if not (r[2] and fold[r[0]] == 0)]
+    score = {r.doc_id: r.score for r in op.toxicity(df, spark.createDataFrame(labels, LABELS)).collect()}
+    toxic = [score[i] for i, _, t, _ in labels if t]
+    clean = [score[i] for i, _, t, _ in labels if not t]
+    assert np.mean(toxic) > np.mean(clean) + 0.01 and max(clean) < 0.3
+
+
+def test_every_unit_of_the_sample_is_in_the_model(spark):
+    docs, labels = corpus(300)
+    df, marks = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)
+    model = op.learn(df, marks)
+    fold = {r.doc_id: r.f for r in df.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {op.FOLDS}) as f").collect()}
+    raw = [d[1].encode() for d in docs if zlib.crc32(str(d[0]).encode()) % 4 != 2 and fold[d[0]]]
+    units, _ = op.words_of(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    assert set(model.vocab.tolist()) == set(np.concatenate(units).tolist())
+    assert len(op.learn(df, marks, max_bytes=20_000).vocab) < len(model.vocab)
