@@ -15,8 +15,9 @@ with white space collapsed, character by character.
 The benchmark is a stated query set: it is dealt to blocks of about ``block_bytes``, each block's
 q-gram index goes to all tasks, and the texts are read once per block.  Nothing is shuffled.
 
-Items shorter than q characters are never found; for short items e is lowered until at least one
-q-gram must be shared.  Null texts: empty.  Null ids, repeated rows and repeated items: each
+q is halved for items so short that their edit budget would leave no shared q-gram, so every item
+keeps its budget.  Items under ``SHORT`` characters are found as whole words, unchanged: with a
+budget of nothing, a stretch inside a word says nothing.  Empty items are found nowhere.  Null texts: empty.  Null ids, repeated rows and repeated items: each
 reported.  Empty tables: empty result.  Other columns are ignored.
 """
 
@@ -35,6 +36,7 @@ from drapekit.llm.common import mix, slices, texts
 
 Q = 8
 RATE = 0.1
+SHORT = 8
 BLOCK_BYTES = 4_000_000
 
 _U = np.uint64
@@ -66,10 +68,9 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The q-grams of a block of items."""
+    """The q-grams of items that share a q."""
 
     q: int
-    ids: list
     items: list[str]
     edits: np.ndarray
     bound: np.ndarray  # q-grams that a match shares at least
@@ -81,21 +82,55 @@ class Index:
     table: np.ndarray  # which leading bits some name has
 
 
-def build(rows: list[tuple], q: int = Q, rate: float = RATE) -> Index:
+@dataclass
+class Block:
+    """The items of a block: an index for each q, the first item of each index, and the short items
+    by their number of words."""
+
+    ids: list
+    parts: list[tuple[int, Index]]
+    short: dict[int, dict[str, list[int]]]
+
+
+def budget(size: int, rate: float) -> int:
+    return int(size * rate + 1e-9)
+
+
+def own_q(size: int, q: int, rate: float) -> int:
+    """The largest halving of q that leaves a q-gram which edits cannot break."""
+    while q > 1 and q * (budget(size, rate) + 1) > size:
+        q //= 2
+    return q
+
+
+def build(rows: list[tuple], q: int = Q, rate: float = RATE) -> Block:
     rows = [(i, plain(t)) for i, t in rows if t is not None]
-    rows = [(i, t) for i, t in rows if len(t) >= q]
-    size = np.array([len(t) for _, t in rows], np.int64)
-    edits = np.minimum((size * rate + 1e-9).astype(np.int64), (size - q) // q)
-    own = [grams(points(t), q) for _, t in rows]
+    rows = [(i, t) for i, t in rows if t]
+    rows.sort(key=lambda r: 0 if len(r[1]) < SHORT else own_q(len(r[1]), q, rate))
+    short: dict[int, dict[str, list[int]]] = {}
+    by_q: dict[int, list[int]] = {}
+    for k, (_, t) in enumerate(rows):
+        if len(t) < SHORT:
+            short.setdefault(t.count(" ") + 1, {}).setdefault(t, []).append(k)
+        else:
+            by_q.setdefault(own_q(len(t), q, rate), []).append(k)
+    parts = [(own[0], _index([rows[k][1] for k in own], size, rate)) for size, own in by_q.items()]
+    return Block([i for i, _ in rows], parts, short)
+
+
+def _index(items: list[str], q: int, rate: float) -> Index:
+    size = np.array([len(t) for t in items], np.int64)
+    edits = np.array([budget(len(t), rate) for t in items], np.int64)
+    own = [grams(points(t), q) for t in items]
     name = np.concatenate([*own, np.zeros(0, _U)])
-    item = np.repeat(np.arange(len(rows)), [len(g) for g in own])
+    item = np.repeat(np.arange(len(items)), [len(g) for g in own])
     place = np.concatenate([*[np.arange(len(g)) for g in own], np.zeros(0, np.int64)])
     order = np.argsort(name, kind="stable")
     gram, first = np.unique(name[order], return_index=True)
     bits = min(27, max(16, int(len(gram) * 16).bit_length()))
     table = np.zeros(1 << bits, bool)
     table[(gram >> _U(64 - bits)).astype(np.int64)] = True
-    return Index(q, [i for i, _ in rows], [t for _, t in rows], edits, size - q + 1 - q * edits, gram, np.append(first, len(name)), item[order], place[order], 64 - bits, table)
+    return Index(q, items, edits, size - q + 1 - q * edits, gram, np.append(first, len(name)), item[order], place[order], 64 - bits, table)
 
 
 def bands(codes: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.ndarray, ...]:
@@ -158,11 +193,24 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int,
     return value // _COST, value % _COST, int(diagonal[best]) + len(item)
 
 
-def matches(own: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+def matches(own: list[str], block: Block) -> dict[tuple[int, int], tuple[int, int, int, int]]:
     """(text, item) -> (distance, start, end, shared) of the nearest stretch, where it is within
-    the item's edits; places count characters of the plain text."""
-    if not index.items:
-        return {}
+    the item's edits; places count characters of the plain text.  Of a short item, shared counts its
+    characters."""
+    found = {(t, first + k): v for first, index in block.parts for (t, k), v in _near(own, index).items()}
+    for t, text in enumerate(own if block.short else []):
+        words = text.split(" ")
+        for n, table in block.short.items():
+            for k in range(len(words) - n + 1):
+                phrase = words[k] if n == 1 else " ".join(words[k : k + n])
+                for item in table.get(phrase, ()):
+                    if (t, item) not in found:
+                        at = len(" ".join(words[:k])) + (k > 0)
+                        found[t, item] = (0, at, at + len(phrase), len(phrase))
+    return found
+
+
+def _near(own: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int, int, int]]:
     codes = points(_BREAK.join([*own, ""]))
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in own])])[:-1]
     found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
@@ -213,7 +261,7 @@ def _clean(index, text_col: str):
     return run
 
 
-def blocks(items: DataFrame, item_col: str, text_col: str, q: int, rate: float, block_bytes: int) -> Iterator[Index]:
+def blocks(items: DataFrame, item_col: str, text_col: str, q: int, rate: float, block_bytes: int) -> Iterator[Block]:
     """The indexes of the benchmark's blocks.  A block is collected by itself; its expected size
     is at most ``block_bytes``, whatever the size of the benchmark."""
     source = items.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where("text is not null")
