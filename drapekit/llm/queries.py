@@ -134,7 +134,7 @@ split as (select r, own, doc_id, regexp_extract_all(translate(coalesce(text, '')
 tok as (select r, own, unnest(ws) as w, generate_subscripts(ws, 1) as i from split),
 uni as (select w, count(*) filter (not own) as t, count(*) filter (own) as b from tok group by w),
 total as (select coalesce(sum(t), 0)::double as t, coalesce(sum(b), 0)::double as b from uni),
-vocab as (select w, uni.t, uni.b from uni, total where (uni.t > 0 and uni.t >= total.t / 262144) or (uni.b > 0 and uni.b >= total.b / 262144)),
+vocab as (select w, t, b from uni),
 word as (
   select w, ln((t + 1) / (nt + v + 1)) as t, ln((b + 1) / (nb + v + 1)) as b
   from (select w, t, b from vocab union all select '', (select t from total) - sum(t), (select b from total) - sum(b) from vocab),
@@ -144,8 +144,7 @@ step as (select r, own, w, lag(w, 1, '^') over (partition by own, r order by i)
 pair as (select u, w, count(*) filter (not own) as t, count(*) filter (own) as b from step group by u, w),
 head as (select u, sum(t) as t, sum(b) as b from pair group by u),
 kept as (
-  select u, w, greatest(p.t - 0.75, 0) as t, greatest(p.b - 0.75, 0) as b from pair p, (select sum(t) as nt, sum(b) as nb from pair)
-  where (p.t > 0 and p.t >= nt / 1048576) or (p.b > 0 and p.b >= nb / 1048576)),
+  select u, w, greatest(p.t - 0.75, 0) as t, greatest(p.b - 0.75, 0) as b from pair p),
 rest as (
   select u, case when head.t > 0 then 1 - coalesce(k.t, 0) / head.t else 1 end as t, case when head.b > 0 then 1 - coalesce(k.b, 0) / head.b else 1 end as b
   from head left join (select u, sum(t) as t, sum(b) as b from kept group by u) k using (u)),
