@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from drapekit.llm.common import Names, mix, slices, spans, utf8, word_bytes, written
 
-MAX_DOCS = 20_000  # labelled documents that are learned from
-MAX_BYTES = 100_000_000  # bytes of their texts
+MAX_DOCS = 12_000  # labelled documents that are learned from
+MAX_BYTES = 50_000_000  # bytes of their texts
 DISCOUNT = 4.0  # what a class's count gives up to the shared lower order
 FOLDS = 4  # one of them calibrates, the others are counted
 STEMS = (4, 5, 6)  # bytes of a word's stems
@@ -245,6 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     vocab = name[order]
     parent = in_order(vocab, units["parent"].to_numpy(np.int64).view(_U)[order]) + 1
     level = units["level"].to_numpy()[order] + 1
+    del units, name, order  # the driver holds the model once
     v = len(vocab) + 2  # the unknown word, the units, the start of a text
     pairs = counted.select("text", "toxic").mapInArrow(_pair_counts(spark.sparkContext.broadcast(vocab)), "code long, t long, o long")
     pairs = written(pairs.groupBy("code").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "op6-pairs")
@@ -254,10 +255,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # others give all their counts to the lower order
     kept = pairs.where(F.greatest("t", "o") > DISCOUNT).toPandas().sort_values("code")
     t, o, types = _by_number(tails, v - 1, "t", "o", "types")
+    del tails
     low = _lower_order(np.concatenate([[0], parent]), np.concatenate([[0], level]), [t, o], types)
     code = kept["code"].to_numpy(np.int64)
     h, w = code // v, code % v
     counts = _by_number(heads, v, "t", "t_free", "o", "o_free")
+    del heads
     weight, ratio = [], []
     for total, free, p, own in ((*counts[:2], low[0], "t"), (*counts[2:], low[1], "o")):
         back = np.where(total > 0, free / np.maximum(total, 1), 1.0)
