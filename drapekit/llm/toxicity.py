@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from drapekit.llm.common import Names, mix, slices, spans, utf8, word_bytes, written
 
-MAX_DOCS = 12_000  # labelled documents that are learned from
+MAX_DOCS = 10_000  # labelled documents that are learned from
 MAX_BYTES = 50_000_000  # bytes of their texts
 DISCOUNT = 4.0  # what a class's count gives up to the shared lower order
 FOLDS = 4  # one of them calibrates, the others are counted
@@ -130,17 +130,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.fit, -30, 30)))
 
 
-def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, name of the next shorter stem or 0, level, documents) of words and stems."""
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, name of the next shorter stem or 0, level) of words and stems."""
     for batch in slices(batches, "text"):
         units, text = words_of(*utf8(batch.column("text")))
         parent = np.zeros(len(text), _U)
         for level, own in enumerate(units):
             new = np.flatnonzero(own != parent)
-            new = new[np.unique(mix(own[new] + mix(text[new].astype(_U))), return_index=True)[1]]
-            value, at, n = np.unique(own[new], return_index=True, return_counts=True)
-            columns = [value.view(np.int64), parent[new][at].view(np.int64), np.full(len(value), level, np.int32), n]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["name", "parent", "level", "docs"])
+            value, at = np.unique(own[new], return_index=True)
+            columns = [value.view(np.int64), parent[new][at].view(np.int64), np.full(len(value), level, np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["name", "parent", "level"])
             parent = own
 
 
@@ -156,11 +155,19 @@ def _pair_counts(vocab):
     return run
 
 
-def _by_number(rows, size: int, *columns: str) -> list[np.ndarray]:
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    """The columns of a table that the sample bounds; Arrow's copies are given back."""
+    table = df.toArrow()
+    out = {c: table.column(c).to_numpy().copy() for c in table.column_names}
+    del table
+    pa.default_memory_pool().release_unused()
+    return out
+
+
+def _by_number(rows: dict[str, np.ndarray], size: int, *columns: str) -> list[np.ndarray]:
     out = [np.zeros(size) for _ in columns]
-    at = rows["k"].to_numpy()
     for o, c in zip(out, columns):
-        o[at] = rows[c].to_numpy()
+        o[rows["k"]] = rows[c]
     return out
 
 
@@ -238,33 +245,35 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     none = np.zeros(0)
     if len(classes) < 2:
         return Model(none.astype(_U), np.zeros(1), np.zeros(2), none.astype(np.int64), none, None, share)
-    units = counted.select("text").mapInArrow(_unit_counts, "name long, parent long, level int, docs long")
-    units = units.groupBy("name", "parent", "level").agg(F.sum("docs").alias("docs")).select("name", "parent", "level").toPandas()
-    name = units["name"].to_numpy(np.int64).view(_U)
+    units = counted.select("text").mapInArrow(_units, "name long, parent long, level int")
+    units = _columns(units.select("name", "parent", "level").distinct())
+    name = units["name"].view(_U)
     order = np.argsort(name)
     vocab = name[order]
-    parent = in_order(vocab, units["parent"].to_numpy(np.int64).view(_U)[order]) + 1
-    level = units["level"].to_numpy()[order] + 1
+    parent = in_order(vocab, units["parent"].view(_U)[order]) + 1
+    level = units["level"][order].astype(np.int64) + 1
     del units, name, order  # the driver holds the model once
     v = len(vocab) + 2  # the unknown word, the units, the start of a text
     pairs = counted.select("text", "toxic").mapInArrow(_pair_counts(spark.sparkContext.broadcast(vocab)), "code long, t long, o long")
     pairs = written(pairs.groupBy("code").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "op6-pairs")
     heads = pairs.groupBy(F.expr(f"cast(code div {v} as int)").alias("k"))
-    heads = heads.agg(*[f for c in "to" for f in (F.sum(c).alias(c), F.sum(F.least(F.col(c), F.lit(DISCOUNT))).alias(f"{c}_free"))]).toPandas()
-    tails = pairs.groupBy((F.col("code") % v).cast("int").alias("k")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count(F.lit(1)).alias("types")).toPandas()
+    heads = _columns(heads.agg(*[f for c in "to" for f in (F.sum(c).alias(c), F.sum(F.least(F.col(c), F.lit(DISCOUNT))).alias(f"{c}_free"))]))
+    tails = _columns(pairs.groupBy((F.col("code") % v).cast("int").alias("k")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count(F.lit(1)).alias("types")))
     # others give all their counts to the lower order
-    kept = pairs.where(F.greatest("t", "o") > DISCOUNT).toPandas().sort_values("code")
+    kept = _columns(pairs.where(F.greatest("t", "o") > DISCOUNT))
+    by_code = np.argsort(kept["code"])
+    kept = {c: x[by_code] for c, x in kept.items()}
     t, o, types = _by_number(tails, v - 1, "t", "o", "types")
     del tails
     low = _lower_order(np.concatenate([[0], parent]), np.concatenate([[0], level]), [t, o], types)
-    code = kept["code"].to_numpy(np.int64)
+    code = kept["code"]
     h, w = code // v, code % v
     counts = _by_number(heads, v, "t", "t_free", "o", "o_free")
     del heads
     weight, ratio = [], []
     for total, free, p, own in ((*counts[:2], low[0], "t"), (*counts[2:], low[1], "o")):
         back = np.where(total > 0, free / np.maximum(total, 1), 1.0)
-        seen = np.maximum(kept[own].to_numpy(float) - DISCOUNT, 0) / np.maximum(total[h], 1)
+        seen = np.maximum(kept[own].astype(float) - DISCOUNT, 0) / np.maximum(total[h], 1)
         weight.append(np.log(back))
         ratio.append(np.log(seen + back[h] * np.exp(p[w])))
     model = Model(vocab, low[0] - low[1], weight[0] - weight[1], code, ratio[0] - ratio[1], None, share)
