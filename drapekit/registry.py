@@ -1096,11 +1096,11 @@ def _odd_scenes(df):
     return df.withColumn("scene_id", scene)
 
 
-def _written_cloud(spark, sf):
+def _written_cloud(spark, sf, form="ascii"):
     from drapekit.session import scratch_path
     from drapekit.sources.ply import write_ply
 
-    return write_ply(_odd_scenes(_sampled(spark, sf)), scratch_path(spark, "ply"))
+    return write_ply(_odd_scenes(_sampled(spark, sf)), scratch_path(spark, "ply"), form=form)
 
 
 @register(
@@ -1124,6 +1124,27 @@ def q_s7(spark, sf):
     return read_ply(spark, _written_cloud(spark, sf).path).select("scene_id", "x", "y", "z", "red", "green", "blue").fillna("-", ["scene_id"])
 
 
+@register("s7_read_ply_binary", _cte_query(SQL_SAMPLED + SQL_EXPORT_CLOUD, "select * replace (coalesce(scene_id, '-') as scene_id) from export", "raster_meta", "dem_cells", "raster_px"))
+def q_s7_binary(spark, sf):
+    """Binary shards, read in byte ranges."""
+    from drapekit.sources.ply import read_ply
+
+    got = read_ply(spark, _written_cloud(spark, sf, "binary_little_endian").path, range_bytes=1 << 20)
+    return got.select("scene_id", "x", "y", "z", "red", "green", "blue").fillna("-", ["scene_id"])
+
+
+@register(
+    "s7_read_scene",
+    _cte_query(SQL_SAMPLED + SQL_EXPORT_CLOUD, "select scene_id, count(*) as points, sum(red)::bigint as red from export where scene_id in ('0012', '50% +x') group by all", "raster_meta", "dem_cells", "raster_px"),
+)
+def q_s7_scene(spark, sf):
+    """Two scenes' files through the data source; the filter leaves out all others."""
+    from drapekit.sources.ply import FORMAT_NAME
+
+    got = spark.read.format(FORMAT_NAME).load(_written_cloud(spark, sf).path).where(F.col("scene_id").isin("0012", "50% +x"))
+    return got.groupBy("scene_id").agg(F.count(F.lit(1)).alias("points"), F.sum("red").alias("red"))
+
+
 @register(
     "s8_verify_output",
     _cte_query(SQL_SAMPLED, "select count(*) as points, true as ok from cloud", "raster_meta", "dem_cells", "raster_px"),

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on (fixed values, chosen for correctness, not speed):
 #   UTC session time zone - timestamps compare the same way as the SQL oracle
+#   filter push-down    - the PLY reader leaves out the files of other scenes
 #   AQE on              - runtime re-planning: coalescing, skew splits, broadcast by real size
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -114,8 +114,7 @@ def test_a_lost_point_is_noticed(spark, tmp_path):
     assert verify_summary(report).collect()[0]["ok"] and not verify_summary(report, expected=out.points).collect()[0]["ok"]
 
 
-def test_each_shard_is_typed_by_its_header_and_faces_are_refused(spark, tmp_path):
-    from drapekit.functions.coords import CloudError
+def test_each_shard_is_typed_by_its_header_and_faces_are_passed_over(spark, tmp_path):
     from drapekit.sources.ply import read_ply
 
     head = "ply\nformat ascii 1.0\nelement vertex {n}\nproperty float x\nproperty float y\n{more}end_header\n"
@@ -124,8 +123,8 @@ def test_each_shard_is_typed_by_its_header_and_faces_are_refused(spark, tmp_path
     rows = read_ply(spark, str(tmp_path)).orderBy("x").collect()
     assert [(r["x"], r["z"], r["red"]) for r in rows] == [(1.0, 3.0, None), (4.0, None, 6)]
     (tmp_path / "c.ply").write_text(head.format(n=3, more="element face 1\nproperty list uchar int vertex_indices\n") + "1 2\n3 4\n5 6\n3 0 1 2\n")
-    with pytest.raises(CloudError, match="face"):
-        read_ply(spark, str(tmp_path))
+    rows = read_ply(spark, str(tmp_path)).orderBy("x", "y").collect()
+    assert [(r["x"], r["y"]) for r in rows] == [(1.0, 2.0), (1.0, 2.0), (3.0, 4.0), (4.0, 5.0), (5.0, 6.0)]
 
 
 def test_write_ply_rejects_bad_input(spark, tmp_path):
