@@ -6,10 +6,14 @@ whose footprint intersects each box.
   tiles, and requests their places, so this removes most rows and keeps a crowded place from
   holding more than its distinct boxes.
 * A box with ``min_lon > max_lon`` crosses the antimeridian; it is split into two boxes.
-* Boxes on both sides are bucketed into lon/lat cells sized by the data (the mean box), joined on
-  the cell, and the exact overlap test runs in the join.  A pair sharing several cells is
-  kept only in the cell holding the lower-left corner of the overlap, so no distinct is
-  needed.
+* Cells have levels: a side of 360 degrees, 180, and so on.  A box lives on the finest level whose
+  cells are at least as large as it is, so it covers at most four cells there and on every coarser
+  level.  Of two boxes the larger one stays on its level, and the smaller one visits that level;
+  only levels that the other side lives on are visited.  So a box is a bounded number of rows,
+  whatever the mix of sizes.
+* The exact overlap test runs in the join.  A pair sharing several cells is kept only in the cell
+  holding the lower-left corner of the overlap, so no distinct is needed.  With ``footprint``, the
+  boxes only bring pairs together, and the polygons decide.
 * Per box only (recency, id) is aggregated, map-side; the winners' rows are fetched by id at
   the end.  Hot cells are split by AQE's skew-join handling.
 """
@@ -19,25 +23,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drapekit.functions.footprint import meets_box
 from drapekit.operators.catalog import recency_key
 from drapekit.operators.small import settled
 
 BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
-# fixed values: bounds of a cell side in degrees
-CELL_RANGE = (0.01, 60.0)
+# fixed value: cell sides in degrees, level by level
+SIDES = tuple(360.0 / 2**k for k in range(17))
 
 
-def _cell(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("long")
+def _cell(v: Column, side: Column) -> Column:
+    return F.floor(v / side).cast("long")
 
 
-def bbox_cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
-    """One row per grid cell a box covers, as ``(cx, cy)``.  The count per box is bounded by the
-    world area over the cell area."""
+def _level(prefix: str, sides: tuple[float, ...]) -> Column:
+    """The finest level whose cells are at least as large as the box."""
     c = lambda n: F.col(prefix + n)
-    return df.withColumn("cx", F.explode(F.sequence(_cell(c("min_lon"), size), _cell(c("max_lon"), size)))).withColumn(
-        "cy", F.explode(F.sequence(_cell(c("min_lat"), size), _cell(c("max_lat"), size)))
-    )
+    size = F.greatest(c("max_lon") - c("min_lon"), c("max_lat") - c("min_lat"))
+    return F.greatest(F.size(F.filter(F.array(*[F.lit(s) for s in sides]), lambda s: s >= size)) - 1, F.lit(0))
 
 
 def split_antimeridian(df: DataFrame) -> DataFrame:
@@ -49,38 +52,65 @@ def split_antimeridian(df: DataFrame) -> DataFrame:
     return df.select(*others, F.explode(parts).alias("_lon")).select(*others, "_lon.*")
 
 
-def cell_size(*boxes: DataFrame) -> float:
-    """A cell side about twice the mean box side, so a box covers a few cells on either side of
-    the join."""
-    sides = [F.avg(F.col("max_lon") - F.col("min_lon")), F.avg(F.col("max_lat") - F.col("min_lat"))]
-    found = [v for b in boxes for v in b.agg(*sides).first() if v is not None]
-    low, high = CELL_RANGE
-    return min(max(2 * sum(found) / max(1, len(found)), low), high)
+def _levels(df: DataFrame) -> Column:
+    """The levels that boxes live on; at most one for each side."""
+    found = sorted(r.level for r in df.select("level").distinct().collect())
+    return F.array(*[F.lit(v) for v in found]).cast("array<int>")
+
+
+def _cells(df: DataFrame, visits: Column, prefix: str, sides: tuple[float, ...]) -> DataFrame:
+    """One row per cell ``(turn, on, cx, cy)`` that a box covers on each level it visits; turn is 0
+    where requests are at home and 1 where items are."""
+    c = lambda n: F.col(prefix + n)
+    out = df.withColumn("_v", F.explode(visits)).select(*df.columns, "_v.turn", "_v.on")
+    out = out.withColumn("side", F.element_at(F.array(*[F.lit(s) for s in sides]), F.col("on") + 1))
+    out = out.withColumn("cx", F.explode(F.sequence(_cell(c("min_lon"), F.col("side")), _cell(c("max_lon"), F.col("side")))))
+    return out.withColumn("cy", F.explode(F.sequence(_cell(c("min_lat"), F.col("side")), _cell(c("max_lat"), F.col("side")))))
+
+
+def _visit(turn: int, on: Column) -> Column:
+    return F.struct(F.lit(turn).alias("turn"), on.cast("int").alias("on"))
+
+
+def cell_rows(requests: DataFrame, items: DataFrame, sides: tuple[float, ...] = SIDES) -> tuple[DataFrame, DataFrame]:
+    """Both sides' cells, to be joined on (turn, on, cx, cy).  Requests have their box as ``q_*``.
+    Each pair of overlapping boxes meets on one level: the coarser one's."""
+    r, i = requests.withColumn("level", _level("q_", sides)), items.withColumn("level", _level("", sides))
+    own = F.col("level")
+    at_home, away = F.array(_visit(0, own)), F.array(_visit(1, own))
+    to_items = F.transform(F.filter(_levels(i), lambda v: v < own), lambda v: _visit(1, v))
+    to_requests = F.transform(F.filter(_levels(r), lambda v: v <= own), lambda v: _visit(0, v))
+    return _cells(r, F.concat(at_home, to_items), "q_", sides).drop("level"), _cells(i, F.concat(to_requests, away), "", sides).drop("level", "side")
 
 
-def match_scenes(requests: DataFrame, items: DataFrame, size: float | None = None) -> DataFrame:
+def match_scenes(requests: DataFrame, items: DataFrame, size: float | None = None, footprint: str | None = None) -> DataFrame:
     """``(req_id, <item columns>)``: the newest intersecting item per request; requests
     without a match are absent.  ``requests`` has ``req_id, min_lon, min_lat, max_lon,
-    max_lat`` (valid boxes only); ``items`` the flat catalogue columns.  ``size`` fixes the
-    cell side in degrees."""
+    max_lat`` (valid boxes only); ``items`` the flat catalogue columns.  ``size`` fixes one
+    cell side in degrees.  ``footprint`` names a column of edges (``functions.footprint``) that
+    the items' boxes lie around."""
     asked = settled(requests.select("req_id", *BOX), "requests")
-    newest = items.groupBy(*BOX).agg(F.min(recency_key()).alias("_k"))
+    shape = [footprint] if footprint else []
+    newest = items.groupBy(*BOX, *shape).agg(F.min(recency_key()).alias("_k"))
     i = settled(split_antimeridian(newest), "footprints")
     whole = [F.col(n).alias(f"b_{n}") for n in BOX]  # the box as asked, before it is split
     r = split_antimeridian(asked.select(*BOX).distinct().select(*BOX, *whole))
-    size = cell_size(r, i) if size is None else size
-    r = bbox_cells(r.select(*[f"b_{n}" for n in BOX], *[F.col(n).alias(f"q_{n}") for n in BOX]), size, prefix="q_")
-    pairs = r.join(bbox_cells(i, size), ["cx", "cy"])
+    r = settled(r.select(*[f"b_{n}" for n in BOX], *[F.col(n).alias(f"q_{n}") for n in BOX]), "boxes")
+    left, right = cell_rows(r, i, SIDES if size is None else (size,))
+    pairs = left.join(right, ["turn", "on", "cx", "cy"])
     overlap = (
         (F.col("min_lon") <= F.col("q_max_lon"))
         & (F.col("max_lon") >= F.col("q_min_lon"))
         & (F.col("min_lat") <= F.col("q_max_lat"))
         & (F.col("max_lat") >= F.col("q_min_lat"))
     )
-    home = (F.col("cx") == _cell(F.greatest("min_lon", "q_min_lon"), size)) & (
-        F.col("cy") == _cell(F.greatest("min_lat", "q_min_lat"), size)
+    home = (F.col("cx") == _cell(F.greatest("min_lon", "q_min_lon"), F.col("side"))) & (
+        F.col("cy") == _cell(F.greatest("min_lat", "q_min_lat"), F.col("side"))
     )
-    best = pairs.filter(overlap & home).groupBy(*[f"b_{n}" for n in BOX]).agg(F.min("_k").alias("_k"))
+    pairs = pairs.filter(overlap & home)
+    if footprint:
+        pairs = pairs.filter(meets_box(F.col(footprint), *[F.col(f"q_{n}") for n in BOX]))
+    best = pairs.groupBy(*[f"b_{n}" for n in BOX]).agg(F.min("_k").alias("_k"))
     best = settled(best.select(*[F.col(f"b_{n}").alias(n) for n in BOX], F.col("_k.id").alias("_id"), F.col("_k.t").alias("_t")), "best")
     # the winners' rows; of rows that repeat id and time, one
     wanted = best.select(F.col("_id").alias("id"), "_t").distinct()

@@ -724,6 +724,118 @@ def q_j1(spark, sf):
     return match_scenes(req, items).select("req_id", "id", "datetime")
 
 
+#: fixed values: footprints in tenths of an item's box (rings by kind): a rhombus, an L, a frame
+SHAPES = {
+    0: [[(5, 0), (10, 5), (5, 10), (0, 5)]],
+    1: [[(0, 0), (10, 0), (10, 3), (3, 3), (3, 10), (0, 10)]],
+    2: [[(0, 0), (10, 0), (10, 10), (0, 10)], [(2, 2), (2, 8), (8, 8), (8, 2)]],
+}
+#: fixed value: where footprints lie that cross the antimeridian (every fourth item)
+CROSSING_WEST = 174.0
+
+
+def _shape_edges() -> str:
+    """Rows (kind, x0, y0, x1, y1) of the edges of SHAPES."""
+    rows = [(k, *a, *b) for k, rings in SHAPES.items() for ring in rings for a, b in zip(ring, ring[1:] + ring[:1])]
+    return ", ".join(str(tuple(map(float, r))) for r in rows)
+
+
+SQL_SHAPES = f"""
+, base as (select *, cast(split_part(id, '_', -1) as bigint) as eid from stac_items)
+, placed as (select * replace (case when eid % 4 = 0 then {CROSSING_WEST} else min_lon end as min_lon) from base)
+, shape(kind, sx0, sy0, sx1, sy1) as (values {_shape_edges()})
+, edge as (select p.id, min_lon + sx0 as x0, min_lat + sy0 as y0, min_lon + sx1 as x1, min_lat + sy1 as y1 from placed p join shape s on s.kind = p.eid % 3)
+"""
+
+
+def _sql_meets(pairs: str) -> str:
+    """Ids of ``pairs`` (key, id, q_x0, q_y0, q_x1, q_y1) whose footprint meets the box: by a point
+    of an edge in the box or a crossing of its sides (cut parameters), or a corner inside."""
+    return f"""
+, turned as (select key, p.id, q_x0 + t as q_x0, q_y0, q_x1 + t as q_x1, q_y1, x0, y0, x1, y1, t
+   from {pairs} p join edge e on e.id = p.id, (values (0.0), (360.0), (-360.0)) turn(t))
+, cut as (select *, x1 - x0 as dx, y1 - y0 as dy from turned)
+, span as (select *,
+    case when dx = 0 then (case when x0 between q_x0 and q_x1 then 0.0 else 2.0 end) else least((q_x0 - x0) / dx, (q_x1 - x0) / dx) end as u0,
+    case when dx = 0 then (case when x0 between q_x0 and q_x1 then 1.0 else -2.0 end) else greatest((q_x0 - x0) / dx, (q_x1 - x0) / dx) end as u1,
+    case when dy = 0 then (case when y0 between q_y0 and q_y1 then 0.0 else 2.0 end) else least((q_y0 - y0) / dy, (q_y1 - y0) / dy) end as v0,
+    case when dy = 0 then (case when y0 between q_y0 and q_y1 then 1.0 else -2.0 end) else greatest((q_y0 - y0) / dy, (q_y1 - y0) / dy) end as v1,
+    (y0 > q_y0) <> (y1 > q_y0) and q_x0 > x0 + dx * (q_y0 - y0) / nullif(dy, 0) as west
+  from cut)
+, met as (select key, id from (
+    select key, id, t, bool_or(greatest(u0, v0, 0.0) <= least(u1, v1, 1.0)) as touch, count(*) filter (west) % 2 = 1 as inside from span group by key, id, t)
+  group by key, id having bool_or(touch or inside))
+"""
+
+
+def _with_shapes(items):
+    """Items with a GeoJSON polygon made from their box; longitudes past 180 go on at -180."""
+    from drapekit.functions.footprint import with_footprint
+
+    eid = F.element_at(F.split("id", "_"), -1).cast("bigint")
+    west = F.when(eid % 4 == 0, F.lit(CROSSING_WEST)).otherwise(F.col("min_lon"))
+
+    def point(p):
+        x, y = west + float(p[0]), F.col("min_lat") + float(p[1])
+        return F.array(F.when(x > 180, x - 360).otherwise(x), y)
+
+    text = None
+    for kind, rings in SHAPES.items():
+        closed = F.array(*[F.array(*[point(p) for p in [*ring, ring[0]]]) for ring in rings])
+        geojson = F.to_json(F.struct(F.lit("Polygon").alias("type"), closed.alias("coordinates")))
+        text = F.when(eid % 3 == kind, geojson) if text is None else text.when(eid % 3 == kind, geojson)
+    return with_footprint(items.withColumn("geometry", text)).drop("geometry")
+
+
+@register(
+    "j1_match_footprints",
+    _cte_query(
+        SQL_BBOX_PARSED
+        + SQL_SHAPES
+        + """
+, it as (select * from stac_items where collection = 'sentinel-2-l2a' and cloud_cover < 20
+  and datetime between TIMESTAMP '2024-01-16 00:00:00' and TIMESTAMP '2024-01-30 23:59:59' and coalesce(nodata, 100) < 5)
+, asked as (select r.req_id as key, i.id, r.min_lon as q_x0, r.min_lat as q_y0, r.max_lon as q_x1, r.max_lat as q_y1 from bb r, it i where r.error is null)
+"""
+        + _sql_meets("asked"),
+        "select req_id, id, datetime from (select key as req_id, id, datetime, row_number() over (partition by key order by datetime desc, id) as rn "
+        "from met join it using (id)) where rn = 1",
+        "bbox_args",
+        "stac_items",
+    ),
+)
+def q_j1_footprints(spark, sf):
+    """The newest item per request by polygons: convex, concave, with a hole, across the antimeridian."""
+    from drapekit.functions.bbox import parse_bbox_frame
+    from drapekit.operators.catalog import catalog_predicate, nodata_filter
+    from drapekit.operators.match import match_scenes
+
+    req = parse_bbox_frame(fx.bbox_args(spark, sf)).filter(F.col("error").isNull()).drop("error")
+    items = nodata_filter(catalog_predicate(_items(spark, sf), bbox=None, as_of=AS_OF, window_days=WINDOW))
+    return match_scenes(req, _with_shapes(items), footprint="footprint").select("req_id", "id", "datetime")
+
+
+#: fixed value: a small search box near the antimeridian, inside some frames' holes
+FOOTPRINT_BOX = (177.0, -5.0, 179.5, 4.5)
+
+
+@register(
+    "p5_footprint_predicate",
+    _cte_query(
+        "asked0 as (select 1)" + SQL_SHAPES
+        + ", asked as (select 0 as key, id, {} as q_x0, {} as q_y0, {} as q_x1, {} as q_y1 from stac_items)".format(*FOOTPRINT_BOX)
+        + _sql_meets("asked"),
+        "select id from met",
+        "stac_items",
+    ),
+)
+def q_p5_footprint(spark, sf):
+    """Every item whose polygon meets one box."""
+    from drapekit.functions.footprint import footprint_predicate
+
+    return footprint_predicate(_with_shapes(_items(spark, sf)), FOOTPRINT_BOX).select("id")
+
+
 # ---------------------------------------------------------------------------------------
 # Crop and merge
 

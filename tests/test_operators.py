@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 
 import numpy as np
 import pytest
@@ -360,3 +361,88 @@ def test_surface_of_a_sample_stays_whole(spark):
     assert triangulate_grid(cloud, meta).count() < 0.01 * 2 * (w - 1) * (h - 1)
     drawn = {r["pid"] for r in cloud.collect()}
     assert all({r["a"], r["b"], r["c"]} <= drawn for r in faces.collect())
+
+
+def test_one_wide_box_among_small_ones_stays_a_few_rows(spark):
+    """20,000 boxes of 0.01 degree and the world: a bounded number of rows a box."""
+    from drapekit.operators.match import BOX, SIDES, cell_rows
+
+    small = spark.range(20_000).select((F.col("id") * 0.017 % 340 - 170).alias("min_lon"), (F.col("id") * 0.031 % 160 - 80).alias("min_lat"))
+    small = small.withColumns({"max_lon": F.col("min_lon") + 0.01, "max_lat": F.col("min_lat") + 0.01}).select(*BOX)
+    world = spark.createDataFrame([(-180.0, -90.0, 180.0, 90.0)], "min_lon double, min_lat double, max_lon double, max_lat double")
+    boxes = small.unionByName(world)
+    asked = boxes.select(*[F.col(c).alias(f"q_{c}") for c in BOX])
+    left, right = cell_rows(asked, boxes)
+    assert left.count() < 20_001 * 16 and right.count() < 20_001 * 16
+    per_box = left.groupBy(*[f"q_{c}" for c in BOX]).count().agg(F.max("count")).first()[0]
+    assert per_box <= 4 * (len(SIDES) + 1)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_match_scenes_brute_force_on_mixed_sizes(spark, seed):
+    rng = random.Random(seed)
+
+    def box():
+        w, h = (10 ** rng.uniform(-4, 2.5) for _ in range(2))
+        x, y = rng.uniform(-180, 180), rng.uniform(-90, 90)
+        if rng.random() < 0.1:
+            return (170.0, y, -170.0, min(90.0, y + h))
+        if rng.random() < 0.2:
+            x, y = round(x / 22.5) * 22.5, round(y / 22.5) * 22.5
+            w = h = 22.5
+        return (x, y, min(180.0, x + w), min(90.0, y + h))
+
+    rq = [(f"r{k}", *box()) for k in range(150)]
+    it = [(f"i{k}", f"2024-01-{rng.randrange(1, 29):02d} 00:00:00", *box()) for k in range(200)]
+
+    def parts(b):
+        return [(b[0], b[1], 180.0, b[3]), (-180.0, b[1], b[2], b[3])] if b[0] > b[2] else [b]
+
+    def meet(a, b):
+        return any(p[0] <= q[2] and p[2] >= q[0] and p[1] <= q[3] and p[3] >= q[1] for p in parts(a) for q in parts(b))
+
+    want = {}
+    for r, *b in rq:
+        hits = [(t, i) for i, t, *c in it if meet(b, c)]
+        if hits:
+            newest = max(t for t, _ in hits)
+            want[r] = min(i for t, i in hits if t == newest)
+    requests = spark.createDataFrame(rq, "req_id string, min_lon double, min_lat double, max_lon double, max_lat double")
+    items = spark.createDataFrame(it, "id string, t string, min_lon double, min_lat double, max_lon double, max_lat double").withColumn("datetime", F.col("t").cast("timestamp"))
+    got = {r["req_id"]: r["id"] for r in match_scenes(requests, items).collect()}
+    assert got == want
+
+
+def test_footprints_from_geojson(spark):
+    from drapekit.functions.footprint import box_of, footprint, footprint_predicate, with_footprint
+
+    texts = {
+        "square": '{"type":"Polygon","coordinates":[[[0,0],[10,0],[10,10],[0,10],[0,0]]]}',
+        "open": '{"type":"Polygon","coordinates":[[[0,0],[10,0],[10,10],[0,10]]]}',
+        "frame": '{"type":"Polygon","coordinates":[[[0,0],[10,0],[10,10],[0,10],[0,0]],[[2,2],[8,2],[8,8],[2,8],[2,2]]]}',
+        "two": '{"type":"MultiPolygon","coordinates":[[[[0,0],[1,0],[1,1],[0,0]]],[[[20,20],[21,20],[21,21],[20,20]]]]}',
+        "cross": '{"type":"Polygon","coordinates":[[[175,0],[-175,0],[-175,10],[175,10],[175,0]]]}',
+        "point": '{"type":"Point","coordinates":[1,2]}',
+        "broken": "{no json",
+        "null": None,
+        "empty": '{"type":"Polygon","coordinates":[]}',
+    }
+    df = spark.createDataFrame(list(texts.items()), "id string, geometry string")
+    boxes = {r.id: tuple(r.b) for r in df.select("id", box_of(footprint("geometry")).alias("b")).where("id in ('square', 'two', 'cross')").collect()}
+    assert boxes == {"square": (0, 0, 10, 10), "two": (0, 0, 21, 21), "cross": (175, 0, -175, 10)}
+    shaped = with_footprint(df)
+    assert {r.id for r in shaped.collect()} == {"square", "open", "frame", "two", "cross"}
+    cases = {
+        (3.0, 3.0, 4.0, 4.0): {"square", "open"},  # in the frame's hole
+        (1.0, 1.0, 1.5, 1.5): {"square", "open", "frame", "two"},
+        (2.0, 5.0, 3.0, 6.0): {"square", "open", "frame"},  # touches the frame's inner edge
+        (10.0, 10.0, 12.0, 12.0): {"square", "open", "frame"},  # a corner
+        (-50.0, -50.0, 50.0, 50.0): {"square", "open", "frame", "two"},
+        (176.0, 2.0, 177.0, 3.0): {"cross"},
+        (-177.0, 2.0, -176.0, 3.0): {"cross"},
+        (179.0, 2.0, -179.0, 3.0): {"cross"},
+        (20.1, 20.5, 20.2, 20.9): set(),  # in the box of the triangle, not in the triangle
+        (20.8, 20.1, 20.9, 20.2): {"two"},
+    }
+    for box, want in cases.items():
+        assert {r.id for r in footprint_predicate(shaped, box).collect()} == want, box
