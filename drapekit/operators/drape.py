@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from drapekit.functions.grid import linspace, point_id
 from drapekit.operators.nearest import nearest_label
 from drapekit.operators.small import settled
-from drapekit.sources.dem import clean_cells, dem_axes
+from drapekit.sources.dem import TiledDem, clean_cells, dem_axes, tiles_within
 
 def target_axes(meta: DataFrame, centers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Requested sample positions: x over the image columns (left..right), y over the image
@@ -62,7 +62,7 @@ def snapped_axes(
 
 def resample_grid(
     meta: DataFrame,
-    cells: DataFrame,
+    cells: DataFrame | TiledDem,
     axes: tuple[DataFrame, DataFrame] | None = None,
     small_meta: DataFrame | None = None,
     centers: bool = False,
@@ -71,13 +71,24 @@ def resample_grid(
 
     The snapped axes (W + H rows per scene) are settled first, so the planner knows their
     size and their range: the range is pushed into the scan of the cells, and the axes are
-    broadcast where they are small enough for the session's threshold."""
+    broadcast where they are small enough for the session's threshold.
+
+    One range over all scenes says little when scenes lie far apart.  Of a tiled grid only the tiles
+    that meet a scene's own ranges are read: their names are joined to the cells, whose folders
+    they are, so Spark prunes the scan while the job runs."""
+    tiled = cells if isinstance(cells, TiledDem) else None
+    if tiled is not None:
+        cells, axes = tiled.cells, (tiled.x, tiled.y) if axes is None else axes
     small_meta = settled(meta.select("scene_id", "lft", "btm", "rgt", "tp", "width", "height"), "meta") if small_meta is None else small_meta
     xs, ys = (settled(a, "axis") for a in snapped_axes(small_meta, clean_cells(cells), axes, centers))
     for a, c in ((xs, "x"), (ys, "y")):
         low, high = a.agg(F.min(c), F.max(c)).first()
         if low is not None:
             cells = cells.where(F.col(c).between(low, high))
+    if tiled is not None:
+        own = [a.groupBy("scene_id").agg(F.min(c).alias(f"{c}_low"), F.max(c).alias(f"{c}_high")) for a, c in ((xs, "x"), (ys, "y"))]
+        needed = settled(tiles_within(tiled.tiles, own[0].join(own[1], "scene_id")), "tiles")
+        cells = cells.join(needed.where("n > 0").select("scene_id", "tile"), ["scene_id", "tile"]).drop("tile")
     xs = xs.join(small_meta.select("scene_id", "width"), "scene_id")
     elev = clean_cells(cells).join(xs, ["scene_id", "x"]).join(ys, ["scene_id", "y"])
     return elev.select(

@@ -70,3 +70,16 @@ def dense_index(
     joined = tagged.alias("t").join(offsets.withColumnRenamed("_dk_part", "_dk_at"), [F.col("_dk_part") == F.col("_dk_at"), *same])
     out = (F.col("_dk_off") + F.col("_dk_row") - F.col("_dk_first")).cast("long")
     return joined.select(*[F.col(c) for c in df.columns if c != "_dk_tie"], out.alias(name))
+
+
+def range_buckets(df: DataFrame, by: Sequence[str], name: str = "bucket", buckets: int | None = None) -> DataFrame:
+    """Add ``name`` = number of a range of ``by``, ascending, with about as many rows in each.  The
+    bounds are found by Spark's range partitioning; they are at most ``buckets`` rows (by default four
+    for each shuffle partition, so that those which meet in a task even out)."""
+    key = F.struct(*by)
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    ranged = df.select(*by).repartitionByRange(n, *by)
+    least = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("k")).orderBy("p").collect()
+    kinds = [df.schema[c].dataType for c in by]
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r.k, kinds, by)]) for r in least] or [key])
+    return df.withColumn(name, F.greatest(F.size(F.filter(bounds, lambda b: b <= key)) - 1, F.lit(0)))

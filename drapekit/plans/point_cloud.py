@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from drapekit.operators.drape import drape, present, resample_grid
 from drapekit.operators.sampling import draws_with_replacement
 from drapekit.operators.small import settled
+from drapekit.sources.dem import TiledDem
 from drapekit.sources.raster import image_points, interleave_bands
 
 
 def draped_cloud(
     meta: DataFrame,
     rows: DataFrame,
-    cells: DataFrame,
+    cells: DataFrame | TiledDem,
     fraction: float | None = 0.2,
     seed: int = 42,
     axes=None,

@@ -212,13 +212,35 @@ def q_p11(spark, sf):
     ),
 )
 def q_j2(spark, sf):
-    from drapekit.operators.drape import target_axes
     from drapekit.operators.nearest import nearest_label
 
+    return _snapped(spark, sf, nearest_label)
+
+
+@register(
+    "j2_nearest_label_split",
+    _cte_query(
+        SQL_SNAPPED_AXES,
+        "select scene_id, 'x' as axis, col_idx as idx, tx as v, x as label from xs "
+        "union all select scene_id, 'y' as axis, row_idx as idx, ty as v, y as label from ys",
+        "raster_meta",
+        "dem_cells",
+    ),
+)
+def q_j2_split(spark, sf):
+    """The same with every axis cut into ranges."""
+    from drapekit.operators.nearest import nearest_label_split
+
+    return _snapped(spark, sf, nearest_label_split)
+
+
+def _snapped(spark, sf, nearest):
+    from drapekit.operators.drape import target_axes
+
     xt, yt = target_axes(fx.raster_meta(spark, sf))
     xl, yl = fx.dem_axes(spark, sf)
-    xs = nearest_label(xt, xl, value="tx", label="x")
-    ys = nearest_label(yt, yl, value="ty", label="y")
+    xs = nearest(xt, xl, value="tx", label="x")
+    ys = nearest(yt, yl, value="ty", label="y")
     return xs.select(
         "scene_id", F.lit("x").alias("axis"), F.col("col_idx").alias("idx"), F.col("tx").alias("v"), F.col("x").alias("label")
     ).unionByName(
@@ -239,6 +261,44 @@ def q_j3(spark, sf):
     return resample_grid(fx.raster_meta(spark, sf), cells, axes=fx.dem_axes(spark, sf))
 
 
+@register(
+    "j3_resample_tiled",
+    _cte_query(SQL_ELEVATION, "select scene_id, pid, row_idx, col_idx, x, y, z from elev", "raster_meta", "dem_cells"),
+)
+def q_j3_tiled(spark, sf):
+    """The same elevations from a tiled grid, whose tiles are pruned scene by scene."""
+    from drapekit.operators.drape import resample_grid
+
+    return resample_grid(fx.raster_meta(spark, sf), _tiled(spark, sf))
+
+
+def _tiled(spark, sf):
+    from drapekit.session import scratch_path
+    from drapekit.sources.dem import write_tiles
+
+    return write_tiles(fx.dem_cells(spark, sf), scratch_path(spark, "tiles"), side=TILE_SIDE)
+
+
+#: fixed value: side of a tile, in units of the grid
+TILE_SIDE = 100.0
+
+
+@register(
+    "s5_write_tiles",
+    _cte_query(
+        f"""
+, placed as (select *, floor(x / {TILE_SIDE})::bigint + 1073741824 as tx, floor(y / {TILE_SIDE})::bigint + 1073741824 as ty from dem_cells)
+, keyed as (select *, list_sum(list_transform(range(31), lambda b: (((tx >> b) & 1) << (2 * b)) + (((ty >> b) & 1) << (2 * b + 1))))::bigint as tile from placed)
+""",
+        "select scene_id, tile, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1, count(*) as n from keyed group by scene_id, tile",
+        "dem_cells",
+    ),
+)
+def q_s5_tiles(spark, sf):
+    """Extents of the tiles that a grid was written in."""
+    return _tiled(spark, sf).tiles
+
+
 @register(
     "j4_mesh_grid",
     _cte_query(

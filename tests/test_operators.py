@@ -446,3 +446,76 @@ def test_footprints_from_geojson(spark):
     }
     for box, want in cases.items():
         assert {r.id for r in footprint_predicate(shaped, box).collect()} == want, box
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_split_axis_equals_brute_force(spark, seed):
+    """Many equal values across the cuts, scenes without labels, null keys."""
+    from drapekit.operators.nearest import nearest_label_split
+
+    rng = random.Random(seed)
+    keys = [0, 1, None, 3]
+    labels = [(k, float(rng.randrange(40)) * rng.choice([1, 0.5])) for k in keys[:3] for _ in range(rng.randrange(1, 60))]
+    targets = [(rng.choice(keys), n, float(rng.choice([7, rng.randrange(-3, 45)])) + rng.choice([0, 0.25, 0.5])) for n in range(400)]
+
+    def nearest(k, v):
+        own = sorted({x for s, x in labels if s == k}, key=lambda x: (abs(x - v), -x))
+        return own[0] if own else None
+
+    t = spark.createDataFrame(targets, "scene_id int, n int, v double").repartition(5)
+    got = nearest_label_split(t, spark.createDataFrame(labels, "scene_id int, x double"), value="v", label="x", buckets=13)
+    assert {(r.n, r.x) for r in got.collect()} == {(n, nearest(k, v)) for k, n, v in targets}
+
+
+def test_ranges_of_one_long_axis_are_even(spark):
+    """One key, a third of all rows at one value: no range holds above twice the median."""
+    from drapekit.operators.indexing import range_buckets
+
+    df = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.rand(1) * 100).alias("v"), F.xxhash64("id").alias("tie"))
+    sizes = sorted(r["count"] for r in range_buckets(df, ["v", "tie"], buckets=30).groupBy("bucket").count().collect())
+    assert len(sizes) >= 25 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_tiles_of_one_scene_are_pruned(spark, tmp_path):
+    """One small scene of 24: the plan prunes dynamically and opens under a tenth of the bytes."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from drapekit import fixtures as fx
+    from drapekit.operators.drape import resample_grid
+    from drapekit.sources.dem import write_tiles
+
+    sf = "/root/testdata/sf0.01"
+    cells, meta = fx.dem_cells(spark, sf), fx.raster_meta(spark, sf)
+    tiled = write_tiles(cells, str(tmp_path / "dem"), side=100.0)
+    one = meta.where("scene_id = 2")
+    found = resample_grid(one, tiled)
+    want = resample_grid(one, cells)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    every = sum(p.stat().st_size for p in (tmp_path / "dem" / "cells").rglob("*.parquet"))
+    met = tiled.cells.withColumn("file", F.input_file_name())
+    opened = resample_grid(one, type(tiled)(met.select("scene_id", "tile", "x", "y", F.col("dem")), tiled.tiles, tiled.x, tiled.y))
+    files = {r.f for r in tiled.cells.where("scene_id = 2").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert opened.count() == want.count()
+    assert 0 < sum(Path(urlparse(f).path).stat().st_size for f in files) < every / 10
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "dem" in ln]
+    assert any("PartitionFilters" in ln and "dynamicpruning" in ln for ln in scans)
+
+
+def test_tiles_keep_every_cell_and_odd_scenes(spark, tmp_path):
+    from drapekit.sources.dem import read_tiles, tile_side, write_tiles
+
+    rows = [(s, float(x), float(y), float("nan") if x == y else float(x * y)) for s in ("0012", "a/b", None) for x in range(-5, 6) for y in range(-3, 4)]
+    cells = spark.createDataFrame(rows, "scene_id string, x double, y double, dem double")
+    side = tile_side(cells, target=10)
+    assert 1 < side < 6
+    write_tiles(cells, str(tmp_path / "t"), target=10)
+    tiled = read_tiles(spark, str(tmp_path / "t"))
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(key, tiled.cells.select("scene_id", "x", "y", "dem").collect())) == sorted(map(key, rows))
+    assert tiled.tiles.agg(F.sum("n")).first()[0] == len(rows) and tiled.tiles.count() > 12
+    order = [r.scene_id for r in tiled.x.select("scene_id").distinct().collect()]
+    assert sorted(order, key=str) == sorted(["0012", "a/b", None], key=str)
+    assert write_tiles(cells.limit(0), str(tmp_path / "e")).tiles.count() == 0
