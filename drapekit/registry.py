@@ -575,6 +575,26 @@ def q_s1(spark, sf):
     return read_catalog(spark, path)
 
 
+#: fixed values: items to a collection, and bytes to a range, so that collections have many ranges
+COLLECTION_ITEMS, SMALL_RANGE = 2000, 50_000
+
+
+@register("s1_read_feature_collection", with_views("select * from stac_items", "stac_items"))
+def q_s1_collection(spark, sf):
+    """Items landed as FeatureCollection files of one object each, read in byte ranges."""
+    from drapekit.session import scratch_path
+    from drapekit.sources.catalog import parse_items
+    from drapekit.sources.features import read_features
+
+    path = scratch_path(spark, "collections")
+    items = fx.stac_item_json(spark, sf)
+    files = items.count() // COLLECTION_ITEMS + 1
+    own = items.groupBy(F.pmod(F.xxhash64("value"), F.lit(files)).alias("k")).agg(F.concat_ws(",", F.collect_list("value")).alias("all"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","links":[{"href":"a\\"]}","rel":"self"}],"features":['), "all", F.lit("]}"))
+    own.select(text.alias("value"), "k").write.partitionBy("k").text(path)
+    return parse_items(read_features(spark, path, range_bytes=SMALL_RANGE))
+
+
 @register("p7_item_datetime", with_views("select id, datetime from stac_items", "stac_items"))
 def q_p7(spark, sf):
     from drapekit.sources.catalog import ITEM_SCHEMA, item_datetime
@@ -1364,6 +1384,15 @@ ORACLE_DIR = "/root/testdata/sf0.01"
 SQL_FILES = f"(select parse_filename(filename) as name, size as bytes, md5(content) as md5 from read_blob('{ORACLE_DIR}/*.parquet'))"
 
 
+@register("s2_read_ranges", f"select name, bytes, md5 from {SQL_FILES}")
+def q_s2_ranges(spark, sf):
+    """The same digests from the objects' blocks, in the order of their place."""
+    from drapekit.sources.object_ranges import object_digests, read_ranges
+
+    found = object_digests(read_ranges(spark, sf, glob="*.parquet", block_bytes=1 << 18, task_bytes=1 << 20))
+    return found.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "bytes", "md5")
+
+
 @register("s2_read_objects", f"select name, bytes, md5 from {SQL_FILES}")
 def q_s2(spark, sf):
     """Every object's content, by its digest."""

@@ -34,10 +34,6 @@ ITEM_SCHEMA = T.StructType(
     ]
 )
 
-COLLECTION_SCHEMA = T.StructType(
-    [T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(ITEM_SCHEMA))]
-)
-
 
 def item_datetime(s: Column) -> Column:
     """RFC 3339 text -> UTC wall-clock ``timestamp_ntz`` (independent of the session time
@@ -79,11 +75,11 @@ def parse_items(text: DataFrame, col: str = "value", asset: str = DEFAULT_ASSET)
 def read_catalog(
     spark: SparkSession, path: str, feature_collection: bool = False, asset: str = DEFAULT_ASSET
 ) -> DataFrame:
-    """Scan landed item files.  JSON lines by default; ``feature_collection=True`` reads
-    whole-file FeatureCollections and explodes their features."""
+    """Scan landed item files.  JSON lines by default; with ``feature_collection=True`` the
+    features of FeatureCollection files (one file or a folder), each file read in byte ranges by
+    several tasks."""
     if feature_collection:
-        fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", True).json(path)
-        items = fc.select(F.explode("features").alias("it")).select("it.*")
-    else:
-        items = spark.read.schema(ITEM_SCHEMA).json(path)
-    return flatten_items(items, asset)
+        from drapekit.sources.features import read_features
+
+        return parse_items(read_features(spark, path), asset=asset)
+    return flatten_items(spark.read.schema(ITEM_SCHEMA).json(path), asset)
