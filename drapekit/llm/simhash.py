@@ -13,6 +13,10 @@ Two fingerprints within ``max_bits`` bits link; components of links are near-dup
 * **Probe and verify.** Distinct fingerprints only.  Each is indexed and probed under the values
   of a part within half the radius each; an equi-join on the value meets the two, and the bit
   distance is checked in the join itself, so candidates are never stored.
+* **Stars first.** Groups do not need every link.  In a few rounds each probe meets one
+  representative of its value only, so a large cluster is joined up by a bounded number of rows a
+  fingerprint.  Then only values under which different groups meet are joined in full, and only links
+  between different groups come out, once for each two groups.
 
 Null or wordless text: fingerprint zero, linked like any other.  Null id: kept; it takes part
 in groups, and a group of null ids only has a null component id.  Repeated rows: kept.  Empty
@@ -39,6 +43,7 @@ from drapekit.llm.components import components
 BITS = 64
 SAMPLE = 4000  # fingerprints that the cost estimate looks at
 MAX_PARTS = 6
+STAR_TURNS = 3  # more only save rows of the last join
 SEED = 42
 
 
@@ -151,16 +156,51 @@ def _keys(fps: DataFrame, parts: list[Part], half: str) -> DataFrame:
     return fps.select("fp", F.explode(ways).alias("w")).select(key.alias("key"), "fp")
 
 
-def near_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
-    """Links (a, b) with a < b between the distinct fingerprints ``fps`` (fp)."""
+def _sides(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(index, probe): (key, b) and (key, a) of the distinct fingerprints ``fps`` (fp)."""
     sample = np.array([r.fp for r in fps.limit(SAMPLE).collect()], np.int64).view(np.uint64)
-    if len(sample) < 2:
-        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
-    parts = plan_parts(sample, fps.count(), max_bits)
-    index = _keys(fps, parts, "index").withColumnRenamed("fp", "b").alias("i")
-    probe = _keys(fps, parts, "probe").withColumnRenamed("fp", "a").alias("p")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return probe.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("a") < F.col("b")) & close).select("a", "b").distinct()
+    parts = plan_parts(sample, fps.count(), max_bits) if len(sample) > 1 else [Part(tuple(range(BITS)), 0)]
+    return _keys(fps, parts, "index").withColumnRenamed("fp", "b"), _keys(fps, parts, "probe").withColumnRenamed("fp", "a")
+
+
+def _close(max_bits: int) -> Column:
+    return F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+
+
+def near_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Every link (a, b) with a < b between the distinct fingerprints ``fps`` (fp)."""
+    index, probe = (side.alias(name) for side, name in zip(_sides(fps, max_bits), "ip"))
+    return probe.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("a") < F.col("b")) & _close(max_bits)).select("a", "b").distinct()
+
+
+def _labelled(side: DataFrame, c: str, labels: DataFrame) -> DataFrame:
+    """``side`` with the group of its fingerprint; those without a link are groups of their own."""
+    out = side.join(labels.select(F.col("node").alias(c), "label"), c, "left")
+    return out.select("key", c, F.coalesce("label", c).alias(f"of_{c}"))
+
+
+def star_links(index: DataFrame, probe: DataFrame, max_bits: int, turn: int) -> DataFrame:
+    """Links of each probe with one representative of its value; another one each turn."""
+    chosen = index.groupBy("key").agg(F.min(F.struct(F.xxhash64("b", F.lit(turn)), "b")).alias("r"))
+    return probe.join(chosen.select("key", F.col("r.b").alias("b")), "key").where((F.col("a") != F.col("b")) & _close(max_bits)).select("a", "b").distinct()
+
+
+def groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(node, label) of all distinct fingerprints ``fps`` (fp) that have a link: label is the smallest
+    fingerprint that can be reached."""
+    index, probe = _sides(fps, max_bits)
+    links = None
+    for turn in range(STAR_TURNS):
+        found = star_links(index, probe, max_bits, turn)
+        links = found if links is None else links.unionByName(found)
+    labels = written(components(links), "op3-stars")
+    left, right = _labelled(probe, "a", labels), _labelled(index, "b", labels)
+    of = left.select("key", F.col("of_a").alias("of")).unionByName(right.select("key", F.col("of_b").alias("of")))
+    mixed = of.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("key")
+    left, right = (side.join(mixed, "key", "left_semi").alias(name) for side, name in ((left, "p"), (right, "i")))
+    across = left.join(right, (F.col("p.key") == F.col("i.key")) & (F.col("of_a") != F.col("of_b")) & _close(max_bits))
+    across = across.select(F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b")).distinct()
+    return components(across.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
 def hex16(col: str) -> Column:
@@ -169,7 +209,7 @@ def hex16(col: str) -> Column:
 
 def _groups(firsts: DataFrame, max_bits: int) -> DataFrame:
     """(fp, label): the smallest fingerprint that each distinct one reaches."""
-    labels = components(near_pairs(firsts.select("fp"), max_bits))
+    labels = groups(firsts.select("fp"), max_bits)
     return firsts.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
 
 

@@ -99,3 +99,50 @@ def test_null_ids_repeated_rows_and_empty(spark):
 def test_very_long_text():
     text = prose(5, 70_000, 50_000)
     assert op.fingerprint(text.encode()) == slow_print(text)
+
+
+def slow_labels(prints, bits):
+    ids = sorted(prints, key=op._signed)
+    return dict(zip(ids, slow_groups([op._signed(p) for p in ids], ids, bits)))
+
+
+@pytest.mark.parametrize("bits,seed", [(0, 1), (1, 2), (4, 3), (4, 5), (6, 4)])
+def test_groups_equal_brute_force(spark, bits, seed):
+    """Chains, clusters, chance meetings: the same groups as from every link."""
+    rng = random.Random(seed)
+    prints = {0, (1 << 64) - 1}
+    for _ in range(25):
+        p = rng.getrandbits(64)
+        prints.add(p)
+        for _ in range(12):
+            q = p
+            for b in rng.sample(range(64), rng.randrange(bits + 2)):
+                q ^= 1 << b
+            prints.add(q)
+            p = rng.choice([p, q])
+    df = spark.createDataFrame([(op._signed(p),) for p in prints], "fp long")
+    got = {r.node: r.label for r in op.groups(df, bits).collect()}
+    want = {op._signed(p): g for p, g in slow_labels(prints, bits).items()}
+    assert {n: got.get(n, n) for n in want} == want
+
+
+def test_a_large_cluster_is_joined_by_few_links(spark):
+    """5,000 prints within two bits of one: all pairs would be 12 million links."""
+    rng = random.Random(8)
+    base, prints = rng.getrandbits(64), set()
+    while len(prints) < 2000:
+        p = base
+        for b in rng.sample(range(64), rng.randrange(3)):
+            p ^= 1 << b
+        prints.add(p)
+    while len(prints) < 5000:
+        p = base
+        for b in rng.sample(range(64), rng.randrange(3, 5)):
+            p ^= 1 << b
+        prints.add(p)
+    df = spark.createDataFrame([(op._signed(p),) for p in prints], "fp long").repartition(4)
+    index, probe = op._sides(df, 4)
+    links = sum(op.star_links(index, probe, 4, k).count() for k in range(op.STAR_TURNS))
+    assert links < 20 * len(prints)
+    got = op.groups(df, 4).collect()
+    assert len(got) == len(prints) and len({r.label for r in got}) == 1
