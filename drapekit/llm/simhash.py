@@ -13,10 +13,10 @@ Two fingerprints within ``max_bits`` bits link; components of links are near-dup
 * **Probe and verify.** Distinct fingerprints only.  Each is indexed and probed under the values
   of a part within half the radius each; an equi-join on the value meets the two, and the bit
   distance is checked in the join itself, so candidates are never stored.
-* **Stars first.** Groups do not need every link.  In a few rounds each probe meets one
-  representative of its value only, so a large cluster is joined up by a bounded number of rows a
-  fingerprint.  Then only values under which different groups meet are joined in full, and only links
-  between different groups come out, once for each two groups.
+* **Stars first.** Groups do not need every link.  In a few rounds each fingerprint meets one
+  representative of each of its values only, so a large cluster is joined up by a bounded number of
+  rows a fingerprint.  Of the full join then only links between different groups come out, once
+  for each two groups.
 
 Null or wordless text: fingerprint zero, linked like any other.  Null id: kept; it takes part
 in groups, and a group of null ids only has a null component id.  Repeated rows: kept.  Empty
@@ -149,15 +149,17 @@ def _signed(x: int) -> int:
 
 
 def _keys(fps: DataFrame, parts: list[Part], half: str) -> DataFrame:
-    """(key, fp) under every value of each part that is within the half radius."""
+    """(key, fp) and what other columns there are, under every value of each part that is within the
+    half radius."""
     rows = [(k, p.mask, f) for k, p in enumerate(parts) for f in p.flips(p.radius // 2 if half == "index" else p.radius - p.radius // 2)]
     ways = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(_signed(m)).cast("long").alias("mask"), F.lit(_signed(f)).cast("long").alias("flip")) for k, m, f in rows])
     key = F.xxhash64(F.col("w.part"), F.col("fp").bitwiseAND(F.col("w.mask")).bitwiseXOR(F.col("w.flip")))
-    return fps.select("fp", F.explode(ways).alias("w")).select(key.alias("key"), "fp")
+    return fps.select("*", F.explode(ways).alias("w")).select(key.alias("key"), *fps.columns)
 
 
 def _sides(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(index, probe): (key, b) and (key, a) of the distinct fingerprints ``fps`` (fp)."""
+    """(index, probe): (key, b) and (key, a), with their other columns, of the distinct fingerprints
+    ``fps`` (fp)."""
     sample = np.array([r.fp for r in fps.limit(SAMPLE).collect()], np.int64).view(np.uint64)
     parts = plan_parts(sample, fps.count(), max_bits) if len(sample) > 1 else [Part(tuple(range(BITS)), 0)]
     return _keys(fps, parts, "index").withColumnRenamed("fp", "b"), _keys(fps, parts, "probe").withColumnRenamed("fp", "a")
@@ -173,34 +175,31 @@ def near_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
     return probe.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("a") < F.col("b")) & _close(max_bits)).select("a", "b").distinct()
 
 
-def _labelled(side: DataFrame, c: str, labels: DataFrame) -> DataFrame:
-    """``side`` with the group of its fingerprint; those without a link are groups of their own."""
-    out = side.join(labels.select(F.col("node").alias(c), "label"), c, "left")
-    return out.select("key", c, F.coalesce("label", c).alias(f"of_{c}"))
-
-
-def star_links(index: DataFrame, probe: DataFrame, max_bits: int, turn: int) -> DataFrame:
-    """Links of each probe with one representative of its value; another one each turn."""
-    chosen = index.groupBy("key").agg(F.min(F.struct(F.xxhash64("b", F.lit(turn)), "b")).alias("r"))
-    return probe.join(chosen.select("key", F.col("r.b").alias("b")), "key").where((F.col("a") != F.col("b")) & _close(max_bits)).select("a", "b").distinct()
+def star_links(fps: DataFrame, max_bits: int, turn: int) -> DataFrame:
+    """Links of each fingerprint with one representative of each of its values; another one each
+    turn.  Values are those of ``max_bits`` + 1 plain parts: one row a part."""
+    size = -(-BITS // (max_bits + 1))
+    plain = [Part(tuple(range(at, min(at + size, BITS))), 0) for at in range(0, BITS, size)]
+    own = _keys(fps, plain, "index")
+    chosen = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp", F.lit(turn)), "fp")).alias("r"))
+    met = own.withColumnRenamed("fp", "a").join(chosen.select("key", F.col("r.fp").alias("b")), "key")
+    return met.where((F.col("a") != F.col("b")) & _close(max_bits)).select("a", "b").distinct()
 
 
 def groups(fps: DataFrame, max_bits: int) -> DataFrame:
     """(node, label) of all distinct fingerprints ``fps`` (fp) that have a link: label is the smallest
     fingerprint that can be reached."""
-    index, probe = _sides(fps, max_bits)
-    links = None
-    for turn in range(STAR_TURNS):
-        found = star_links(index, probe, max_bits, turn)
-        links = found if links is None else links.unionByName(found)
-    labels = written(components(links), "op3-stars")
-    left, right = _labelled(probe, "a", labels), _labelled(index, "b", labels)
-    of = left.select("key", F.col("of_a").alias("of")).unionByName(right.select("key", F.col("of_b").alias("of")))
-    mixed = of.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("key")
-    left, right = (side.join(mixed, "key", "left_semi").alias(name) for side, name in ((left, "p"), (right, "i")))
-    across = left.join(right, (F.col("p.key") == F.col("i.key")) & (F.col("of_a") != F.col("of_b")) & _close(max_bits))
-    across = across.select(F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b")).distinct()
-    return components(across.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+    links = star_links(fps, max_bits, 0)
+    for turn in range(1, STAR_TURNS):
+        links = links.unionByName(star_links(fps, max_bits, turn))
+    stars = written(components(links), "op3-stars")
+    labelled = fps.join(stars, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("of"))
+    labelled = written(labelled, "op3-labelled")
+    left, right = _sides(labelled, max_bits)
+    left, right = left.alias("p"), right.alias("i")
+    across = left.join(right, (F.col("p.key") == F.col("i.key")) & (F.col("p.of") != F.col("i.of")) & _close(max_bits))
+    across = across.select(F.greatest("p.of", "i.of").alias("a"), F.least("p.of", "i.of").alias("b")).distinct()
+    return components(across.unionByName(stars.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
 def hex16(col: str) -> Column:
