@@ -108,3 +108,17 @@ def test_rare_words_and_pairs_are_in_the_model(spark, monkeypatch, frequent):
         assert rows[k].n_words == n
         assert (rows[k].target_loss, rows[k].background_loss) == pytest.approx((t, b), abs=1e-9)
     assert rows[0].score < rows[1].score
+
+
+@pytest.mark.parametrize("route", [1_000, 7])
+def test_many_chunks_and_routes_hold_one_frequent_pair(spark, monkeypatch, route):
+    """Each partition is a chunk; "the cat" is in all of them, most routes answer several chunks."""
+    monkeypatch.setattr(op, "ROUTE", route)
+    docs = ["the cat " * (k % 5 + 1) + prose(k, 12, 30) for k in range(120)] + [None, "", "the cat"]
+    target = ["the cat sat", None, *[prose(500 + k, 8, 30) for k in range(20)]]
+    out = op.lm_scores(frame(spark, docs).repartition(9), frame(spark, target).repartition(4))
+    rows = {r.doc_id: r for r in out.collect()}
+    assert len(rows) == len(docs)
+    for k, (n, t, b) in enumerate(whole(docs, target, docs)):
+        assert rows[k].n_words == n
+        assert (rows[k].target_loss, rows[k].background_loss) == pytest.approx((t, b), abs=1e-9)
