@@ -7,11 +7,14 @@ signed row per tokenizer version, and a batch of changes is reduced to one small
 (source, lang, version), combined map-side before the shuffle.
 
 * **Commit.** A batch's deltas are written to a folder of their own; then one log row names the
-  folder.  Only folders in the log count, so a commit that died half-way leaves nothing behind.
-* **Idempotent.** A batch id that the log already holds is not applied again, whatever its
-  content, so a retried or replayed batch changes nothing.
-* **Compaction** writes the totals as one more folder whose log row replaces the rows so far; their
-  ids stay known.  One writer at a time is assumed; readers may come at any time.
+  folder.  Totals join the folders with the log, so a commit that died half-way leaves nothing behind.
+* **Idempotent.** A batch id that is known already is not applied again, whatever its content, so a
+  retried or replayed batch changes nothing.  The id is looked up with a pushed-down filter.
+* **Compaction** starts a new generation: the totals as its first folder, a log of one row, and a
+  table of all ids known so far, sorted so that a lookup skips all but a few row groups.  It counts
+  once its marker file stands; one that died before is never seen.  So neither commits nor
+  totals read more log than was written since, and no log row comes to the driver.  One writer at a
+  time is assumed; readers may come at any time, as earlier generations stay.
 
 A null side counts as absent, an empty text as a document with no tokens.  Null sources or
 languages form groups of their own.  Repeated changes are separate changes.  An empty batch
@@ -21,7 +24,7 @@ commits and changes nothing; an empty store has no totals.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +48,9 @@ def _pieces(text: Column) -> Column:
 VERSIONS: dict[str, Callable[[Column], Column]] = {"words-1": _words, "pieces-2": _pieces}
 
 KEYS = ("source", "lang", "version")
-LOG = "batch string, path string, replaces array<string>"
+LOG = "batch string, folder string"
+KNOWN = "batch string"
+READY = "_READY"
 DELTA = "source string, lang string, version string, n_docs long, n_tokens long"
 
 
@@ -71,41 +76,57 @@ class Rollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _log(self) -> list:
-        """One row per commit."""
-        files = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        if not files.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(files):
-            return []
-        return self.spark.read.schema(LOG).parquet(f"{self.path}/log").collect()
+    def _place(self, path: str):
+        """A path and its file system."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _generation(self) -> str:
+        """Folder of the newest generation that is complete."""
+        place, files = self._place(self.path)
+        names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+        for name in sorted((n for n in names if n[:9].isdigit()), reverse=True):
+            marker, _ = self._place(f"{self.path}/{name}/{READY}")
+            if files.exists(marker):
+                return name
+        return f"{0:09d}"
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        """A table of the current generation, empty where nothing was written yet."""
+        path = f"{self.path}/{self._generation()}/{name}"
+        place, files = self._place(path)
+        return self.spark.read.schema(schema).parquet(path) if files.exists(place) else self.spark.createDataFrame([], schema)
+
+    def _known(self) -> DataFrame:
+        log = self._read("log", LOG).select("batch").where("batch is not null")
+        return self._read("known", KNOWN).unionByName(log)
 
     def batches(self) -> set[str]:
-        return {r.batch for r in self._log()}
+        """All ids, for reports and tests; commits look up one."""
+        return {r.batch for r in self._known().toLocalIterator()}
 
-    def _append(self, rows: DataFrame, batch: str, replaces: Iterable[str]) -> None:
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        rows.write.parquet(folder)
-        entry = self.spark.createDataFrame([(batch, folder, list(replaces))], LOG)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+    def _append(self, rows: DataFrame, batch: str | None, generation: str) -> None:
+        base, folder = f"{self.path}/{generation}", f"f{uuid.uuid4().hex}"
+        rows.write.parquet(f"{base}/data/folder={folder}")
+        self.spark.createDataFrame([(batch, folder)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/log")
 
     def commit(self, batch: str, changes: DataFrame, versions: dict[str, Callable[[Column], Column]] = VERSIONS) -> bool:
         """Adds a batch; False if its id is known already."""
-        if batch in self.batches():
+        if not self._known().where(F.col("batch") == F.lit(batch)).isEmpty():
             return False
-        self._append(deltas(changes, versions), batch, ())
+        self._append(deltas(changes, versions), batch, self._generation())
         return True
 
     def compact(self) -> None:
         """From now on one folder holds the totals of all batches so far."""
-        known = self.batches()
-        self._append(self.totals(), f"compacted-{uuid.uuid4().hex}", sorted(known))
+        new = f"{int(self._generation()[:9]) + 1:09d}-{uuid.uuid4().hex}"
+        self._known().sort("batch").write.parquet(f"{self.path}/{new}/known")
+        self._append(self.totals(), None, new)
+        marker, files = self._place(f"{self.path}/{new}/{READY}")
+        files.create(marker).close()
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens: the sums of all committed batches."""
-        log = self._log()
-        gone = {b for r in log for b in r.replaces}
-        live = [r.path for r in log if r.batch not in gone]
-        if not live:
-            return self.spark.createDataFrame([], DELTA)
-        rows = self.spark.read.schema(DELTA).parquet(*live)
+        rows = self._read("data", f"{DELTA}, folder string").join(self._read("log", LOG).select("folder"), "folder", "left_semi")
         out = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return out.where("n_docs <> 0 or n_tokens <> 0")

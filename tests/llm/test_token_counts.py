@@ -58,10 +58,27 @@ def test_a_commit_that_died_leaves_nothing(spark, tmp_path):
     rollup = op.Rollup(spark, str(tmp_path / "r"))
     changes = spark.createDataFrame(batches()[0], CHANGE)
     op.deltas(changes).write.parquet(f"{rollup.path}/data/unfinished")
+    op.deltas(changes).write.parquet(f"{rollup.path}/{rollup._generation()}/data/folder=unfinished")
     assert state(rollup) == {}
     assert rollup.commit("b", changes) and state(rollup) == slow(batches()[:1])
 
 
+def test_compaction_shortens_the_log_and_a_dead_one_is_not_seen(spark, tmp_path):
+    rollup = op.Rollup(spark, str(tmp_path / "r"))
+    done = batches()[:2]
+    for k, changes in enumerate(done):
+        assert rollup.commit(f"b{k}", spark.createDataFrame(changes, CHANGE))
+    rollup.totals().write.parquet(f"{rollup.path}/000000001-dead/data/folder=f0")  # without its marker
+    assert state(rollup) == slow(done) and rollup._read("log", op.LOG).count() == 2
+    rollup.compact()
+    assert state(rollup) == slow(done)
+    assert rollup._read("log", op.LOG).count() == 1 and rollup.batches() == {"b0", "b1"}
+    assert rollup.commit("b2", spark.createDataFrame(done[0], CHANGE)) and state(rollup) == slow([*done, done[0]])
+    rollup.compact()
+    assert rollup._generation().startswith("000000002") and rollup.batches() == {"b0", "b1", "b2"}
+    assert not rollup.commit("b1", spark.createDataFrame(done[0], CHANGE)) and state(rollup) == slow([*done, done[0]])
+
+
 def test_what_cancels_out_is_gone(spark):
     t = prose(1, 5)
     df = spark.createDataFrame([("a", "en", None, t, 1), ("a", "en", t, None, 1)], CHANGE)
