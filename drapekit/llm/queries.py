@@ -18,7 +18,7 @@ from drapekit.llm.decontaminate import leaks
 from drapekit.llm.licenses import license_scan
 from drapekit.llm.lm_scoring import lm_scores
 from drapekit.llm.order_minhash import edited_likeness
-from drapekit.llm.quality import apply_policy, ledger
+from drapekit.llm.quality import ablations, apply_policy, ledger
 from drapekit.llm.simhash import simhash_groups
 from drapekit.llm.suffix_dedup import suffix_dedup
 from drapekit.llm.token_counts import Rollup
@@ -97,6 +97,21 @@ f as (
 select *, (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept from f"""
 
 
+@_query
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10's ablations over the ledger of all documents."""
+    return ablations(ledger(table(spark, sf_dir, "documents")))
+
+
+ORACLE["quality_ablations"] = f"""
+with ledger as ({ORACLE["op10_quality_rules"]}),
+rules(rule, bit) as (values ('short', 1), ('repeated_windows', 2), ('symbols', 4), ('not_alphabetic', 8), ('repeated_lines', 16), ('word_length', 32)),
+policies(version, mask) as (values ('v1', 3), ('v2', 63))
+select version, rule, count(*) as documents, count(*) filter ((fail_bits & mask) = 0) as kept,
+  count(*) filter ((fail_bits & mask & bit) <> 0) as failing, count(*) filter ((fail_bits & mask) = bit) as kept_without
+from ledger, policies, rules where (mask & bit) <> 0 group by version, rule"""
+
+
 @_query
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
