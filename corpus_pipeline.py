@@ -10,6 +10,13 @@ predecessor kept.
 A stage is ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the columns of
 ``documents``.  ``run`` writes each stage's result as Parquet into the shared folder and reads
 it back, so a lost executor costs at most one stage's tasks.
+
+Null and empty texts have no words, so they share the fingerprint zero: one of them stays.  They
+hold no benchmark item and come out with no token ids; from suffix_dedup on a null text is empty.  Of rows that repeat a text the one
+with the smallest id stays; null ids, labels, languages and sources are kept as they are.  Very
+long texts go through whole.  Empty documents give an empty result; without labels toxicity
+rejects nothing, and without benchmark items nothing is dropped as a leak.  Extra columns pass
+through to the stage before the last, whatever their names, and do not change a result.
 """
 
 from __future__ import annotations
