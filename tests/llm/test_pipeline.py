@@ -99,3 +99,20 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark, tmp_path):
             if name == "simhash_near_dedup" and rows:
                 assert frame.where("doc_id = 6").count() == 2
         assert corpus_pipeline.bpe(spark, frame, folder).count() == frame.count()
+
+
+def test_without_labels_and_benchmark_nothing_is_rejected(spark, tmp_path):
+    """Null and empty texts share one fingerprint, so one of them stays; a clashing column stays too."""
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    texts = {0: None, 1: "", 2: "a plain sentence about rivers and hills", 3: "quite another one, of trains that run late", 4: "", 5: None}
+    rows = [(i, t, None, None, None, "fp", 7) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, f"{DOCS}, fp string, id int")
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["toxicity"](spark, docs, folder).count() == len(rows)
+    single = stages["simhash_near_dedup"](spark, docs, folder)
+    assert sorted(r.doc_id for r in single.collect()) == [0, 2, 3] and single.columns == docs.columns
+    clean = stages["decontamination"](spark, stages["suffix_dedup"](spark, single, folder), folder)
+    assert sorted((r.doc_id, r.text, r.fp, r.id) for r in clean.collect()) == [(0, "", "fp", 7), (2, texts[2], "fp", 7), (3, texts[3], "fp", 7)]
+    assert {r.doc_id: r.n_tokens > 0 for r in stages["bpe"](spark, clean, folder).collect()} == {0: False, 2: True, 3: True}
