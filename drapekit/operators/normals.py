@@ -481,16 +481,15 @@ def _residue_rounds(spark, base: str, pts: DataFrame, residue: DataFrame, g: lis
             .select(*g, "pid", *[F.col(c).alias(f"q{c}") for c in "xyz"], "R", "lvl", "sl", "kx", "ky", "kz", "diag")
         )
         levels = [r["lvl"] for r in qx.select("lvl").distinct().collect()]
-        cand = None
-        for lv in levels:
-            part = pts.select(
-                *g,
-                F.col("pid").alias("nbr"),
-                *[F.col(c).alias(f"n{c}") for c in "xyz"],
-                F.lit(lv).alias("lvl"),
-                *[F.floor(F.col(c) / (F.col("s") * float(2**lv))).alias(f"k{c}") for c in "xyz"],
-            )
-            cand = part if cand is None else cand.unionByName(part)
+        # one read of the points serves all levels of the round
+        side = F.col("s") * F.pow(F.lit(2.0), F.col("lvl"))
+        cand = pts.withColumn("lvl", F.explode(F.array(*[F.lit(lv) for lv in levels]))).select(
+            *g,
+            F.col("pid").alias("nbr"),
+            *[F.col(c).alias(f"n{c}") for c in "xyz"],
+            "lvl",
+            *[F.floor(F.col(c) / side).alias(f"k{c}") for c in "xyz"],
+        )
         pairs = cand.join(qx, g + ["lvl", "kx", "ky", "kz"]).withColumn("d2", _d2("q", "n"))
         pairs = pairs.filter(F.col("d2") <= F.col("R") * F.col("R")).select(*g, "pid", "nbr", "d2", "nx", "ny", "nz", "R", "diag")
         local = pairs.mapInPandas(_partial_topk(k, [*g, "pid"]), pairs.schema)
