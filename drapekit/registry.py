@@ -1261,6 +1261,19 @@ def q_g3_sample(spark, sf):
     return _sample_faces(spark, sf, _sampled(spark, sf))
 
 
+@register("g3_delaunay_faces", None)
+def q_g3_delaunay(spark, sf):
+    """Delaunay triangles of every sampled pixel."""
+    return _delaunay(spark, sf, _sampled(spark, sf))
+
+
+def _delaunay(spark, sf, cloud):
+    from drapekit.operators.delaunay import delaunay_surface
+    from drapekit.operators.small import settled
+
+    return delaunay_surface(cloud, settled(fx.raster_meta(spark, sf), "meta"))
+
+
 # ---------------------------------------------------------------------------------------
 # PLY export round trip; S2 S3 A6: objects
 
@@ -1542,6 +1555,68 @@ def q_q5f(spark, sf):
     return require_faces(settled(_sample_faces(spark, sf, _surface(spark, sf)), "faces"))
 
 
+#: squared circumradius up to which SQL finds the triangles too (their corners are within 8 pixels)
+SMALL_CIRCLE = 15.99
+SQL_DELAUNAY = f"""
+, p as (select distinct c.scene_id, c.pid, c.pid % m.width as x, c.pid // m.width as y from cloud c join raster_meta m on c.scene_id = m.scene_id)
+, ends as (select scene_id, x, y from p qualify y = min(y) over (partition by scene_id, x) or y = max(y) over (partition by scene_id, x))
+, hull as (select a.scene_id, a.x as x1, a.y as y1, b.x as x2, b.y as y2 from ends a join ends b on a.scene_id = b.scene_id and (a.x <> b.x or a.y <> b.y)
+           where not exists (select 1 from ends c where c.scene_id = a.scene_id and ((b.x - a.x) * (c.y - a.y) < (b.y - a.y) * (c.x - a.x)
+             or ((b.x - a.x) * (c.y - a.y) = (b.y - a.y) * (c.x - a.x) and (a.x - c.x) * (b.x - c.x) + (a.y - c.y) * (b.y - c.y) > 0))))
+, rim as (select scene_id, count(distinct pid) as h from p join hull using (scene_id) where (x2 - x1) * (y - y1) = (y2 - y1) * (x - x1) group by scene_id)
+, area as (select scene_id, sum(x1 * y2 - y1 * x2) as twice_area from hull group by scene_id)
+, near as (select a.scene_id, a.pid as a, b.pid as b, b.x - a.x as ux, b.y - a.y as uy from p a join p b on a.scene_id = b.scene_id and a.pid <> b.pid
+           where abs(b.x - a.x) <= 8 and abs(b.y - a.y) <= 8)
+, side as (select n.scene_id, n.a, n.b, c.b as c, n.ux, n.uy, n.ux * c.uy - n.uy * c.ux as cr, c.ux * (c.ux - n.ux) + c.uy * (c.uy - n.uy) as dot
+           from near n join near c on n.scene_id = c.scene_id and n.a = c.a and n.b <> c.b)
+, edge as (select scene_id, a, b, ux, uy, min(dot / cr) filter (cr > 0) as t, min(-dot / cr) filter (cr < 0) as o, bool_or(cr = 0 and dot < 0) as blocked
+           from side group by scene_id, a, b, ux, uy)
+, small as (select s.scene_id, min(s.c) as a, s.a as b, s.b as c from side s join edge e on e.scene_id = s.scene_id and e.a = s.a and e.b = s.b
+            where cr > 0 and dot / cr = t and not blocked and (o is null or t + o > 0) and (e.ux * e.ux + e.uy * e.uy) * (1 + t * t) / 4 <= {SMALL_CIRCLE}
+            group by s.scene_id, s.a, s.b having min(s.c) < least(s.a, s.b))
+, smalls as (select scene_id, count(*) as small_faces, sum(a)::bigint as small_a, sum(b)::bigint as small_b, sum(c)::bigint as small_c from small group by scene_id)
+, counts as (select scene_id, count(*) as vertices from p group by scene_id)
+"""
+
+
+@register(
+    "q5_delaunay_report",
+    _cte_query(
+        SQL_SAMPLED + SQL_DELAUNAY,
+        "select scene_id, vertices, 2 * vertices - 2 - h as faces, twice_area::bigint as twice_area, small_faces, small_a, small_b, small_c "
+        "from counts join rim using (scene_id) join area using (scene_id) join smalls using (scene_id)",
+        "raster_meta",
+        "dem_cells",
+        "raster_px",
+    ),
+)
+def q_q5_delaunay(spark, sf):
+    """Sample, normalise, Delaunay faces, then per scene: vertices used, faces, the area they cover
+    (twice, in pixels), and number and corners of the faces with a small circle."""
+    from drapekit.operators.geometry import normalize_cloud, require_faces
+    from drapekit.operators.small import settled
+
+    faces = require_faces(settled(_delaunay(spark, sf, normalize_cloud(_sampled(spark, sf).drop("k"))), "faces"))
+    width = settled(fx.raster_meta(spark, sf), "meta").select("scene_id", F.col("width").cast("long").alias("w"))
+    f = faces.join(width, "scene_id")
+    at = {c: (F.col(c) % F.col("w"), F.floor(F.col(c) / F.col("w"))) for c in "abc"}
+
+    def sides(i, j):
+        return at[j][0] - at[i][0], at[j][1] - at[i][1]
+
+    def squared(i, j):
+        dx, dy = sides(i, j)
+        return dx * dx + dy * dy
+
+    (ux, uy), (vx, vy) = sides("a", "b"), sides("a", "c")
+    f = f.withColumn("cr", ux * vy - uy * vx)
+    small = (squared("a", "b") * squared("b", "c") * squared("c", "a")).cast("double") <= SMALL_CIRCLE * 4 * F.col("cr") * F.col("cr")
+    corners = faces.select("scene_id", F.explode(F.array("a", "b", "c")).alias("pid")).distinct().groupBy("scene_id").agg(F.count(F.lit(1)).alias("vertices"))
+    sums = [F.sum(F.when(small, F.col(c))).alias(f"small_{c}") for c in "abc"]
+    report = f.groupBy("scene_id").agg(F.count(F.lit(1)).alias("faces"), F.sum("cr").alias("twice_area"), F.count_if(small).alias("small_faces"), *sums)
+    return report.join(corners, "scene_id").select("scene_id", "vertices", "faces", "twice_area", "small_faces", *[f"small_{c}" for c in "abc"])
+
+
 # ---------------------------------------------------------------------------------------
 # P9 / P12 on their own (the image-points query above chains both)
 

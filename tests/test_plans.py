@@ -14,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 EAGER = [
     "s1_read_feature_collection", "s3_fetch_objects", "s5_write_tiles", "s6_write_ply", "s7_read_ply", "s7_read_ply_binary", "s8_verify_output",
     "q3_normalized_ply", "j1_match_scenes", "j1_match_footprints", "j2_nearest_label_split", "j3_resample_tiled", "g2_estimate_normals",
-    "q2_point_cloud_raw", "q5_surface_faces",
+    "q2_point_cloud_raw", "q5_surface_faces", "q5_delaunay_report",
 ]
 
 
