@@ -117,14 +117,66 @@ SENTENCES: list[Rule] = [
     Rule("copyright", "copyright( c)? (19|20)[0-9]{2}", "copyright", 0, 0.2),
 ]
 
+#: fixed values: later clauses of common licenses and notices
+CLAUSES: list[Rule] = [
+    Rule("sublicense", "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", "mit", 4, 0.95),
+    Rule("copies", "the above copyright notice and this permission notice( including the next paragraph)? shall be included in all copies or substantial portions of the software", "mit", 4, 0.95),
+    Rule("noninfringement", "warranties of merchantability fitness for a particular purpose and noninfringement", "mit", 2, 0.7),
+    Rule("tort", "in an action of contract tort or otherwise arising from out of or in connection with the software", "mit", 3, 0.85),
+    Rule("disclaims", "the author disclaims all warranties with regard to this software", "isc", 4, 0.9),
+    Rule("tortious", "in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software", "isc", 4, 0.9),
+    Rule("redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "bsd", 4, 0.95),
+    Rule("redistributions", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", "bsd", 4, 0.95),
+    Rule("disclaimed", "(any express or implied warranties including but not limited to the )?implied warranties of merchantability and fitness for a particular purpose are disclaimed", "bsd", 3, 0.85),
+    Rule("exemplary", "direct indirect incidental special exemplary or consequential damages", "bsd", 2, 0.7),
+    Rule("acknowledgement", "(all )?advertising materials mentioning features or use of this software must display the following acknowledgement", "bsd-4-clause", 5, 1.0),
+    Rule("licensor", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide( [^ ]+){0,20} licensor", "apache-2.0", 4, 0.9),
+    Rule("irrevocable", "perpetual worldwide non exclusive no charge royalty free irrevocable( except as stated in this section)? (copyright|patent) license", "apache-2.0", 4, 0.95),
+    Rule("conditions", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", "apache-2.0", 4, 0.95),
+    Rule("compliance", "you may not use this file except in compliance with the license", "apache-2.0", 4, 0.9),
+    Rule("acknowledgments", "(the )?end user documentation included with the redistribution( [^ ]+){0,8} must include the following acknowledgments?( [^ ]+){0,8} acknowledgments", "apache-1.1", 4, 0.9),
+    Rule("foundation", "as published by the free software foundation either version 2 of the license", "gpl-2.0", 4, 0.95),
+    Rule("foundation", "as published by the free software foundation either version 3 of the license", "gpl-3.0", 4, 0.95),
+    Rule("foundation", "as published by the free software foundation either version 2 1 of the license", "lgpl-2.1", 4, 0.95),
+    Rule("merchantability", "without even the implied warranty of merchantability or fitness for a particular purpose", "gpl", 3, 0.8),
+    Rule("copyleft", "is a free copyleft license for software and other kinds of works", "gpl", 4, 0.95),
+    Rule("franklin", "free software foundation inc 51 franklin", "gpl", 2, 0.6),
+    Rule("temple", "free software foundation inc 59 temple place", "gpl", 2, 0.6),
+    Rule("verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "gpl", 3, 0.8),
+    Rule("network", "all users interacting with it remotely through a computer network", "agpl-3.0", 4, 0.95),
+    Rule("invariant", "with no invariant sections no front cover texts and no back cover texts", "gfdl", 5, 1.0),
+    Rule("incompatible", "incompatible with secondary licenses as defined by the mozilla public license", "mpl-2.0", 4, 0.95),
+    Rule("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at", "mpl-2.0", 5, 1.0),
+    Rule("accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license", "epl", 5, 1.0),
+    Rule("misrepresented", "the origin of this software must not be misrepresented", "zlib", 4, 0.95),
+    Rule("altered", "altered source versions must be plainly marked as such", "zlib", 4, 0.95),
+    Rule("executable", "machine executable object code generated by a source language processor", "bsl-1.0", 4, 0.95),
+    Rule("relinquish", "(dedicate|relinquish) any and all copyright interest in the software to the public domain( [^ ]+){0,40} relinquish", "unlicense", 4, 0.9),
+    Rule("perpetuity", "relinquishment in perpetuity of all present and future rights to this software under copyright law", "unlicense", 5, 1.0),
+    Rule("fuck", "you just do what the fuck you want to", "wtfpl", 5, 1.0),
+    Rule("artistic", "the intent of this document is to state the conditions( [^ ]+){0,60} artistic", "artistic", 3, 0.8),
+    Rule("reserved", "reserved font name", "ofl-1.1", 3, 0.9),
+    Rule("affirmer", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives", "cc0-1.0", 5, 1.0),
+    Rule("neighboring", "copyright and related or neighboring rights", "cc0-1.0", 3, 0.8),
+    Rule("attribution", "you must give appropriate credit( [^ ]+){0,30} attribution", "cc-by", 2, 0.6),
+    Rule("sharealike", "(adapt|remix|transform)( [^ ]+){0,30} sharealike", "cc-by-sa", 2, 0.6),
+    Rule("noncommercial", "for noncommercial purposes only", "noncommercial", 3, 0.8),
+    Rule("commercial", "not for commercial use", "noncommercial", 2, 0.6),
+    Rule("confidential", "(contains|this is) confidential (and proprietary )?(information|property) of", "proprietary", 3, 0.85),
+    Rule("disclosure", "use duplication or disclosure( [^ ]+){0,6} is subject to restrictions", "proprietary", 3, 0.85),
+    Rule("decompile", "(may|shall|must) not( [^ ]+){0,8} decompile", "proprietary", 3, 0.85),
+    Rule("spdx", "spdx license identifier [^ ]+", "spdx-other", 1, 0.5),
+    Rule("generated", "(automatically|auto) generated( [^ ]+){0,4} do not (edit|modify)", "generated", 1, 0.2),
+]
+
 _GRANT = "(?:licensed|released|distributed|available|provided|published|covered|governed)(?: [^ ]+)? (?:under|by|subject to)(?: the)?(?: terms of)?(?: the)?"
 _LATER = "(?: (?:or|and) (?:any |at your option any )?later(?: version)?)?"
 
 
 def rules() -> list[Rule]:
-    """All rules in order: sentences, then per family its identifier line, a grant that names
+    """All rules in order: sentences, clauses, then per family its identifier line, a grant that names
     it, a heading with its identifier and its bare name, one rule per name."""
-    out = list(SENTENCES)
+    out = SENTENCES + CLAUSES
     for label, names, identifier in FAMILIES:
         out.append(Rule("spdx", f"spdx license identifier {identifier}(?: only| or later)?", label, 4, 1.0))
         out.append(Rule("license", f"license {identifier}", label, 2, 0.7))

@@ -18,6 +18,24 @@ TEXTS = [
     "is in the public domain is placed in the public domain", "mit license mit license mit license " * 40,
 ]
 
+#: a clause of a license's body, with its usual signs, and the label it stands for
+BODIES = {
+    "THE ABOVE copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.": "mit",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer": "bsd",
+    "a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license": "apache-2.0",
+    "as published by the Free Software Foundation; either version 3 of the License": "gpl-3.0",
+    "with no Invariant Sections, no Front-Cover Texts, and no Back-Cover Texts": "gfdl",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at": "mpl-2.0",
+    "The origin of this software must not be misrepresented;": "zlib",
+    "You may not rent, lease, or decompile it": "proprietary",
+}
+
+
+def test_clauses_are_found_within_prose(spark):
+    texts = [f"{prose(k, 12)} {body} {prose(k + 100, 12)}" for k, body in enumerate(BODIES)]
+    got = {r["doc_id"]: r["labels"].split(",") for r in op.license_scan(frame(spark, texts)).collect()}
+    assert all(label in got[k] for k, label in enumerate(BODIES.values()))
+
 
 def slow(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
