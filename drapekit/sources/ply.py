@@ -20,8 +20,10 @@ Reader: ``spark.read.format("drapekit_ply").load(path)``, or ``read_ply``.  The
 manifest, or from the headers of a folder without one.  Files are cut into ranges: records of a fixed
 size in binary, line-aligned in text, so a large file is read by many tasks; small files share one.
 Each file is typed by its own header.  Other elements are passed over: behind the vertices in any
-file, in front of them where their records have a fixed size or a line each.  Filters on ``scene_id``
-leave out whole files.
+file, in front of them where their records have a fixed size or a line each.  The option ``scenes``
+(JSON array of ids as text, null for none) leaves out whole files in any session.  Filters on
+``scene_id`` do so where the session has Spark's filter push-down for Python sources on when the
+source is registered; elsewhere Spark tests the rows.
 """
 
 from __future__ import annotations
@@ -333,6 +335,7 @@ class _PlyReader(DataSourceReader):
         self.names = schema.names
         self.kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
         self.scene_type = schema["scene_id"].dataType.simpleString() if "scene_id" in schema.names else None
+        self.scenes = json.loads(options["scenes"]) if "scenes" in options else None
         self.tests: list = []
 
     def _typed(self, scene: str | None):
@@ -341,21 +344,10 @@ class _PlyReader(DataSourceReader):
         kind = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "float": pa.float32()}
         return pa.array([scene], pa.string()).cast(kind.get(self.scene_type, pa.string()))
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for f in filters:
-            if getattr(f, "attribute", None) == ("scene_id",):
-                if isinstance(f, EqualTo | EqualNullSafe):
-                    self.tests.append(lambda v, x=f.value: v == x)
-                elif isinstance(f, In):
-                    self.tests.append(lambda v, x=f.value: v in x)
-                elif isinstance(f, IsNull):
-                    self.tests.append(lambda v: v is None)
-                elif isinstance(f, IsNotNull):
-                    self.tests.append(lambda v: v is not None)
-            yield f  # files are left out here; Spark still tests the rows
-
     def partitions(self):
         root, shards = shards_of(self.path)
+        if self.scenes is not None:
+            shards = [s for s in shards if _scene_of(s.rel) in self.scenes]
         if self.tests:
             shards = [s for s in shards if all(t(self._typed(_scene_of(s.rel))[0].as_py()) for t in self.tests)]
         parts, own, held = [], [], 0
@@ -392,6 +384,23 @@ class _PlyReader(DataSourceReader):
                     yield pa.RecordBatch.from_arrays(out, self.names)
 
 
+class _FilteredPlyReader(_PlyReader):
+    """Takes filters; Spark refuses such a reader where push-down is off."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if getattr(f, "attribute", None) == ("scene_id",):
+                if isinstance(f, EqualTo | EqualNullSafe):
+                    self.tests.append(lambda v, x=f.value: v == x)
+                elif isinstance(f, In):
+                    self.tests.append(lambda v, x=f.value: v in x)
+                elif isinstance(f, IsNull):
+                    self.tests.append(lambda v: v is None)
+                elif isinstance(f, IsNotNull):
+                    self.tests.append(lambda v: v is not None)
+            yield f  # files are left out here; Spark still tests the rows
+
+
 class PlyDataSource(DataSource):
     """``spark.read.format("drapekit_ply").load(path)``; and, for ``write_ply``,
     ``df.write.format("drapekit_ply").option("properties", json).save(path)`` with the column
@@ -418,8 +427,16 @@ class PlyDataSource(DataSource):
         return _PlyArrowWriter(dict(self.options), overwrite)
 
 
+class FilteredPlyDataSource(PlyDataSource):
+    """The same for sessions with filter push-down."""
+
+    def reader(self, schema):
+        return _FilteredPlyReader(dict(self.options), schema)
+
+
 def register_ply(spark: SparkSession) -> None:
-    spark.dataSource.register(PlyDataSource)
+    pushed = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower() == "true"
+    spark.dataSource.register(FilteredPlyDataSource if pushed else PlyDataSource)
 
 
 def vertex_properties(vertices: DataFrame) -> list[tuple[str, str]]:
@@ -521,7 +538,7 @@ def read_header(path: str) -> tuple[int, list[tuple[str, str]]]:
 def read_ply(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The vertices of every shard under ``path`` (or one file), each typed by its own header.
     ``scene_id=`` folders become a column of the type that was written; columns that some
-    shards lack are NULL there."""
+    shards lack are NULL there.  The rows do not depend on the session's settings."""
     from drapekit.session import ship_package
 
     ship_package(spark)

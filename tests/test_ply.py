@@ -113,6 +113,34 @@ def test_filter_on_scene_opens_only_its_files(spark, tmp_path):
         spark.read.format(ply.FORMAT_NAME).load(path).where("scene_id = 2").collect()
 
 
+@pytest.mark.parametrize("pushed", ["true", "false"])
+def test_reader_works_with_and_without_filter_pushdown(spark, tmp_path, pushed):
+    name = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, pushed)
+    try:
+        path = str(tmp_path / "ply")
+        ply.write_ply(cloud(spark), path)
+        assert ply.read_ply(spark, path).count() == 3000
+        got = ply.read_ply(spark, path).where("scene_id = 1 or scene_id is null")
+        assert got.count() == 1500 and got.select("scene_id").distinct().count() == 2
+        assert ply.read_ply(spark, path).where("scene_id is null").count() == 750
+    finally:
+        spark.conf.set(name, before)
+        ply.register_ply(spark)
+
+
+def test_scenes_option_opens_only_their_files(spark, tmp_path):
+    path = str(tmp_path / "ply")
+    ply.write_ply(cloud(spark), path)
+    for shard in ply.shards_of(path)[1]:
+        if "scene_id=1/" not in shard.rel and ply.NULL_SCENE not in shard.rel:
+            (tmp_path / "ply" / shard.rel).write_bytes(b"broken")
+    got = spark.read.format(ply.FORMAT_NAME).option("scenes", '["1", null]').load(path)
+    assert got.count() == 1500 and got.where("scene_id = 1").count() == 750
+    assert spark.read.format(ply.FORMAT_NAME).option("scenes", "[]").load(path).count() == 0
+
+
 def test_reader_equals_read_ply(spark, tmp_path):
     path = str(tmp_path / "ply")
     ply.write_ply(cloud(spark), path)
