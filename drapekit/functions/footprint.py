@@ -19,7 +19,7 @@ EDGE = "struct<x0:double,y0:double,x1:double,y1:double>"
 EMPTY = f"array<{EDGE}>"
 
 
-def _let(value: Column, then) -> Column:
+def let(value: Column, then) -> Column:
     """``then(value)`` with ``value`` worked out once."""
     return F.transform(F.array(value), then)[0]
 
@@ -50,7 +50,7 @@ def _ring_edges(ring: Column) -> Column:
         return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), edge)).otherwise(F.array().cast(EMPTY))
 
     lons = F.transform(ring, lambda p: p[0])
-    return _let(F.coalesce(F.array_max(lons) - F.array_min(lons) > 180.0, F.lit(False)), edges)
+    return let(F.coalesce(F.array_max(lons) - F.array_min(lons) > 180.0, F.lit(False)), edges)
 
 
 def footprint(geometry: Column | str) -> Column:
@@ -73,7 +73,7 @@ def box_of(edges: Column) -> Column:
         east = F.when(around, 180.0).when(x["x1"] > 180.0, x["x1"] - 360.0).otherwise(x["x1"])
         return F.struct(west.alias("min_lon"), x["y0"].alias("min_lat"), east.alias("max_lon"), x["y1"].alias("max_lat"))
 
-    return _let(_extent(edges), box)
+    return let(_extent(edges), box)
 
 
 def _edge_meets(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -115,10 +115,11 @@ def meets_box(edges: Column, min_lon: Column, min_lat: Column, max_lon: Column,
 def with_footprint(items: DataFrame, geometry: str = "geometry", name: str = "footprint") -> DataFrame:
     """``items`` with the footprint of a GeoJSON column, and the four box columns set around it;
     rows without a readable polygon go."""
-    found = items.withColumn(name, footprint(F.col(geometry)))
-    # a filter on the parsed column would parse once more for every test
-    box = box_of(F.col(name))
-    found = found.withColumn("_box", F.when(F.size(name) > 0, box)).where("_box is not null")
+    # one list per row, made where it is unnested: a filter on a projected column is pushed below it
+    # and would parse once more for every test and turn
+    one = F.filter(F.array(footprint(F.col(geometry))), lambda edges: F.size(edges) > 0)
+    found = items.select(*[F.col(f"`{c}`") for c in items.columns if c != name], F.explode(one).alias(name))
+    found = found.withColumn("_box", box_of(F.col(name)))
     return found.withColumns({c: F.col(f"_box.{c}") for c in ("min_lon", "min_lat", "max_lon", "max_lat")}).drop("_box")
 
 
