@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drapekit.functions.footprint import let
+
 # fixed values: error codes, in the order the checks run
 BAD_NUMBER = "BAD_NUMBER"
 BAD_COUNT = "BAD_COUNT"
@@ -29,29 +31,30 @@ def _to_double(s: Column) -> Column:
 def parse_bbox(s: Column) -> Column:
     """``struct(min_lon, min_lat, max_lon, max_lat, error)``; coordinates are NULL when
     ``error`` is set."""
-    parts = F.transform(F.split(s, ","), lambda p: F.regexp_replace(p, EDGE_SPACE_RE, ""))
-    numeric = F.forall(parts, lambda p: p.rlike(NUMBER_RE))
-    vals = F.transform(parts, _to_double)
-    a, b, c, d = (vals.getItem(i) for i in range(4))
-    n = F.size(parts)
-    error = (
-        F.when(~numeric, F.lit(BAD_NUMBER))
-        .when(n != 4, F.lit(BAD_COUNT))
-        .when(~(a.between(-180.0, 180.0) & c.between(-180.0, 180.0)), F.lit(LON_RANGE))
-        .when(~(b.between(-90.0, 90.0) & d.between(-90.0, 90.0)), F.lit(LAT_RANGE))
-        .when(a >= c, F.lit(LON_ORDER))
-        .when(b >= d, F.lit(LAT_ORDER))
-    )
-    ok = error.isNull()
-    return F.struct(
-        F.when(ok, a).alias("min_lon"),
-        F.when(ok, b).alias("min_lat"),
-        F.when(ok, c).alias("max_lon"),
-        F.when(ok, d).alias("max_lat"),
-        error.alias("error"),
-    )
+    trimmed = F.transform(F.split(s, ","), lambda p: F.regexp_replace(p, EDGE_SPACE_RE, ""))
+
+    def checked(parts: Column, vals: Column) -> Column:
+        numeric = F.forall(parts, lambda p: p.rlike(NUMBER_RE))
+        a, b, c, d = (vals.getItem(i) for i in range(4))
+        error = (
+            F.when(~numeric, F.lit(BAD_NUMBER))
+            .when(F.size(parts) != 4, F.lit(BAD_COUNT))
+            .when(~(a.between(-180.0, 180.0) & c.between(-180.0, 180.0)), F.lit(LON_RANGE))
+            .when(~(b.between(-90.0, 90.0) & d.between(-90.0, 90.0)), F.lit(LAT_RANGE))
+            .when(a >= c, F.lit(LON_ORDER))
+            .when(b >= d, F.lit(LAT_ORDER))
+        )
+
+        def bbox(e: Column) -> Column:
+            named = zip((a, b, c, d), ("min_lon", "min_lat", "max_lon", "max_lat"))
+            return F.struct(*[F.when(e.isNull(), v).alias(n) for v, n in named], e.alias("error"))
+
+        return let(error, bbox)
+
+    return let(trimmed, lambda parts: let(F.transform(parts, _to_double), lambda vals: checked(parts, vals)))
 
 
 def parse_bbox_frame(df: DataFrame, col: str = "bbox", keep: tuple[str, ...] = ("req_id",)) -> DataFrame:
-    """Apply ``parse_bbox`` to a column; keeps ``keep`` columns and flattens the result."""
-    return df.select(*keep, parse_bbox(F.col(col)).alias("_bb")).select(*keep, "_bb.*")
+    """Apply ``parse_bbox`` to a column; keeps ``keep`` columns and flattens the result.  Each text is
+    parsed once: a later filter on ``error`` stays above the unnesting."""
+    return df.select(*keep, F.inline(F.array(parse_bbox(F.col(col)))))
