@@ -47,3 +47,18 @@ def test_mesh_of_one_image_is_made_by_many_tasks(spark):
         want += [(2, r * w + c, r, c, x, y) for r, y in ((0, 5.0), (0, 6.0), (1, 7.0)) for c, x in ((0, 9.0), (1, 8.0))[:w]]
     assert sorted(map(tuple, mesh.collect())) == sorted(want)
     assert mesh.groupBy(F.spark_partition_id()).count().count() > 4
+
+
+def test_small_tiles_share_files(spark, tmp_path):
+    from drapekit.operators.drape import resample_grid
+    from drapekit.sources.dem import read_tiles, write_tiles
+
+    cells = spark.range(4000).select(F.lit(7).alias("scene_id"), (F.col("id") % 8).cast("double").alias("x"), (F.floor(F.col("id") / 8) - 250).cast("double").alias("y"), F.col("id").cast("double").alias("dem"))
+    path = str(tmp_path / "t")
+    write_tiles(cells, path, side=4.0, target=1000)
+    tiled = read_tiles(spark, path)
+    assert tiled.tiles.count() == 252 and tiled.tiles.agg(F.sum("n")).first()[0] == 4000
+    assert len(list((tmp_path / "t" / "cells").rglob("*.parquet"))) < 60
+    meta = spark.createDataFrame([(7, 0.0, -250.0, 7.0, 249.0, 8, 500)], "scene_id int, lft double, btm double, rgt double, tp double, width int, height int")
+    found = resample_grid(meta, tiled)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, resample_grid(meta, cells).collect())) and found.count() == 4000
