@@ -62,3 +62,37 @@ def test_small_tiles_share_files(spark, tmp_path):
     meta = spark.createDataFrame([(7, 0.0, -250.0, 7.0, 249.0, 8, 500)], "scene_id int, lft double, btm double, rgt double, tp double, width int, height int")
     found = resample_grid(meta, tiled)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, resample_grid(meta, cells).collect())) and found.count() == 4000
+
+
+def test_surface_of_an_image_over_32768_pixels_high(spark):
+    import numpy as np
+
+    from drapekit.operators.delaunay import delaunay_surface
+
+    w, h = 3, 40_000
+    pid = np.flatnonzero(np.random.default_rng(5).random(w * h) < 0.3)
+    cloud = spark.createDataFrame([(1, int(p)) for p in pid], "scene_id int, pid long")
+    got = delaunay_surface(cloud, spark.createDataFrame([(1, w, h)], "scene_id int, width int, height int")).collect()
+    assert len({(t.a, t.b, t.c) for t in got}) == len(got)
+    a, b, c = (np.array([t[k] for t in got]) for k in (1, 2, 3))
+    cross = (b % w - a % w) * (c // w - a // w) - (b // w - a // w) * (c % w - a % w)
+    assert (cross > 0).all() and set(np.r_[a, b, c]) == set(pid)
+    # every edge but the hull's is met from both sides, and the number of faces follows from it
+    edges = set(zip(np.r_[a, b, c].tolist(), np.r_[b, c, a].tolist()))
+    assert len(edges) == 3 * len(got)
+    hull = [(p, q) for p, q in edges if (q, p) not in edges]
+    assert len(got) == 2 * len(pid) - 2 - len(hull)
+
+
+def test_circles_are_compared_past_64_bits():
+    import numpy as np
+
+    from drapekit.operators.delaunay import triangles
+
+    far = (1 << 19) - 1
+    x, y = np.array([0, far, far, 0]), np.array([0, 0, far, far])
+    assert triangles(x, y, np.arange(4), 1 << 20).tolist() == [[0, 1, 2], [0, 2, 3]]
+    y = np.array([1, 0, far, far])
+    assert {tuple(sorted(t)) for t in triangles(x, y, np.arange(4), 1 << 20).tolist()} == {(0, 1, 2), (0, 2, 3)}
+    y = np.array([0, 1, far, far])
+    assert {tuple(sorted(t)) for t in triangles(x, y, np.arange(4), 1 << 20).tolist()} == {(0, 1, 3), (1, 2, 3)}
