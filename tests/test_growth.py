@@ -62,3 +62,24 @@ def test_cell_sizes_count_points_at_two_scales_only(spark):
     assert "0.25" in plan and "2.8284271247461903" not in plan
     row = sizes.first()
     assert 60 <= 4000 / cloud.select(*[F.floor(F.col(c) / row.s) for c in "xyz"]).distinct().count() <= 240
+
+
+def test_draws_are_many_tasks(spark):
+    from drapekit.operators.sampling import DRAW_CHUNK, draws_with_replacement
+
+    draws = draws_with_replacement(spark.createDataFrame([(0, 6 * DRAW_CHUNK)], "scene_id int, n_total long"), 1.0)
+    per = draws.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per) == 6 * DRAW_CHUNK
+    assert len(per) > 1
+
+
+def test_axis_holds_the_width(spark):
+    """The planner takes a join for the product of its sides: the settled axis must not be one."""
+    from drapekit.operators.drape import resample_grid
+
+    meta = spark.createDataFrame([(0, 0.0, 0.0, 20.0, 10.0, 5, 3)], "scene_id int, lft double, btm double, rgt double, tp double, width int, height int")
+    cells = spark.createDataFrame([(0, x * 10.0, y * 5.0, x + y * 0.5) for x in range(3) for y in range(3)], "scene_id int, x double, y double, dem double")
+    elev = resample_grid(meta, cells)
+    files = elev.inputFiles()
+    assert any("axis" in f for f in files) and not any("drapekit-meta" in f for f in files)
+    assert elev.count() == 15
