@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from drapekit.sources.fs import arrow_fs
 
 RANGE_BYTES = 32 << 20
+# a task's share of the files; ranges smaller than that are read by the same task
+TASK_BYTES = 32 << 20
 _MORE = 1 << 20
 #: fixed value: nesting of a feature's members (collection, its array, the feature)
 FEATURE_DEPTH = 3
@@ -169,20 +171,26 @@ def _files(path: str) -> list[tuple[str, int]]:
 
 def read_features(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``(path, place, value)``: the text of every feature of the FeatureCollection files under
-    ``path``, with the byte it begins at.  Files are read in ranges, by as many tasks."""
+    ``path``, with the byte it begins at.  Files are read in ranges, dealt to tasks by their bytes."""
     from drapekit.operators.small import settled
     from drapekit.session import ship_package
 
     ship_package(spark)
-    cuts = [(p, k, k * range_bytes, min(range_bytes, n - k * range_bytes)) for p, n in _files(path) for k in range(-(-n // range_bytes))]
+    files = _files(path)
+    count, held = sum(-(-n // range_bytes) for _, n in files), sum(n for _, n in files)
+    # a task costs more than a small range: as many as the bytes need, at least two per core
+    tasks = max(1, min(count, 10_000, max(2 * spark.sparkContext.defaultParallelism, -(-held // TASK_BYTES))))
     kinds = "path string, number long, start long, size long"
-    ranges = spark.createDataFrame(cuts, kinds).repartition(max(1, min(len(cuts), 10_000)))
+    cuts = spark.createDataFrame([f for f in files if f[1]], "path string, bytes long")
+    cuts = cuts.select("path", "bytes", F.explode(F.expr(f"sequence(0L, (bytes - 1) div {range_bytes})")).alias("number"))
+    ranges = cuts.select("path", "number", (F.col("number") * range_bytes).alias("start"), F.least(F.lit(range_bytes).cast("long"), F.col("bytes") - F.col("number") * range_bytes).alias("size"))
+    ranges = ranges.repartition(tasks)
     # a row per range
     scanned = settled(ranges.mapInArrow(_scan, f"{kinds}, quotes long, plain long, quoted long"), "ranges")
     before = Window.partitionBy("path").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     begun = scanned.withColumn("in_string", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     gained = F.when(F.col("in_string") == 0, F.col("plain")).otherwise(F.col("quoted"))
     begun = begun.withColumn("gained", gained).withColumn("depth", F.coalesce(F.sum("gained").over(before), F.lit(0)))
-    begun = begun.select("path", "start", "size", "in_string", "depth").repartition(max(1, min(len(cuts), 10_000)), "path", "start")
+    begun = begun.select("path", "start", "size", "in_string", "depth").repartition(tasks, "path", "start")
     found = begun.mapInArrow(_extract, "path string, place long, value string")
     return found.where(F.get_json_object("value", "$.type") == "Feature")

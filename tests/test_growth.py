@@ -83,3 +83,16 @@ def test_axis_holds_the_width(spark):
     files = elev.inputFiles()
     assert any("axis" in f for f in files) and not any("drapekit-meta" in f for f in files)
     assert elev.count() == 15
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    from drapekit.sources.features import read_features
+
+    items = [{"type": "Feature", "id": f"i{k}", "properties": {"t": 'a\\"]{'}} for k in range(400)]
+    for n, own in enumerate((items[:150], items[150:])):
+        (tmp_path / f"c{n}.json").write_text(json.dumps({"type": "FeatureCollection", "features": own}))
+    (tmp_path / "empty.json").write_text("")
+    found = read_features(spark, str(tmp_path), range_bytes=100)
+    assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    got = [json.loads(r.value) for r in found.select("value").collect()]
+    assert sorted(got, key=lambda f: int(f["id"][1:])) == items
