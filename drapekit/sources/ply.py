@@ -601,7 +601,9 @@ def verify_output(spark: SparkSession, path: str) -> DataFrame:
     ship_package(spark)
     root, shards = shards_of(path)
     files = spark.createDataFrame([(s.rel,) for s in shards], "rel string")
-    per = files.repartition(max(1, min(len(shards), 10_000))).mapInArrow(_checked(root), "path string, bytes long, points long, header_points long")
+    # a task costs more than a small file: as many as the bytes need, at least two per core
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-sum(s.bytes for s in shards) // RANGE_BYTES))
+    per = files.repartition(max(1, min(len(shards), tasks, 10_000))).mapInArrow(_checked(root), "path string, bytes long, points long, header_points long")
     return per.withColumn("ok", F.coalesce(F.col("points") == F.col("header_points"), F.lit(False)))
 
 

@@ -96,3 +96,14 @@ def test_small_ranges_share_tasks(spark, tmp_path):
     assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     got = [json.loads(r.value) for r in found.select("value").collect()]
     assert sorted(got, key=lambda f: int(f["id"][1:])) == items
+
+
+def test_small_shards_share_tasks(spark, tmp_path):
+    from drapekit.sources.ply import verify_output, write_ply
+
+    scenes = 2 * spark.sparkContext.defaultParallelism + 20
+    cloud = spark.range(3 * scenes).select((F.col("id") % scenes).cast("int").alias("scene_id"), *[F.col("id").cast("double").alias(c) for c in "xyz"])
+    out = write_ply(cloud.coalesce(1), str(tmp_path / "ply"))
+    report = verify_output(spark, out.path)
+    assert report.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert [tuple(r) for r in report.groupBy("ok").agg(F.count(F.lit(1)), F.sum("points")).collect()] == [(True, scenes, 3 * scenes)]
