@@ -191,6 +191,6 @@ def read_features(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
     begun = scanned.withColumn("in_string", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     gained = F.when(F.col("in_string") == 0, F.col("plain")).otherwise(F.col("quoted"))
     begun = begun.withColumn("gained", gained).withColumn("depth", F.coalesce(F.sum("gained").over(before), F.lit(0)))
-    begun = begun.select("path", "start", "size", "in_string", "depth").repartition(tasks, "path", "start")
+    begun = begun.select("path", "start", "size", "in_string", "depth").repartition(tasks)
     found = begun.mapInArrow(_extract, "path string, place long, value string")
     return found.where(F.get_json_object("value", "$.type") == "Feature")
