@@ -107,3 +107,16 @@ def test_small_shards_share_tasks(spark, tmp_path):
     report = verify_output(spark, out.path)
     assert report.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     assert [tuple(r) for r in report.groupBy("ok").agg(F.count(F.lit(1)), F.sum("points")).collect()] == [(True, scenes, 3 * scenes)]
+
+
+def test_fetched_objects_may_be_larger_than_a_row(spark):
+    """Spark refuses objects over a length as one row (2 GB at most); here the length is set low."""
+    from drapekit import registry
+
+    name = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(name, "100")
+    try:
+        got = registry.QUERIES["s3_fetch_objects"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset(name)
+    assert sum(r.error == "" and len(r.md5) == 32 and r.bytes > 100 for r in got) == len(got) - 1
