@@ -18,3 +18,16 @@ def arrow_fs(uri: str):
     if "://" not in uri:
         return pafs.LocalFileSystem(), os.path.abspath(uri)
     return pafs.FileSystem.from_uri(uri)
+
+
+def reads_ranges(uri: str) -> bool:
+    """Whether Arrow reaches the place, so that objects there can be read in ranges.  Spark's readers
+    reach more stores, but give an object's bytes only as a whole."""
+    import pyarrow as pa
+    import pyarrow.fs as pafs
+
+    try:
+        fs, path = arrow_fs(uri)
+        return fs.get_file_info(path).type != pafs.FileType.NotFound
+    except (pa.ArrowException, OSError):
+        return False

@@ -1,4 +1,4 @@
-"""Object storage: read object bytes (S2) and copy objects to an output folder (S3).
+"""Object storage: read object bytes, whole or in blocks (S2), and copy objects to an output folder (S3).
 
 Credentials and endpoints belong to the Hadoop / Arrow filesystem configuration
 (``spark.hadoop.fs.s3a.*`` for Spark reads); nothing here logs or embeds them.
@@ -22,16 +22,61 @@ from drapekit.functions.text import resolve_object
 from drapekit.session import scratch_path
 
 FETCH_SCHEMA = "ref string, name string, path string, bytes long, error string"
+BLOCK_SCHEMA = "path string, modificationTime timestamp, length long, place long, content binary"
 
 
-def read_objects(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """One row per object ``(path, modificationTime, length, content)``."""
+def read_objects(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    recursive: bool = False,
+    block_bytes: int | None = None,
+    span: tuple[int, int | None] = (0, None),
+) -> DataFrame:
+    """One row per object ``(path, modificationTime, length, content)``.
+
+    With ``block_bytes`` one row per block ``(path, modificationTime, length, place, content)`` of
+    the bytes from ``span``'s start up to its end: objects of any size.  A task has the span of one
+    large object, or of small ones of ``spark.sql.files.maxPartitionBytes`` together, each from
+    front to back.  Blocks need a store that Arrow reads (``reads_ranges``).  Spark lists no
+    empty objects, so neither form has a row for them."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(path)
+    objects = reader.load(path)
+    if block_bytes is None:
+        return objects
+    from drapekit.session import ship_package
+
+    ship_package(spark)
+    objects = objects.select("path", "modificationTime", "length")
+    if span[0]:
+        objects = objects.where(F.col("length") > span[0])
+    return objects.mapInArrow(_block_batches(block_bytes, *span), BLOCK_SCHEMA)
+
+
+def _block_batches(block_bytes: int, start: int, end: int | None):
+    def run(batches):
+        import pyarrow as pa
+
+        from drapekit.sources.fs import arrow_fs as fs_of
+
+        for batch in batches:
+            for k, (path, length) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                stop = length if end is None else min(end, length)
+                fs, p = fs_of(path)
+                with fs.open_input_file(p) as f:
+                    f.seek(start)
+                    for place in range(start, stop, block_bytes):
+                        content = f.read(min(block_bytes, stop - place))
+                        if len(content) != min(block_bytes, stop - place):
+                            raise OSError(f"{path} is shorter than it was listed: {length} bytes")
+                        own = [*batch.slice(k, 1).columns, pa.array([place], pa.int64()), pa.array([content], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(own, [*batch.schema.names, "place", "content"])
+
+    return run
 
 
 def object_manifest(refs: DataFrame, ref: str = "ref", bucket: str = "bucket", default_bucket: str | None = None, roots: dict[str, str] | None = None) -> DataFrame:
