@@ -150,7 +150,8 @@ def _signed(x: int) -> int:
 
 def _keys(fps: DataFrame, parts: list[Part], half: str) -> DataFrame:
     """(key, fp) and what other columns there are, under every value of each part that is within the
-    half radius."""
+    half radius.  The planner sizes these rows as ``fps``, not counting the explode, and would take
+    many times its limit for a broadcast through the driver: whatever joins them is hinted to merge."""
     rows = [(k, p.mask, f) for k, p in enumerate(parts) for f in p.flips(p.radius // 2 if half == "index" else p.radius - p.radius // 2)]
     ways = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(_signed(m)).cast("long").alias("mask"), F.lit(_signed(f)).cast("long").alias("flip")) for k, m, f in rows])
     key = F.xxhash64(F.col("w.part"), F.col("fp").bitwiseAND(F.col("w.mask")).bitwiseXOR(F.col("w.flip")))
@@ -172,7 +173,7 @@ def _close(max_bits: int) -> Column:
 def near_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
     """Every link (a, b) with a < b between the distinct fingerprints ``fps`` (fp)."""
     index, probe = (side.alias(name) for side, name in zip(_sides(fps, max_bits), "ip"))
-    return probe.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("a") < F.col("b")) & _close(max_bits)).select("a", "b").distinct()
+    return probe.hint("merge").join(index, (F.col("p.key") == F.col("i.key")) & (F.col("a") < F.col("b")) & _close(max_bits)).select("a", "b").distinct()
 
 
 def star_links(fps: DataFrame, max_bits: int, turn: int) -> DataFrame:
@@ -182,7 +183,7 @@ def star_links(fps: DataFrame, max_bits: int, turn: int) -> DataFrame:
     plain = [Part(tuple(range(at, min(at + size, BITS))), 0) for at in range(0, BITS, size)]
     own = _keys(fps, plain, "index")
     chosen = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp", F.lit(turn)), "fp")).alias("r"))
-    met = own.withColumnRenamed("fp", "a").join(chosen.select("key", F.col("r.fp").alias("b")), "key")
+    met = own.withColumnRenamed("fp", "a").hint("merge").join(chosen.select("key", F.col("r.fp").alias("b")), "key")
     return met.where((F.col("a") != F.col("b")) & _close(max_bits)).select("a", "b").distinct()
 
 
@@ -197,7 +198,7 @@ def groups(fps: DataFrame, max_bits: int) -> DataFrame:
     labelled = written(labelled, "op3-labelled")
     left, right = _sides(labelled, max_bits)
     left, right = left.alias("p"), right.alias("i")
-    across = left.join(right, (F.col("p.key") == F.col("i.key")) & (F.col("p.of") != F.col("i.of")) & _close(max_bits))
+    across = left.hint("merge").join(right, (F.col("p.key") == F.col("i.key")) & (F.col("p.of") != F.col("i.of")) & _close(max_bits))
     across = across.select(F.greatest("p.of", "i.of").alias("a"), F.least("p.of", "i.of").alias("b")).distinct()
     return components(across.unionByName(stars.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -10,6 +11,7 @@ import xxhash
 from drapekit.llm import simhash as op
 from drapekit.llm.components import components
 from tests.llm.helpers import SCHEMA, frame, prose
+from tests.test_plans import recorded
 
 
 def slow_print(text):
@@ -145,3 +147,21 @@ def test_a_large_cluster_is_joined_by_few_links(spark):
     assert links < 20 * len(prints)
     got = op.groups(df, 4).collect()
     assert len(got) == len(prints) and len({r.label for r in got}) == 1
+
+
+def test_exploded_prints_are_not_broadcast(spark, monkeypatch):
+    """The planner takes a print's dozens of values for one row, so any table here is small to it."""
+    plans = recorded(monkeypatch)
+    rng = random.Random(9)
+    df = spark.createDataFrame([(op._signed(rng.getrandbits(64)),) for _ in range(300)], "fp long")
+    op.groups(op.written(df, "prints"), 4)
+    op.near_pairs(df, 4).collect()
+    seen = 0
+    for plan in plans:
+        lines = plan.splitlines()
+        for k, line in enumerate(lines):
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = list(itertools.takewhile(lambda x: len(x) - len(x.lstrip(" :+-")) > depth, lines[k + 1 :]))
+            seen += "SortMergeJoin" in line and any("Generate explode" in x for x in below)
+            assert not ("BroadcastExchange" in line and any("Generate explode" in x for x in below)), plan
+    assert seen >= op.STAR_TURNS + 2
