@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from drapekit.operators.delaunay import MAX_SIDE, delaunay_surface, triangles
@@ -85,3 +86,27 @@ def test_surface_is_the_same_for_all_tiles(spark):
     assert delaunay_surface(cloud.limit(0), size).count() == delaunay_surface(cloud, size.limit(0)).count() == 0
     with pytest.raises(ValueError):
         delaunay_surface(cloud, size, group=2)
+
+
+@pytest.mark.parametrize("shape", [(5, 160), (9, 130), (150, 7), (40, 40), (2, 90)])
+def test_triangles_outside_the_image_come_from_windows_of_the_rim(spark, monkeypatch, shape):
+    """Long images: their rim is nearly all of them, and no group may hold it."""
+    from drapekit.operators import delaunay
+
+    w, h = shape
+    rng = np.random.default_rng(w * h)
+    monkeypatch.setattr(delaunay, "STRIDE", 3)
+    seen = []
+    monkeypatch.setattr(delaunay, "settled", lambda df, name, own=delaunay.settled: (lambda out: (seen.append(out), out)[1])(own(df, name)))
+    rows, want = [], set()
+    for scene, share in enumerate((0.05, 0.3, 0.6, 1.0)):
+        pid = np.flatnonzero(rng.random(w * h) < share)
+        if scene == 2:  # a hole at the edge
+            pid = pid[abs(pid // w - h // 2) + abs(pid % w) > 12]
+        rows += [(scene, int(p)) for p in pid]
+        want |= {(scene, *map(int, pid[t])) for t in triangles(pid % w, pid // w, pid)}
+    size = spark.createDataFrame([(scene, w, h) for scene in range(4)], "scene_id int, width int, height int")
+    got = [tuple(r) for r in delaunay_surface(spark.createDataFrame(rows, "scene_id int, pid long"), size, 4, 3, span=10).collect()]
+    assert len(got) == len(want) and set(got) == want
+    turns = [f.where("b < 0").select("scene_id", "a").count() for f in seen if "w" in f.columns and "b" in f.columns]
+    assert len(turns) >= (4 if max(w, h) > 90 else 3) and turns[-1] == 0
