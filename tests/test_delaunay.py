@@ -110,3 +110,13 @@ def test_triangles_outside_the_image_come_from_windows_of_the_rim(spark, monkeyp
     assert len(got) == len(want) and set(got) == want
     turns = [f.where("b < 0").select("scene_id", "a").count() for f in seen if "w" in f.columns and "b" in f.columns]
     assert len(turns) >= (4 if max(w, h) > 90 else 3) and turns[-1] == 0
+
+
+def test_windows_of_the_rim_hand_on_few_points():
+    from drapekit.operators.delaunay import _strip
+
+    w, h = 33, 8192
+    pid = np.flatnonzero(np.random.default_rng(3).random(w * h) < 0.2)
+    own = pid[(pid // w >= 2048) & (pid // w < 4096)]
+    out = _strip(2048, 0)(pd.DataFrame({"scene_id": 1, "pid": own, "w": w, "h": h}))
+    assert len(own) > 13_000 and 0 < (out["b"] < 0).sum() < 120
