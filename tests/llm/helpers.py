@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import takewhile
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, id int"
 
@@ -16,3 +17,10 @@ def frame(spark, texts, start=0):
 def prose(seed, n, vocabulary=400):
     rng = random.Random(seed)
     return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def below(plan, upper, lower):
+    """How many nodes of the plan are named ``upper`` and have one named ``lower`` below them."""
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines()]
+    under = [(x, takewhile(lambda y, d=d: y[0] > d, lines[k:])) for k, (d, x) in enumerate(lines, 1)]
+    return sum(upper in x and any(lower in y for _, y in nodes) for x, nodes in under)

@@ -10,9 +10,10 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from drapekit.llm import toxicity
-from tests.llm.helpers import prose
+from tests.llm.helpers import below, frame, prose
 from tests.llm.test_decontaminate import slow as nearest
 from tests.llm.test_simhash import slow_groups, slow_print
+from tests.test_plans import recorded
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -116,3 +117,12 @@ def test_without_labels_and_benchmark_nothing_is_rejected(spark, tmp_path):
     clean = stages["decontamination"](spark, stages["suffix_dedup"](spark, single, folder), folder)
     assert sorted((r.doc_id, r.text, r.fp, r.id) for r in clean.collect()) == [(0, "", "fp", 7), (2, texts[2], "fp", 7), (3, texts[3], "fp", 7)]
     assert {r.doc_id: r.n_tokens > 0 for r in stages["bpe"](spark, clean, folder).collect()} == {0: False, 2: True, 3: True}
+
+
+def test_near_dedup_stage_broadcasts_no_exploded_table(spark, monkeypatch):
+    plans = recorded(monkeypatch)
+    docs = frame(spark, [prose(k, 60) for k in range(80)])
+    out = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert not any(below(plan, "BroadcastExchange", "Generate explode") for plan in plans)
+    assert any(below(plan, "SortMergeJoin", "Generate explode") for plan in plans)

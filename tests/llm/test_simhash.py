@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import itertools
 import random
 import re
 
@@ -10,7 +9,7 @@ import xxhash
 
 from drapekit.llm import simhash as op
 from drapekit.llm.components import components
-from tests.llm.helpers import SCHEMA, frame, prose
+from tests.llm.helpers import SCHEMA, below, frame, prose
 from tests.test_plans import recorded
 
 
@@ -156,12 +155,5 @@ def test_exploded_prints_are_not_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(op._signed(rng.getrandbits(64)),) for _ in range(300)], "fp long")
     op.groups(op.written(df, "prints"), 4)
     op.near_pairs(df, 4).collect()
-    seen = 0
-    for plan in plans:
-        lines = plan.splitlines()
-        for k, line in enumerate(lines):
-            depth = len(line) - len(line.lstrip(" :+-"))
-            below = list(itertools.takewhile(lambda x: len(x) - len(x.lstrip(" :+-")) > depth, lines[k + 1 :]))
-            seen += "SortMergeJoin" in line and any("Generate explode" in x for x in below)
-            assert not ("BroadcastExchange" in line and any("Generate explode" in x for x in below)), plan
-    assert seen >= op.STAR_TURNS + 2
+    assert not any(below(plan, "BroadcastExchange", "Generate explode") for plan in plans)
+    assert sum(below(plan, "SortMergeJoin", "Generate explode") for plan in plans) >= op.STAR_TURNS + 2
